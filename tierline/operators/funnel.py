@@ -115,17 +115,20 @@ def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
                         F.greatest(one, F.coalesce("_rows", zero)).alias("_w")))
     imp_by_ad = (imp_w.where(F.col("ad_id").isNotNull())
                  .groupBy(F.col("ad_id").alias("_k"))
-                 .agg(F.sum(F.when(F.col("id").isNotNull(), F.col("_w")).otherwise(zero)).alias("_imps"),
+                 .agg(F.sum("_w").alias("_rows"),
+                      F.sum(F.when(F.col("id").isNotNull(), F.col("_w")).otherwise(zero)).alias("_imps"),
                       _sum_as(F.col("cost_usd") * F.col("_w"), imp, "cost_usd").alias("_icost"),
                       F.sum("_clicks").alias("_clicks"), F.sum("_ccost").alias("_ccost"),
                       F.sum("_conv").alias("_conv"), F.sum("_value").alias("_value")))
     ad_by_campaign = (ads.where(F.col("campaign_id").isNotNull())
                       .join(imp_by_ad, F.col("id") == F.col("_k"), "left")
+                      .withColumn("_rows", F.greatest(one, F.coalesce("_rows", zero)))
                       .groupBy(F.col("campaign_id").alias("_c"))
                       .agg(*[F.sum(c).alias(c) for c in
-                             ["_imps", "_icost", "_clicks", "_ccost", "_conv", "_value"]]))
+                             ["_rows", "_imps", "_icost", "_clicks", "_ccost", "_conv", "_value"]]))
     joined = camp.join(ad_by_campaign, F.col("id") == F.col("_c"), "left")
     agg = joined.groupBy(F.col("id").alias("campaign_id"), "campaign_name", "channel", "objective").agg(
+        F.sum(F.greatest(one, F.coalesce("_rows", zero))).cast("bigint").alias("funnel_rows"),
         F.coalesce(F.sum("_imps"), zero).cast("bigint").alias("impressions_count"),
         F.coalesce(F.sum("_clicks"), zero).cast("bigint").alias("clicks_count"),
         F.coalesce(F.sum("_conv"), zero).cast("bigint").alias("conversions_count"),
@@ -141,7 +144,7 @@ def campaign_performance(silver: dict[str, DataFrame], method: str = "rollup",
     """Gold table campaign_performance_by_channel: funnel aggregates, ctr/cvr/cost per
     conversion, and ``rank_in_channel`` by conversion value, descending."""
     if method == "rollup":
-        agg = campaign_rollup(silver)
+        agg = campaign_rollup(silver).drop("funnel_rows")
     elif method == "join":
         agg = aggregate_funnel(build_funnel(silver, "campaigns"))
     else:
@@ -150,8 +153,11 @@ def campaign_performance(silver: dict[str, DataFrame], method: str = "rollup",
                          per_unit=rank_buckets_per_unit)
 
 
-def funnel_rows(silver: dict[str, DataFrame]) -> DataFrame:
-    """Rows of the five-table joined funnel per campaign (the fan-out made visible)."""
+def funnel_rows(silver: dict[str, DataFrame], method: str = "rollup") -> DataFrame:
+    """Rows of the five-table joined funnel per campaign (the fan-out made visible);
+    by default counted from the rollup weights, without joining the rows out."""
+    if method == "rollup":
+        return campaign_rollup(silver).select("campaign_id", "funnel_rows")
     f = build_funnel(silver, "campaigns")
     return f.groupBy(F.col("c.id").alias("campaign_id")).agg(F.count(F.lit(1)).alias("funnel_rows"))
 

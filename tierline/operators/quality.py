@@ -111,3 +111,39 @@ def event_window(df: DataFrame, ts: str, start: str | _dt.date | None = None,
     else:
         raise TypeError(f"event_window: {ts} is {dtype.simpleString()}, not a timestamp")
     return df.filter((F.col(ts) >= lo_c) & (F.col(ts) < hi_c))
+
+
+def exact_duplicate_rows(df: DataFrame) -> DataFrame:
+    """One row: rows, and rows that repeat an earlier identical row."""
+    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+    return per_row.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
+                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("defects"))
+
+
+def dq_profile(tables: dict[str, DataFrame], checks: dict[str, dict[str, Column]],
+               duplicates: Iterable[str] = ()) -> DataFrame:
+    """Defect rates, one row per (entity, check): rows, defects, rate = defects / rows.
+
+    ``checks`` maps entity -> {check name: boolean defect predicate}; all checks of
+    an entity are one aggregate over one scan.  ``duplicates`` names entities whose
+    exact duplicate rows are counted too (a group-by over all columns).
+    """
+    parts = []
+    for entity, preds in checks.items():
+        df = tables[entity]
+        agg = df.agg(F.count(F.lit(1)).alias("rows"),
+                     *[F.count_if(p).alias(f"_c{i}") for i, p in enumerate(preds.values())])
+        stack = ", ".join(f"'{name}', _c{i}" for i, name in enumerate(preds))
+        parts.append(agg.selectExpr(f"'{entity}' AS entity", "rows",
+                                    f"stack({len(preds)}, {stack}) AS (dq_check, defects)"))
+    for entity in duplicates:
+        parts.append(exact_duplicate_rows(tables[entity])
+                     .select(F.lit(entity).alias("entity"), "rows",
+                             F.lit("exact_duplicate").alias("dq_check"), "defects"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return (out.select("entity", "dq_check", F.col("rows").cast("bigint").alias("rows"),
+                       F.col("defects").cast("bigint").alias("defects"))
+               .withColumn("rate", F.when(F.col("rows") > 0, F.col("defects") / F.col("rows"))
+                                    .otherwise(F.lit(0.0))))

@@ -7,6 +7,8 @@ key), the URL fix sees untrimmed text.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 
 from tierline.functions.columns import apply_casts, apply_named, trim_strings
@@ -28,11 +30,15 @@ def build_silver(raw: DataFrame, rule: EntityRule, parents: dict[str, DataFrame]
 
 
 def build_silver_all(raw: dict[str, DataFrame], registry: dict[str, EntityRule] | None = None,
-                     try_cast: bool = False) -> dict[str, DataFrame]:
-    """Silver plans for every entity of ``raw``, parents first."""
+                     try_cast: bool = False,
+                     stage: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """Silver for every entity of ``raw``, parents first.  With ``stage`` each entity
+    is materialised (e.g. written and re-read) before its children check against it,
+    as the silver tables of a pipeline are; without it, one lazy plan per entity."""
     registry = REGISTRY if registry is None else registry
     out: dict[str, DataFrame] = {}
     for name in build_order(registry):
         if name in raw:
-            out[name] = build_silver(raw[name], get_rule(name, registry), out, try_cast)
+            df = build_silver(raw[name], get_rule(name, registry), out, try_cast)
+            out[name] = stage(df, name) if stage else df
     return out

@@ -171,3 +171,135 @@ SELECT campaign_id, campaign_name, channel, objective,
          AS rank_in_channel
 FROM camp_agg
 """)
+
+
+def _silver_select(entity: str, cols: str) -> str:
+    return with_ctes(TESTBED, SILVER, body=f"SELECT {cols} FROM s_{entity}")
+
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _pivot_cells(column: str, value: str) -> str:
+    return ", ".join(f"round(sum(CASE WHEN {column} = '{s}' THEN {value} END), 6) AS \"{s}\""
+                     for s in SEGMENTS)
+
+
+LINEITEM_ORDER = ", ".join(f"{c} NULLS FIRST" for c in [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
+    "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"])
+
+PAGES_DEFECTIVE = """
+pages_d AS (
+  SELECT page_id,
+         CASE WHEN page_id % 50 = 0 THEN regexp_replace(url, '^https?://', '')
+              WHEN page_id % 50 = 25 THEN upper(url)
+              WHEN page_id % 50 = 10 THEN concat(' ', url)
+              ELSE url END AS url
+  FROM pages)
+"""
+
+ORACLE: dict[str, str] = {
+    "gold_campaign_performance": GOLD_CAMPAIGN_PERFORMANCE,
+    "funnel_rows": with_ctes(TESTBED, SILVER, body=f"""
+SELECT c.id AS campaign_id, count(*) AS funnel_rows {FUNNEL_FROM} GROUP BY c.id"""),
+    "gold_advertiser_revenue": with_ctes(TESTBED, SILVER, ADVERTISER_AGG, body="""
+SELECT advertiser_id, advertiser_name, industry, country, total_revenue_usd, conversions_count,
+       round(sum(total_revenue_usd) OVER w, 6) AS industry_total_revenue_usd,
+       round(CASE WHEN sum(total_revenue_usd) OVER w <> 0 THEN total_revenue_usd / sum(total_revenue_usd) OVER w
+                  ELSE 0.0 END, 9) AS revenue_share_in_industry
+FROM adv_agg WINDOW w AS (PARTITION BY industry)"""),
+    "gold_revenue_pivot": with_ctes(TESTBED, SILVER, ADVERTISER_AGG, body=f"""
+SELECT country, {_pivot_cells("industry", "total_revenue_usd")} FROM adv_agg GROUP BY country"""),
+    "rank_in_channel": """
+SELECT o_orderkey, o_orderpriority AS channel, o_totalprice,
+       CAST(rank() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice DESC NULLS LAST) AS INTEGER)
+         AS rank_in_channel
+FROM orders""",
+    "industry_share": """
+SELECT c_custkey, c_mktsegment, c_acctbal,
+       round(sum(c_acctbal) OVER w, 6) AS segment_total_acctbal,
+       round(CASE WHEN sum(c_acctbal) OVER w <> 0 THEN c_acctbal / sum(c_acctbal) OVER w ELSE 0.0 END, 9)
+         AS acctbal_share
+FROM customer WINDOW w AS (PARTITION BY c_mktsegment)""",
+    "pivot_country_industry": f"""
+SELECT n_name AS country, {_pivot_cells("c_mktsegment", "c_acctbal")}
+FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name""",
+    "dedup_lineitem": f"""
+SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
+       l_returnflag, l_linestatus, l_shipdate
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {LINEITEM_ORDER}) AS rn
+      FROM lineitem) WHERE rn = 1""",
+    "dedup_metrics": """
+SELECT CAST(sum(n) AS BIGINT) AS rows_before, count(*) AS rows_after,
+       CAST(sum(n) - count(*) AS BIGINT) AS duplicates_removed
+FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber)""",
+    "fk_flag_events_supplier": """
+SELECT e.*, NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = e.user_id) AS is_orphan_user_id
+FROM events e""",
+    "fk_flag_clicks": with_ctes(TESTBED, body="""
+SELECT id, impression_id,
+       NOT EXISTS (SELECT 1 FROM t_impressions p WHERE p.id = c.impression_id) AS is_orphan_impression_id
+FROM t_clicks c"""),
+    "fk_orphan_count": with_ctes(TESTBED, body="""
+SELECT 'events.user_id -> supplier.s_suppkey' AS fk_check, count(*) AS rows,
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM supplier s WHERE s.s_suppkey = e.user_id)) AS orphans
+FROM events e
+UNION ALL
+SELECT 'clicks.impression_id -> impressions.id', count(*),
+       count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM t_impressions p WHERE p.id = c.impression_id))
+FROM t_clicks c"""),
+    "cast_orders": """
+SELECT CAST(o_orderkey AS INTEGER) AS o_orderkey, CAST(o_custkey AS INTEGER) AS o_custkey, o_orderstatus,
+       CAST(CAST(o_totalprice AS DECIMAL(12,2)) AS DOUBLE) AS o_totalprice,
+       CAST(o_orderdate AS DATE) AS o_orderdate, o_orderpriority
+FROM orders""",
+    "trim_customer": """
+SELECT c_custkey, trim(concat('  ', c_name, ' ')) AS c_name, c_nationkey, c_acctbal,
+       trim(concat(' ', c_mktsegment)) AS c_mktsegment
+FROM customer""",
+    "fix_protocol_pages": with_ctes(PAGES_DEFECTIVE, body="""
+SELECT page_id, trim(CASE WHEN NOT regexp_matches(url, '^https?://') THEN concat('https://', url)
+                          ELSE url END) AS url
+FROM pages_d"""),
+    "flag_zero_discount": """
+SELECT l_orderkey, l_linenumber, l_discount, l_discount = 0 AS is_zero_discount FROM lineitem""",
+    "flag_present_creative": with_ctes(TESTBED, body="""
+SELECT id, creative_url, creative_url IS NOT NULL AS has_creative_url FROM t_ads"""),
+    "silver_advertisers": _silver_select("advertisers", "*"),
+    "silver_campaigns": _silver_select(
+        "campaigns", "id, advertiser_id, campaign_name, channel, objective, "
+                     "CAST(daily_budget_usd AS DOUBLE) AS daily_budget_usd, has_zero_budget"),
+    "silver_ads": _silver_select("ads", "*"),
+    "silver_impressions": _silver_select(
+        "impressions", "id, ad_id, \"timestamp\", country, CAST(cost_usd AS DOUBLE) AS cost_usd, "
+                       "is_zero_cost_impression"),
+    "silver_clicks": _silver_select(
+        "clicks", "id, impression_id, \"timestamp\", CAST(cost_usd AS DOUBLE) AS cost_usd, "
+                  "is_orphan_impression_id"),
+    "silver_conversions": _silver_select(
+        "conversions", "id, click_id, \"timestamp\", CAST(value_usd AS DOUBLE) AS value_usd, "
+                       "is_orphan_click_id"),
+    "dq_profile": with_ctes(TESTBED, """
+checks AS (
+  SELECT 'advertisers' AS entity, 'website_without_protocol' AS dq_check, count(*) AS rows,
+         count(*) FILTER (WHERE NOT regexp_matches(website, '^https?://')) AS defects FROM t_advertisers
+  UNION ALL SELECT 'campaigns', 'zero_budget', count(*), count(*) FILTER (WHERE daily_budget_usd = 0)
+    FROM t_campaigns
+  UNION ALL SELECT 'ads', 'missing_creative', count(*), count(*) FILTER (WHERE creative_url IS NULL) FROM t_ads
+  UNION ALL SELECT 'impressions', 'zero_cost', count(*), count(*) FILTER (WHERE cost_usd = 0) FROM t_impressions
+  UNION ALL SELECT 'clicks', 'orphan_impression_id', count(*),
+    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM t_impressions p WHERE p.id = c.impression_id))
+    FROM t_clicks c
+  UNION ALL SELECT 'conversions', 'orphan_click_id', count(*),
+    count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM t_clicks p WHERE p.id = v.click_id))
+    FROM t_conversions v
+  UNION ALL SELECT 'impressions', 'exact_duplicate', CAST(sum(n) AS BIGINT), CAST(sum(n - 1) AS BIGINT)
+    FROM (SELECT count(*) AS n FROM t_impressions GROUP BY id, ad_id, "timestamp", country, cost_usd))
+""", body="""
+SELECT entity, dq_check, CAST(rows AS BIGINT) AS rows, CAST(defects AS BIGINT) AS defects,
+       CASE WHEN rows > 0 THEN defects / rows ELSE 0.0 END AS rate
+FROM checks"""),
+    "event_window": """
+SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-13 00:00:00'""",
+}

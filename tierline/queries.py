@@ -15,8 +15,13 @@ from pyspark.sql.types import DecimalType, TimestampType
 
 from tierline import oracle
 from tierline import testbed as tb
+from tierline.functions.columns import apply_casts, fix_protocol, flag_present, flag_zero, trim_strings
 from tierline.operators import funnel
+from tierline.operators.quality import (dedup, dedup_metrics, dq_profile, event_window, flag_orphans,
+                                        orphan_metrics)
+from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group
 from tierline.operators.silver import build_silver_all
+from tierline.sources.tables import stage
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -32,18 +37,207 @@ def export(df: DataFrame) -> DataFrame:
     return df.withColumns(changes) if changes else df
 
 
+def _stager(spark: SparkSession):
+    return lambda df, label: stage(df, label, spark)
+
+
+def raw_testbed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    return tb.raw_entities(spark, sf_dir, stage=_stager(spark))
+
+
 def silver_testbed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return build_silver_all(tb.raw_entities(spark, sf_dir))
+    """The six silver tables over the testbed, each written once and re-read (as the
+    pipeline's silver tables are), so children and gold reuse them."""
+    return build_silver_all(raw_testbed(spark, sf_dir), stage=_stager(spark))
 
 
+def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Round double columns whose last bits depend on summation order."""
+    return df.withColumns({c: F.round(F.col(c), d) for c, d in digits.items()})
+
+
+# ---- gold (testbed -> silver -> gold) ---------------------------------------------
+
 def q_gold_campaign_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export(funnel.campaign_performance(silver_testbed(spark, sf_dir)))
 
 
+def q_funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return funnel.funnel_rows(silver_testbed(spark, sf_dir))
+
+
+def q_gold_advertiser_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    gold = funnel.advertiser_revenue(silver_testbed(spark, sf_dir))
+    return _r(export(gold), {"industry_total_revenue_usd": 6, "revenue_share_in_industry": 9})
+
+
+def q_gold_revenue_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rev = funnel.revenue_by_advertiser(silver_testbed(spark, sf_dir))
+    piv = funnel.revenue_pivot(rev, SEGMENTS)
+    return _r(piv, {c: 6 for c in SEGMENTS})
+
+
+# ---- window / group operators on the driver's tables ------------------------------
+
+# The market segments of the customer table (pivot headings).
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def q_rank_in_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = tb.read_table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.col("o_orderpriority").alias("channel"), "o_totalprice")
+    return (rank_in_group(o, "channel", "o_totalprice", "rank_in_channel")
+            .orderBy("channel", "rank_in_channel"))
+
+
+def q_industry_share(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tb.read_table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    out = share_of_group(c, "c_mktsegment", "c_acctbal", "segment_total_acctbal", "acctbal_share")
+    return (_r(out, {"segment_total_acctbal": 6, "acctbal_share": 9})
+            .orderBy(F.col("c_mktsegment"), F.col("acctbal_share").desc()))
+
+
+def q_pivot_country_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tb.read_table(spark, sf_dir, "customer")
+    n = tb.read_table(spark, sf_dir, "nation")
+    cn = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
+        F.col("n_name").alias("country"), F.col("c_mktsegment").alias("industry"), "c_acctbal")
+    return _r(pivot_sum(cn, "country", "industry", "c_acctbal", SEGMENTS), {s: 6 for s in SEGMENTS})
+
+
+# ---- silver operators, one at a time --------------------------------------------
+
+LINEITEM_KEY = ["l_orderkey", "l_linenumber"]
+
+
+def q_dedup_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup(tb.read_table(spark, sf_dir, "lineitem"), LINEITEM_KEY)
+
+
+def q_dedup_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_metrics(tb.read_table(spark, sf_dir, "lineitem"), LINEITEM_KEY)
+
+
+def _events_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = tb.read_table(spark, sf_dir, "events")
+    sup = tb.read_table(spark, sf_dir, "supplier")
+    return flag_orphans(ev, sup, "s_suppkey", "user_id")
+
+
+def q_fk_flag_events_supplier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _events_supplier(spark, sf_dir)
+
+
+def _clicks_flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_testbed(spark, sf_dir)
+    return flag_orphans(raw["clicks"], raw["impressions"], "id", "impression_id")
+
+
+def q_fk_flag_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _clicks_flagged(spark, sf_dir).select("id", "impression_id", "is_orphan_impression_id")
+
+
+def q_fk_orphan_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = orphan_metrics(_events_supplier(spark, sf_dir), ["is_orphan_user_id"])
+    ck = orphan_metrics(_clicks_flagged(spark, sf_dir), ["is_orphan_impression_id"])
+    return (ev.select(F.lit("events.user_id -> supplier.s_suppkey").alias("fk_check"), "rows",
+                      F.col("is_orphan_user_id_count").alias("orphans"))
+              .unionByName(ck.select(F.lit("clicks.impression_id -> impressions.id").alias("fk_check"),
+                                     "rows", F.col("is_orphan_impression_id_count").alias("orphans"))))
+
+
+ORDER_CASTS = {"o_orderkey": "int", "o_custkey": "int", "o_totalprice": "decimal(12,2)",
+               "o_orderdate": "date"}
+
+
+def q_cast_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return export(apply_casts(tb.read_table(spark, sf_dir, "orders"), ORDER_CASTS))
+
+
+def q_trim_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tb.read_table(spark, sf_dir, "customer")
+    padded = c.withColumns({
+        "c_name": F.concat(F.lit("  "), F.col("c_name"), F.lit(" ")),
+        "c_mktsegment": F.concat(F.lit(" "), F.col("c_mktsegment")),
+    })
+    return trim_strings(padded)
+
+
+def _pages_defective(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Page URLs with planted protocol defects: stripped (page_id % 50 = 0), upper
+    case (% 50 = 25), leading blank (% 50 = 10)."""
+    p = tb.read_table(spark, sf_dir, "pages").select("page_id", "url")
+    m = F.col("page_id") % 50
+    return p.withColumn("url", F.when(m == 0, F.regexp_replace("url", "^https?://", ""))
+                                .when(m == 25, F.upper("url"))
+                                .when(m == 10, F.concat(F.lit(" "), F.col("url")))
+                                .otherwise(F.col("url")))
+
+
+def q_fix_protocol_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trim_strings(fix_protocol(_pages_defective(spark, sf_dir), "url"))
+
+
+def q_flag_zero_discount(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = tb.read_table(spark, sf_dir, "lineitem").select(*LINEITEM_KEY, "l_discount")
+    return flag_zero(li, "l_discount", "is_zero_discount")
+
+
+def q_flag_present_creative(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ads = tb.ads(spark, sf_dir)
+    return flag_present(ads, "creative_url", "has_creative_url").select(
+        "id", "creative_url", "has_creative_url")
+
+
+def _silver_query(entity: str) -> QueryFn:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return export(silver_testbed(spark, sf_dir)[entity])
+    run.__name__ = f"q_silver_{entity}"
+    return run
+
+
+def q_dq_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = raw_testbed(spark, sf_dir)
+    tables = dict(raw)
+    tables["clicks"] = flag_orphans(raw["clicks"], raw["impressions"], "id", "impression_id")
+    tables["conversions"] = flag_orphans(raw["conversions"], raw["clicks"], "id", "click_id")
+    checks = {
+        "advertisers": {"website_without_protocol": ~F.col("website").rlike("^https?://")},
+        "campaigns": {"zero_budget": F.col("daily_budget_usd") == 0},
+        "ads": {"missing_creative": F.col("creative_url").isNull()},
+        "impressions": {"zero_cost": F.col("cost_usd") == 0},
+        "clicks": {"orphan_impression_id": F.col("is_orphan_impression_id")},
+        "conversions": {"orphan_click_id": F.col("is_orphan_click_id")},
+    }
+    return dq_profile(tables, checks, duplicates=["impressions"])
+
+
+def q_event_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return event_window(tb.read_table(spark, sf_dir, "events"), "ts", "2024-01-10", "2024-01-12")
+
+
 QUERIES: dict[str, QueryFn] = {
     "gold_campaign_performance": q_gold_campaign_performance,
+    "funnel_rows": q_funnel_rows,
+    "gold_advertiser_revenue": q_gold_advertiser_revenue,
+    "gold_revenue_pivot": q_gold_revenue_pivot,
+    "rank_in_channel": q_rank_in_channel,
+    "industry_share": q_industry_share,
+    "pivot_country_industry": q_pivot_country_industry,
+    "dedup_lineitem": q_dedup_lineitem,
+    "dedup_metrics": q_dedup_metrics,
+    "fk_flag_events_supplier": q_fk_flag_events_supplier,
+    "fk_flag_clicks": q_fk_flag_clicks,
+    "fk_orphan_count": q_fk_orphan_count,
+    "cast_orders": q_cast_orders,
+    "trim_customer": q_trim_customer,
+    "fix_protocol_pages": q_fix_protocol_pages,
+    "flag_zero_discount": q_flag_zero_discount,
+    "flag_present_creative": q_flag_present_creative,
+    **{f"silver_{e}": _silver_query(e) for e in
+       ["advertisers", "campaigns", "ads", "impressions", "clicks", "conversions"]},
+    "dq_profile": q_dq_profile,
+    "event_window": q_event_window,
 }
 
-ORACLE: dict[str, str] = {
-    "gold_campaign_performance": oracle.GOLD_CAMPAIGN_PERFORMANCE,
-}
+ORACLE: dict[str, str] = dict(oracle.ORACLE)

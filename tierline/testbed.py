@@ -12,6 +12,8 @@ earlier click (``running_max``, skew-safe per user).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -112,9 +114,13 @@ def _conversions_from(ev: DataFrame) -> DataFrame:
     )
 
 
-def raw_entities(spark: SparkSession, sf_dir: str, block: int = 1 << 16) -> dict[str, DataFrame]:
-    """The six raw entities, lazily planned (nothing runs until an action)."""
+def raw_entities(spark: SparkSession, sf_dir: str, block: int = 1 << 16,
+                 stage: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The six raw entities.  The linked events feed three of them; ``stage`` (e.g.
+    write-and-reread) computes that step once instead of once per entity."""
     ev = events_with_links(spark, sf_dir, block)
+    if stage:
+        ev = stage(ev, "events_linked")
     return {
         "advertisers": advertisers(spark, sf_dir),
         "campaigns": campaigns(spark, sf_dir),
