@@ -195,10 +195,15 @@ def revenue_by_advertiser(silver: dict[str, DataFrame], method: str = "rollup")
     return agg.withColumn("total_revenue_usd", F.coalesce(F.col("total_revenue_usd"), F.lit(0.0)))
 
 
+def advertiser_revenue_from(revenue: DataFrame) -> DataFrame:
+    """Industry total and share added to a per-advertiser revenue table."""
+    return share_of_group(revenue, "industry", "total_revenue_usd",
+                          "industry_total_revenue_usd", "revenue_share_in_industry")
+
+
 def advertiser_revenue(silver: dict[str, DataFrame], method: str = "rollup") -> DataFrame:
     """Gold table advertiser_revenue_by_industry."""
-    return share_of_group(revenue_by_advertiser(silver, method), "industry", "total_revenue_usd",
-                          "industry_total_revenue_usd", "revenue_share_in_industry")
+    return advertiser_revenue_from(revenue_by_advertiser(silver, method))
 
 
 def revenue_pivot(revenue: DataFrame, industries=None) -> DataFrame:

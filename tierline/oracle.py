@@ -199,6 +199,15 @@ pages_d AS (
   FROM pages)
 """
 
+UPSERT = with_ctes("""
+target AS (SELECT * FROM orders WHERE o_orderkey % 10 < 8)""", """
+source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+                  o_orderpriority
+           FROM orders WHERE o_orderkey % 2 = 0)""", body="""
+SELECT * FROM source
+UNION ALL
+SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)""")
+
 ORACLE: dict[str, str] = {
     "gold_campaign_performance": GOLD_CAMPAIGN_PERFORMANCE,
     "funnel_rows": with_ctes(TESTBED, SILVER, body=f"""
@@ -300,6 +309,13 @@ checks AS (
 SELECT entity, dq_check, CAST(rows AS BIGINT) AS rows, CAST(defects AS BIGINT) AS defects,
        CASE WHEN rows > 0 THEN defects / rows ELSE 0.0 END AS rate
 FROM checks"""),
+    "merge_first_run": "SELECT * FROM orders",
+    "merge_upsert": UPSERT,
+    "merge_rerun_idempotent": UPSERT,
+    "overwrite_roundtrip": "SELECT * FROM nation",
+    "ingest_incremental": "SELECT * FROM events",
+    "ingest_schema_evolution": """
+SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN length(props) END AS props_len FROM events""",
     "event_window": """
 SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-13 00:00:00'""",
 }

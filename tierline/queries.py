@@ -7,6 +7,7 @@ driver's whole tables.  ``export`` gives every result engine-neutral types
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,7 +22,11 @@ from tierline.operators.quality import (dedup, dedup_metrics, dq_profile, event_
                                         orphan_metrics)
 from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group
 from tierline.operators.silver import build_silver_all
-from tierline.sources.tables import stage
+from tierline.session import scratch_dir
+from tierline.sources.landing import land_json
+from tierline.sources.tables import (PART_COL, ensure_schemas, list_tables, merge_upsert, overwrite_table,
+                                     stage, table_exists)
+from tierline.streaming.incremental import load_new_files, read_bronze
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -216,6 +221,110 @@ def q_event_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     return event_window(tb.read_table(spark, sf_dir, "events"), "ts", "2024-01-10", "2024-01-12")
 
 
+# ---- sinks: write below a fresh scratch folder, return what reads back -------------
+
+def _scratch_schema(spark: SparkSession, label: str) -> tuple[str, str]:
+    base = scratch_dir(spark, label)
+    name = f"tl_{label}_{uuid.uuid4().hex[:10]}"
+    ensure_schemas(spark, {name: f"scratch schema for {label}"}, location_root=base)
+    return name, base
+
+
+def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tb.read_table(spark, sf_dir, "orders")
+
+
+def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Target: orders with key % 10 < 8.  Source: even keys, price + 1 (so it both
+    updates existing keys and inserts keys 8, 18, ...)."""
+    o = _orders(spark, sf_dir)
+    target = o.where(F.col("o_orderkey") % 10 < 8)
+    source = (o.where(F.col("o_orderkey") % 2 == 0)
+               .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
+    return target, source
+
+
+def q_merge_first_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema, _ = _scratch_schema(spark, "create")
+    table = f"{schema}.orders"
+    assert not table_exists(spark, table)
+    merge_upsert(spark, table, _orders(spark, sf_dir), "o_orderkey", partitions=8)
+    return spark.table(table).drop(PART_COL)
+
+
+def _upserted(spark: SparkSession, sf_dir: str, times: int) -> DataFrame:
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.orders"
+    target, source = _upsert_inputs(spark, sf_dir)
+    merge_upsert(spark, table, target, "o_orderkey", partitions=8)
+    for _ in range(times):
+        merge_upsert(spark, table, source, "o_orderkey", partitions=8)
+    return spark.table(table).drop(PART_COL)
+
+
+def q_merge_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir, 1)
+
+
+def q_merge_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _upserted(spark, sf_dir, 2)
+
+
+def q_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    schema, _ = _scratch_schema(spark, "overwrite")
+    nation = tb.read_table(spark, sf_dir, "nation")
+    overwrite_table(nation.where(F.col("n_regionkey") == 0), f"{schema}.nation")
+    overwrite_table(nation, f"{schema}.nation")
+    return spark.table(f"{schema}.nation")
+
+
+INGEST_SPLIT = "2024-01-16"
+
+
+def _ingested(spark: SparkSession, sf_dir: str, evolve: bool) -> DataFrame:
+    """Land events in two parts (run dates 2024-01-16 and 2024-01-31), loading after
+    each; land the first day again and load a third time (nothing new)."""
+    base = scratch_dir(spark, "ingest")
+    ev = tb.read_table(spark, sf_dir, "events")
+    split = F.to_timestamp_ntz(F.lit(f"{INGEST_SPLIT} 00:00:00"))
+    part1 = ev.where(F.col("ts") < split)
+    part2 = ev.where(F.col("ts") >= split)
+    if evolve:
+        part2 = part2.withColumn("props_len", F.length("props").cast("bigint"))
+    landing, bronze = f"{base}/landing/events", f"{base}/bronze/events"
+    land_json(part1, f"{base}/landing", "events", INGEST_SPLIT)
+    load_new_files(spark, landing, bronze)
+    land_json(part2, f"{base}/landing", "events", "2024-01-31")
+    load_new_files(spark, landing, bronze)
+    land_json(part1, f"{base}/landing", "events", INGEST_SPLIT)
+    load_new_files(spark, landing, bronze)
+    out = read_bronze(spark, bronze)
+    return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, evolve=False)
+
+
+def q_ingest_schema_evolution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _ingested(spark, sf_dir, evolve=True)
+
+
+def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole pipeline (L5) on the testbed entities; one summary row per step,
+    joined to the tables the catalog lists for each layer."""
+    from tierline.plans.pipelines import Layout, run_all
+    layout = Layout(base=scratch_dir(spark, "pipeline"), domain=f"ads_{uuid.uuid4().hex[:8]}")
+    raw = raw_testbed(spark, sf_dir)
+    summary = run_all(spark, layout, raw, run_date="2024-01-31")
+    listed = None
+    for layer in ("silver", "gold"):
+        t = list_tables(spark, layout.schema(layer)).select(
+            F.lit(layer).alias("layer"), F.col("tableName").alias("entity"))
+        listed = t if listed is None else listed.unionByName(t)
+    return summary.join(listed.withColumn("in_catalog", F.lit(True)), ["layer", "entity"], "left")
+
+
 QUERIES: dict[str, QueryFn] = {
     "gold_campaign_performance": q_gold_campaign_performance,
     "funnel_rows": q_funnel_rows,
@@ -238,6 +347,13 @@ QUERIES: dict[str, QueryFn] = {
        ["advertisers", "campaigns", "ads", "impressions", "clicks", "conversions"]},
     "dq_profile": q_dq_profile,
     "event_window": q_event_window,
+    "merge_first_run": q_merge_first_run,
+    "merge_upsert": q_merge_upsert,
+    "merge_rerun_idempotent": q_merge_rerun_idempotent,
+    "overwrite_roundtrip": q_overwrite_roundtrip,
+    "ingest_incremental": q_ingest_incremental,
+    "ingest_schema_evolution": q_ingest_schema_evolution,
+    "run_summary": q_run_summary,
 }
 
 ORACLE: dict[str, str] = dict(oracle.ORACLE)

@@ -7,6 +7,11 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 
 
+# ISO-8601 with microseconds (Spark's JSON default keeps milliseconds).
+ISO_ZONED = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
+ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+
+
 def landing_path(root: str, entity: str, run_date: str | _dt.date) -> str:
     """``<root>/<entity>/<entity>_<YYYY-MM-DD>``: one folder per entity and run date."""
     day = run_date.isoformat() if isinstance(run_date, _dt.date) else str(run_date)
@@ -24,7 +29,10 @@ def land_json(df: DataFrame, root: str, entity: str, run_date: str | _dt.date |
     """
     run_date = run_date or _dt.datetime.now(_dt.timezone.utc).date()
     path = landing_path(root, entity, run_date)
-    df.write.mode("ignore").json(path)
+    (df.write.mode("ignore")
+       .option("timestampFormat", ISO_ZONED)
+       .option("timestampNTZFormat", ISO_LOCAL)
+       .json(path))
     return path
 
 

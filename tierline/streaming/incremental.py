@@ -1,8 +1,8 @@
 """Incremental file load: take only files not loaded before (the job of SQL ``COPY
 INTO``), with schema evolution.
 
-A Structured Streaming file source remembers every file it has taken in its
-checkpoint, so a rerun takes only new files, and a file rewritten under an old
+A Structured Streaming file source (``binaryFile``, path only) remembers every file
+it has taken in its checkpoint, so a rerun takes only new files, and a file rewritten under an old
 path is skipped.  ``trigger(availableNow=True)`` drains what is there and stops:
 a batch job with exactly-once file bookkeeping.
 
@@ -23,6 +23,8 @@ from pyspark.sql.utils import AnalysisException
 from tierline.sources.landing import read_json
 
 BATCH_COL = "_load_batch"
+# The fixed schema of Spark's binaryFile source.
+BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def read_bronze(spark: SparkSession, table_path: str, keep_batch: bool = False) -> DataFrame:
@@ -41,12 +43,12 @@ def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
                    checkpoint: str | None = None, max_files_per_batch: int | None = None) -> dict:
     """Append the rows of every JSON Lines file under ``source_dir`` not loaded
     before into the parquet table at ``table_path``.  Returns the number of
-    micro-batches and rows this call loaded."""
+    micro-batches and files this call loaded."""
     checkpoint = checkpoint or f"{table_path.rstrip('/')}/_checkpoint"
-    stats = {"batches": 0, "rows": 0}
+    stats = {"batches": 0, "files": 0}
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r[0] for r in batch.select(F.col("_metadata.file_path")).distinct().collect()]
+        paths = [r[0] for r in batch.collect()]  # one row per new file: a file list
         if not paths:
             return
         rows = read_json(spark, paths)
@@ -62,15 +64,17 @@ def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
              .partitionBy(BATCH_COL).parquet(table_path))
         stats["batches"] += 1
 
-    reader = spark.readStream.format("text")
+    # binaryFile with only ``path`` selected never reads file contents: each
+    # micro-batch is just the list of files not seen before.
+    reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+              .option("pathGlobFilter", "*.json"))
     if max_files_per_batch:
         reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
-    query = (reader.load(f"{source_dir.rstrip('/')}/*")
+    query = (reader.load(f"{source_dir.rstrip('/')}/*").select("path")
              .writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    progress = query.recentProgress
-    stats["rows"] = int(sum(p.get("numInputRows", 0) for p in progress)) if progress else 0
+    stats["files"] = int(sum(p.get("numInputRows", 0) for p in query.recentProgress or []))
     return stats
