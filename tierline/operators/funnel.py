@@ -84,14 +84,24 @@ def aggregate_funnel(funnel: DataFrame) -> DataFrame:
     return _metrics(agg)
 
 
-def _sum_as(c, like: DataFrame, name: str):
-    """Sum cast back to the decimal width a plain SUM of the column would give."""
+def _sum_type(like: DataFrame, name: str) -> str:
+    """The decimal type a plain SUM of the column gives (precision + 10)."""
     dtype = like.schema[name].dataType
-    return F.sum(c).cast(f"decimal({min(38, dtype.precision + 10)},{dtype.scale})")
+    return f"decimal({min(38, dtype.precision + 10)},{dtype.scale})"
+
+
+def _sum_as(c, like: DataFrame, name: str):
+    return F.sum(c).cast(_sum_type(like, name))
+
+
+def _as_sum_type(c, like: DataFrame, name: str):
+    return F.col(c).cast(_sum_type(like, name))
 
 
 def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
-    """Same rows and values as ``aggregate_funnel(build_funnel(silver))``, leaf first."""
+    """Same rows and values as ``aggregate_funnel(build_funnel(silver))``, leaf first,
+    plus ``funnel_rows`` (rows the joined funnel has for the campaign).  Relies on
+    the silver contract of one row per campaign ``id``."""
     s = drop_orphans(silver)
     camp, ads, imp, clk, conv = (s["campaigns"], s["ads"], s["impressions"],
                                  s["clicks"], s["conversions"])
@@ -126,15 +136,18 @@ def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
                       .groupBy(F.col("campaign_id").alias("_c"))
                       .agg(*[F.sum(c).alias(c) for c in
                              ["_rows", "_imps", "_icost", "_clicks", "_ccost", "_conv", "_value"]]))
+    # Silver holds one row per campaign id, so the join yields one row per campaign
+    # and no regrouping (another shuffle) is needed.
     joined = camp.join(ad_by_campaign, F.col("id") == F.col("_c"), "left")
-    agg = joined.groupBy(F.col("id").alias("campaign_id"), "campaign_name", "channel", "objective").agg(
-        F.sum(F.greatest(one, F.coalesce("_rows", zero))).cast("bigint").alias("funnel_rows"),
-        F.coalesce(F.sum("_imps"), zero).cast("bigint").alias("impressions_count"),
-        F.coalesce(F.sum("_clicks"), zero).cast("bigint").alias("clicks_count"),
-        F.coalesce(F.sum("_conv"), zero).cast("bigint").alias("conversions_count"),
-        _sum_as("_icost", imp, "cost_usd").alias("total_impression_cost_usd"),
-        _sum_as("_ccost", clk, "cost_usd").alias("total_click_cost_usd"),
-        _sum_as("_value", conv, "value_usd").alias("total_conversion_value_usd"),
+    agg = joined.select(
+        F.col("id").alias("campaign_id"), "campaign_name", "channel", "objective",
+        F.greatest(one, F.coalesce("_rows", zero)).cast("bigint").alias("funnel_rows"),
+        F.coalesce("_imps", zero).cast("bigint").alias("impressions_count"),
+        F.coalesce("_clicks", zero).cast("bigint").alias("clicks_count"),
+        F.coalesce("_conv", zero).cast("bigint").alias("conversions_count"),
+        _as_sum_type("_icost", imp, "cost_usd").alias("total_impression_cost_usd"),
+        _as_sum_type("_ccost", clk, "cost_usd").alias("total_click_cost_usd"),
+        _as_sum_type("_value", conv, "value_usd").alias("total_conversion_value_usd"),
     )
     return _metrics(agg)
 

@@ -6,7 +6,8 @@ rows -- into one task.  Both operators are written so no task ever holds a whole
 group:
 
 * ``rank_in_group``: rank = 1 + rows of the group with a strictly larger value.  Rows
-  are split into value buckets by a fixed monotone function of the value, counted
+  are split into value buckets by a fixed monotone function of the value (a signed
+  log), counted
   per (group, bucket) in one partial aggregate, ranked inside (group, bucket), and
   offset by the counts of the higher buckets.  Equal values always share a bucket,
   so ties stay exact.
@@ -25,14 +26,18 @@ from pyspark.sql import functions as F
 
 def value_bucket(value, per_unit: int):
     """Order-reversing bucket of a numeric value: larger values get smaller numbers,
-    equal values the same one, NaN first and NULL last.  ``asinh`` is monotone over
-    all reals and logarithmic for large magnitudes, so the bucket numbers of any
-    double lie in [-710 * per_unit, 710 * per_unit]: a fixed bound."""
+    equal values the same one.  ``signum(v) * log1p(|v|)`` is monotone over all reals
+    and below 710 in magnitude for every finite double, so finite values fall in
+    [-710 * per_unit, 710 * per_unit] -- a fixed bound.  NaN (largest in Spark's
+    order) and +inf come first, -inf and NULL last."""
     v = F.col(value).cast("double")
     top = 711 * per_unit
-    return (F.when(F.col(value).isNull(), F.lit(top + 1))
-             .when(F.isnan(v), F.lit(-top - 1))
-             .otherwise(-F.floor(F.asinh(v) * F.lit(per_unit)))
+    scaled = F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(per_unit))
+    return (F.when(F.col(value).isNull(), F.lit(top + 2))
+             .when(F.isnan(v), F.lit(-top - 3))
+             .when(v == float("inf"), F.lit(-top - 2))
+             .when(v == float("-inf"), F.lit(top + 1))
+             .otherwise(-F.floor(scaled))
              .cast("bigint"))
 
 

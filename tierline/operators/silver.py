@@ -29,16 +29,31 @@ def build_silver(raw: DataFrame, rule: EntityRule, parents: dict[str, DataFrame]
     return trim_strings(df)
 
 
+def ancestors(names, registry: dict[str, EntityRule] | None = None) -> set[str]:
+    """``names`` plus every entity they check foreign keys against, transitively."""
+    registry = REGISTRY if registry is None else registry
+    todo, seen = list(names), set()
+    while todo:
+        n = todo.pop()
+        if n not in seen:
+            seen.add(n)
+            todo.extend(fk.parent for fk in get_rule(n, registry).fk_checks)
+    return seen
+
+
 def build_silver_all(raw: dict[str, DataFrame], registry: dict[str, EntityRule] | None = None,
                      try_cast: bool = False,
-                     stage: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """Silver for every entity of ``raw``, parents first.  With ``stage`` each entity
-    is materialised (e.g. written and re-read) before its children check against it,
-    as the silver tables of a pipeline are; without it, one lazy plan per entity."""
+                     stage: Callable[[DataFrame, str], DataFrame] | None = None,
+                     only=None) -> dict[str, DataFrame]:
+    """Silver for every entity of ``raw`` (or just ``only`` and their FK ancestors),
+    parents first.  With ``stage`` each entity is materialised (e.g. written and
+    re-read) before its children check against it, as the silver tables of a
+    pipeline are; without it, one lazy plan per entity."""
     registry = REGISTRY if registry is None else registry
+    wanted = ancestors(only, registry) if only is not None else set(raw)
     out: dict[str, DataFrame] = {}
     for name in build_order(registry):
-        if name in raw:
+        if name in raw and name in wanted:
             df = build_silver(raw[name], get_rule(name, registry), out, try_cast)
             out[name] = stage(df, name) if stage else df
     return out

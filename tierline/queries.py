@@ -50,10 +50,11 @@ def raw_testbed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return tb.raw_entities(spark, sf_dir, stage=_stager(spark))
 
 
-def silver_testbed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The six silver tables over the testbed, each written once and re-read (as the
-    pipeline's silver tables are), so children and gold reuse them."""
-    return build_silver_all(raw_testbed(spark, sf_dir), stage=_stager(spark))
+def silver_testbed(spark: SparkSession, sf_dir: str, only=None) -> dict[str, DataFrame]:
+    """The silver tables over the testbed (all six, or ``only`` and their FK
+    ancestors), each written once and re-read (as the pipeline's silver tables are),
+    so children and gold reuse them."""
+    return build_silver_all(raw_testbed(spark, sf_dir), stage=_stager(spark), only=only)
 
 
 def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
@@ -196,7 +197,7 @@ def q_flag_present_creative(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _silver_query(entity: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return export(silver_testbed(spark, sf_dir)[entity])
+        return export(silver_testbed(spark, sf_dir, only=[entity])[entity])
     run.__name__ = f"q_silver_{entity}"
     return run
 
