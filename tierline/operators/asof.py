@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 def running_max(df: DataFrame, key: str, order: str, values: dict[str, Column],
                 block: int = 1 << 16) -> DataFrame:
     names = list(values)
-    blk = F.floor(F.col(order) / F.lit(block)).cast("bigint")
+    blk = F.expr(f"CAST(`{order}` AS BIGINT) div {int(block)}")  # exact integer division
     staged = df.withColumns({"_blk": blk, **{f"_v_{n}": c for n, c in values.items()}})
 
     per_block = staged.groupBy(F.col(key).alias("_bk"), F.col("_blk").alias("_bb")).agg(
