@@ -32,11 +32,20 @@ def read_bronze(spark: SparkSession, table_path: str, keep_batch: bool = False)
     return df if keep_batch else df.drop(BATCH_COL)
 
 
-def _existing_schema(spark: SparkSession, table_path: str):
+def _has_data(spark: SparkSession, table_path: str) -> bool:
+    """Whether the dataset holds any parquet file yet (a listing, never a schema
+    inference on an empty folder)."""
     try:
-        return read_bronze(spark, table_path).schema
-    except AnalysisException:
-        return None
+        found = (spark.read.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+                 .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
+                 .load(table_path).select("path").limit(1).collect())
+    except AnalysisException:  # the folder does not exist yet
+        return False
+    return bool(found)
+
+
+def _existing_schema(spark: SparkSession, table_path: str):
+    return read_bronze(spark, table_path).schema if _has_data(spark, table_path) else None
 
 
 def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
