@@ -46,14 +46,16 @@ def build_silver_all(raw: dict[str, DataFrame], registry: dict[str, EntityRule]
                      stage: Callable[[DataFrame, str], DataFrame] | None = None,
                      only=None) -> dict[str, DataFrame]:
     """Silver for every entity of ``raw`` (or just ``only`` and their FK ancestors),
-    parents first.  With ``stage`` each entity is materialised (e.g. written and
-    re-read) before its children check against it, as the silver tables of a
-    pipeline are; without it, one lazy plan per entity."""
+    parents first.  With ``stage``, every entity another one checks its keys against
+    is materialised (e.g. written and re-read) before its children use it, so the
+    children and later gold plans read it instead of recomputing it; entities read
+    once stay inline.  Without ``stage``: one lazy plan per entity."""
     registry = REGISTRY if registry is None else registry
     wanted = ancestors(only, registry) if only is not None else set(raw)
+    parents = {fk.parent for n in wanted for fk in get_rule(n, registry).fk_checks}
     out: dict[str, DataFrame] = {}
     for name in build_order(registry):
         if name in raw and name in wanted:
             df = build_silver(raw[name], get_rule(name, registry), out, try_cast)
-            out[name] = stage(df, name) if stage else df
+            out[name] = stage(df, name) if stage and name in parents else df
     return out
