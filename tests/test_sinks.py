@@ -38,6 +38,23 @@ def test_upsert_semantics(spark, schema, partitions):
     assert _rows(spark.table(t).drop(PART_COL)) == once
 
 
+def test_upsert_rewrites_only_touched_partitions(spark, schema):
+    """Most hash partitions are untouched by a 3-key source; a static overwrite would
+    drop their rows.  The session setting is left alone."""
+    t = f"{schema}.many"
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        merge_upsert(spark, t, spark.range(200).selectExpr("CAST(id AS INT) AS k", "'old' AS v"), "k",
+                     partitions=16)
+        merge_upsert(spark, t, spark.createDataFrame([(5, "new"), (500, "ins"), (77, "new")], "k int, v string"),
+                     "k", partitions=16)
+        got = {r.k: r.v for r in spark.table(t).collect()}
+        assert len(got) == 201 and got[5] == got[77] == "new" and got[500] == "ins" and got[6] == "old"
+        assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+
+
 def test_upsert_rejects_duplicate_source_keys(spark, schema):
     src = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(ValueError, match="holds key"):

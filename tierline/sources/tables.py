@@ -11,6 +11,7 @@ overwrite) instead of the whole table.
 from __future__ import annotations
 
 from collections.abc import Iterable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -53,12 +54,14 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None,
 
 def create_table(df: DataFrame, name: str, path: str | None = None,
                  partition_by: Iterable[str] = ()) -> int:
-    """Create ``name`` from ``df``; fails if it exists.  Returns rows written."""
+    """Create ``name`` from ``df``; fails if it exists.  Returns rows written.  A
+    partitioned table records dynamic partition overwrite among its options, so an
+    ``INSERT OVERWRITE`` into it replaces only the partitions it writes."""
     obs = Observation(f"rows_{name.replace('.', '_')}")
     writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists").format("parquet")
     parts = list(partition_by)
     if parts:
-        writer = writer.partitionBy(*parts)
+        writer = writer.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(name)
@@ -123,14 +126,14 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     cols = [c for c in merged.columns if c != PART_COL] + ([PART_COL] if partitions else [])
     staged = stage(merged.select(*cols), "upsert", spark)
     if partitions:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
         old_cols = spark.table(table).columns
         new_cols = [c for c in staged.columns if c not in old_cols]
         if new_cols:
             _add_columns(spark, table, staged, new_cols)
         obs = Observation("rows_upsert")
-        (staged.observe(obs, F.count(F.lit(1)).alias("rows"))
-               .select(*spark.table(table).columns).write.insertInto(table, overwrite=True))
+        with _dynamic_overwrite(spark):
+            (staged.observe(obs, F.count(F.lit(1)).alias("rows"))
+                   .select(*spark.table(table).columns).write.insertInto(table, overwrite=True))
         n = int(obs.get["rows"])
     else:
         n = overwrite_table(staged, table, path)
@@ -138,6 +141,22 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     return {"created": False, "rows_written": n}
 
 
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession):
+    """Dynamic partition overwrite for one insert (tables created here carry it as a
+    table option already); the session's own setting is restored afterwards."""
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def _add_columns(spark: SparkSession, table: str, df: DataFrame, cols: list[str]) -> None:
     ddl = ", ".join(f"`{c}` {df.schema[c].dataType.simpleString()}" for c in cols)
     spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({ddl})")
