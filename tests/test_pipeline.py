@@ -30,3 +30,12 @@ def test_run_all_matches_direct_plans(spark, sf_small):
     assert _rows(export(spark.table(layout.table("gold", "campaign_performance_by_channel")))) == first
     silver_ads = spark.table(layout.table("silver", "ads"))
     assert silver_ads.count() == silver_testbed(spark, sf_small, only=["ads"])["ads"].count()
+
+
+def test_run_all_stops_at_first_failure(spark, sf_small):
+    layout = Layout(base=scratch_dir(spark, "pipe"), domain=f"t{uuid.uuid4().hex[:6]}")
+    raw = raw_entities(spark, sf_small)
+    raw["campaigns"] = raw["campaigns"].drop("daily_budget_usd")  # its cast rule cannot apply
+    summary = run_all(spark, layout, raw, run_date="2024-01-31", raise_on_error=False).collect()
+    assert [(s.layer, s.entity, s.status) for s in summary][-1] == ("silver", "campaigns", "ERROR")
+    assert all(s.status == "OK" for s in summary[:-1]) and len(summary) == 8

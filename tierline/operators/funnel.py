@@ -153,15 +153,21 @@ def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
 
 
 def campaign_performance(silver: dict[str, DataFrame], method: str = "rollup",
-                         rank_buckets_per_unit: int = 32) -> DataFrame:
+                         rank_buckets_per_unit: int = 32, stage=None) -> DataFrame:
     """Gold table campaign_performance_by_channel: funnel aggregates, ctr/cvr/cost per
-    conversion, and ``rank_in_channel`` by conversion value, descending."""
+    conversion, and ``rank_in_channel`` by conversion value, descending.
+
+    The rank reads its input twice (bucket counts, then rows); ``stage`` (e.g.
+    write-and-reread) materialises the per-campaign aggregate first so the funnel
+    over the event tables runs once."""
     if method == "rollup":
         agg = campaign_rollup(silver).drop("funnel_rows")
     elif method == "join":
         agg = aggregate_funnel(build_funnel(silver, "campaigns"))
     else:
         raise ValueError(f"method must be 'rollup' or 'join', not {method!r}")
+    if stage is not None:
+        agg = stage(agg, "campaign_agg")
     return rank_in_group(agg, "channel", "total_conversion_value_usd", "rank_in_channel",
                          per_unit=rank_buckets_per_unit)
 
@@ -214,9 +220,12 @@ def advertiser_revenue_from(revenue: DataFrame) -> DataFrame:
                           "industry_total_revenue_usd", "revenue_share_in_industry")
 
 
-def advertiser_revenue(silver: dict[str, DataFrame], method: str = "rollup") -> DataFrame:
-    """Gold table advertiser_revenue_by_industry."""
-    return advertiser_revenue_from(revenue_by_advertiser(silver, method))
+def advertiser_revenue(silver: dict[str, DataFrame], method: str = "rollup", stage=None) -> DataFrame:
+    """Gold table advertiser_revenue_by_industry (``stage``: as in campaign_performance)."""
+    revenue = revenue_by_advertiser(silver, method)
+    if stage is not None:
+        revenue = stage(revenue, "advertiser_revenue")
+    return advertiser_revenue_from(revenue)
 
 
 def revenue_pivot(revenue: DataFrame, industries=None) -> DataFrame:

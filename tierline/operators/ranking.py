@@ -12,8 +12,11 @@ group:
   offset by the counts of the higher buckets.  Equal values always share a bucket,
   so ties stay exact.
 * ``share_of_group``: group totals by a partially-aggregated ``groupBy`` joined back
-  on the group; the totals side has one row per group value, which AQE measures at
-  runtime and broadcasts when it is below the broadcast threshold.
+  on the group.
+
+Both small sides (group totals; per-(group, bucket) rank offsets) are broadcast only
+after ``bounded_broadcast`` has proven them small by fetching at most a fixed number
+of rows; beyond that they are joined by a shuffle (and AQE may still broadcast).
 """
 
 from __future__ import annotations
@@ -24,6 +27,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
+    """``df`` as a broadcast relation when it has at most ``max_rows`` rows, else None.
+
+    The check fetches at most ``max_rows + 1`` rows (one job over an already
+    aggregated frame), so the size bound is proven, not estimated; the rows become a
+    local relation, so the main plan does not recompute them."""
+    rows = df.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return None
+    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
+
+
 def value_bucket(value, per_unit: int):
     """Order-reversing bucket of a numeric value: larger values get smaller numbers,
     equal values the same one.  ``signum(v) * log1p(|v|)`` is monotone over all reals
@@ -42,7 +57,7 @@ def value_bucket(value, per_unit: int):
 
 
 def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank",
-                  per_unit: int = 32) -> DataFrame:
+                  per_unit: int = 32, max_broadcast_rows: int = 200_000) -> DataFrame:
     """SQL ``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``.
 
     rank = 1 + (rows of the group in higher-value buckets) + (rows of the row's own
@@ -62,6 +77,7 @@ def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank",
                                     .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
                .drop("_n"))
+    offsets = bounded_broadcast(offsets, max_broadcast_rows) or offsets
     on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_bb"))
     local = Window.partitionBy(group, "_b").orderBy(F.col(value).desc_nulls_last())
     return (staged.join(offsets, on, "left")
@@ -69,10 +85,12 @@ def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank",
                   .drop("_b", "_g", "_bb", "_offset"))
 
 
-def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str) -> DataFrame:
+def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str,
+                   max_broadcast_groups: int = 100_000) -> DataFrame:
     """Add ``total`` = sum of ``value`` over the row's ``group`` (NULL is a group of its
     own, as in a window) and ``share`` = value / total (0.0 when the total is 0 or NULL)."""
     totals = df.groupBy(F.col(group).alias("_g")).agg(F.sum(value).alias(total))
+    totals = bounded_broadcast(totals, max_broadcast_groups) or totals
     out = df.join(totals, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
     return out.withColumn(
         share,

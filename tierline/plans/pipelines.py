@@ -86,7 +86,8 @@ def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 def gold_campaign_performance(spark: SparkSession, layout: Layout) -> int:
     """L3: campaign_performance_by_channel, rebuilt in full."""
-    gold = funnel.campaign_performance(_silver_tables(spark, layout))
+    gold = funnel.campaign_performance(_silver_tables(spark, layout),
+                                       stage=lambda df, label: stage(df, label, spark))
     name = "campaign_performance_by_channel"
     return overwrite_table(gold, layout.table("gold", name), layout.table_path("gold", name))
 
@@ -114,29 +115,40 @@ SUMMARY_SCHEMA = T.StructType([
 
 
 def run_all(spark: SparkSession, layout: Layout, sources: dict[str, DataFrame],
-            run_date: str | _dt.date | None = None) -> DataFrame:
+            run_date: str | _dt.date | None = None, raise_on_error: bool = True) -> DataFrame:
     """L5: schemas, then bronze for every entity (registry order), silver for every
-    entity (parents first), then both gold builds.  Stops at the first failure and
-    re-raises it; the summary (one row per step) is returned on success."""
+    entity (parents first), then both gold builds.  Stops at the first failure: it is
+    re-raised, or with ``raise_on_error=False`` the summary ends with the failed step.
+    The summary has one row per step (a handful of rows, built on the driver)."""
     setup_schemas(spark, layout)
     steps: list[tuple] = []
 
-    def record(layer: str, entity: str, fn):
+    class _Stop(Exception):
+        pass
+
+    def record(layer: str, names: list[str], fn):
         try:
             rows = fn()
         except Exception:
-            steps.append((len(steps) + 1, layer, entity, "ERROR", None))
-            raise
-        steps.append((len(steps) + 1, layer, entity, "OK", int(rows)))
-
-    for entity in REGISTRY:
-        if entity in sources:
-            record("bronze", entity, lambda e=entity: bronze_load(spark, layout, e, sources[e], run_date))
-    for entity in build_order():
-        if entity in sources:
-            record("silver", entity, lambda e=entity: silver_build(spark, layout, e))
-    record("gold", "campaign_performance_by_channel", lambda: gold_campaign_performance(spark, layout))
-    rev = gold_advertiser_revenue(spark, layout)
-    for name, rows in rev.items():
-        steps.append((len(steps) + 1, "gold", name, "OK", rows))
+            steps.append((len(steps) + 1, layer, names[0], "ERROR", None))
+            if raise_on_error:
+                raise
+            raise _Stop() from None
+        counts = rows if isinstance(rows, dict) else {names[0]: rows}
+        for name in names:
+            steps.append((len(steps) + 1, layer, name, "OK", int(counts[name])))
+
+    try:
+        for entity in REGISTRY:
+            if entity in sources:
+                record("bronze", [entity],
+                       lambda e=entity: bronze_load(spark, layout, e, sources[e], run_date))
+        for entity in build_order():
+            if entity in sources:
+                record("silver", [entity], lambda e=entity: silver_build(spark, layout, e))
+        record("gold", ["campaign_performance_by_channel"], lambda: gold_campaign_performance(spark, layout))
+        record("gold", ["advertiser_revenue_by_industry", "revenue_by_country_industry_pivot"],
+               lambda: gold_advertiser_revenue(spark, layout))
+    except _Stop:
+        pass
     return spark.createDataFrame(steps, SUMMARY_SCHEMA)

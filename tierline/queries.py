@@ -65,7 +65,7 @@ def _r(df: DataFrame, digits: dict[str, int]) -> DataFrame:
 # ---- gold (testbed -> silver -> gold) ---------------------------------------------
 
 def q_gold_campaign_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return export(funnel.campaign_performance(silver_testbed(spark, sf_dir)))
+    return export(funnel.campaign_performance(silver_testbed(spark, sf_dir), stage=_stager(spark)))
 
 
 def q_funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def q_funnel_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_gold_advertiser_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gold = funnel.advertiser_revenue(silver_testbed(spark, sf_dir))
+    gold = funnel.advertiser_revenue(silver_testbed(spark, sf_dir), stage=_stager(spark))
     return _r(export(gold), {"industry_total_revenue_usd": 6, "revenue_share_in_industry": 9})
 
 
