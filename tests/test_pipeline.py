@@ -3,7 +3,10 @@
 import uuid
 
 from tierline.operators import funnel
-from tierline.plans.pipelines import Layout, run_all
+import pytest
+
+from tierline.operators.quality import event_window
+from tierline.plans.pipelines import Layout, run_all, silver_events
 from tierline.queries import export, silver_testbed
 from tierline.session import scratch_dir
 from tierline.testbed import raw_entities
@@ -30,6 +33,15 @@ def test_run_all_matches_direct_plans(spark, sf_small):
     assert _rows(export(spark.table(layout.table("gold", "campaign_performance_by_channel")))) == first
     silver_ads = spark.table(layout.table("silver", "ads"))
     assert silver_ads.count() == silver_testbed(spark, sf_small, only=["ads"])["ads"].count()
+    # F4 over a silver event table: same rows as filtering the direct plan
+    win = silver_events(spark, layout, "clicks", "2024-01-10", "2024-01-12")
+    direct_clicks = silver_testbed(spark, sf_small, only=["clicks"])["clicks"]
+    assert _rows(export(win.select(*direct_clicks.columns))) == _rows(
+        export(event_window(direct_clicks, "timestamp", "2024-01-10", "2024-01-12")))
+    plan = win._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    with pytest.raises(ValueError):
+        silver_events(spark, layout, "ads")
 
 
 def test_run_all_stops_at_first_failure(spark, sf_small):

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from tierline.operators import funnel
+from tierline.operators.quality import event_window
 from tierline.operators.silver import build_silver
 from tierline.rules import REGISTRY, EntityRule, build_order, get_rule
 from tierline.sources.landing import land_json
@@ -76,10 +77,21 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     parents = {fk.parent: spark.table(layout.table("silver", fk.parent)) for fk in rule.fk_checks}
     df = build_silver(raw, rule, parents)
     result = merge_upsert(spark, layout.table("silver", entity), df, list(rule.primary_key),
-                          path=layout.table_path("silver", entity), partitions=layout.upsert_partitions)
+                          path=layout.table_path("silver", entity), partitions=layout.upsert_partitions,
+                          sort_within=[rule.event_time] if rule.event_time else [])
     return result["rows_written"]
 
 
+def silver_events(spark: SparkSession, layout: Layout, entity: str, start=None, end=None) -> DataFrame:
+    """F4 on a silver event table: the rows of the selected UTC days (yesterday by
+    default).  The range filter reaches the parquet scan; files are sorted by event
+    time, so row groups outside the range are skipped."""
+    rule = get_rule(entity)
+    if not rule.is_event or not rule.event_time:
+        raise ValueError(f"{entity} is a dimension, not an event entity")
+    return event_window(spark.table(layout.table("silver", entity)).drop("_part"), rule.event_time, start, end)
+
+
 def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {e: spark.table(layout.table("silver", e)).drop("_part") for e in REGISTRY}
 

@@ -44,13 +44,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster that setting points at shared storage and is used as is.  Only when
     it is unset (a local test session) is a private folder created and installed.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a session without a local SparkContext (e.g. Spark Connect)
+        sc = None
+    if sc is not None:
+        current = sc.getCheckpointDir()
+        if current:
+            return current
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
+    else:
+        configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = tempfile.mkdtemp(prefix="tierline-ckpt-")
+    if sc is None:
+        spark.conf.set("spark.checkpoint.dir", configured)
+        return configured
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 

@@ -101,22 +101,26 @@ def upsert_frame(target: DataFrame, source: DataFrame, key: str | Iterable[str])
 
 def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str | Iterable[str],
                  path: str | None = None, partitions: int | None = None,
-                 check_unique: bool = True) -> dict:
+                 check_unique: bool = True, sort_within: Iterable[str] = ()) -> dict:
     """Keyed upsert into parquet table ``table`` (created on first use).
 
     With ``partitions`` the table is hash-partitioned on the key and only the
     partitions the source touches are read and rewritten.  The new partitions are
     written to a staging folder first (a table cannot be overwritten while it is
     read), then swapped in with a dynamic partition overwrite.  Readers are not
-    isolated during the swap.  Returns ``{"created": bool, "rows_written": n}``.
+    isolated during the swap.  ``sort_within`` orders rows inside each written file
+    (a local sort, no shuffle) so parquet min/max statistics let range filters on
+    those columns skip row groups.  Returns ``{"created": bool, "rows_written": n}``.
     """
+    order = list(sort_within)
     keys = [key] if isinstance(key, str) else list(key)
     if check_unique:
         assert_unique_keys(source, keys)
     if partitions:
         source = with_key_partition(source, keys, partitions)
     if not table_exists(spark, table):
-        n = create_table(source, table, path, [PART_COL] if partitions else [])
+        first = source.sortWithinPartitions(*order) if order else source
+        n = create_table(first, table, path, [PART_COL] if partitions else [])
         return {"created": True, "rows_written": n}
     target = spark.table(table)
     if partitions:
@@ -124,7 +128,8 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
         target = target.join(F.broadcast(touched), PART_COL, "left_semi")
     merged = upsert_frame(target, source, keys)
     cols = [c for c in merged.columns if c != PART_COL] + ([PART_COL] if partitions else [])
-    staged = stage(merged.select(*cols), "upsert", spark)
+    merged = merged.select(*cols)
+    staged = stage(merged.sortWithinPartitions(*order) if order else merged, "upsert", spark)
     if partitions:
         old_cols = spark.table(table).columns
         new_cols = [c for c in staged.columns if c not in old_cols]
