@@ -55,6 +55,23 @@ def test_upsert_rewrites_only_touched_partitions(spark, schema):
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
 
 
+def test_upsert_with_moving_partition_key(spark, schema):
+    """Partitioned by a non-key column (event day): a key whose day changes leaves its
+    old partition; untouched days are not rewritten."""
+    from tierline.sources.tables import event_day
+    t = f"{schema}.ev"
+    mk = lambda rows: spark.createDataFrame(rows, "id int, v string, ts string").withColumn(
+        "ts", F.col("ts").cast("timestamp"))
+    first = mk([(1, "a", "2024-01-01 10:00:00"), (2, "b", "2024-01-02 10:00:00"), (3, "c", "2024-01-03 23:59:59")])
+    merge_upsert(spark, t, first, "id", partition_expr=event_day("ts"), sort_within=["ts"])
+    merge_upsert(spark, t, mk([(1, "a2", "2024-01-05 00:00:00"), (4, "d", "2024-01-05 01:00:00")]), "id",
+                 partition_expr=event_day("ts"), sort_within=["ts"])
+    got = sorted((r.id, r.v, r._part) for r in spark.table(t).collect())
+    assert got == [(1, "a2", 19727), (2, "b", 19724), (3, "c", 19725), (4, "d", 19727)]
+    with pytest.raises(ValueError):
+        merge_upsert(spark, t, first, "id", partitions=4, partition_expr=event_day("ts"))
+
+
 def test_upsert_rejects_duplicate_source_keys(spark, schema):
     src = spark.createDataFrame([(1, "a"), (1, "b")], "k int, v string")
     with pytest.raises(ValueError, match="holds key"):

@@ -12,6 +12,7 @@ import datetime as _dt
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tierline.operators import funnel
@@ -19,7 +20,7 @@ from tierline.operators.quality import event_window
 from tierline.operators.silver import build_silver
 from tierline.rules import REGISTRY, EntityRule, build_order, get_rule
 from tierline.sources.landing import land_json
-from tierline.sources.tables import ensure_schemas, merge_upsert, overwrite_table, stage
+from tierline.sources.tables import PART_COL, ensure_schemas, event_day, merge_upsert, overwrite_table, stage
 from tierline.streaming.incremental import load_new_files, read_bronze
 
 
@@ -76,9 +77,12 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     raw = read_bronze(spark, layout.bronze_path(entity))
     parents = {fk.parent: spark.table(layout.table("silver", fk.parent)) for fk in rule.fk_checks}
     df = build_silver(raw, rule, parents)
+    if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
+        layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time]}
+    else:                # dimensions: hash of the key
+        layout_args = {"partitions": layout.upsert_partitions}
     result = merge_upsert(spark, layout.table("silver", entity), df, list(rule.primary_key),
-                          path=layout.table_path("silver", entity), partitions=layout.upsert_partitions,
-                          sort_within=[rule.event_time] if rule.event_time else [])
+                          path=layout.table_path("silver", entity), **layout_args)
     return result["rows_written"]
 
 
@@ -89,7 +93,21 @@ def silver_events(spark: SparkSession, layout: Layout, entity: str, start=None,
     rule = get_rule(entity)
     if not rule.is_event or not rule.event_time:
         raise ValueError(f"{entity} is a dimension, not an event entity")
-    return event_window(spark.table(layout.table("silver", entity)).drop("_part"), rule.event_time, start, end)
+    table = spark.table(layout.table("silver", entity))
+    rows = event_window(table, rule.event_time, start, end)
+    days = _window_days(start, end)
+    return rows.where(F.col(PART_COL).between(*days)).drop(PART_COL)
+
+
+def _window_days(start, end) -> tuple[int, int]:
+    """UTC day numbers bounding the F4 window (partition pruning on ``_part``)."""
+    epoch = _dt.date(1970, 1, 1)
+    if start is None:
+        day = _dt.datetime.now(_dt.timezone.utc).date() - _dt.timedelta(days=1)
+        return (day - epoch).days, (day - epoch).days
+    lo = _dt.date.fromisoformat(str(start))
+    hi = _dt.date.fromisoformat(str(end)) if end is not None else lo
+    return (lo - epoch).days, (hi - epoch).days
 
 
 def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:

@@ -3,18 +3,20 @@ schemas.
 
 Tables are parquet: open-source Spark has no row-level MERGE on it, so the upsert
 is an anti-join + union written to a staging folder and then swapped in.  Tables
-may be hash-partitioned on the key (``_part = pmod(xxhash64(key), n)``) so an
-upsert rewrites only the partitions its source rows touch (dynamic partition
-overwrite) instead of the whole table.
+may be partitioned (``_part``: a hash of the key, or e.g. the UTC event day) so an
+upsert rewrites only the partitions it touches (dynamic partition overwrite)
+instead of the whole table.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierline.session import scratch_dir
 
@@ -99,53 +101,138 @@ def upsert_frame(target: DataFrame, source: DataFrame, key: str | Iterable[str])
     return kept.unionByName(source, allowMissingColumns=True)
 
 
+def event_day(ts: str):
+    """UTC day number (days since 1970-01-01) of a timestamp column: a partition
+    value that does not depend on the session time zone."""
+    return F.floor(F.unix_micros(F.col(ts)) / F.lit(86_400_000_000)).cast("int")
+
+
+def _for_write(df: DataFrame, keys: list[str], order: list[str], partitioned: bool,
+               write_spread: int) -> DataFrame:
+    """Cluster rows so each write task covers few partition folders: by partition
+    value and a key-hash salt (a hot partition is still written by ``write_spread``
+    tasks), then sort inside each task (partition value first, as the writer needs)."""
+    if not partitioned:
+        return df.sortWithinPartitions(*order) if order else df
+    salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(write_spread))
+    return df.repartition(F.col(PART_COL), salt).sortWithinPartitions(PART_COL, *order)
+
+
+def _touched_values(touched: DataFrame, max_values: int) -> list | None:
+    """Distinct touched partition values, or None when there are more than
+    ``max_values`` (only that many + 1 are ever fetched)."""
+    values = [r[0] for r in touched.distinct().limit(max_values + 1).collect()]
+    return None if len(values) > max_values else values
+
+
+def _touched_filter(values: list | None):
+    """Predicate selecting the touched partitions: a literal IN list (static
+    partition pruning), or None when the list was too long to fetch."""
+    if values is None:
+        return None
+    cond = F.col(PART_COL).isin([v for v in values if v is not None]) if any(
+        v is not None for v in values) else F.lit(False)
+    if None in values:
+        cond = cond | F.col(PART_COL).isNull()
+    return cond
+
+
 def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str | Iterable[str],
-                 path: str | None = None, partitions: int | None = None,
-                 check_unique: bool = True, sort_within: Iterable[str] = ()) -> dict:
-    """Keyed upsert into parquet table ``table`` (created on first use).
-
-    With ``partitions`` the table is hash-partitioned on the key and only the
-    partitions the source touches are read and rewritten.  The new partitions are
-    written to a staging folder first (a table cannot be overwritten while it is
-    read), then swapped in with a dynamic partition overwrite.  Readers are not
-    isolated during the swap.  ``sort_within`` orders rows inside each written file
-    (a local sort, no shuffle) so parquet min/max statistics let range filters on
-    those columns skip row groups.  Returns ``{"created": bool, "rows_written": n}``.
+                 path: str | None = None, partitions: int | None = None, partition_expr=None,
+                 check_unique: bool = True, sort_within: Iterable[str] = (),
+                 write_spread: int = 4, max_touched: int = 100_000) -> dict:
+    """Keyed upsert into parquet table ``table`` (created on first use): MERGE ... WHEN
+    MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
+
+    Partitioning (``_part``) limits what an upsert reads and rewrites:
+
+    * ``partitions=n``: hash of the key, ``pmod(xxhash64(key), n)`` -- a key always
+      lands in the same partition, so the touched partitions are the source's.
+    * ``partition_expr``: any column expression, e.g. ``event_day("timestamp")`` for
+      event tables, so a daily load touches only recent days.  A key may move between
+      partitions, so the partitions where the target holds the source's keys today
+      are touched too (found by a semi-join on the key and ``_part`` columns only).
+
+    The touched partitions' new content is staged first (a table cannot be
+    overwritten while it is read), then swapped in with a dynamic partition
+    overwrite; readers are not isolated during the swap.  ``sort_within`` orders rows
+    inside each written file so parquet min/max statistics let range filters skip
+    row groups.  Returns ``{"created": bool, "rows_written": n}``.
     """
     order = list(sort_within)
     keys = [key] if isinstance(key, str) else list(key)
+    if partitions and partition_expr is not None:
+        raise ValueError("give either partitions or partition_expr, not both")
+    partitioned = bool(partitions) or partition_expr is not None
     if check_unique:
         assert_unique_keys(source, keys)
     if partitions:
         source = with_key_partition(source, keys, partitions)
+    elif partition_expr is not None:
+        source = source.withColumn(PART_COL, partition_expr)
     if not table_exists(spark, table):
-        first = source.sortWithinPartitions(*order) if order else source
-        n = create_table(first, table, path, [PART_COL] if partitions else [])
+        first = _for_write(source, keys, order, partitioned, write_spread)
+        n = create_table(first, table, path, [PART_COL] if partitioned else [])
         return {"created": True, "rows_written": n}
     target = spark.table(table)
-    if partitions:
-        touched = source.select(PART_COL).distinct()  # at most ``partitions`` rows
-        target = target.join(F.broadcast(touched), PART_COL, "left_semi")
+    if partitioned:
+        touched = source.select(PART_COL)
+        if partition_expr is not None:
+            held = target.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
+            touched = touched.unionByName(held.select(PART_COL))
+        values = _touched_values(touched, max_touched)
+        cond = _touched_filter(values)
+        target = (target.where(cond) if cond is not None
+                  else target.join(touched.distinct(), target[PART_COL].eqNullSafe(touched[PART_COL]),
+                                   "left_semi"))
     merged = upsert_frame(target, source, keys)
-    cols = [c for c in merged.columns if c != PART_COL] + ([PART_COL] if partitions else [])
-    merged = merged.select(*cols)
-    staged = stage(merged.sortWithinPartitions(*order) if order else merged, "upsert", spark)
-    if partitions:
+    cols = [c for c in merged.columns if c != PART_COL] + ([PART_COL] if partitioned else [])
+    staged = stage(merged.select(*cols), "upsert", spark)
+    if partitioned:
         old_cols = spark.table(table).columns
         new_cols = [c for c in staged.columns if c not in old_cols]
         if new_cols:
             _add_columns(spark, table, staged, new_cols)
         obs = Observation("rows_upsert")
+        out = _for_write(staged, keys, order, True, write_spread)
         with _dynamic_overwrite(spark):
-            (staged.observe(obs, F.count(F.lit(1)).alias("rows"))
-                   .select(*spark.table(table).columns).write.insertInto(table, overwrite=True))
+            (out.observe(obs, F.count(F.lit(1)).alias("rows"))
+                .select(*spark.table(table).columns).write.insertInto(table, overwrite=True))
         n = int(obs.get["rows"])
+        if partition_expr is not None:
+            # A dynamic overwrite leaves partitions with no new rows alone; a touched
+            # partition whose every row moved elsewhere is cleared explicitly.
+            written = staged.select(PART_COL).distinct()
+            if values is None:
+                emptied = [r[0] for r in touched.distinct().exceptAll(written)
+                           .limit(max_touched + 1).collect()]
+                if len(emptied) > max_touched:
+                    raise ValueError(f"upsert emptied more than {max_touched} partitions of {table}")
+            else:
+                kept = {r[0] for r in written.collect()}  # subset of the touched values
+                emptied = [v for v in values if v not in kept]
+            _clear_partitions(spark, table, [v for v in emptied if v is not None])
     else:
-        n = overwrite_table(staged, table, path)
+        n = overwrite_table(_for_write(staged, keys, order, False, write_spread), table, path)
     spark.catalog.refreshTable(table)
     return {"created": False, "rows_written": n}
 
 
+def _clear_partitions(spark: SparkSession, table: str, values: list) -> None:
+    """Empty the given ``_part`` partitions: an INSERT OVERWRITE with a fully static
+    partition spec replaces exactly that partition, here with no rows."""
+    if not values:
+        return
+    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name != PART_COL])
+    view = f"_tierline_empty_{uuid.uuid4().hex[:12]}"
+    spark.createDataFrame([], schema).createOrReplaceTempView(view)
+    try:
+        for v in values:
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PART_COL} = {int(v)}) SELECT * FROM {view}")
+    finally:
+        spark.catalog.dropTempView(view)
+
+
 @contextmanager
 def _dynamic_overwrite(spark: SparkSession):
     """Dynamic partition overwrite for one insert (tables created here carry it as a
