@@ -40,6 +40,7 @@ def test_run_all_matches_direct_plans(spark, sf_small):
         export(event_window(direct_clicks, "timestamp", "2024-01-10", "2024-01-12")))
     plan = win._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(timestamp), GreaterThanOrEqual(timestamp" in plan
+    assert "_part" in plan.split("PartitionFilters: [")[1].split("]")[0]  # day partitions pruned
     with pytest.raises(ValueError):
         silver_events(spark, layout, "ads")
 
