@@ -126,3 +126,22 @@ def test_replayed_batch_replaces_itself(spark):
         (df.withColumn(BATCH_COL, F.lit(0).cast("bigint")).write.mode("overwrite")
            .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(base))
     assert read_bronze(spark, base).count() == 1
+
+
+def test_schemas_current_and_listing(spark):
+    from tierline.sources.tables import list_schemas, use_schema
+    base = scratch_dir(spark, "schemas")
+    names = {f"s_{uuid.uuid4().hex[:6]}": "layer one", f"s_{uuid.uuid4().hex[:6]}": "it's two"}
+    assert ensure_schemas(spark, names, location_root=base) == list(names)
+    ensure_schemas(spark, names, location_root=base)  # IF NOT EXISTS: a rerun is fine
+    listed = {r[0] for r in list_schemas(spark).collect()}
+    assert set(names) <= listed
+    before = spark.catalog.currentDatabase()
+    try:
+        first = list(names)[0]
+        use_schema(spark, first)
+        assert spark.catalog.currentDatabase() == first
+        comment = [r for r in spark.sql(f"DESCRIBE SCHEMA {first}").collect() if r[0] == "Comment"][0][1]
+        assert comment == "layer one"
+    finally:
+        use_schema(spark, before)
