@@ -161,3 +161,19 @@ def test_event_window_zoned(spark):
                                T.StructType([T.StructField("ts", T.TimestampType())]))
     assert event_window(df, "ts", "2024-01-10").count() == 1
     assert event_window(df, "ts", "2024-01-11").count() == 0
+
+
+def test_flag_orphans_shuffles_each_side_once(spark):
+    """With broadcast off: bigint FK vs int parent key, one exchange per join side."""
+    child = spark.range(1000).selectExpr("id", "id % 77 AS fk")
+    parent = spark.range(50).selectExpr("CAST(id AS INT) AS pid")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = flag_orphans(child, parent, "pid", "fk")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan or "ShuffledHashJoin" in plan
+        assert plan.count("Exchange hashpartitioning") == 2
+        assert out.where("is_orphan_fk").count() == sum(1 for i in range(1000) if i % 77 >= 50)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -63,15 +63,33 @@ def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
     """Add ``flag`` (default ``is_orphan_<fk>``) = no parent row has ``parent_key`` equal
     to ``fk``.  Every row is kept; a NULL ``fk`` is an orphan."""
     flag = flag or f"is_orphan_{fk}"
-    valid = parent.select(F.col(parent_key).alias("_valid_id")).distinct()
+    # Compare in the wider of the two integer types, and cast the parent side before
+    # the distinct: the distinct's hash partitioning then already fits the join key,
+    # so a sort-merge join shuffles the parent keys once, not twice.
+    child_t, parent_t = df.schema[fk].dataType, parent.schema[parent_key].dataType
+    key_t = _wider_integral(child_t, parent_t)
+    pkey = F.col(parent_key) if key_t is None or key_t == parent_t else F.col(parent_key).cast(key_t)
+    valid = parent.select(pkey.alias("_valid_id")).distinct()
     # Join key: the FK itself, or a hash bucket for NULL FKs (spreads them out); the
     # extra isNotNull term keeps a bucket number from ever matching a real key.
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(null_salt))
-    keyed = df.withColumn("_fk_key", F.coalesce(F.col(fk), salt.cast(df.schema[fk].dataType)))
+    ckey = F.col(fk) if key_t is None or key_t == child_t else F.col(fk).cast(key_t)
+    keyed = df.withColumn("_fk_key", F.coalesce(ckey, salt.cast(key_t or child_t)))
     joined = keyed.join(valid, (F.col("_fk_key") == F.col("_valid_id")) & F.col(fk).isNotNull(), "left")
     return joined.withColumn(flag, F.col("_valid_id").isNull()).drop("_valid_id", "_fk_key")
 
 
+_INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
+
+
+def _wider_integral(a, b):
+    """The wider of two integral types, or None when either is not integral."""
+    na, nb = a.simpleString(), b.simpleString()
+    if na in _INTEGRAL_ORDER and nb in _INTEGRAL_ORDER:
+        return a if _INTEGRAL_ORDER.index(na) >= _INTEGRAL_ORDER.index(nb) else b
+    return None
+
+
 def orphan_metrics(df: DataFrame, flags: Iterable[str]) -> DataFrame:
     """One row: number of rows carrying each flag, plus the row count."""
     flags = list(flags)
