@@ -81,8 +81,10 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
         layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time]}
     else:                # dimensions: hash of the key
         layout_args = {"partitions": layout.upsert_partitions}
+    # dedup on the primary key already leaves one row per key: no second pass to check it
+    unique = tuple(rule.dedup_keys) == tuple(rule.primary_key)
     result = merge_upsert(spark, layout.table("silver", entity), df, list(rule.primary_key),
-                          path=layout.table_path("silver", entity), **layout_args)
+                          path=layout.table_path("silver", entity), check_unique=not unique, **layout_args)
     return result["rows_written"]
 
 
