@@ -22,6 +22,9 @@ from tierline.operators.asof import running_max
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
+# The event types the entities are built from.
+LINKED_TYPES = ["view", "click", "purchase"]
+
 # The planted orphan keys.
 ORPHAN_IMPRESSION_ID = 9999999
 ORPHAN_CLICK_ID = 8888888
@@ -75,8 +78,12 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_with_links(spark: SparkSession, sf_dir: str, block: int = 1 << 16) -> DataFrame:
-    """events + last_view / last_click: the user's latest view / click id so far."""
-    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    """events + last_view / last_click: the user's latest view / click id so far.  Only
+    views (values and impressions), clicks and purchases feed the entities; other event
+    types neither carry a link value nor receive one, so they are filtered at the scan."""
+    ev = (read_table(spark, sf_dir, "events")
+          .where(F.col("event_type").isin(*LINKED_TYPES))
+          .select("event_id", "ts", "user_id", "event_type", "value"))
     return running_max(ev, "user_id", "event_id", {
         "last_view": F.when(F.col("event_type") == "view", F.col("event_id")),
         "last_click": F.when(F.col("event_type") == "click", F.col("event_id")),
