@@ -6,8 +6,8 @@ rows -- into one task.  Both operators are written so no task ever holds a whole
 group:
 
 * ``rank_in_group``: rank = 1 + rows of the group with a strictly larger value.  Rows
-  are split into value buckets by a fixed monotone function of the value (a signed
-  log), counted
+  are first counted per distinct value (so a repeated value is one row), the values
+  split into buckets by a fixed monotone function of the value (a signed log), counted
   per (group, bucket) in one partial aggregate, ranked inside (group, bucket), and
   offset by the counts of the higher buckets.  Equal values always share a bucket,
   so ties stay exact.
@@ -60,29 +60,40 @@ def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank",
                   per_unit: int = 32, max_broadcast_rows: int = 200_000) -> DataFrame:
     """SQL ``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``.
 
-    rank = 1 + (rows of the group in higher-value buckets) + (rows of the row's own
-    bucket with a larger value).  Pass 1: exact row counts per (group, bucket), a
-    partially aggregated ``groupBy`` whose output is bounded by the bucket range.
-    Pass 2: rank inside (group, bucket) with a window.  ``per_unit=0`` gives the
-    plain single-window form (one task per group).
+    rank = 1 + rows of the group with a larger value.  Equal values share their rank,
+    so the ranking runs over *distinct* values with their row counts:
+
+    1. rows per (group, value): a partial aggregate, so a value repeated by a third
+       of all rows is one row from here on;
+    2. per (group, bucket) totals of those counts, turned into the number of rows in
+       all higher buckets (the offset); small, broadcast when proven small;
+    3. a window inside (group, bucket) over distinct values adds the rows of larger
+       values in the same bucket;
+    4. rows take their value's rank by an equi-join on (group, value).
+
+    ``per_unit=0`` gives the plain single-window form (one task per group).
     """
     if per_unit <= 0:
         w = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
         return df.withColumn(out, F.rank().over(w))
-    staged = df.withColumn("_b", value_bucket(value, per_unit))
-    offsets = (staged.groupBy(F.col(group).alias("_g"), F.col("_b").alias("_bb"))
-               .agg(F.count(F.lit(1)).alias("_n"))
+    counts = (df.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v"))
+                .agg(F.count(F.lit(1)).alias("_n"))
+                .withColumn("_b", value_bucket("_v", per_unit)))
+    offsets = (counts.groupBy(F.col("_g").alias("_og"), F.col("_b").alias("_ob"))
+               .agg(F.sum("_n").alias("_bn"))
                .withColumn("_offset", F.coalesce(
-                   F.sum("_n").over(Window.partitionBy("_g").orderBy("_bb")
-                                    .rowsBetween(Window.unboundedPreceding, -1)),
+                   F.sum("_bn").over(Window.partitionBy("_og").orderBy("_ob")
+                                     .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)))
-               .drop("_n"))
+               .drop("_bn"))
     offsets = bounded_broadcast(offsets, max_broadcast_rows) or offsets
-    on = F.col(group).eqNullSafe(F.col("_g")) & (F.col("_b") == F.col("_bb"))
-    local = Window.partitionBy(group, "_b").orderBy(F.col(value).desc_nulls_last())
-    return (staged.join(offsets, on, "left")
-                  .withColumn(out, (F.col("_offset") + F.rank().over(local)).cast("int"))
-                  .drop("_b", "_g", "_bb", "_offset"))
+    larger = (Window.partitionBy("_g", "_b").orderBy(F.col("_v").desc_nulls_last())
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranks = (counts.withColumn("_above", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
+                   .join(offsets, F.col("_g").eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob")), "left")
+                   .select("_g", "_v", (F.col("_offset") + F.col("_above") + 1).cast("int").alias("_rank")))
+    on = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
+    return df.join(ranks, on, "left").withColumn(out, F.col("_rank")).drop("_g", "_v", "_rank")
 
 
 def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str,
