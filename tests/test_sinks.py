@@ -117,6 +117,15 @@ def test_incremental_load(spark):
         landing_path("/r", "e", "2024-13-02")
 
 
+def test_incremental_load_refuses_narrowing(spark):
+    base = scratch_dir(spark, "narrow")
+    land_json(spark.createDataFrame([(1, 2)], "id long, n long"), f"{base}/landing", "e", "2024-01-01")
+    load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")
+    land_json(spark.createDataFrame([(2, 2.5)], "id long, n double"), f"{base}/landing", "e", "2024-01-02")
+    with pytest.raises(Exception, match="narrowed"):
+        load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")
+
+
 def test_replayed_batch_replaces_itself(spark):
     """The bronze write for a batch id overwrites that batch's partition only."""
     from tierline.streaming.incremental import BATCH_COL

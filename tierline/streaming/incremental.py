@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tierline.sources.landing import read_json
@@ -48,6 +49,13 @@ def _existing_schema(spark: SparkSession, table_path: str):
     return read_bronze(spark, table_path).schema if _has_data(spark, table_path) else None
 
 
+def _narrows(new, old) -> bool:
+    """A fractional value landing in an integral column would be truncated."""
+    fractional = (T.DoubleType, T.FloatType, T.DecimalType)
+    integral = (T.LongType, T.IntegerType, T.ShortType, T.ByteType)
+    return isinstance(new, fractional) and isinstance(old, integral)
+
+
 def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
                    checkpoint: str | None = None, max_files_per_batch: int | None = None) -> dict:
     """Append the rows of every JSON Lines file under ``source_dir`` not loaded
@@ -66,8 +74,13 @@ def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
         current = _existing_schema(spark, table_path)
         if current is not None:
             types = {f.name: f.dataType for f in current.fields}
-            rows = rows.withColumns({c: F.col(c).cast(types[c]) for c in rows.columns
-                                     if c in types and rows.schema[c].dataType != types[c]})
+            changed = [c for c in rows.columns if c in types and rows.schema[c].dataType != types[c]]
+            lossy = [c for c in changed if _narrows(rows.schema[c].dataType, types[c])]
+            if lossy:
+                raise ValueError(
+                    f"batch {batch_id}: {[(c, rows.schema[c].dataType.simpleString(), types[c].simpleString()) for c in lossy]}"
+                    " would be narrowed to the table's type; widen the table first")
+            rows = rows.withColumns({c: F.col(c).cast(types[c]) for c in changed})
         (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
              .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(table_path))
