@@ -2,20 +2,23 @@
 INTO``), with schema evolution.
 
 A Structured Streaming file source (``binaryFile``, path only) remembers every file
-it has taken in its checkpoint, so a rerun takes only new files, and a file rewritten under an old
-path is skipped.  ``trigger(availableNow=True)`` drains what is there and stops:
-a batch job with exactly-once file bookkeeping.
+it has taken in its checkpoint, so a rerun takes only new files, and a file
+rewritten under an old path is skipped.  ``trigger(availableNow=True)`` drains what
+is there and stops: a batch job with exactly-once file bookkeeping.
 
 Per micro-batch (``foreachBatch``): the batch's file paths (metadata, not rows) go
 to one JSON scan that infers that batch's schema; columns the table already has
 are cast to the table's type; the rows are written into the partition
 ``_load_batch=<batch id>`` with dynamic partition overwrite, so a replayed batch
-replaces its own output instead of adding it twice.  Readers merge the parquet
-schemas, so new columns appear with NULL in older rows.
+replaces its own output instead of adding it twice.  The merged schema of all
+batches is recorded next to the data (``_schema``), so readers need not merge every
+file's footer; new columns appear with NULL in older rows.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,25 +31,64 @@ BATCH_COL = "_load_batch"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+SCHEMA_DIR = "_schema"
+
+
 def read_bronze(spark: SparkSession, table_path: str, keep_batch: bool = False) -> DataFrame:
-    df = spark.read.option("mergeSchema", "true").parquet(table_path)
+    """The bronze dataset.  The loader records the merged schema of all batches under
+    ``_schema``; reading with it skips the footer-by-footer schema merge (one footer
+    per file, a cost that grows with the table).  Without a record: merge footers."""
+    saved = _saved_schema(spark, table_path)
+    reader = spark.read.schema(saved) if saved is not None else spark.read.option("mergeSchema", "true")
+    df = reader.parquet(table_path)
     return df if keep_batch else df.drop(BATCH_COL)
 
 
-def _has_data(spark: SparkSession, table_path: str) -> bool:
-    """Whether the dataset holds any parquet file yet (a listing, never a schema
+def _schema_path(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}/{SCHEMA_DIR}"
+
+
+def _saved_schema(spark: SparkSession, table_path: str):
+    if not _has_files(spark, _schema_path(table_path), "*.txt"):
+        return None
+    return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(table_path)).first()[0]))
+
+
+def _save_schema(spark: SparkSession, table_path: str, schema) -> None:
+    (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+          .write.mode("overwrite").text(_schema_path(table_path)))
+
+
+def _merged(old, new):
+    """``old`` fields, then fields only ``new`` has (the partition column stays last)."""
+    if old is None:
+        fields = list(new.fields)
+    else:
+        names = {f.name for f in old.fields}
+        fields = list(old.fields) + [f for f in new.fields if f.name not in names]
+    part = [f for f in fields if f.name == BATCH_COL]
+    return T.StructType([f for f in fields if f.name != BATCH_COL] + part)
+
+
+def _has_files(spark: SparkSession, path: str, pattern: str) -> bool:
+    """Whether ``path`` holds a file matching ``pattern`` (a listing, never a schema
     inference on an empty folder)."""
     try:
         found = (spark.read.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-                 .option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true")
-                 .load(table_path).select("path").limit(1).collect())
+                 .option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
+                 .load(path).select("path").limit(1).collect())
     except AnalysisException:  # the folder does not exist yet
         return False
     return bool(found)
 
 
 def _existing_schema(spark: SparkSession, table_path: str):
-    return read_bronze(spark, table_path).schema if _has_data(spark, table_path) else None
+    saved = _saved_schema(spark, table_path)
+    if saved is not None:
+        return T.StructType([f for f in saved.fields if f.name != BATCH_COL])
+    if _has_files(spark, table_path, "*.parquet"):
+        return read_bronze(spark, table_path).schema
+    return None
 
 
 def _narrows(new, old) -> bool:
@@ -81,9 +123,11 @@ def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
                     f"batch {batch_id}: {[(c, rows.schema[c].dataType.simpleString(), types[c].simpleString()) for c in lossy]}"
                     " would be narrowed to the table's type; widen the table first")
             rows = rows.withColumns({c: F.col(c).cast(types[c]) for c in changed})
-        (rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
-             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-             .partitionBy(BATCH_COL).parquet(table_path))
+        out = rows.withColumn(BATCH_COL, F.lit(batch_id).cast("bigint"))
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy(BATCH_COL).parquet(table_path))
+        # recorded before the batch commits, so a replayed batch records it again
+        _save_schema(spark, table_path, _merged(current, out.schema))
         stats["batches"] += 1
 
     # binaryFile with only ``path`` selected never reads file contents: each
