@@ -70,6 +70,11 @@ def test_upsert_with_moving_partition_key(spark, schema):
     assert got == [(1, "a2", 19727), (2, "b", 19724), (3, "c", 19725), (4, "d", 19727)]
     with pytest.raises(ValueError):
         merge_upsert(spark, t, first, "id", partitions=4, partition_expr=event_day("ts"))
+    # keys that keep their day: the cheaper form gives the same table
+    merge_upsert(spark, t, mk([(2, "b2", "2024-01-02 11:00:00")]), "id", partition_expr=event_day("ts"),
+                 keys_may_move=False)
+    got = sorted((r.id, r.v, r._part) for r in spark.table(t).collect())
+    assert got == [(1, "a2", 19727), (2, "b2", 19724), (3, "c", 19725), (4, "d", 19727)]
 
 
 def test_upsert_rejects_duplicate_source_keys(spark, schema):

@@ -29,6 +29,9 @@ class Layout:
     base: str
     domain: str = "ads"
     upsert_partitions: int | None = 16
+    # An event id may reappear on another day (ids restart daily in the source feed), so
+    # each upsert also finds the days already holding the incoming ids.  False: skip it.
+    event_keys_may_move: bool = True
 
     @property
     def landing(self) -> str:
@@ -78,7 +81,8 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     parents = {fk.parent: spark.table(layout.table("silver", fk.parent)) for fk in rule.fk_checks}
     df = build_silver(raw, rule, parents)
     if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
-        layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time]}
+        layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time],
+                       "keys_may_move": layout.event_keys_may_move}
     else:                # dimensions: hash of the key
         layout_args = {"partitions": layout.upsert_partitions}
     # dedup on the primary key already leaves one row per key: no second pass to check it

@@ -140,7 +140,7 @@ def _touched_filter(values: list | None):
 def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str | Iterable[str],
                  path: str | None = None, partitions: int | None = None, partition_expr=None,
                  check_unique: bool = True, sort_within: Iterable[str] = (),
-                 write_spread: int = 4, max_touched: int = 100_000) -> dict:
+                 write_spread: int = 4, max_touched: int = 100_000, keys_may_move: bool = True) -> dict:
     """Keyed upsert into parquet table ``table`` (created on first use): MERGE ... WHEN
     MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
 
@@ -152,6 +152,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
       event tables, so a daily load touches only recent days.  A key may move between
       partitions, so the partitions where the target holds the source's keys today
       are touched too (found by a semi-join on the key and ``_part`` columns only).
+      ``keys_may_move=False`` skips that scan when a key's partition never changes.
 
     The touched partitions' new content is staged first (a table cannot be
     overwritten while it is read), then swapped in with a dynamic partition
@@ -177,7 +178,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     target = spark.table(table)
     if partitioned:
         touched = source.select(PART_COL)
-        if partition_expr is not None:
+        if partition_expr is not None and keys_may_move:
             held = target.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
             touched = touched.unionByName(held.select(PART_COL))
         values = _touched_values(touched, max_touched)
