@@ -48,8 +48,20 @@ def _schema_path(table_path: str) -> str:
     return f"{table_path.rstrip('/')}/{SCHEMA_DIR}"
 
 
+def _path_exists(spark: SparkSession, path: str) -> bool | None:
+    """Existence of a path on the table's file system (Hadoop FileSystem API), or None
+    where no JVM gateway is available."""
+    try:
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:
+        return None
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(conf).exists(p))
+
+
 def _saved_schema(spark: SparkSession, table_path: str):
-    if not _has_files(spark, _schema_path(table_path), "*.txt"):
+    exists = _path_exists(spark, _schema_path(table_path))
+    if exists is False or (exists is None and not _has_files(spark, _schema_path(table_path), "*.txt")):
         return None
     return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(table_path)).first()[0]))
 
