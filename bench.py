@@ -39,19 +39,26 @@ def main() -> None:
     if os.path.isdir(WARMUP_DIR):
         for name in WARMUP:
             run(spark, name, WARMUP_DIR)
-    times = {}
+    times, errors = {}, {}
     for name in names:
-        times[name] = round(run(spark, name, sf_dir), 3)
+        try:
+            times[name] = round(run(spark, name, sf_dir), 3)
+        except Exception as e:  # noqa: BLE001  -- record it, keep timing the rest
+            times[name] = None
+            errors[name] = f"{type(e).__name__}: {str(e)[:300]}"
     spark.stop()
     m = re.search(r"sf([0-9.]+)", sf_dir)
-    print(json.dumps({
+    out = {
         "metric": "total_query_wall_time",
-        "value": round(sum(times.values()), 3),
+        "value": round(sum(t for t in times.values() if t is not None), 3),
         "unit": "sec",
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
-    }))
+    }
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
