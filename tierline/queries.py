@@ -1,8 +1,11 @@
 """Registered queries: one per operator / pipeline of the inventory.
 
-Each takes ``(spark, sf_dir)`` and returns a lazily planned DataFrame over the
-driver's whole tables.  ``export`` gives every result engine-neutral types
-(decimals as double, timestamps without zone) so it compares with the SQL oracle.
+Each takes ``(spark, sf_dir)`` and returns a DataFrame over the driver's whole
+tables.  Steps a plan reads more than once (linked events, FK parents, the gold
+aggregate before its two-pass rank) are written once below the shared checkpoint
+folder while the query is built; the rest stays lazy.  ``export`` gives every
+result engine-neutral types (decimals as double, timestamps without zone) so it
+compares with the SQL oracle.
 """
 
 from __future__ import annotations
@@ -52,8 +55,8 @@ def raw_testbed(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 def silver_testbed(spark: SparkSession, sf_dir: str, only=None) -> dict[str, DataFrame]:
     """The silver tables over the testbed (all six, or ``only`` and their FK
-    ancestors), each written once and re-read (as the pipeline's silver tables are),
-    so children and gold reuse them."""
+    ancestors).  FK parents are written once and re-read, so their children and gold
+    reuse them instead of recomputing them."""
     return build_silver_all(raw_testbed(spark, sf_dir), stage=_stager(spark), only=only)
 
 
