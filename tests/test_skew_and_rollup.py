@@ -86,6 +86,23 @@ def test_hot_key_dedup_and_null_fk_flags(spark):
     assert dict((r[0], r[1]) for r in flags.collect()) == {True: expected_orphans, False: n - expected_orphans}
 
 
+def test_flag_orphans_splits_hot_keys(spark):
+    """Explicit hot-key salting gives the same flags, and the plan carries the salt."""
+    n = 3000
+    rows = [(i, 5 if i % 3 == 0 else (None if i % 3 == 1 else i % 97)) for i in range(n)]
+    df = spark.createDataFrame(rows, "cid long, fk long")
+    parent = spark.range(0, 97, 2).selectExpr("CAST(id AS INT) AS pk")
+    plain = {r.cid: r.is_orphan_fk for r in flag_orphans(df, parent, "pk", "fk").collect()}
+    out = flag_orphans(df, parent, "pk", "fk", split_hot_keys=4, hot_min_rows=500, hot_salt=8)
+    assert {r.cid: r.is_orphan_fk for r in out.collect()} == plain
+    assert out.columns == ["cid", "fk", "is_orphan_fk"]
+    assert "Generate explode" in out._jdf.queryExecution().executedPlan().toString()
+    # key 97 is absent from the parent: a hot orphan key stays an orphan when salted
+    hot_orphan = spark.createDataFrame([(i, 97) for i in range(600)], "cid long, fk long")
+    assert flag_orphans(hot_orphan, parent, "pk", "fk", split_hot_keys=2, hot_min_rows=100) \
+        .where("is_orphan_fk").count() == 600
+
+
 def test_hot_group_rank_and_share(spark):
     rnd = random.Random(3)
     rows = [("hot" if i % 3 else rnd.choice(["a", "b"]), round(rnd.uniform(0, 1000), 2)) for i in range(3000)]

@@ -59,9 +59,16 @@ def dedup_metrics(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
 
 
 def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
-                 flag: str | None = None, null_salt: int = 64) -> DataFrame:
+                 flag: str | None = None, null_salt: int = 64,
+                 split_hot_keys: int = 0, hot_min_rows: int = 1_000_000, hot_salt: int = 32) -> DataFrame:
     """Add ``flag`` (default ``is_orphan_<fk>``) = no parent row has ``parent_key`` equal
-    to ``fk``.  Every row is kept; a NULL ``fk`` is an orphan."""
+    to ``fk``.  Every row is kept; a NULL ``fk`` is an orphan.
+
+    ``split_hot_keys=K`` salts hot keys explicitly instead of leaving them to AQE: a
+    distributed top-K finds up to K keys with at least ``hot_min_rows`` rows (at most K
+    rows reach the driver); their child rows are spread over ``hot_salt`` buckets and
+    only those parent keys are repeated per bucket.
+    """
     flag = flag or f"is_orphan_{fk}"
     # Compare in the wider of the two integer types, and cast the parent side before
     # the distinct: the distinct's hash partitioning then already fits the join key,
@@ -72,11 +79,29 @@ def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
     valid = parent.select(pkey.alias("_valid_id")).distinct()
     # Join key: the FK itself, or a hash bucket for NULL FKs (spreads them out); the
     # extra isNotNull term keeps a bucket number from ever matching a real key.
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(null_salt))
+    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
+    salt = F.pmod(row_hash, F.lit(null_salt))
     ckey = F.col(fk) if key_t is None or key_t == child_t else F.col(fk).cast(key_t)
     keyed = df.withColumn("_fk_key", F.coalesce(ckey, salt.cast(key_t or child_t)))
-    joined = keyed.join(valid, (F.col("_fk_key") == F.col("_valid_id")) & F.col(fk).isNotNull(), "left")
-    return joined.withColumn(flag, F.col("_valid_id").isNull()).drop("_valid_id", "_fk_key")
+    cond = (F.col("_fk_key") == F.col("_valid_id")) & F.col(fk).isNotNull()
+    hot = _hot_keys(keyed, fk, split_hot_keys, hot_min_rows) if split_hot_keys > 0 else []
+    if hot:
+        is_hot = F.col("_fk_key").isin(hot)
+        keyed = keyed.withColumn("_hs", F.when(is_hot, F.pmod(row_hash, F.lit(hot_salt))).otherwise(F.lit(0)))
+        buckets = F.when(F.col("_valid_id").isin(hot), F.sequence(F.lit(0), F.lit(hot_salt - 1)))
+        valid = valid.withColumn("_vs", F.explode(buckets.otherwise(F.array(F.lit(0)))))
+        cond = cond & (F.col("_hs") == F.col("_vs"))
+    joined = keyed.join(valid, cond, "left")
+    return joined.withColumn(flag, F.col("_valid_id").isNull()).drop("_valid_id", "_fk_key", "_hs", "_vs")
+
+
+def _hot_keys(keyed: DataFrame, fk: str, k: int, min_rows: int) -> list:
+    """Up to ``k`` non-NULL keys with at least ``min_rows`` rows: a partially
+    aggregated count and a distributed top-k, so at most ``k`` rows are collected."""
+    top = (keyed.where(F.col(fk).isNotNull())
+                .groupBy("_fk_key").count().where(F.col("count") >= min_rows)
+                .orderBy(F.col("count").desc()).limit(k).collect())
+    return [r[0] for r in top]
 
 
 _INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
