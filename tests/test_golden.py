@@ -126,3 +126,20 @@ def test_funnel_rows(silver):
     a = {r.campaign_id: r.funnel_rows for r in funnel.funnel_rows(silver).collect()}
     b = {r.campaign_id: r.funnel_rows for r in funnel.funnel_rows(silver, method="join").collect()}
     assert a == b == {10: 4, 11: 1, 12: 1, 13: 1}
+
+
+def test_silver_with_hot_key_splitting(raw, silver):
+    """Every key counted as hot: the salted FK checks flag exactly the same rows."""
+    split = build_silver_all_with(raw, {"split_hot_keys": 8, "hot_min_rows": 1, "hot_salt": 4})
+    for entity, flag in [("clicks", "is_orphan_impression_id"), ("conversions", "is_orphan_click_id")]:
+        a = {r.id: r[flag] for r in silver[entity].collect()}
+        assert {r.id: r[flag] for r in split[entity].collect()} == a
+
+
+def build_silver_all_with(raw, fk_options):
+    from tierline.operators.silver import build_silver
+    from tierline.rules import build_order, get_rule
+    out = {}
+    for name in build_order():
+        out[name] = build_silver(raw[name], get_rule(name), out, fk_options=fk_options)
+    return out
