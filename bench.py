@@ -21,7 +21,9 @@ from tierline.queries import QUERIES  # noqa: E402
 from tierline.session import local_session  # noqa: E402
 
 WARMUP_DIR = "/root/testdata/sf0.001"
-WARMUP = ["gold_campaign_performance", "dedup_lineitem", "fk_flag_events_supplier"]
+# One query per code path (gold plans, window dedup, FK join, upsert, streaming load).
+WARMUP = ["gold_campaign_performance", "dedup_lineitem", "fk_flag_events_supplier", "merge_upsert",
+          "ingest_incremental"]
 
 
 def run(spark, name: str, sf_dir: str) -> float:
