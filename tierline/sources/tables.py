@@ -109,13 +109,16 @@ def event_day(ts: str):
 
 def _for_write(df: DataFrame, keys: list[str], order: list[str], partitioned: bool,
                write_spread: int) -> DataFrame:
-    """Cluster rows so each write task covers few partition folders: by partition
-    value and a key-hash salt (a hot partition is still written by ``write_spread``
-    tasks), then sort inside each task (partition value first, as the writer needs)."""
+    """Cluster rows so each write task covers few partition folders, then sort inside
+    each task (partition value first, as the writer needs).  The ``rebalance`` hint
+    hashes on (partition value, key salt) and lets AQE split a skewed partition into
+    advisory-size pieces and merge small ones, so a day holding a third of all rows is
+    written by many tasks; without AQE it is still spread over ``write_spread`` tasks."""
     if not partitioned:
         return df.sortWithinPartitions(*order) if order else df
     salt = F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(write_spread))
-    return df.repartition(F.col(PART_COL), salt).sortWithinPartitions(PART_COL, *order)
+    return (df.withColumn("_ws", salt).hint("rebalance", PART_COL, "_ws").drop("_ws")
+              .sortWithinPartitions(PART_COL, *order))
 
 
 def _touched_values(touched: DataFrame, max_values: int) -> list | None:
