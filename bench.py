@@ -38,9 +38,11 @@ def main() -> None:
     only = [q for q in os.environ.get("BENCH_QUERIES", "").split(",") if q]
     names = only or list(QUERIES)
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")))
+    warmed = []
     if os.path.isdir(WARMUP_DIR):
         for name in WARMUP:
             run(spark, name, WARMUP_DIR)
+            warmed.append(name)
     times, errors = {}, {}
     for name in names:
         try:
@@ -57,6 +59,7 @@ def main() -> None:
         "queries": times,
         "sf": float(m.group(1)) if m else None,
         "cpus": cpus,
+        "warmup": {"dir": WARMUP_DIR, "queries": warmed, "timed": False},
     }
     if errors:
         out["errors"] = errors
