@@ -177,3 +177,25 @@ def test_flag_orphans_shuffles_each_side_once(spark):
         assert out.where("is_orphan_fk").count() == sum(1 for i in range(1000) if i % 77 >= 50)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_value_bucket_is_order_reversing(spark):
+    """For any doubles (NaN, infinities, subnormals, -0.0 included): a larger value in
+    Spark's order never gets a larger bucket number, and NULL comes last."""
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from tierline.operators.ranking import value_bucket
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(st.lists(st.one_of(st.none(), st.floats(allow_nan=True, allow_infinity=True)), min_size=1, max_size=40),
+           st.sampled_from([1, 8, 32]))
+    def check(values, per_unit):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        rows = (df.select("v", value_bucket("v", per_unit).alias("b"))
+                  .orderBy(F.col("v").desc_nulls_last()).collect())
+        buckets = [r.b for r in rows]
+        assert buckets == sorted(buckets)
+        assert all(r.b == 711 * per_unit + 2 for r in rows if r.v is None)
+
+    check()
