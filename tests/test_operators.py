@@ -199,3 +199,22 @@ def test_value_bucket_is_order_reversing(spark):
         assert all(r.b == 711 * per_unit + 2 for r in rows if r.v is None)
 
     check()
+
+
+def test_checkpoint_dir_required_off_local_mode():
+    from tierline.session import ensure_checkpoint_dir
+
+    class FakeSC:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return {}
+
+    class FakeSession:
+        sparkContext = FakeSC()
+
+    with pytest.raises(ValueError, match="shared storage"):
+        ensure_checkpoint_dir(FakeSession())

@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster that setting points at shared storage and is used as is.  Only when
-    it is unset (a local test session) is a private folder created and installed.
+    On a cluster that setting points at shared storage and is used as is; if it is
+    unset there, this raises rather than fall back to a machine-local folder.  Only a
+    local-mode session without the setting gets a private temporary folder.
     """
     try:
         sc = spark.sparkContext
@@ -56,7 +57,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     else:
         configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tierline-ckpt-")
+        master = (sc.master if sc is not None else spark.conf.get("spark.master", "")) or ""
+        if not master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: on a cluster it must name a folder on "
+                             "shared storage (staged tables and streaming checkpoints live there)")
+        configured = tempfile.mkdtemp(prefix="tierline-ckpt-")  # local mode: one machine
     if sc is None:
         spark.conf.set("spark.checkpoint.dir", configured)
         return configured
