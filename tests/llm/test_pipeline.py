@@ -1,0 +1,80 @@
+import numpy as np
+import pytest
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
+from tokenizers import Tokenizer
+
+import corpus_pipeline as P
+from tierline.llm.tokens import default_tokenizer
+
+DOCS = StructType([StructField("doc_id", LongType()), StructField("text", StringType()),
+                   StructField("lang", StringType()), StructField("source", StringType()),
+                   StructField("n_chars", LongType())])
+LABELS = StructType([StructField("doc_id", LongType()), StructField("quality", IntegerType()),
+                     StructField("toxic", IntegerType())])
+
+
+def words(tag, n):
+    return " ".join(f"{tag}{i}" for i in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """Known cases: toxic rows, an exact copy, a near copy, a shared passage, odd rows."""
+    path = str(tmp_path_factory.mktemp("corpus"))
+    rows = []
+    for i in range(120):
+        text = words(f"clean{i}x", 40) + "\n" + words(f"more{i}x", 10)
+        rows.append((i, text + (" grubnok grubnok" if i % 6 == 0 else ""), "en" if i % 3 else None, f"src{i % 4}"))
+    near = words("near", 100).split()
+    rows += [(200, rows[1][1], "en", "src0"), (300, " ".join(near), "de", "src1"),
+             (301, " ".join(near[:50] + ["changed"] + near[51:]), "de", "src1"),
+             (400, "a line that two documents share\n" + words("p", 30), "en", "src2"),
+             (401, words("q", 30) + "\na line that two documents share", "en", "src2"),
+             (500, None, None, None), (501, "", "en", "src1"), (502, words("long", 20_000), "fr", "src3")]
+    df = spark.createDataFrame([(*r, len(r[1] or "")) for r in rows], DOCS)
+    df.withColumn("n_chars", df.n_chars).write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame([(i, 1, int(i % 6 == 0)) for i in range(120)], LABELS).write.parquet(f"{path}/labels.parquet")
+    return path, {r[0]: r[1] for r in rows}
+
+
+def test_stages_take_effect_and_keep_clean_documents(spark, corpus):
+    path, texts = corpus
+    docs, seen = spark.read.parquet(f"{path}/documents.parquet"), {}
+    for name, step in P.STAGES[:-1]:
+        docs = step(spark, docs, path)
+        assert docs.columns == P.COLUMNS
+        rows = docs.collect()
+        seen[name] = {r.doc_id: r.text for r in rows}
+        assert len(rows) == len(seen[name])
+        docs = spark.createDataFrame(rows, DOCS)
+    toxic = {i for i in range(120) if i % 6 == 0}
+    assert set(seen["toxicity"]) == set(texts) - toxic
+    assert set(seen["line_dedup"]) == set(seen["toxicity"]) - {200}
+    assert seen["line_dedup"][401] == words("q", 30) and seen["line_dedup"][400] == texts[400]
+    assert set(seen["near_dedup"]) == set(seen["line_dedup"]) - {301}
+    kept = set(seen["mixing"])
+    assert kept <= set(seen["near_dedup"]) and len(kept) < len(seen["near_dedup"])
+    size = {i: len((t or "").split()) for i, t in seen["near_dedup"].items()}
+    assert sum(size[i] for i in kept) <= 0.95 * sum(size.values())
+    tokenizer = Tokenizer.from_file(default_tokenizer())
+    out = P.STAGES[-1][1](spark, docs, path).collect()
+    back = {}
+    for r in sorted(out, key=lambda r: r.start):
+        back.setdefault(r.doc_id, []).extend(np.frombuffer(r.token_bytes, "<u4").tolist())
+    assert back == {i: tokenizer.encode(seen["mixing"][i] or "", add_special_tokens=False).ids + [1] for i in kept}
+
+
+def test_run_equals_the_stages_one_by_one(spark, corpus):
+    path, _ = corpus
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    for _, step in P.STAGES:
+        docs = step(spark, docs, path)
+    key = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
+    assert sorted(map(tuple, P.run(spark, path).select(*key).collect()), key=repr) == sorted(
+        map(tuple, docs.select(*key).collect()), key=repr)
+
+
+def test_empty_tables(spark, tmp_path):
+    spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
+    assert P.run(spark, str(tmp_path)).collect() == []

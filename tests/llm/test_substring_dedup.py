@@ -1,0 +1,75 @@
+import hashlib
+import random
+
+import pytest
+
+from tierline.llm.substring_dedup import substring_dedup
+
+
+def brute(rows, window):
+    first = {}
+    words = {i: (t or "").encode().split() for i, t in rows}
+    for i, w in words.items():
+        for p in range(len(w) - window + 1):
+            k = tuple(w[p:p + window])
+            first[k] = min(first.get(k, i), i)
+    out = {}
+    for i, w in words.items():
+        gone = set()
+        for p in range(len(w) - window + 1):
+            if first[tuple(w[p:p + window])] < i:
+                gone.update(range(p, p + window))
+        rest = b" ".join(x for p, x in enumerate(w) if p not in gone)
+        out[i] = (len(w), len(gone), hashlib.sha256(rest).hexdigest())
+    return out
+
+
+def check(spark, df, rows, window=13, **more):
+    got = {r.doc_id: r for r in substring_dedup(spark, df, window=window, **more).collect()}
+    assert {i: (r.n_words, r.n_removed, r.kept_sha256) for i, r in got.items()} == brute(rows, window)
+    for r in got.values():
+        assert sum(x.n for x in r.repeats) == r.n_removed
+        assert all(a.at + a.n < b.at for a, b in zip(r.repeats, r.repeats[1:]))    # maximal
+        assert hashlib.sha256(r.kept_text.encode()).hexdigest() == r.kept_sha256
+
+
+@pytest.mark.parametrize("window,gram", [(13, 6), (5, 2), (3, 3), (4, 1)])
+def test_shared_passages(spark, docs_of, window, gram):
+    rng = random.Random(window)
+    vocabulary = [f"w{i}" for i in range(500)]
+    passages = [[rng.choice(vocabulary) for _ in range(rng.choice([window - 1, window, window + 1, 3 * window]))]
+                for _ in range(8)]
+    rows = []
+    for i in range(90):
+        text = []
+        for _ in range(rng.randrange(4)):
+            text += [rng.choice(vocabulary) for _ in range(rng.randrange(20))]
+            p = rng.choice(passages)
+            lo = rng.randrange(3)
+            text += p[lo:] if rng.random() < 0.5 else p
+        rows.append((i, " ".join(text)))
+    check(spark, docs_of(rows), rows, window, gram=gram)
+
+
+def test_few_words_many_collisions(spark, docs_of):
+    rng = random.Random(6)
+    rows = [(i, " ".join(rng.choice("ab") for _ in range(rng.randrange(60)))) for i in range(60)]
+    check(spark, docs_of(rows), rows, 13)
+
+
+def test_edges(spark, docs_of, with_clashes):
+    p = " ".join(f"p{i}" for i in range(13))
+    rows = [(1, None), (2, ""), (3, p), (4, "x " + p), (5, p.replace("p0", "q")), (6, p + " " + p), (7, "\n\t"),
+            (8, "r " * 30_000), (9, "r " * 20_000 + p), (10, p.upper()), (11, p.replace(" ", "\n\t")), (12, "p0 p1")]
+    check(spark, with_clashes(docs_of(rows)), rows)
+
+
+def test_repeated_rows_and_null_ids(spark, docs_of):
+    p = " ".join(f"p{i}" for i in range(20))
+    out = sorted((r.doc_id if r.doc_id is not None else -1, r.n_words, r.n_removed)
+                 for r in substring_dedup(spark, docs_of([(2, p), (2, p), (None, p), (7, p)])).collect())
+    assert out == [(-1, 20, 0), (2, 20, 0), (2, 20, 0), (7, 20, 20)]
+
+
+def test_empty_table(spark, docs_of):
+    assert substring_dedup(spark, docs_of([])).collect() == []

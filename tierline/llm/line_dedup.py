@@ -169,13 +169,13 @@ def _removed(blocks: list[dict] | None, n_lines: int) -> np.ndarray:
     return gone
 
 
-def _delete(schema_names: list[str], text_col: str, keep_columns: bool):
+def _delete(schema_names: list[str], text_col: str, blocks_col: str, keep_columns: bool):
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts, total, gone, partners, sha = [], [], [], [], []
-            for text, blocks in zip(batch.column(text_col), batch.column("_blocks").to_pylist()):
+            for text, blocks in zip(batch.column(text_col), batch.column(blocks_col).to_pylist()):
                 lines = (text.as_py() or "").split("\n")
                 hit = _removed(blocks, len(lines))
                 n = int(hit.sum())
@@ -194,17 +194,20 @@ def _delete(schema_names: list[str], text_col: str, keep_columns: bool):
                 yield out.filter(pa.array(full, pa.bool_()))
             else:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
+                    [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
                      pa.array(partners, pa.int64()), pa.array(sha), pa.array(texts, pa.string())],
                     names=["doc_id", "n_lines", "n_removed", "n_partners", "kept_sha256", "kept_text"])
 
     return run
 
 
-def _with_blocks(spark, docs, least_words, rare_df, id_col, text_col) -> DataFrame:
+def _with_blocks(spark, docs, least_words, rare_df, id_col, text_col) -> tuple[DataFrame, str]:
+    """``docs`` and one more column with each row's blocks; that column's name."""
+    taken = {c.lower() for c in docs.columns}
+    key, name = (next(f"{p}{i}" for i in range(len(taken) + 1) if f"{p}{i}" not in taken) for p in ("of_", "blocks_"))
     blocks = line_blocks(spark, docs, least_words, rare_df, id_col, text_col).select(
-        F.col("doc_id").alias("_id"), F.col("blocks").alias("_blocks"))
-    return docs.join(blocks, F.col(id_col).cast("long") == F.col("_id"), "left")
+        F.col("doc_id").alias(key), F.col("blocks").alias(name))
+    return docs.join(blocks, F.col(id_col).cast("long") == F.col(key), "left").select(*docs.columns, name), name
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int = RARE_DF,
@@ -217,11 +220,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WO
     stay.  Ids are integers; rows that repeat an id count as one document whose row with
     any text may be aligned, and lose the same line ranges; NULL ids take no part.
     """
-    joined = _with_blocks(spark, docs.select(F.col(id_col).cast("long").alias("doc_id"),
-                                             F.col(text_col).cast("string").alias("text")),
-                          least_words, rare_df, "doc_id", "text").select(
-        F.col("doc_id").alias("_id"), "text", "_blocks")
-    return joined.mapInArrow(_delete([], "text", False), "doc_id long, n_lines long, n_removed long, "
+    base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    joined, name = _with_blocks(spark, base, least_words, rare_df, "doc_id", "text")
+    return joined.mapInArrow(_delete([], "text", name, False), "doc_id long, n_lines long, n_removed long, "
                              "n_partners long, kept_sha256 string, kept_text string")
 
 
@@ -229,7 +230,5 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, least_words: int =
                         rare_df: int = RARE_DF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the common blocks deleted from ``text_col``, all columns kept.  A row
     that lost lines and has no words left goes; rows that were empty before stay."""
-    names = docs.columns
-    joined = _with_blocks(spark, docs, least_words, rare_df, id_col, text_col).select(
-        *[F.col(c) for c in names], "_blocks")
-    return joined.mapInArrow(_delete(names, text_col, True), docs.schema)
+    joined, name = _with_blocks(spark, docs, least_words, rare_df, id_col, text_col)
+    return joined.mapInArrow(_delete(docs.columns, text_col, name, True), docs.schema)

@@ -114,7 +114,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, levels: Mapping[str, Colum
     tokens there are; what the tree can't give within ``epochs`` passes stays unused.
     ``tokens``: measure of a row, by default its words; a NULL text has none and goes with
     any epoch that reaches its hash.  Rows that repeat an id share a hash and go together;
-    a NULL id is one more id.  A leaf without tokens gives no rows.
+    a NULL id is one more id.  A leaf without tokens gives no rows.  An input column named
+    like one of the result's is replaced by it.
     """
     names = [f"mix_{n}" for n in levels]
     slim_cols = [F.coalesce(e.cast("string"), F.lit(NONE)).alias(f"mix_{n}") for n, e in levels.items()]
@@ -123,15 +124,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, levels: Mapping[str, Colum
     plan = _plan(spark, slim, names, {f"mix_{n}": w for n, w in weights.items()}, default_weight, share, epochs, seed)
     drop_staged(spark, slim)
 
-    clash = [c for c in docs.columns if c.startswith("mix_")]
-    if clash:
-        raise ValueError(f"columns of the input clash with the result's: {clash}")
-    rows = docs.select("*", measure.alias("mix_tokens"), *slim_cols).join(plan, names)
-    key = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col("whole").cast("string"), F.col(id_col).cast("string"))
-                .cast("binary"))
+    out_names = ["mix_epoch", "mix_tokens", *names]
+    own = [c for c in docs.columns if c not in out_names]
+    rows = docs.select(F.struct(*own).alias("row"), F.col(id_col).alias("doc_id"), measure.alias("mix_tokens"),
+                       *slim_cols).join(plan, names)
     # A cut at a bucket's name takes the buckets before it: any key in the bucket is greater.
-    part = F.when(F.col("cut").isNotNull() & (key <= F.col("cut")), F.lit(1)).otherwise(F.lit(0))
-    taken = F.col("whole") + part
-    return (rows.withColumn("taken", taken).where("taken > 0")
+    part = F.coalesce(_order(seed, F.col("whole")) <= F.col("cut"), F.lit(False)).cast("long")
+    return (rows.withColumn("taken", F.col("whole") + part).where("taken > 0")
             .withColumn("mix_epoch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("taken") - 1)))
-            .select(*docs.columns, "mix_epoch", "mix_tokens", *names))
+            .select("row.*", *out_names))

@@ -37,7 +37,9 @@ STAND_INS = str.maketrans("0134578@$!", "oieastbasi")
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "rodeo clown", "clown fish")
 
 _OTHER_SCRIPT = re.compile("[Ͱ-ԯ]")
-_STAND_IN = re.compile(r"(?<=[^\W\d_])[0134578@$!](?=[^\W\d_])|\b[0134578](?=[^\W\d_]{2})|(?<=[^\W\d_]{2})[0134578]\b")
+#: Runs of stand-ins before, between and behind letters of a word.
+_STAND_IN = re.compile(r"(?<![^\W_])[0134578]+(?=[^\W\d_])|(?<=[^\W\d_])[0134578@$!]+(?=[^\W_])"
+                       r"|(?<=[^\W\d_])[0134578]+(?![^\W_])")
 _BREAKS = re.compile(r"[\W_]+")
 
 
@@ -46,8 +48,7 @@ def fold(text: str) -> str:
     s = unicodedata.normalize("NFKC", text).lower()
     if _OTHER_SCRIPT.search(s):
         s = s.translate(HOMOGLYPHS)
-    for _ in range(2):  # a stand-in may have another beside it
-        s = _STAND_IN.sub(lambda m: m[0].translate(STAND_INS), s)
+    s = _STAND_IN.sub(lambda m: m[0].translate(STAND_INS), s)
     s = _BREAKS.sub(" ", s).strip()
     return f" {s} " if s else " "
 
