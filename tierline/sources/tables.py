@@ -2,10 +2,11 @@
 schemas.
 
 Tables are parquet: open-source Spark has no row-level MERGE on it, so the upsert
-is an anti-join + union written to a staging folder and then swapped in.  Tables
-may be partitioned (``_part``: a hash of the key, or e.g. the UTC event day) so an
-upsert rewrites only the partitions it touches (dynamic partition overwrite)
-instead of the whole table.
+is an anti-join + union.  Tables may be partitioned (``_part``: a hash of the key, or
+e.g. the UTC event day), and an upsert then rewrites only the partitions it touches
+(dynamic partition overwrite).  An unpartitioned table's new content goes to a fresh
+folder, and the table is pointed at it only when the write has succeeded: until then
+the old content stays, so a failed run can be run again.
 """
 
 from __future__ import annotations
@@ -32,28 +33,120 @@ def stage(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataF
     spark = spark or df.sparkSession
     path = scratch_dir(spark, label)
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    staged = spark.read.schema(df.schema).parquet(path)
+    staged._staged_path = path
+    return staged
+
+
+def drop_staged(spark: SparkSession, *staged: DataFrame) -> None:
+    """Delete staged copies that no later plan reads."""
+    for df in staged:
+        path = getattr(df, "_staged_path", None)
+        if path:
+            delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder through the file system that holds it (any store Spark writes)."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
     return spark.catalog.tableExists(name)
 
 
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0].data_type
+
+
+def _home(spark: SparkSession, name: str, path: str | None) -> str:
+    """Folder below which a table's versions lie."""
+    if path:
+        return path.rstrip("/")
+    db, _, table = name.replace("`", "").rpartition(".")
+    db = db or spark.catalog.currentDatabase()
+    return f"{spark.catalog.getDatabase(db).locationUri.rstrip('/')}/{table}"
+
+
 def overwrite_table(df: DataFrame, name: str, path: str | None = None,
                     partition_by: Iterable[str] = ()) -> int:
     """Rebuild ``name`` from ``df`` (full overwrite); returns the rows written,
-    counted by an ``Observation`` on the write itself (no second job)."""
+    counted by an ``Observation`` on the write itself (no second job).
+
+    The rows go to a fresh folder below ``path`` (default: the table's place in its
+    schema).  Only after that write the catalog entry is pointed at the folder and the
+    old one deleted, so a failed write leaves the old table, and ``df`` may read it."""
+    spark = df.sparkSession
     obs = Observation(f"rows_{name.replace('.', '_')}")
-    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").format("parquet")
+    fresh = f"{_home(spark, name, path)}/v-{uuid.uuid4().hex[:12]}"
     parts = list(partition_by)
-    if parts:
-        writer = writer.partitionBy(*parts)
-    if path:
-        writer = writer.option("path", path)
-    writer.saveAsTable(name)
+    writer = df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
+    (writer.partitionBy(*parts) if parts else writer).parquet(fresh)
+    _point_at(spark, name, fresh, df.schema, parts)
     return int(obs.get["rows"])
 
 
+def _point_at(spark: SparkSession, name: str, fresh: str, schema: T.StructType, parts: list[str]) -> None:
+    """Make ``name`` the table over the folder ``fresh``: catalog changes only."""
+    old = _location(spark, name) if table_exists(spark, name) else None
+    same = False
+    if old is not None:
+        cols = {c.name: c for c in spark.catalog.listColumns(name)}
+        same = ([f.name for f in schema.fields if f.name not in parts] + parts == list(cols)
+                and all(cols[f.name].dataType == f.dataType.simpleString() for f in schema.fields)
+                and [c for c in cols if cols[c].isPartition] == parts and not parts)
+    if same:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
+    else:
+        properties = _properties(spark, name) if old is not None else {}
+        if old is not None:
+            spark.sql(f"DROP TABLE {name}")
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
+        spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{by} LOCATION '{fresh}'")
+        if properties:
+            _set_properties(spark, name, properties)
+        if parts:
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
+    if old is not None:
+        _delete_version(spark, old.rstrip("/"), fresh)
+
+
+def _delete_version(spark: SparkSession, old: str, fresh: str) -> None:
+    """Delete a replaced folder.  A table created in place holds its files beside the
+    versions; then only what isn't the fresh version goes."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    old_path, keep = jvm.org.apache.hadoop.fs.Path(old), jvm.org.apache.hadoop.fs.Path(fresh)
+    fs = old_path.getFileSystem(conf)
+    keep = fs.makeQualified(keep).toUri().getPath()
+    root = fs.makeQualified(old_path).toUri().getPath()
+    if not f"{keep}/".startswith(f"{root}/"):
+        fs.delete(old_path, True)
+        return
+    for entry in fs.listStatus(old_path):
+        at = entry.getPath()
+        if not f"{keep}/".startswith(f"{at.toUri().getPath()}/"):
+            fs.delete(at, True)
+
+
+# Table properties that record how an upserted table is laid out.
+LAYOUT_PROPERTY = "tierline.layout"
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
+            if r.key.startswith("tierline.")}
+
+
+def _set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+    pairs = ", ".join("'{}' = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in properties.items())
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
 def create_table(df: DataFrame, name: str, path: str | None = None,
                  partition_by: Iterable[str] = ()) -> int:
     """Create ``name`` from ``df``; fails if it exists.  Returns rows written.  A
@@ -121,29 +214,49 @@ def _for_write(df: DataFrame, keys: list[str], order: list[str], partitioned: bo
               .sortWithinPartitions(PART_COL, *order))
 
 
-def _touched_values(touched: DataFrame, max_values: int) -> list | None:
-    """Distinct touched partition values, or None when there are more than
-    ``max_values`` (only that many + 1 are ever fetched)."""
-    values = [r[0] for r in touched.distinct().limit(max_values + 1).collect()]
-    return None if len(values) > max_values else values
-
-
-def _touched_filter(values: list | None):
-    """Predicate selecting the touched partitions: a literal IN list (static
-    partition pruning), or None when the list was too long to fetch."""
-    if values is None:
-        return None
-    cond = F.col(PART_COL).isin([v for v in values if v is not None]) if any(
-        v is not None for v in values) else F.lit(False)
-    if None in values:
-        cond = cond | F.col(PART_COL).isNull()
-    return cond
+def _layout(keys: list[str], partitions: int | None, partition_expr) -> str:
+    if partitions:
+        return f"hash:{partitions}:{','.join(keys)}"
+    return "plain" if partition_expr is None else f"expression:{partition_expr}"
+
+
+def _adopt_layout(spark: SparkSession, table: str, keys: list[str], partitions: int | None, partition_expr):
+    """The partitioning to use on an existing table.  A hash layout is adopted as
+    recorded (a row's partition must not depend on the caller's count); an expression
+    can't be read back, so a different one is refused."""
+    recorded = _properties(spark, table).get(LAYOUT_PROPERTY)
+    wanted = _layout(keys, partitions, partition_expr)
+    if recorded is None:
+        if PART_COL in spark.table(table).columns or wanted != "plain":
+            raise ValueError(f"{table} has no recorded layout; it was not created by merge_upsert")
+        return None, None
+    if recorded == wanted:
+        return partitions, partition_expr
+    kind, _, rest = recorded.partition(":")
+    if kind == "hash" and partition_expr is None:
+        count, _, hashed = rest.partition(":")
+        if hashed == ",".join(keys):
+            return int(count), None
+    raise ValueError(f"{table} is laid out as {recorded}, not {wanted}")
+
+
+def _like_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFrame:
+    """Source keys in the table's key types, so that equal keys compare and hash alike.  A
+    value the table's type can't hold fails the cast rather than turning into NULL."""
+    changes = {}
+    for k in keys:
+        if k in target.columns and source.schema[k].dataType != target.schema[k].dataType:
+            to = target.schema[k].dataType.simpleString()
+            cast = F.col(k).try_cast(to)
+            changes[k] = F.when(F.col(k).isNotNull() & cast.isNull(), F.raise_error(
+                F.concat(F.lit(f"key {k} does not fit {to}: "), F.col(k).cast("string")))).otherwise(cast)
+    return source.withColumns(changes) if changes else source
 
 
 def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str | Iterable[str],
                  path: str | None = None, partitions: int | None = None, partition_expr=None,
                  check_unique: bool = True, sort_within: Iterable[str] = (),
-                 write_spread: int = 4, max_touched: int = 100_000, keys_may_move: bool = True) -> dict:
+                 write_spread: int = 4, keys_may_move: bool = True) -> dict:
     """Keyed upsert into parquet table ``table`` (created on first use): MERGE ... WHEN
     MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
 
@@ -152,89 +265,110 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     * ``partitions=n``: hash of the key, ``pmod(xxhash64(key), n)`` -- a key always
       lands in the same partition, so the touched partitions are the source's.
     * ``partition_expr``: any column expression, e.g. ``event_day("timestamp")`` for
-      event tables, so a daily load touches only recent days.  A key may move between
-      partitions, so the partitions where the target holds the source's keys today
-      are touched too (found by a semi-join on the key and ``_part`` columns only).
-      ``keys_may_move=False`` skips that scan when a key's partition never changes.
-
-    The touched partitions' new content is staged first (a table cannot be
-    overwritten while it is read), then swapped in with a dynamic partition
-    overwrite; readers are not isolated during the swap.  ``sort_within`` orders rows
-    inside each written file so parquet min/max statistics let range filters skip
-    row groups.  Returns ``{"created": bool, "rows_written": n}``.
+      event tables.  A key may move between partitions, so the partitions where the
+      target holds the source's keys today are touched too (found by a semi-join on the
+      key and ``_part`` columns only).  ``keys_may_move=False`` skips that scan when a
+      key's partition never changes.
+
+    The layout is recorded with the table; a later call adopts the recorded hash count and
+    refuses another kind of layout.  Source keys are cast to the table's key types.
+
+    The source is evaluated once, into a staged copy.  The touched partitions' new content
+    is staged (a table cannot be overwritten while it is read); touched partitions that
+    get no rows, the NULL one included, are dropped; then a dynamic partition overwrite
+    swaps the rest in.  Staged copies are deleted afterwards.  Readers are not isolated
+    during the swap, but rows dropped or moved before a failure are all rows of the
+    source's keys, so running the same upsert again completes it.  An unpartitioned
+    table's new content is written once, to a fresh folder, and the table pointed at it.
+    ``sort_within`` orders rows inside each written file so parquet min/max statistics
+    let range filters skip row groups.  Returns ``{"created": bool, "rows_written": n}``.
     """
     order = list(sort_within)
     keys = [key] if isinstance(key, str) else list(key)
     if partitions and partition_expr is not None:
         raise ValueError("give either partitions or partition_expr, not both")
+    exists = table_exists(spark, table)
+    if exists:
+        partitions, partition_expr = _adopt_layout(spark, table, keys, partitions, partition_expr)
+        source = _like_keys(source, spark.table(table), keys)
     partitioned = bool(partitions) or partition_expr is not None
-    if check_unique:
-        assert_unique_keys(source, keys)
     if partitions:
         source = with_key_partition(source, keys, partitions)
     elif partition_expr is not None:
         source = source.withColumn(PART_COL, partition_expr)
-    if not table_exists(spark, table):
-        first = _for_write(source, keys, order, partitioned, write_spread)
-        n = create_table(first, table, path, [PART_COL] if partitioned else [])
-        return {"created": True, "rows_written": n}
-    target = spark.table(table)
-    if partitioned:
+    staged = [stage(source, "upsert-source", spark)]
+    source = staged[0]
+    try:
+        if check_unique:
+            assert_unique_keys(source, keys)
+        if not exists:
+            first = _for_write(source, keys, order, partitioned, write_spread)
+            n = create_table(first, table, path, [PART_COL] if partitioned else [])
+            _set_properties(spark, table, {LAYOUT_PROPERTY: _layout(keys, partitions, partition_expr)})
+            return {"created": True, "rows_written": n}
+        if not partitioned:
+            merged = upsert_frame(spark.table(table), source, keys)
+            home = path or _location(spark, table).rpartition("/v-")[0] or _location(spark, table)
+            n = overwrite_table(_for_write(merged, keys, order, False, write_spread), table, home)
+            return {"created": False, "rows_written": n}
+        target = spark.table(table)
         touched = source.select(PART_COL)
         if partition_expr is not None and keys_may_move:
             held = target.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
             touched = touched.unionByName(held.select(PART_COL))
-        values = _touched_values(touched, max_touched)
-        cond = _touched_filter(values)
-        target = (target.where(cond) if cond is not None
-                  else target.join(touched.distinct(), target[PART_COL].eqNullSafe(touched[PART_COL]),
-                                   "left_semi"))
-    merged = upsert_frame(target, source, keys)
-    cols = [c for c in merged.columns if c != PART_COL] + ([PART_COL] if partitioned else [])
-    staged = stage(merged.select(*cols), "upsert", spark)
-    if partitioned:
-        old_cols = spark.table(table).columns
-        new_cols = [c for c in staged.columns if c not in old_cols]
+        touched = stage(touched.distinct(), "upsert-touched", spark)
+        staged.append(touched)
+        merged = upsert_frame(_in_partitions(target, touched), source, keys)
+        cols = [c for c in merged.columns if c != PART_COL] + [PART_COL]
+        content = stage(merged.select(*cols), "upsert", spark)
+        staged.append(content)
+        old_cols = target.columns
+        new_cols = [c for c in content.columns if c not in old_cols]
         if new_cols:
-            _add_columns(spark, table, staged, new_cols)
+            _add_columns(spark, table, content, new_cols)
+        written = content.select(PART_COL).distinct()
+        _drop_partitions(spark, table, touched.exceptAll(written))
         obs = Observation("rows_upsert")
-        out = _for_write(staged, keys, order, True, write_spread)
+        out = _for_write(content, keys, order, True, write_spread)
         with _dynamic_overwrite(spark):
             (out.observe(obs, F.count(F.lit(1)).alias("rows"))
                 .select(*spark.table(table).columns).write.insertInto(table, overwrite=True))
-        n = int(obs.get["rows"])
-        if partition_expr is not None:
-            # A dynamic overwrite leaves partitions with no new rows alone; a touched
-            # partition whose every row moved elsewhere is cleared explicitly.
-            written = staged.select(PART_COL).distinct()
-            if values is None:
-                emptied = [r[0] for r in touched.distinct().exceptAll(written)
-                           .limit(max_touched + 1).collect()]
-                if len(emptied) > max_touched:
-                    raise ValueError(f"upsert emptied more than {max_touched} partitions of {table}")
-            else:
-                kept = {r[0] for r in written.collect()}  # subset of the touched values
-                emptied = [v for v in values if v not in kept]
-            _clear_partitions(spark, table, [v for v in emptied if v is not None])
-    else:
-        n = overwrite_table(_for_write(staged, keys, order, False, write_spread), table, path)
-    spark.catalog.refreshTable(table)
-    return {"created": False, "rows_written": n}
+        return {"created": False, "rows_written": int(obs.get["rows"])}
+    finally:
+        drop_staged(spark, *staged)
+        if table_exists(spark, table):
+            spark.catalog.refreshTable(table)
 
 
-def _clear_partitions(spark: SparkSession, table: str, values: list) -> None:
-    """Empty the given ``_part`` partitions: an INSERT OVERWRITE with a fully static
-    partition spec replaces exactly that partition, here with no rows."""
-    if not values:
-        return
-    schema = T.StructType([f for f in spark.table(table).schema.fields if f.name != PART_COL])
-    view = f"_tierline_empty_{uuid.uuid4().hex[:12]}"
-    spark.createDataFrame([], schema).createOrReplaceTempView(view)
-    try:
+def _in_partitions(target: DataFrame, touched: DataFrame) -> DataFrame:
+    """Rows of the touched partitions: a literal range on ``_part`` prunes the listing (one
+    aggregated row reaches the driver), the semi-join takes the exact partitions."""
+    r = touched.agg(F.min(PART_COL).alias("lo"), F.max(PART_COL).alias("hi"),
+                    F.count_if(F.col(PART_COL).isNull()).alias("nulls")).first()
+    some = F.col(PART_COL).between(r.lo, r.hi) if r.lo is not None else F.lit(False)
+    known = target.where(some).join(touched, PART_COL, "left_semi")
+    return known.unionByName(target.where(F.col(PART_COL).isNull())) if r.nulls else known
+
+
+def _drop_partitions(spark: SparkSession, table: str, emptied: DataFrame, at_once: int = 500) -> None:
+    """Drop the given ``_part`` partitions and their files.  The values, a subset of the
+    catalog's partition list, come in pieces; no Spark job runs per partition."""
+    home = _location(spark, table).rstrip("/")
+
+    def drop(values: list) -> None:
+        specs = ", ".join(f"PARTITION ({PART_COL} = {'null' if v is None else int(v)})" for v in values)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
         for v in values:
-            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION ({PART_COL} = {int(v)}) SELECT * FROM {view}")
-    finally:
-        spark.catalog.dropTempView(view)
+            delete_folder(spark, f"{home}/{PART_COL}={'__HIVE_DEFAULT_PARTITION__' if v is None else v}")
+
+    piece: list = []
+    for row in emptied.toLocalIterator():
+        piece.append(row[0])
+        if len(piece) == at_once:
+            drop(piece)
+            piece = []
+    if piece:
+        drop(piece)
 
 
 @contextmanager
