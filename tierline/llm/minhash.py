@@ -3,13 +3,18 @@
 1. One pass fingerprints every document's set of word shingles and takes ``bands x rows``
    minima of universal (multiply-shift) hashes.
 2. Documents with the same set form a class and go on as one row, however many they are.
-3. Classes that share a band bucket are candidates.  Inside a bucket, members are
-   compared with pivots, one at first, then 4, 16, ... pivots, each the smallest member of
-   a hash group.  A pair is checked by its signatures, then on the full sets.  After
-   every round connected components contract what is linked; a pivot has then been
-   compared with the whole bucket and leaves it, and a bucket whose members are all in
-   one component is done.  So a bucket of near copies costs rows in proportion to its
-   size, and yet no candidate pair that could still join two components stays unchecked.
+3. Classes that share a band bucket are candidates.  Every member of a bucket is compared
+   with its smallest member, by signature and then on the full sets, and connected
+   components contract what is linked.  That settles groups of copies of any size with one
+   pair per member.
+4. Candidates whose bucket still holds several components go by their rarest shingles
+   instead: two linked sets must share one of the first few in the order by rarity, at
+   places that leave room for the overlap.  A near copy with too many edits of its own
+   thus meets nobody.  Inside such a bucket, members are compared with pivots: one, then
+   32, 1024, ..., each the smallest member of a hash group.  After each round components
+   contract, the pivots, having met their whole bucket, leave it, and buckets with one
+   component are done.  So no candidate pair that could still join two components stays
+   unchecked, and no group emits all its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.llm import words as W
@@ -109,30 +114,21 @@ def _sets(n: int):
     return run
 
 
-def _like_signatures(least: float, size: int):
-    """Pairs whose signatures agree in a share of at least ``least``."""
+def _linked(least: float, size: int, percent: int):
+    """Pairs whose signatures agree in a share of at least ``least`` and whose full sets
+    then reach the similarity, in whole numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, size)
                     for c in ("sig_a", "sig_b"))
-            like = (x == y).sum(axis=1) >= least * size
-            yield batch.select(["a", "b"]).filter(pa.array(like))
-
-    return run
-
-
-def _linked(percent: int):
-    """Pairs whose full sets reach the similarity, in whole numbers."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yes = []
-            for x, y in zip(batch.column("set_a"), batch.column("set_b")):
-                s, t = (np.frombuffer(v.as_buffer(), W.U64) for v in (x, y))
+            yes = (x == y).sum(axis=1) >= least * size
+            for i in np.flatnonzero(yes).tolist():
+                s, t = (np.frombuffer(batch.column(c)[i].as_buffer(), W.U64) for c in ("set_a", "set_b"))
                 both = len(np.intersect1d(s, t, assume_unique=True))
-                yes.append(100 * both >= percent * (len(s) + len(t) - both))
-            yield batch.select(["a", "b"]).filter(pa.array(yes, pa.bool_()))
+                yes[i] = 100 * both >= percent * (len(s) + len(t) - both)
+            yield batch.select(["u", "v"]).filter(pa.array(yes))
 
     return run
 
@@ -162,78 +158,115 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, wor
     entries = sigs.mapInArrow(_buckets(bands, rows), "bucket long, class_id long")
     shared = (entries.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
               .where("lo < hi").select("bucket"))
-    members = stage(spark, entries.join(shared, "bucket"), "op3-members")
+    members = stage(spark, entries.join(shared, "bucket")
+                    .select("bucket", "class_id", F.col("class_id").alias("component")), "op3-members")
     wanted = members.select(F.col("class_id").alias("doc_id")).distinct()
-    sets = stage(spark, base.join(wanted, "doc_id").mapInArrow(_sets(words), "class_id long, shingles binary"),
-                 "op3-sets")
-
-    labels = spark.createDataFrame([], "class_id long, component long")
+    sets = stage(spark, base.join(wanted, "doc_id").mapInArrow(_sets(words), "class_id long, shingles binary")
+                 .join(sigs, "class_id"), "op3-sets")
+    pivots = _pivots(members, 1)
+    links = stage(spark, _links(members, pivots, F.lit(True), sets, least, size, percent), "op3-links")
+    stars = connected_components(spark, links)
+    open_now = _open_buckets(_moved(_without(members, pivots), stars))
+    left = stage(spark, open_now.select("class_id", "component").distinct(), "op3-left")
+    drop_staged(spark, members, links)
+
+    members = stage(spark, _open_buckets(_prefixes(sets.join(left, "class_id"), percent)), "op3-prefixes")
+    drop_staged(spark, left)
+    reach = ((100 + percent) * F.least(F.col("n") - F.col("place"), F.col("pivot_n") - F.col("pivot_place"))
+             >= percent * (F.col("n") + F.col("pivot_n")))
     pivots_per_bucket = 1
     while not members.isEmpty():
-        found = _round(spark, members, labels, sigs, sets, pivots_per_bucket, least, size, percent)
-        labels, old = _merge(spark, labels, found), labels
-        drop_staged(spark, found, old)
-        rest = stage(spark, _undecided(members, labels, pivots_per_bucket), "op3-members")
-        drop_staged(spark, members)
+        pivots = _pivots(members, pivots_per_bucket)
+        links = stage(spark, _links(members, pivots, reach, sets, least, size, percent), "op3-links")
+        rest = _without(members, pivots)
+        if not links.isEmpty():
+            moved = connected_components(spark, links)
+            stars, rest = stars.union(moved), _moved(rest, moved)
+        rest = stage(spark, _open_buckets(rest), "op3-prefixes")
+        drop_staged(spark, members, links)
         members = rest
-        pivots_per_bucket *= 4
+        pivots_per_bucket *= 32
     drop_staged(spark, members, sets)
+    labels = connected_components(spark, stars.select(F.col("node").alias("u"), F.col("component").alias("v")))
 
-    of_class = (classes.select(*alike, "class_id").join(labels, "class_id", "left")
-                .select(*alike, F.coalesce("component", "class_id").alias("component_id")))
+    of_class = (classes.select(*alike, F.col("class_id").alias("node")).join(labels, "node", "left")
+                .select(*alike, F.coalesce("component", "node").alias("component_id")))
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (prints.drop("sig").join(of_class, alike, "left")
             .select("doc_id", "n_shingles", F.when(F.col("doc_id").isNotNull(), component).alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))))
 
 
-def _labelled(members: DataFrame, labels: DataFrame) -> DataFrame:
-    return (members.join(labels, "class_id", "left")
-            .select("bucket", "class_id", F.coalesce("component", "class_id").alias("component")))
+def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (shingle, class_id) of the sets."""
+    for batch in batches:
+        for part in slices(batch, "shingles"):
+            data, offsets = binary_parts(part.column("shingles"))
+            ids = part.column("class_id").to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(data[offsets[0]:offsets[-1]].view(np.int64)), pa.array(np.repeat(ids, np.diff(offsets) // 8))],
+                names=["shingle", "class_id"])
+
+
+def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """Members of prefix buckets: each class's rarest shingles, as many as it takes for two
+    linked classes to share one (n - least overlap + 1), with the set's size and the
+    shingle's place in the order by rarity.  That order is by the number of classes."""
+    held = sets.select("class_id", "shingles").mapInArrow(_entries, "shingle long, class_id long")
+    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    of = sets.select("class_id", "component", F.expr("length(shingles) div 8").alias("n"))
+    rarest = Window.partitionBy("class_id").orderBy("df", "shingle")
+    return (held.join(shared, "shingle").withColumn("place", F.row_number().over(rarest) - 1).join(of, "class_id")
+            .where(100 * F.col("place") <= (100 - percent) * F.col("n"))
+            .select(F.col("shingle").alias("bucket"), "class_id", "component", "n", "place"))
+
+
+def _part(per_bucket: int):
+    return F.pmod(F.xxhash64("class_id", F.lit(per_bucket)), F.lit(per_bucket))
 
 
 def _pivots(members: DataFrame, per_bucket: int) -> DataFrame:
     """The smallest member of each of ``per_bucket`` hash groups of a bucket."""
-    group = F.pmod(F.xxhash64("class_id", F.lit(per_bucket)), F.lit(per_bucket))
-    return (members.groupBy("bucket", group.alias("part")).agg(F.min("class_id").alias("pivot"))
-            .select("bucket", "pivot"))
-
-
-def _round(spark, members, labels, sigs, sets, per_bucket, least, size, percent) -> DataFrame:
-    """New links (a, b) between members and pivots of different components."""
-    here = _labelled(members, labels)
-    pivots = (_pivots(members, per_bucket)
-              .join(labels.withColumnRenamed("class_id", "pivot"), "pivot", "left")
-              .select(F.col("bucket").alias("of"), "pivot", F.coalesce("component", "pivot").alias("pivot_component")))
-    pairs = (here.join(pivots, (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("pivot_component")))
-             .select(F.least("class_id", "pivot").alias("a"), F.greatest("class_id", "pivot").alias("b")).distinct())
-    likely = (pairs.join(sigs.select(F.col("class_id").alias("b"), F.col("sig").alias("sig_b")), "b")
-              .join(sigs.select(F.col("class_id").alias("a"), F.col("sig").alias("sig_a")), "a")
-              .mapInArrow(_like_signatures(least, size), "a long, b long"))
-    full = (likely.join(sets.select(F.col("class_id").alias("b"), F.col("shingles").alias("set_b")), "b")
-            .join(sets.select(F.col("class_id").alias("a"), F.col("shingles").alias("set_a")), "a"))
-    return stage(spark, full.mapInArrow(_linked(percent), "a long, b long"), "op3-links")
-
-
-def _merge(spark, labels: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after the new links: components of the old components."""
-    def component(side: str) -> DataFrame:
-        return labels.select(F.col("class_id").alias(side), F.col("component").alias(f"{side}_component"))
-
-    edges = (links.join(component("a"), "a", "left").join(component("b"), "b", "left")
-             .select(F.coalesce("a_component", "a").alias("u"), F.coalesce("b_component", "b").alias("v")))
-    joined = connected_components(spark, edges)
-    moved = joined.select(F.col("node").alias("component"), F.col("component").alias("root"))
-    old = labels.join(moved, "component", "left").select("class_id", F.coalesce("root", "component").alias("component"))
-    new = joined.select(F.col("node").alias("class_id"), "component").join(labels, "class_id", "left_anti")
-    return stage(spark, old.union(new), "op3-labels")
-
-
-def _undecided(members: DataFrame, labels: DataFrame, per_bucket: int) -> DataFrame:
-    """Members of buckets that still hold several components, without the used pivots."""
-    rest = members.join(_pivots(members, per_bucket).withColumnRenamed("pivot", "class_id"),
-                        ["bucket", "class_id"], "left_anti")
-    here = _labelled(rest, labels)
-    open_buckets = (here.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo < hi").select("bucket"))
-    return here.join(open_buckets, "bucket").select("bucket", "class_id")
+    more = [c for c in members.columns if c not in ("bucket", "class_id")]
+    return (members.groupBy("bucket", _part(per_bucket).alias("part"))
+            .agg(F.min(F.struct("class_id", *more)).alias("p"))
+            .select(F.col("bucket").alias("of"), F.col("p.class_id").alias("pivot"),
+                    *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in more]))
+
+
+def _links(members: DataFrame, pivots: DataFrame, possible, sets: DataFrame, least: float, size: int,
+           percent: int) -> DataFrame:
+    """New links between members and pivots of other components, as the components (u, v)."""
+    swap = F.col("class_id") > F.col("pivot")
+    meet = (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("pivot_component")) & possible
+    pairs = members.join(pivots, meet).select(
+        F.least("class_id", "pivot").alias("a"), F.greatest("class_id", "pivot").alias("b"),
+        F.when(swap, F.col("pivot_component")).otherwise(F.col("component")).alias("u"),
+        F.when(swap, F.col("component")).otherwise(F.col("pivot_component")).alias("v")).distinct()
+
+    def side(name: str) -> DataFrame:
+        return sets.select(F.col("class_id").alias(name), F.col("sig").alias(f"sig_{name}"),
+                           F.col("shingles").alias(f"set_{name}"))
+
+    return (pairs.join(side("b"), "b").join(side("a"), "a")
+            .mapInArrow(_linked(least, size, percent), "u long, v long"))
+
+
+def _without(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Members without the pivots, which have met their whole bucket."""
+    used = pivots.select(F.col("of").alias("bucket"), F.col("pivot").alias("class_id"))
+    return members.join(used, ["bucket", "class_id"], "left_anti")
+
+
+def _moved(members: DataFrame, stars: DataFrame) -> DataFrame:
+    """Members with their components' new components."""
+    to = stars.select(F.col("node").alias("component"), F.col("component").alias("root"))
+    return members.join(to, "component", "left").select(
+        *[F.coalesce("root", "component").alias("component") if c == "component" else F.col(c) for c in members.columns])
+
+
+def _open_buckets(members: DataFrame) -> DataFrame:
+    """Members of the buckets that hold several components."""
+    several = (members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+               .where("lo < hi").select("bucket"))
+    return members.join(several, "bucket", "left_semi").select(*members.columns)
