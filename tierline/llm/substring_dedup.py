@@ -89,24 +89,30 @@ def _anchors(window: int, gram: int):
 
 
 def _windows(window: int):
-    """Rows (print, doc_id, at) of the windows in a document's listed spans."""
+    """Rows (print, doc_id, at) of the windows in a document's listed spans: one per
+    distinct window, with all its places."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
                 _, first, prints, of, inside = window_hashes(*binary_parts(part.column("text")), window)
                 begin = np.searchsorted(of, np.arange(part.num_rows + 1))
                 ids = part.column("doc_id").to_numpy(zero_copy_only=False)
-                key, doc, at = [], [], []
+                doc, want = [], []
                 for i, (start, n) in enumerate(_spans(part.column("spans"))):
-                    want = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                    want = np.unique(want[want < begin[i + 1] - begin[i]])
-                    key.append(prints[begin[i] + want])
-                    doc.append(np.full(len(want), ids[i]))
-                    at.append(want)
-                if key:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(doc).astype(np.int64)),
-                         pa.array(np.concatenate(at).astype(np.int64))], names=["print", "doc_id", "at"])
+                    at = np.unique(np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum()))
+                    want.append(at[at < begin[i + 1] - begin[i]])
+                    doc.append(np.full(len(want[-1]), i))
+                doc, want = np.concatenate(doc), np.concatenate(want).astype(np.int64)
+                key = prints[begin[doc] + want]
+                order = np.lexsort((key, doc))
+                doc, want, key = doc[order], want[order], key[order]
+                new = np.ones(len(key), bool)
+                new[1:] = (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])
+                cuts = np.flatnonzero(new)
+                places = pa.ListArray.from_arrays(pa.array(np.append(cuts, len(key)), pa.int32()), pa.array(want))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key[cuts].view(np.int64)), pa.array(ids[doc[cuts]].astype(np.int64)), places],
+                    names=["print", "doc_id", "at"])
 
     return run
 
@@ -172,12 +178,13 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW,
         return rows.groupBy("doc_id").agg(F.collect_list(F.struct("at", "n")).cast(_SPAN).alias("spans"))
 
     windows = stage(spark, known.join(spans_of(hits.where("differ")), "doc_id")
-                    .mapInArrow(_windows(window), "print long, doc_id long, at long"), "op6-windows")
-    earliest = (windows.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-                .where("first < last").select("print", "first"))
-    ends = windows.join(earliest, "print").where("doc_id > first").select("doc_id", "at", F.lit(1).cast("long").alias("n"))
+                    .mapInArrow(_windows(window), "print long, doc_id long, at array<long>"), "op6-windows")
+    earliest = stage(spark, windows.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                     .where("first < last").select("print", "first"), "op6-earliest")   # written: the join can split
+    ends = (windows.join(earliest, "print").where("doc_id > first")
+            .select("doc_id", F.explode("at").alias("at"), F.lit(1).cast("long").alias("n")))
     spans = stage(spark, spans_of(hits.where("NOT differ").select("doc_id", "at", "n").union(ends)), "op6-spans")
-    drop_staged(spark, hits, windows)
+    drop_staged(spark, hits, windows, earliest)
     return base.join(spans, "doc_id", "left").mapInArrow(
         _cut(window, keep_text), "doc_id long, n_words long, n_removed long, kept_sha256 string, "
         f"kept_text string, repeats {_SPAN}")
