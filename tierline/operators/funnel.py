@@ -2,16 +2,12 @@
 tables (campaign performance ranked in channel, advertiser revenue with industry
 share), plus the country x industry pivot.
 
-Two equal forms of the campaign aggregate:
-
-* ``build_funnel`` + ``aggregate_funnel``: the LEFT JOIN chain and one GROUP BY.  An
-  impression with k clicks is counted k times and its cost summed k times (and a
-  click once per conversion); this fan-out is part of the contract.
-* ``campaign_rollup`` (default): the same numbers aggregated leaf-first.  A click row
-  carries weight max(1, conversions), an impression row max(1, sum of its click
-  weights); counts and costs are sums of weights and cost x weight.  Every join
-  meets an already-aggregated side, so no joined row set is ever materialised and
-  the fan-out cannot blow up.
+The contract is that of a LEFT JOIN chain grouped per campaign: an impression with k
+clicks counts k times and its cost k times, and a click once per conversion.
+``campaign_rollup`` gets the same numbers leaf first.  A click row carries weight
+max(1, conversions), an impression row max(1, sum of its click weights); counts and costs
+are sums of weights and cost x weight.  Every join meets an already-aggregated side, so no
+joined row set is ever materialised.  The oracle SQL states the joined form.
 """
 
 from __future__ import annotations
@@ -32,27 +28,6 @@ def drop_orphans(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return out
 
 
-def build_funnel(silver: dict[str, DataFrame], top: str = "campaigns") -> DataFrame:
-    """LEFT JOIN chain from ``top`` (campaigns or advertisers) down to conversions;
-    relations aliased adv, c, a, i, cl, co."""
-    s = drop_orphans(silver)
-    chain = [("c", "campaigns", "advertiser_id"), ("a", "ads", "campaign_id"),
-             ("i", "impressions", "ad_id"), ("cl", "clicks", "impression_id"),
-             ("co", "conversions", "click_id")]
-    if top == "advertisers":
-        df, parent = s["advertisers"].alias("adv"), "adv"
-        links = chain
-    elif top == "campaigns":
-        df, parent = s["campaigns"].alias("c"), "c"
-        links = chain[1:]
-    else:
-        raise ValueError(f"funnel top must be 'advertisers' or 'campaigns', not {top!r}")
-    for alias, table, fk in links:
-        df = df.join(s[table].alias(alias), F.col(f"{alias}.{fk}") == F.col(f"{parent}.id"), "left")
-        parent = alias
-    return df
-
-
 def _metrics(df: DataFrame) -> DataFrame:
     """ctr, cvr (0.0 when the denominator is 0) and cost per conversion (NULL when
     there is no conversion or either cost sum is NULL)."""
@@ -68,22 +43,6 @@ def _metrics(df: DataFrame) -> DataFrame:
     })
 
 
-def aggregate_funnel(funnel: DataFrame) -> DataFrame:
-    """Campaign aggregates over the joined funnel, exactly as grouped rows."""
-    agg = funnel.groupBy(
-        F.col("c.id").alias("campaign_id"), F.col("c.campaign_name"),
-        F.col("c.channel"), F.col("c.objective"),
-    ).agg(
-        F.count(F.col("i.id")).alias("impressions_count"),
-        F.count(F.col("cl.id")).alias("clicks_count"),
-        F.count(F.col("co.id")).alias("conversions_count"),
-        F.sum(F.col("i.cost_usd")).alias("total_impression_cost_usd"),
-        F.sum(F.col("cl.cost_usd")).alias("total_click_cost_usd"),
-        F.sum(F.col("co.value_usd")).alias("total_conversion_value_usd"),
-    )
-    return _metrics(agg)
-
-
 def _sum_type(like: DataFrame, name: str) -> str:
     """The decimal type a plain SUM of the column gives (precision + 10)."""
     dtype = like.schema[name].dataType
@@ -99,9 +58,9 @@ def _as_sum_type(c, like: DataFrame, name: str):
 
 
 def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
-    """Same rows and values as ``aggregate_funnel(build_funnel(silver))``, leaf first,
-    plus ``funnel_rows`` (rows the joined funnel has for the campaign).  Relies on
-    the silver contract of one row per campaign ``id``."""
+    """Campaign aggregates with the fan-out described above, plus ``funnel_rows`` (rows the
+    joined chain would have for the campaign).  Relies on the silver contract of one row
+    per campaign ``id``."""
     s = drop_orphans(silver)
     camp, ads, imp, clk, conv = (s["campaigns"], s["ads"], s["impressions"],
                                  s["clicks"], s["conversions"])
@@ -152,66 +111,47 @@ def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
     return _metrics(agg)
 
 
-def campaign_performance(silver: dict[str, DataFrame], method: str = "rollup",
-                         rank_buckets_per_unit: int = 32, stage=None) -> DataFrame:
+def campaign_performance(silver: dict[str, DataFrame], stage=None) -> DataFrame:
     """Gold table campaign_performance_by_channel: funnel aggregates, ctr/cvr/cost per
     conversion, and ``rank_in_channel`` by conversion value, descending.
 
-    The rank reads its input twice (bucket counts, then rows); ``stage`` (e.g.
+    The rank reads its input twice (value counts, then rows); ``stage`` (e.g.
     write-and-reread) materialises the per-campaign aggregate first so the funnel
     over the event tables runs once."""
-    if method == "rollup":
-        agg = campaign_rollup(silver).drop("funnel_rows")
-    elif method == "join":
-        agg = aggregate_funnel(build_funnel(silver, "campaigns"))
-    else:
-        raise ValueError(f"method must be 'rollup' or 'join', not {method!r}")
+    agg = campaign_rollup(silver).drop("funnel_rows")
     if stage is not None:
         agg = stage(agg, "campaign_agg")
-    return rank_in_group(agg, "channel", "total_conversion_value_usd", "rank_in_channel",
-                         per_unit=rank_buckets_per_unit)
+    return rank_in_group(agg, "channel", "total_conversion_value_usd", "rank_in_channel")
 
 
-def funnel_rows(silver: dict[str, DataFrame], method: str = "rollup") -> DataFrame:
-    """Rows of the five-table joined funnel per campaign (the fan-out made visible);
-    by default counted from the rollup weights, without joining the rows out."""
-    if method == "rollup":
-        return campaign_rollup(silver).select("campaign_id", "funnel_rows")
-    f = build_funnel(silver, "campaigns")
-    return f.groupBy(F.col("c.id").alias("campaign_id")).agg(F.count(F.lit(1)).alias("funnel_rows"))
+def funnel_rows(silver: dict[str, DataFrame]) -> DataFrame:
+    """Rows of the five-table joined funnel per campaign (the fan-out made visible),
+    counted from the rollup weights without joining the rows out."""
+    return campaign_rollup(silver).select("campaign_id", "funnel_rows")
 
 
-def revenue_by_advertiser(silver: dict[str, DataFrame], method: str = "rollup") -> DataFrame:
+def revenue_by_advertiser(silver: dict[str, DataFrame]) -> DataFrame:
     """Per advertiser: total conversion value (0.0 when none, a double) and the number
-    of conversions that reach it through campaign, ad, impression and click."""
-    if method == "join":
-        f = build_funnel(silver, "advertisers")
-        agg = f.groupBy(F.col("adv.id").alias("advertiser_id"), F.col("adv.advertiser_name"),
-                        F.col("adv.industry"), F.col("adv.country")).agg(
-            F.sum(F.col("co.value_usd")).alias("total_revenue_usd"),
-            F.count(F.col("co.id")).alias("conversions_count"))
-    elif method == "rollup":
-        # Conversions are the leaves, so no weights are needed: climb the chain with
-        # inner joins, aggregating on every level's key.  Each parent row a conversion
-        # reaches counts it once, exactly as the joined funnel's rows do.
-        s = drop_orphans(silver)
-        level = (s["conversions"].where(F.col("click_id").isNotNull())
-                 .groupBy(F.col("click_id").alias("_k"))
-                 .agg(F.sum("value_usd").alias("_value"), F.count("id").alias("_conv")))
-        for table, fk in [("clicks", "impression_id"), ("impressions", "ad_id"),
-                          ("ads", "campaign_id"), ("campaigns", "advertiser_id")]:
-            level = (s[table].select(F.col("id").alias("_id"), F.col(fk).alias("_fk"))
-                     .where(F.col("_fk").isNotNull())
-                     .join(level, F.col("_id") == F.col("_k"), "inner")
-                     .groupBy(F.col("_fk").alias("_k"))
-                     .agg(F.sum("_value").alias("_value"), F.sum("_conv").alias("_conv")))
-        adv = s["advertisers"]
-        agg = (adv.join(level, F.col("id") == F.col("_k"), "left")
-               .groupBy(F.col("id").alias("advertiser_id"), "advertiser_name", "industry", "country")
-               .agg(_sum_as("_value", s["conversions"], "value_usd").alias("total_revenue_usd"),
-                    F.coalesce(F.sum("_conv"), F.lit(0)).cast("bigint").alias("conversions_count")))
-    else:
-        raise ValueError(f"method must be 'rollup' or 'join', not {method!r}")
+    of conversions that reach it through campaign, ad, impression and click.
+
+    Conversions are the leaves, so no weights are needed: climb the chain with inner
+    joins, aggregating on every level's key.  Each parent row a conversion reaches counts
+    it once."""
+    s = drop_orphans(silver)
+    level = (s["conversions"].where(F.col("click_id").isNotNull())
+             .groupBy(F.col("click_id").alias("_k"))
+             .agg(F.sum("value_usd").alias("_value"), F.count("id").alias("_conv")))
+    for table, fk in [("clicks", "impression_id"), ("impressions", "ad_id"),
+                      ("ads", "campaign_id"), ("campaigns", "advertiser_id")]:
+        level = (s[table].select(F.col("id").alias("_id"), F.col(fk).alias("_fk"))
+                 .where(F.col("_fk").isNotNull())
+                 .join(level, F.col("_id") == F.col("_k"), "inner")
+                 .groupBy(F.col("_fk").alias("_k"))
+                 .agg(F.sum("_value").alias("_value"), F.sum("_conv").alias("_conv")))
+    agg = (s["advertisers"].join(level, F.col("id") == F.col("_k"), "left")
+           .groupBy(F.col("id").alias("advertiser_id"), "advertiser_name", "industry", "country")
+           .agg(_sum_as("_value", s["conversions"], "value_usd").alias("total_revenue_usd"),
+                F.coalesce(F.sum("_conv"), F.lit(0)).cast("bigint").alias("conversions_count")))
     return agg.withColumn("total_revenue_usd", F.coalesce(F.col("total_revenue_usd"), F.lit(0.0)))
 
 
@@ -221,9 +161,9 @@ def advertiser_revenue_from(revenue: DataFrame) -> DataFrame:
                           "industry_total_revenue_usd", "revenue_share_in_industry")
 
 
-def advertiser_revenue(silver: dict[str, DataFrame], method: str = "rollup", stage=None) -> DataFrame:
+def advertiser_revenue(silver: dict[str, DataFrame], stage=None) -> DataFrame:
     """Gold table advertiser_revenue_by_industry (``stage``: as in campaign_performance)."""
-    revenue = revenue_by_advertiser(silver, method)
+    revenue = revenue_by_advertiser(silver)
     if stage is not None:
         revenue = stage(revenue, "advertiser_revenue")
     return advertiser_revenue_from(revenue)

@@ -6,8 +6,8 @@ Scale notes
   window group limit before the shuffle: a key holding a third of all rows is cut
   to one row per map task before it reaches a reducer.
 * ``flag_orphans`` joins against the distinct parent keys.  NULL foreign keys can
-  never match, so they are spread over ``null_salt`` hash buckets instead of all
-  landing in one reducer; a hot non-NULL key is split by AQE's skew-join handling.
+  never match, so each is dealt by a hash of its whole row; a hot non-NULL key is split
+  by AQE's skew-join handling, or explicitly with ``split_hot_keys``.
 * metrics are single-pass aggregates with map-side partial aggregation.
 """
 
@@ -20,6 +20,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import MapType, TimestampNTZType, TimestampType, VariantType
 
+from tierline.sources.tables import stage
+
 _ORDERABLE_EXCLUDED = (MapType, VariantType)
 
 
@@ -59,15 +61,14 @@ def dedup_metrics(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
 
 
 def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
-                 flag: str | None = None, null_salt: int = 64,
-                 split_hot_keys: int = 0, hot_min_rows: int = 1_000_000, hot_salt: int = 32) -> DataFrame:
+                 flag: str | None = None, split_hot_keys: bool = False) -> DataFrame:
     """Add ``flag`` (default ``is_orphan_<fk>``) = no parent row has ``parent_key`` equal
     to ``fk``.  Every row is kept; a NULL ``fk`` is an orphan.
 
-    ``split_hot_keys=K`` salts hot keys explicitly instead of leaving them to AQE: a
-    distributed top-K finds up to K keys with at least ``hot_min_rows`` rows (at most K
-    rows reach the driver); their child rows are spread over ``hot_salt`` buckets and
-    only those parent keys are repeated per bucket.
+    ``split_hot_keys`` splits hot keys explicitly instead of leaving them to AQE: every
+    key with more than 1/(4 x shuffle partitions) of the rows, so at most 4 x partitions
+    keys, is found by a partially aggregated count; its child rows are dealt over as many
+    buckets as it has such shares, and only those parent keys are repeated per bucket.
     """
     flag = flag or f"is_orphan_{fk}"
     # Compare in the wider of the two integer types, and cast the parent side before
@@ -77,31 +78,36 @@ def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
     key_t = _wider_integral(child_t, parent_t)
     pkey = F.col(parent_key) if key_t is None or key_t == parent_t else F.col(parent_key).cast(key_t)
     valid = parent.select(pkey.alias("_valid_id")).distinct()
-    # Join key: the FK itself, or a hash bucket for NULL FKs (spreads them out); the
-    # extra isNotNull term keeps a bucket number from ever matching a real key.
     row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    salt = F.pmod(row_hash, F.lit(null_salt))
     ckey = F.col(fk) if key_t is None or key_t == child_t else F.col(fk).cast(key_t)
-    keyed = df.withColumn("_fk_key", F.coalesce(ckey, salt.cast(key_t or child_t)))
+    # A NULL FK takes its row's hash as key; the isNotNull term keeps it from matching.
+    room = {"tinyint": 127, "smallint": 32767}.get((key_t or child_t).simpleString(), 2147483647)
+    keyed = df.withColumn("_fk_key", F.coalesce(ckey, F.pmod(row_hash, F.lit(room)).cast(key_t or child_t)))
     cond = (F.col("_fk_key") == F.col("_valid_id")) & F.col(fk).isNotNull()
-    hot = _hot_keys(keyed, fk, split_hot_keys, hot_min_rows) if split_hot_keys > 0 else []
-    if hot:
-        is_hot = F.col("_fk_key").isin(hot)
-        keyed = keyed.withColumn("_hs", F.when(is_hot, F.pmod(row_hash, F.lit(hot_salt))).otherwise(F.lit(0)))
-        buckets = F.when(F.col("_valid_id").isin(hot), F.sequence(F.lit(0), F.lit(hot_salt - 1)))
-        valid = valid.withColumn("_vs", F.explode(buckets.otherwise(F.array(F.lit(0)))))
+    if split_hot_keys:
+        hot = _hot_keys(df.select(ckey.alias("_fk_key")))
+        runs = F.broadcast(hot.select(F.col("_fk_key").alias("_hot_key"), "_runs"))
+        keyed = (keyed.join(runs, (F.col("_fk_key") == F.col("_hot_key")) & F.col(fk).isNotNull(), "left")
+                 .withColumn("_hs", F.pmod(row_hash, F.coalesce("_runs", F.lit(1))))
+                 .drop("_hot_key", "_runs"))
+        valid = (valid.join(runs, F.col("_valid_id") == F.col("_hot_key"), "left")
+                 .withColumn("_vs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_runs", F.lit(1)) - 1)))
+                 .drop("_hot_key", "_runs"))
         cond = cond & (F.col("_hs") == F.col("_vs"))
     joined = keyed.join(valid, cond, "left")
     return joined.withColumn(flag, F.col("_valid_id").isNull()).drop("_valid_id", "_fk_key", "_hs", "_vs")
 
 
-def _hot_keys(keyed: DataFrame, fk: str, k: int, min_rows: int) -> list:
-    """Up to ``k`` non-NULL keys with at least ``min_rows`` rows: a partially
-    aggregated count and a distributed top-k, so at most ``k`` rows are collected."""
-    top = (keyed.where(F.col(fk).isNotNull())
-                .groupBy("_fk_key").count().where(F.col("count") >= min_rows)
-                .orderBy(F.col("count").desc()).limit(k).collect())
-    return [r[0] for r in top]
+def _hot_keys(keys: DataFrame) -> DataFrame:
+    """Keys with more than 1/(4 x shuffle partitions) of the rows, and in how many runs to
+    deal them: at most 4 x partitions rows.  The counts are staged, so ``keys`` is
+    evaluated once."""
+    spark = keys.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = stage(keys.where(F.col("_fk_key").isNotNull()).groupBy("_fk_key").agg(F.count(F.lit(1)).alias("_n")),
+                   "fk-counts", spark)
+    share = max(1, int(counts.agg(F.sum("_n")).first()[0] or 0) // (4 * parts))
+    return counts.where(F.col("_n") > share).select("_fk_key", F.ceil(F.col("_n") / share).alias("_runs"))
 
 
 _INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]

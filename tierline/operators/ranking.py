@@ -1,22 +1,19 @@
 """Group-relative operators: rank within a group, share of the group total, pivot.
 
 The groups here (channel, industry, country) have a handful of values, so a plain
-``Window.partitionBy(group)`` would put a whole group -- possibly a third of all
-rows -- into one task.  Both operators are written so no task ever holds a whole
-group:
+``Window.partitionBy(group)`` would put a whole group -- possibly a third of all rows --
+into one task.
 
 * ``rank_in_group``: rank = 1 + rows of the group with a strictly larger value.  Rows
-  are first counted per distinct value (so a repeated value is one row), the values
-  split into buckets by a fixed monotone function of the value (a signed log), counted
-  per (group, bucket) in one partial aggregate, ranked inside (group, bucket), and
-  offset by the counts of the higher buckets.  Equal values always share a bucket,
-  so ties stay exact.
-* ``share_of_group``: group totals by a partially-aggregated ``groupBy`` joined back
-  on the group.
-
-Both small sides (group totals; per-(group, bucket) rank offsets) are broadcast only
-after ``bounded_broadcast`` has proven them small by fetching at most a fixed number
-of rows; beyond that they are joined by a shuffle (and AQE may still broadcast).
+  are counted per distinct (group, value), so a repeated value is one row; those are
+  range-partitioned on (group, value), whose boundaries Spark samples from the data;
+  each range is counted, and a value's rank is the counts of the group's earlier ranges
+  plus the larger values of its own range.  A value lies in one range whole, so ties are
+  exact.  NULL values come last: their rank is the group's other rows + 1.
+* ``share_of_group``: group totals by a partially aggregated ``groupBy``.
+
+Rows then take their rank or total by ``join_spread``, which keeps hot keys out of the
+shuffle whether or not adaptive execution is on.
 """
 
 from __future__ import annotations
@@ -26,83 +23,46 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame | None:
-    """``df`` as a broadcast relation when it has at most ``max_rows`` rows, else None.
-
-    The check fetches at most ``max_rows + 1`` rows (one job over an already
-    aggregated frame), so the size bound is proven, not estimated; the rows become a
-    local relation, so the main plan does not recompute them."""
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
-
-def value_bucket(value, per_unit: int):
-    """Order-reversing bucket of a numeric value: larger values get smaller numbers,
-    equal values the same one.  ``signum(v) * log1p(|v|)`` is monotone over all reals
-    and below 710 in magnitude for every finite double, so finite values fall in
-    [-710 * per_unit, 710 * per_unit] -- a fixed bound.  NaN (largest in Spark's
-    order) and +inf come first, -inf and NULL last."""
-    v = F.col(value).cast("double")
-    top = 711 * per_unit
-    scaled = F.signum(v) * F.log1p(F.abs(v)) * F.lit(float(per_unit))
-    return (F.when(F.col(value).isNull(), F.lit(top + 2))
-             .when(F.isnan(v), F.lit(-top - 3))
-             .when(v == float("inf"), F.lit(-top - 2))
-             .when(v == float("-inf"), F.lit(top + 1))
-             .otherwise(-F.floor(scaled))
-             .cast("bigint"))
+from tierline.operators.spread import join_spread
+from tierline.sources.tables import stage
 
 
-def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank",
-                  per_unit: int = 32, max_broadcast_rows: int = 200_000) -> DataFrame:
-    """SQL ``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``.
-
-    rank = 1 + rows of the group with a larger value.  Equal values share their rank,
-    so the ranking runs over *distinct* values with their row counts:
-
-    1. rows per (group, value): a partial aggregate, so a value repeated by a third
-       of all rows is one row from here on;
-    2. per (group, bucket) totals of those counts, turned into the number of rows in
-       all higher buckets (the offset); small, broadcast when proven small;
-    3. a window inside (group, bucket) over distinct values adds the rows of larger
-       values in the same bucket;
-    4. rows take their value's rank by an equi-join on (group, value).
-
-    ``per_unit=0`` gives the plain single-window form (one task per group).
-    """
-    if per_unit <= 0:
-        w = Window.partitionBy(group).orderBy(F.col(value).desc_nulls_last())
-        return df.withColumn(out, F.rank().over(w))
+def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:
+    """``_g, _v, _n, _rank``: every distinct (group, value) with its rows and rank."""
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (df.groupBy(F.col(group).alias("_g"), F.col(value).alias("_v"))
-                .agg(F.count(F.lit(1)).alias("_n"))
-                .withColumn("_b", value_bucket("_v", per_unit)))
-    offsets = (counts.groupBy(F.col("_g").alias("_og"), F.col("_b").alias("_ob"))
-               .agg(F.sum("_n").alias("_bn"))
-               .withColumn("_offset", F.coalesce(
-                   F.sum("_bn").over(Window.partitionBy("_og").orderBy("_ob")
-                                     .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)))
-               .drop("_bn"))
-    offsets = bounded_broadcast(offsets, max_broadcast_rows) or offsets
-    larger = (Window.partitionBy("_g", "_b").orderBy(F.col("_v").desc_nulls_last())
+                .agg(F.count(F.lit(1)).alias("_n")))
+    ranged = stage(counts.repartitionByRange(parts, F.col("_g"), F.col("_v").desc_nulls_last())
+                   .withColumn("_range", F.spark_partition_id()), "rank-ranges", spark)
+    known = ranged.where("_v IS NOT NULL")
+    sums = known.groupBy("_g", "_range").agg(F.sum("_n").alias("_in_range"))
+    earlier = Window.partitionBy("_g").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sums.select(F.col("_g").alias("_og"), F.col("_range").alias("_or"),
+                          F.coalesce(F.sum("_in_range").over(earlier), F.lit(0)).alias("_offset"))
+    larger = (Window.partitionBy("_g", "_range").orderBy(F.col("_v").desc())
               .rowsBetween(Window.unboundedPreceding, -1))
-    ranks = (counts.withColumn("_above", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
-                   .join(offsets, F.col("_g").eqNullSafe(F.col("_og")) & (F.col("_b") == F.col("_ob")), "left")
-                   .select("_g", "_v", (F.col("_offset") + F.col("_above") + 1).cast("int").alias("_rank")))
-    on = F.col(group).eqNullSafe(F.col("_g")) & F.col(value).eqNullSafe(F.col("_v"))
-    return df.join(ranks, on, "left").withColumn(out, F.col("_rank")).drop("_g", "_v", "_rank")
+    ranks = (known.withColumn("_above", F.coalesce(F.sum("_n").over(larger), F.lit(0)))
+             .join(offsets, F.col("_g").eqNullSafe(F.col("_og")) & (F.col("_range") == F.col("_or")))
+             .select("_g", "_v", "_n", (F.col("_offset") + F.col("_above") + 1).cast("int").alias("_rank")))
+    others = sums.groupBy(F.col("_g").alias("_og")).agg(F.sum("_in_range").alias("_known"))
+    last = (ranged.where("_v IS NULL").join(others, F.col("_g").eqNullSafe(F.col("_og")), "left")
+            .select("_g", "_v", "_n", (F.coalesce("_known", F.lit(0)) + 1).cast("int").alias("_rank")))
+    return stage(ranks.unionByName(last), "value-ranks", spark)
+
+
+def rank_in_group(df: DataFrame, group: str, value: str, out: str = "rank") -> DataFrame:
+    """SQL ``rank() OVER (PARTITION BY group ORDER BY value DESC NULLS LAST)``."""
+    ranks = value_ranks(df, group, value)
+    return (join_spread(df, ranks, {group: "_g", value: "_v"}, "_n").withColumnRenamed("_rank", out))
 
 
-def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str,
-                   max_broadcast_groups: int = 100_000) -> DataFrame:
+def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str) -> DataFrame:
     """Add ``total`` = sum of ``value`` over the row's ``group`` (NULL is a group of its
     own, as in a window) and ``share`` = value / total (0.0 when the total is 0 or NULL)."""
-    totals = df.groupBy(F.col(group).alias("_g")).agg(F.sum(value).alias(total))
-    totals = bounded_broadcast(totals, max_broadcast_groups) or totals
-    out = df.join(totals, F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
+    totals = stage(df.groupBy(F.col(group).alias("_g")).agg(F.sum(value).alias(total), F.count(F.lit(1)).alias("_n")),
+                   "group-totals", df.sparkSession)
+    out = join_spread(df, totals, {group: "_g"}, "_n")
     return out.withColumn(
         share,
         F.when(F.col(total) != 0, F.col(value) / F.col(total)).otherwise(F.lit(0.0)),
@@ -112,9 +72,12 @@ def share_of_group(df: DataFrame, group: str, value: str, total: str, share: str
 def pivot_sum(df: DataFrame, row: str | Sequence[str], column: str, value: str,
               values: Sequence | None = None) -> DataFrame:
     """Rows = ``row``, one column per value of ``column`` (sorted), cell = sum of
-    ``value`` (NULL where no row).  Passing ``values`` skips the job that finds the
-    headings."""
+    ``value`` (NULL where no row).  The headings come from the data; ``values`` gives them
+    beforehand and skips that job.  A value that is not listed then fails the query,
+    rather than being left out without a word."""
     rows = [row] if isinstance(row, str) else list(row)
-    grouped = df.groupBy(*rows)
-    pivoted = grouped.pivot(column, sorted(values) if values is not None else None)
-    return pivoted.agg(F.sum(value))
+    if values is not None:
+        unknown = F.raise_error(F.concat(F.lit(f"{column} has a value outside the given headings: "),
+                                         F.coalesce(F.col(column).cast("string"), F.lit("NULL"))))
+        df = df.withColumn(column, F.when(F.col(column).isin(list(values)), F.col(column)).otherwise(unknown))
+    return df.groupBy(*rows).pivot(column, sorted(values) if values is not None else None).agg(F.sum(value))

@@ -28,7 +28,7 @@ t_ads AS (
   FROM lineitem),
 t_events AS (
   SELECT event_id, ts, user_id, event_type, value,
-         max(CASE WHEN event_type = 'view' THEN event_id END) OVER w AS last_view,
+         max(CASE WHEN event_type IN ('view', 'error') THEN event_id END) OVER w AS last_view,
          max(CASE WHEN event_type = 'click' THEN event_id END) OVER w AS last_click
   FROM events
   WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
@@ -36,17 +36,17 @@ t_views AS (
   SELECT event_id AS id, (user_id * 100 + event_id % 100) * 10 + 1 + event_id % 7 AS ad_id,
          ts AS "timestamp", 'US' AS country,
          CASE WHEN event_id % 100 = 0 THEN 0.0E0 ELSE value / 1000 END AS cost_usd
-  FROM t_events WHERE event_type = 'view'),
+  FROM t_events WHERE event_type IN ('view', 'error')),
 t_impressions AS (
   SELECT * FROM t_views UNION ALL SELECT * FROM t_views WHERE id % 200 < 10),
 t_clicks AS (
-  SELECT event_id AS id, CASE WHEN event_id % 200 = 1 THEN 9999999 ELSE last_view END AS impression_id,
+  SELECT event_id AS id, CASE WHEN event_id % 200 = 1 THEN -9999999 ELSE last_view END AS impression_id,
          ts AS "timestamp", value AS cost_usd
   FROM t_events WHERE event_type = 'click'),
 t_conversions AS (
-  SELECT event_id AS id, CASE WHEN event_id % 100 = 1 THEN 8888888 ELSE last_click END AS click_id,
+  SELECT event_id AS id, CASE WHEN event_id % 100 = 1 THEN -8888888 ELSE last_click END AS click_id,
          ts AS "timestamp", value AS value_usd
-  FROM t_events WHERE event_type = 'purchase')
+  FROM t_events WHERE event_type IN ('purchase', 'signup'))
 """
 
 # Silver rules restated: keep-first by the full row order, FK flags by NOT EXISTS,
@@ -203,11 +203,34 @@ UPSERT = with_ctes("""
 target AS (SELECT * FROM orders WHERE o_orderkey % 10 < 8)""", """
 source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
                   o_orderpriority
-           FROM orders WHERE o_orderkey % 2 = 0)""", body="""
+           FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 10 = 9)""", body="""
 SELECT * FROM source
 UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)""")
 
+MERGE_EVENTS = with_ctes("""
+source AS (SELECT event_id, ts + INTERVAL 1 DAY AS ts, user_id, event_type, value + 1.0 AS value, props
+           FROM events WHERE event_id % 3 = 0)""", body="""
+SELECT * FROM source UNION ALL SELECT * FROM events WHERE event_id % 3 <> 0""")
+
+_SUMMARY_STEPS = [("bronze", e, f"(SELECT count(*) FROM t_{e})", "NULL", "NULL") for e in
+                  ["advertisers", "campaigns", "ads", "impressions", "clicks", "conversions"]] + [
+    ("silver", e, f"(SELECT count(*) FROM s_{e})",
+     f"(SELECT count(*) FROM t_{e}) - (SELECT count(*) FROM d_{e})",
+     {"clicks": "(SELECT count(*) FROM s_clicks WHERE is_orphan_impression_id)",
+      "conversions": "(SELECT count(*) FROM s_conversions WHERE is_orphan_click_id)"}.get(e, "0"))
+    for e in ["advertisers", "campaigns", "ads", "impressions", "clicks", "conversions"]] + [
+    ("gold", "campaign_performance_by_channel", "(SELECT count(*) FROM s_campaigns)", "NULL", "NULL"),
+    ("gold", "advertiser_revenue_by_industry", "(SELECT count(*) FROM s_advertisers)", "NULL", "NULL"),
+    ("gold", "revenue_by_country_industry_pivot", "(SELECT count(DISTINCT country) FROM s_advertisers)", "NULL", "NULL"),
+]
+
+RUN_SUMMARY = with_ctes(TESTBED, SILVER, body="\nUNION ALL ".join(
+    f"SELECT {n + 1} AS step, '{layer}' AS layer, '{entity}' AS entity, 'OK' AS status, "
+    f"CAST({rows} AS BIGINT) AS rows, CAST({dups} AS BIGINT) AS duplicates_removed, "
+    f"CAST({orphans} AS BIGINT) AS orphans, CAST(NULL AS VARCHAR) AS error, true AS in_catalog"
+    for n, (layer, entity, rows, dups, orphans) in enumerate(_SUMMARY_STEPS)))
+
 ORACLE: dict[str, str] = {
     "gold_campaign_performance": GOLD_CAMPAIGN_PERFORMANCE,
     "funnel_rows": with_ctes(TESTBED, SILVER, body=f"""
@@ -312,10 +335,16 @@ FROM checks"""),
     "merge_first_run": "SELECT * FROM orders",
     "merge_upsert": UPSERT,
     "merge_rerun_idempotent": UPSERT,
+    "merge_changed_partitions": UPSERT,
+    "merge_key_width": UPSERT,
+    "merge_null_day": MERGE_EVENTS,
     "overwrite_roundtrip": "SELECT * FROM nation",
     "ingest_incremental": "SELECT * FROM events",
     "ingest_schema_evolution": """
 SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN length(props) END AS props_len FROM events""",
+    "bronze_catalog": """
+SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN length(props) END AS props_len FROM events""",
+    "run_summary": RUN_SUMMARY,
     "event_window": """
 SELECT * FROM events WHERE ts >= TIMESTAMP '2024-01-10 00:00:00' AND ts < TIMESTAMP '2024-01-13 00:00:00'""",
 }

@@ -2,16 +2,16 @@
 run-all orchestration with a summary table (L5).
 
 Every table lives below one ``base`` folder on shared storage (``Layout``): landing
-JSON, bronze parquet datasets, and catalog tables for silver and gold in the
-schemas ``bronze_<domain>``, ``silver_<domain>``, ``gold_<domain>``.
+JSON, and catalog tables for bronze, silver and gold in the schemas ``bronze_<domain>``, ``silver_<domain>``, ``gold_<domain>``.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,21 +20,24 @@ from tierline.operators.quality import event_window
 from tierline.operators.silver import build_silver
 from tierline.rules import REGISTRY, EntityRule, build_order, get_rule
 from tierline.sources.landing import land_json
-from tierline.sources.tables import PART_COL, ensure_schemas, event_day, merge_upsert, overwrite_table, stage
-from tierline.streaming.incremental import load_new_files, read_bronze
+from tierline.sources.tables import (PART_COL, ensure_schemas, event_day, merge_upsert, overwrite_table,
+                                     set_table_properties, stage, table_exists, table_properties)
+from tierline.streaming.incremental import (BATCH_COL, has_schema, load_new_files, read_bronze, record_empty,
+                                            register_bronze)
 
 
 @dataclass(frozen=True)
 class Layout:
     base: str
     domain: str = "ads"
-    upsert_partitions: int | None = 16
+    # Dimensions are partitioned by a hash of the key: as many partitions as their first
+    # load has multiples of this many rows, recorded with the table.
+    rows_per_partition: int = 1_000_000
     # An event id may reappear on another day (ids restart daily in the source feed), so
     # each upsert also finds the days already holding the incoming ids.  False: skip it.
     event_keys_may_move: bool = True
-    # Explicit hot-key splitting in FK checks (0: leave hot keys to AQE's skew join).
-    split_hot_fk_keys: int = 0
-    hot_fk_min_rows: int = 10_000_000
+    # Explicit hot-key splitting in FK checks (off: leave hot keys to AQE's skew join).
+    split_hot_fk_keys: bool = False
 
     @property
     def landing(self) -> str:
@@ -66,35 +69,94 @@ def setup_schemas(spark: SparkSession, layout: Layout) -> list[str]:
 
 
 def bronze_load(spark: SparkSession, layout: Layout, entity: str, source: DataFrame,
-                run_date: str | _dt.date | None = None) -> int:
-    """L1: land ``source`` as JSON Lines for ``run_date`` and load the new files into
-    the entity's bronze dataset.  Returns the rows the bronze dataset holds."""
-    get_rule(entity)
+                run_date: str | _dt.date | None = None, registry: dict[str, EntityRule] | None = None) -> int:
+    """L1: land ``source`` as JSON Lines for ``run_date``, load the new files into the
+    entity's bronze dataset and list it in the catalog.  Returns the rows the bronze
+    table holds (parquet footers only)."""
+    get_rule(entity, registry)
     land_json(source, layout.landing, entity, run_date)
-    load_new_files(spark, f"{layout.landing}/{entity}", layout.bronze_path(entity))
-    return read_bronze(spark, layout.bronze_path(entity)).count()
+    path = layout.bronze_path(entity)
+    load_new_files(spark, f"{layout.landing}/{entity}", path)
+    if not has_schema(spark, path):       # nothing but empty files so far
+        record_empty(spark, path, source)
+    register_bronze(spark, layout.table("bronze", entity), path)
+    return spark.table(layout.table("bronze", entity)).count()
+
+
+# Table property: the bronze loads a silver table has taken in, its own and its parents'.
+SEEN_PROPERTY = "tierline.seen_loads"
+
+
+def _loads(bronze: DataFrame) -> int:
+    """The latest load of a bronze dataset (-1: none), from its partition column alone."""
+    last = bronze.agg(F.max(BATCH_COL).alias("m")).first().m
+    return -1 if last is None else int(last)
+
+
+def _affected(spark: SparkSession, layout: Layout, rule: EntityRule, bronze: DataFrame, seen: dict) -> DataFrame:
+    """Bronze rows that the loads since ``seen`` can change in silver: every row, old or
+    new, of a key that has a new row or that points at a newly loaded parent key.  (Of
+    rows with a NULL key only the new ones: such rows never match in an upsert.)"""
+    keys = list(rule.primary_key)
+    fresh = bronze.where(F.col(BATCH_COL) > seen[rule.name])
+    touched = fresh.select(*keys)
+    for fk in rule.fk_checks:
+        parent = (read_bronze(spark, layout.bronze_path(fk.parent), keep_batch=True)
+                  .where(F.col(BATCH_COL) > seen[fk.parent]).select(F.col(fk.parent_key).alias("_pk")).distinct())
+        touched = touched.unionByName(
+            bronze.join(parent, F.col(fk.child_column) == F.col("_pk"), "left_semi").select(*keys))
+    touched = stage(touched.dropDuplicates().dropna(), "silver-keys", spark)
+    unkeyed = F.lit(False)
+    for k in keys:
+        unkeyed = unkeyed | F.col(k).isNull()
+    return bronze.join(touched, keys, "left_semi").unionByName(fresh.where(unkeyed))
 
 
 def silver_build(spark: SparkSession, layout: Layout, entity: str,
-                 registry: dict[str, EntityRule] | None = None) -> int:
+                 registry: dict[str, EntityRule] | None = None) -> dict:
     """L2: bronze -> dedup -> FK flags (against the parents' silver tables) -> casts ->
-    named transforms -> trim -> upsert into the silver table.  Returns rows written."""
+    named transforms -> trim -> upsert into the silver table.
+
+    The first run takes all of bronze.  Later runs take the keys that loads since the
+    last run can change (see ``_affected``) with all their bronze rows, so the result
+    equals a full rebuild while days without such keys are not rewritten.  The loads
+    taken in are recorded with the table after the upsert; a run that fails before that
+    takes them again.
+
+    Returns ``rows`` (the silver table's), ``rows_written``, ``duplicates_removed`` and
+    ``orphans`` (of the rows taken in this run)."""
     rule = get_rule(entity, registry)
-    raw = read_bronze(spark, layout.bronze_path(entity))
+    table = layout.table("silver", entity)
+    bronze = read_bronze(spark, layout.bronze_path(entity), keep_batch=True)
+    names = [entity, *[fk.parent for fk in rule.fk_checks]]
+    loads = {n: _loads(bronze if n == entity else read_bronze(spark, layout.bronze_path(n), keep_batch=True))
+             for n in names}
+    seen = json.loads(table_properties(spark, table).get(SEEN_PROPERTY, "{}")) if table_exists(spark, table) else {}
+    if all(n in seen for n in names):
+        if all(seen[n] >= loads[n] for n in names):
+            return {"rows": spark.table(table).count(), "rows_written": 0, "duplicates_removed": 0, "orphans": 0}
+        bronze = _affected(spark, layout, rule, bronze, seen)
     parents = {fk.parent: spark.table(layout.table("silver", fk.parent)) for fk in rule.fk_checks}
-    fk_options = ({"split_hot_keys": layout.split_hot_fk_keys, "hot_min_rows": layout.hot_fk_min_rows}
-                  if layout.split_hot_fk_keys else None)
-    df = build_silver(raw, rule, parents, fk_options=fk_options)
+    taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
+    raw = bronze.drop(BATCH_COL).observe(taken, F.count(F.lit(1)).alias("rows"))
+    df = build_silver(raw, rule, parents,
+                      fk_options={"split_hot_keys": True} if layout.split_hot_fk_keys else None)
+    flags = [F.count_if(F.col(fk.flag)).alias(fk.flag) for fk in rule.fk_checks]
+    df = df.observe(kept, F.count(F.lit(1)).alias("rows"), *flags)
     if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
         layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time],
                        "keys_may_move": layout.event_keys_may_move}
     else:                # dimensions: hash of the key
-        layout_args = {"partitions": layout.upsert_partitions}
+        layout_args = {"rows_per_partition": layout.rows_per_partition}
     # dedup on the primary key already leaves one row per key: no second pass to check it
     unique = tuple(rule.dedup_keys) == tuple(rule.primary_key)
-    result = merge_upsert(spark, layout.table("silver", entity), df, list(rule.primary_key),
+    result = merge_upsert(spark, table, df, list(rule.primary_key),
                           path=layout.table_path("silver", entity), check_unique=not unique, **layout_args)
-    return result["rows_written"]
+    set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)})
+    before, after = taken.get, kept.get
+    return {"rows": spark.table(table).count(), "rows_written": result["rows_written"],
+            "duplicates_removed": before.get("rows", 0) - after.get("rows", 0),
+            "orphans": sum(after.get(fk.flag, 0) for fk in rule.fk_checks)}
 
 
 def silver_events(spark: SparkSession, layout: Layout, entity: str, start=None, end=None) -> DataFrame:
@@ -105,16 +167,17 @@ def silver_events(spark: SparkSession, layout: Layout, entity: str, start=None,
     if not rule.is_event or not rule.event_time:
         raise ValueError(f"{entity} is a dimension, not an event entity")
     table = spark.table(layout.table("silver", entity))
-    rows = event_window(table, rule.event_time, start, end)
-    days = _window_days(start, end)
+    today = _dt.datetime.now(_dt.timezone.utc).date()    # resolved once for both filters
+    rows = event_window(table, rule.event_time, start, end, today)
+    days = _window_days(start, end, today)
     return rows.where(F.col(PART_COL).between(*days)).drop(PART_COL)
 
 
-def _window_days(start, end) -> tuple[int, int]:
+def _window_days(start, end, today: _dt.date) -> tuple[int, int]:
     """UTC day numbers bounding the F4 window (partition pruning on ``_part``)."""
     epoch = _dt.date(1970, 1, 1)
     if start is None:
-        day = _dt.datetime.now(_dt.timezone.utc).date() - _dt.timedelta(days=1)
+        day = today - _dt.timedelta(days=1)
         return (day - epoch).days, (day - epoch).days
     lo = _dt.date.fromisoformat(str(start))
     hi = _dt.date.fromisoformat(str(end)) if end is not None else lo
@@ -122,7 +185,7 @@ def _window_days(start, end) -> tuple[int, int]:
 
 
 def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
-    return {e: spark.table(layout.table("silver", e)).drop("_part") for e in REGISTRY}
+    return {e: spark.table(layout.table("silver", e)).drop(PART_COL) for e in REGISTRY}
 
 
 def gold_campaign_performance(spark: SparkSession, layout: Layout) -> int:
@@ -146,21 +209,39 @@ def gold_advertiser_revenue(spark: SparkSession, layout: Layout, industries=None
     }
 
 
+def sorted_campaign_performance(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The L3 table in display order: by channel, then rank."""
+    return spark.table(layout.table("gold", "campaign_performance_by_channel")).orderBy("channel", "rank_in_channel")
+
+
+def sorted_advertiser_revenue(spark: SparkSession, layout: Layout) -> DataFrame:
+    """The L4 table in display order: by industry, then share, largest first."""
+    return spark.table(layout.table("gold", "advertiser_revenue_by_industry")).orderBy(
+        F.col("industry"), F.col("revenue_share_in_industry").desc())
+
+
 SUMMARY_SCHEMA = T.StructType([
     T.StructField("step", T.IntegerType()),
     T.StructField("layer", T.StringType()),
     T.StructField("entity", T.StringType()),
     T.StructField("status", T.StringType()),
     T.StructField("rows", T.LongType()),
+    T.StructField("duplicates_removed", T.LongType()),
+    T.StructField("orphans", T.LongType()),
+    T.StructField("error", T.StringType()),
 ])
 
 
 def run_all(spark: SparkSession, layout: Layout, sources: dict[str, DataFrame],
-            run_date: str | _dt.date | None = None, raise_on_error: bool = True) -> DataFrame:
+            run_date: str | _dt.date | None = None, raise_on_error: bool = True,
+            registry: dict[str, EntityRule] | None = None) -> DataFrame:
     """L5: schemas, then bronze for every entity (registry order), silver for every
     entity (parents first), then both gold builds.  Stops at the first failure: it is
-    re-raised, or with ``raise_on_error=False`` the summary ends with the failed step.
-    The summary has one row per step (a handful of rows, built on the driver)."""
+    re-raised, or with ``raise_on_error=False`` the summary ends with the failed step and
+    its error.  The summary has one row per step (a handful of rows, built on the
+    driver): the rows the table holds, and for silver the duplicates removed and orphans
+    flagged in this run."""
+    registry = REGISTRY if registry is None else registry
     setup_schemas(spark, layout)
     steps: list[tuple] = []
 
@@ -169,24 +250,25 @@ def run_all(spark: SparkSession, layout: Layout, sources: dict[str, DataFrame],
 
     def record(layer: str, names: list[str], fn):
         try:
-            rows = fn()
-        except Exception:
-            steps.append((len(steps) + 1, layer, names[0], "ERROR", None))
+            got = fn()
+        except Exception as e:
+            steps.append((len(steps) + 1, layer, names[0], "ERROR", None, None, None, f"{type(e).__name__}: {e}"[:2000]))
             if raise_on_error:
                 raise
             raise _Stop() from None
-        counts = rows if isinstance(rows, dict) else {names[0]: rows}
         for name in names:
-            steps.append((len(steps) + 1, layer, name, "OK", int(counts[name])))
+            d = got if layer == "silver" else {"rows": got[name] if isinstance(got, dict) else got}
+            steps.append((len(steps) + 1, layer, name, "OK", int(d["rows"]), d.get("duplicates_removed"),
+                          d.get("orphans"), None))
 
     try:
-        for entity in REGISTRY:
+        for entity in registry:
             if entity in sources:
                 record("bronze", [entity],
-                       lambda e=entity: bronze_load(spark, layout, e, sources[e], run_date))
-        for entity in build_order():
+                       lambda e=entity: bronze_load(spark, layout, e, sources[e], run_date, registry))
+        for entity in build_order(registry):
             if entity in sources:
-                record("silver", [entity], lambda e=entity: silver_build(spark, layout, e))
+                record("silver", [entity], lambda e=entity: silver_build(spark, layout, e, registry))
         record("gold", ["campaign_performance_by_channel"], lambda: gold_campaign_performance(spark, layout))
         record("gold", ["advertiser_revenue_by_industry", "revenue_by_country_industry_pivot"],
                lambda: gold_advertiser_revenue(spark, layout))

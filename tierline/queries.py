@@ -29,7 +29,7 @@ from tierline.session import scratch_dir
 from tierline.sources.landing import land_json
 from tierline.sources.tables import (PART_COL, ensure_schemas, list_tables, merge_upsert, overwrite_table,
                                      stage, table_exists)
-from tierline.streaming.incremental import load_new_files, read_bronze
+from tierline.streaming.incremental import BATCH_COL, load_new_files, read_bronze, register_bronze
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -82,16 +82,12 @@ def q_gold_advertiser_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_gold_revenue_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
     rev = funnel.revenue_by_advertiser(silver_testbed(spark, sf_dir))
-    piv = funnel.revenue_pivot(rev, SEGMENTS)
-    return _r(piv, {c: 6 for c in SEGMENTS})
+    piv = funnel.revenue_pivot(stage(rev, "pivot-revenue", spark))     # headings from the data
+    return _r(piv, {c: 6 for c in piv.columns if c != "country"})
 
 
 # ---- window / group operators on the driver's tables ------------------------------
 
-# The market segments of the customer table (pivot headings).
-SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
-
-
 def q_rank_in_channel(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = tb.read_table(spark, sf_dir, "orders").select(
         "o_orderkey", F.col("o_orderpriority").alias("channel"), "o_totalprice")
@@ -111,7 +107,8 @@ def q_pivot_country_industry(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = tb.read_table(spark, sf_dir, "nation")
     cn = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
         F.col("n_name").alias("country"), F.col("c_mktsegment").alias("industry"), "c_acctbal")
-    return _r(pivot_sum(cn, "country", "industry", "c_acctbal", SEGMENTS), {s: 6 for s in SEGMENTS})
+    piv = pivot_sum(cn, "country", "industry", "c_acctbal")     # headings from the data
+    return _r(piv, {c: 6 for c in piv.columns if c != "country"})
 
 
 # ---- silver operators, one at a time --------------------------------------------
@@ -239,11 +236,11 @@ def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upsert_inputs(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Target: orders with key % 10 < 8.  Source: even keys, price + 1 (so it both
-    updates existing keys and inserts keys 8, 18, ...)."""
+    """Target: orders with key % 10 < 8.  Source: even keys and keys ending in 9, price + 1
+    (so it updates keys and inserts keys 8, 9, 18, ...).  Together they are all orders."""
     o = _orders(spark, sf_dir)
     target = o.where(F.col("o_orderkey") % 10 < 8)
-    source = (o.where(F.col("o_orderkey") % 2 == 0)
+    source = (o.where((F.col("o_orderkey") % 2 == 0) | (F.col("o_orderkey") % 10 == 9))
                .withColumn("o_totalprice", F.col("o_totalprice") + F.lit(1.0)))
     return target, source
 
@@ -274,6 +271,43 @@ def q_merge_rerun_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _upserted(spark, sf_dir, 2)
 
 
+def q_merge_changed_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Created with 4 partitions, upserted by a caller that says 5: the recorded 4 hold."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.orders"
+    target, source = _upsert_inputs(spark, sf_dir)
+    merge_upsert(spark, table, target, "o_orderkey", partitions=4)
+    merge_upsert(spark, table, source, "o_orderkey", partitions=5)
+    return spark.table(table).drop(PART_COL)
+
+
+def q_merge_key_width(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bigint-keyed table upserted with int keys."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.orders"
+    target, source = _upsert_inputs(spark, sf_dir)
+    merge_upsert(spark, table, target, "o_orderkey", partitions=8)
+    merge_upsert(spark, table, source.withColumn("o_orderkey", F.col("o_orderkey").cast("int")), "o_orderkey",
+                 partitions=8)
+    return spark.table(table).drop(PART_COL)
+
+
+def q_merge_null_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events by day: a third of them first land without a time (the NULL day), the rest on
+    their day; then that third arrives with time and value, a day later."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.events"
+    ev = tb.read_table(spark, sf_dir, "events")
+    late = F.col("event_id") % 3 == 0
+    day = F.datediff(F.col("ts").cast("date"), F.lit("1970-01-01").cast("date"))
+    first = ev.withColumn("ts", F.when(~late, F.col("ts")))
+    merge_upsert(spark, table, first, "event_id", partition_expr=day)
+    then = (ev.where(late).withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
+            .withColumn("value", F.col("value") + F.lit(1.0)))
+    merge_upsert(spark, table, then, "event_id", partition_expr=day)
+    return spark.table(table).drop(PART_COL)
+
+
 def q_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = _scratch_schema(spark, "overwrite")
     nation = tb.read_table(spark, sf_dir, "nation")
@@ -306,6 +340,23 @@ def _ingested(spark: SparkSession, sf_dir: str, evolve: bool) -> DataFrame:
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def q_bronze_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as a bronze catalog table after two daily loads, the second with a new
+    column, read by name."""
+    from tierline.plans.pipelines import Layout, setup_schemas
+    layout = Layout(base=scratch_dir(spark, "bronze"), domain=f"ads_{uuid.uuid4().hex[:8]}")
+    setup_schemas(spark, layout)
+    ev = tb.read_table(spark, sf_dir, "events")
+    split = F.to_timestamp_ntz(F.lit(f"{INGEST_SPLIT} 00:00:00"))
+    path, table = layout.bronze_path("events"), layout.table("bronze", "events")
+    later = ev.where(F.col("ts") >= split).withColumn("props_len", F.length("props").cast("bigint"))
+    for day, rows in (("2024-01-15", ev.where(F.col("ts") < split)), ("2024-01-31", later)):
+        land_json(rows, layout.landing, "events", day)
+        load_new_files(spark, f"{layout.landing}/events", path)
+        register_bronze(spark, table, path)
+    return spark.table(table).drop(BATCH_COL).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 def q_ingest_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _ingested(spark, sf_dir, evolve=False)
 
@@ -322,7 +373,7 @@ def q_run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_testbed(spark, sf_dir)
     summary = run_all(spark, layout, raw, run_date="2024-01-31")
     listed = None
-    for layer in ("silver", "gold"):
+    for layer in ("bronze", "silver", "gold"):
         t = list_tables(spark, layout.schema(layer)).select(
             F.lit(layer).alias("layer"), F.col("tableName").alias("entity"))
         listed = t if listed is None else listed.unionByName(t)
@@ -354,9 +405,13 @@ QUERIES: dict[str, QueryFn] = {
     "merge_first_run": q_merge_first_run,
     "merge_upsert": q_merge_upsert,
     "merge_rerun_idempotent": q_merge_rerun_idempotent,
+    "merge_changed_partitions": q_merge_changed_partitions,
+    "merge_key_width": q_merge_key_width,
+    "merge_null_day": q_merge_null_day,
     "overwrite_roundtrip": q_overwrite_roundtrip,
     "ingest_incremental": q_ingest_incremental,
     "ingest_schema_evolution": q_ingest_schema_evolution,
+    "bronze_catalog": q_bronze_catalog,
     "run_summary": q_run_summary,
 }
 

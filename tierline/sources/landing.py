@@ -11,6 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 ISO_ZONED = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 ISO_LOCAL = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
 
+# The marker that Hadoop's committer leaves in a folder whose write succeeded.
+COMMITTED = "_SUCCESS"
+
 
 def landing_path(root: str, entity: str, run_date: str | _dt.date) -> str:
     """``<root>/<entity>/<entity>_<YYYY-MM-DD>``: one folder per entity and run date."""
@@ -19,20 +22,29 @@ def landing_path(root: str, entity: str, run_date: str | _dt.date) -> str:
     return f"{root.rstrip('/')}/{entity}/{entity}_{day}"
 
 
+def is_committed(spark: SparkSession, path: str) -> bool:
+    """Whether a write into ``path`` has succeeded."""
+    marker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{COMMITTED}")
+    return bool(marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker))
+
+
 def land_json(df: DataFrame, root: str, entity: str, run_date: str | _dt.date | None = None) -> str:
-    """Write ``df`` as JSON Lines (one object per line, executors write in parallel)
-    under the entity's folder for ``run_date`` (default: today, UTC).
+    """Write ``df`` as JSON Lines (one object per line, NULL fields written out, executors
+    write in parallel) under the entity's folder for ``run_date`` (default: today, UTC).
 
-    A second run for the same day leaves the folder as it is (mode ``ignore``): the
-    loader already took that day's files, and fresh part-file names would otherwise
-    be loaded a second time.
+    A day that is landed stays as it is: the loader already took its files, and fresh
+    part-file names would otherwise be loaded a second time.  Landed means that the
+    committer's marker is there; what a failed write left is replaced.
     """
     run_date = run_date or _dt.datetime.now(_dt.timezone.utc).date()
     path = landing_path(root, entity, run_date)
-    (df.write.mode("ignore")
-       .option("timestampFormat", ISO_ZONED)
-       .option("timestampNTZFormat", ISO_LOCAL)
-       .json(path))
+    if not is_committed(df.sparkSession, path):
+        (df.write.mode("overwrite")
+           .option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+           .option("ignoreNullFields", "false")
+           .option("timestampFormat", ISO_ZONED)
+           .option("timestampNTZFormat", ISO_LOCAL)
+           .json(path))
     return path
 
 

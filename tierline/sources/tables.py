@@ -100,14 +100,14 @@ def _point_at(spark: SparkSession, name: str, fresh: str, schema: T.StructType,
     if same:
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{fresh}'")
     else:
-        properties = _properties(spark, name) if old is not None else {}
+        properties = table_properties(spark, name) if old is not None else {}
         if old is not None:
             spark.sql(f"DROP TABLE {name}")
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
         by = f" PARTITIONED BY ({', '.join(f'`{p}`' for p in parts)})" if parts else ""
         spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{by} LOCATION '{fresh}'")
         if properties:
-            _set_properties(spark, name, properties)
+            set_table_properties(spark, name, properties)
         if parts:
             spark.sql(f"MSCK REPAIR TABLE {name}")
     spark.catalog.refreshTable(name)
@@ -137,12 +137,12 @@ def _delete_version(spark: SparkSession, old: str, fresh: str) -> None:
 LAYOUT_PROPERTY = "tierline.layout"
 
 
-def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
             if r.key.startswith("tierline.")}
 
 
-def _set_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
+def set_table_properties(spark: SparkSession, name: str, properties: dict[str, str]) -> None:
     pairs = ", ".join("'{}' = '{}'".format(k, v.replace("\\", "\\\\").replace("'", "\\'")) for k, v in properties.items())
     spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
@@ -224,7 +224,7 @@ def _adopt_layout(spark: SparkSession, table: str, keys: list[str], partitions:
     """The partitioning to use on an existing table.  A hash layout is adopted as
     recorded (a row's partition must not depend on the caller's count); an expression
     can't be read back, so a different one is refused."""
-    recorded = _properties(spark, table).get(LAYOUT_PROPERTY)
+    recorded = table_properties(spark, table).get(LAYOUT_PROPERTY)
     wanted = _layout(keys, partitions, partition_expr)
     if recorded is None:
         if PART_COL in spark.table(table).columns or wanted != "plain":
@@ -256,7 +256,8 @@ def _like_keys(source: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
 def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str | Iterable[str],
                  path: str | None = None, partitions: int | None = None, partition_expr=None,
                  check_unique: bool = True, sort_within: Iterable[str] = (),
-                 write_spread: int = 4, keys_may_move: bool = True) -> dict:
+                 write_spread: int = 4, keys_may_move: bool = True,
+                 rows_per_partition: int | None = None) -> dict:
     """Keyed upsert into parquet table ``table`` (created on first use): MERGE ... WHEN
     MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
 
@@ -264,6 +265,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
 
     * ``partitions=n``: hash of the key, ``pmod(xxhash64(key), n)`` -- a key always
       lands in the same partition, so the touched partitions are the source's.
+      ``rows_per_partition``: the count follows from the rows of the first load.
     * ``partition_expr``: any column expression, e.g. ``event_day("timestamp")`` for
       event tables.  A key may move between partitions, so the partitions where the
       target holds the source's keys today are touched too (found by a semi-join on the
@@ -302,9 +304,12 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
         if check_unique:
             assert_unique_keys(source, keys)
         if not exists:
+            if rows_per_partition and not partitioned:
+                partitions, partitioned = max(1, -(-source.count() // rows_per_partition)), True
+                source = with_key_partition(source, keys, partitions)
             first = _for_write(source, keys, order, partitioned, write_spread)
             n = create_table(first, table, path, [PART_COL] if partitioned else [])
-            _set_properties(spark, table, {LAYOUT_PROPERTY: _layout(keys, partitions, partition_expr)})
+            set_table_properties(spark, table, {LAYOUT_PROPERTY: _layout(keys, partitions, partition_expr)})
             return {"created": True, "rows_written": n}
         if not partitioned:
             merged = upsert_frame(spark.table(table), source, keys)

@@ -66,6 +66,11 @@ def _saved_schema(spark: SparkSession, table_path: str):
     return T.StructType.fromJson(json.loads(spark.read.text(_schema_path(table_path)).first()[0]))
 
 
+def has_schema(spark: SparkSession, table_path: str) -> bool:
+    """Whether any load has recorded the dataset's columns."""
+    return _saved_schema(spark, table_path) is not None
+
+
 def _save_schema(spark: SparkSession, table_path: str, schema) -> None:
     (spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
           .write.mode("overwrite").text(_schema_path(table_path)))
@@ -110,19 +115,44 @@ def _narrows(new, old) -> bool:
     return isinstance(new, fractional) and isinstance(old, integral)
 
 
+def record_empty(spark: SparkSession, table_path: str, like: DataFrame) -> None:
+    """Give a bronze dataset that has no rows yet the columns that ``like`` will have once
+    it has gone through JSON, so later steps can read it."""
+    def landed(t: T.DataType) -> T.DataType:
+        if isinstance(t, T.IntegralType):
+            return T.LongType()
+        if isinstance(t, (T.FractionalType, T.DecimalType)):
+            return T.DoubleType()
+        return t if isinstance(t, (T.BooleanType, T.StructType, T.ArrayType)) else T.StringType()
+
+    fields = [T.StructField(f.name, landed(f.dataType)) for f in like.schema.fields]
+    _save_schema(spark, table_path, T.StructType([*fields, T.StructField(BATCH_COL, T.LongType())]))
+
+
 def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
-                   checkpoint: str | None = None, max_files_per_batch: int | None = None) -> dict:
+                   checkpoint: str | None = None, max_files_per_batch: int = 1000,
+                   pattern: str | None = None) -> dict:
     """Append the rows of every JSON Lines file under ``source_dir`` not loaded
     before into the parquet table at ``table_path``.  Returns the number of
-    micro-batches and files this call loaded."""
+    micro-batches and files this call loaded.
+
+    Every file counts, whatever its extension (compressed ones are read by it), unless
+    the caller gives a file-name ``pattern``; names that begin with ``_`` or ``.`` are
+    Spark's own.  A backlog is drained in batches of ``max_files_per_batch`` files, which
+    bounds the file list a batch brings to the driver.
+    """
     checkpoint = checkpoint or f"{table_path.rstrip('/')}/_checkpoint"
     stats = {"batches": 0, "files": 0}
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        paths = [r[0] for r in batch.collect()]  # one row per new file: a file list
+        paths = [r[0] for r in batch.collect()]  # at most max_files_per_batch paths
         if not paths:
             return
-        rows = read_json(spark, paths)
+        inferred = read_json(spark, paths).schema          # the one pass that infers
+        stats["files"] += len(paths)
+        if not inferred.fields:                            # files without rows
+            return
+        rows = read_json(spark, paths, inferred)
         if "_corrupt_record" in rows.columns:
             raise ValueError(f"malformed JSON lines in batch {batch_id}: {paths[:3]}")
         current = _existing_schema(spark, table_path)
@@ -145,14 +175,32 @@ def load_new_files(spark: SparkSession, source_dir: str, table_path: str,
     # binaryFile with only ``path`` selected never reads file contents: each
     # micro-batch is just the list of files not seen before.
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-              .option("pathGlobFilter", "*.json"))
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_batch)
+              .option("maxFilesPerTrigger", max_files_per_batch))
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
     query = (reader.load(f"{source_dir.rstrip('/')}/*").select("path")
              .writeStream.foreachBatch(load_batch)
              .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True)
              .start())
     query.awaitTermination()
-    stats["files"] = int(sum(p.get("numInputRows", 0) for p in query.recentProgress or []))
     return stats
+
+
+def register_bronze(spark: SparkSession, table: str, table_path: str) -> None:
+    """Make the bronze dataset at ``table_path`` the catalog table ``table``: created on the
+    first load, widened by new columns, and given the partitions of new loads."""
+    schema = _saved_schema(spark, table_path)
+    if schema is None:
+        return
+    fields = [f for f in schema.fields if f.name != BATCH_COL]
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+        spark.sql(f"CREATE TABLE {table} ({cols}, `{BATCH_COL}` BIGINT) USING parquet "
+                  f"PARTITIONED BY (`{BATCH_COL}`) LOCATION '{table_path}'")
+    known = {c.name for c in spark.catalog.listColumns(table)}
+    new = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in known)
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({new})")
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)

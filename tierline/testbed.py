@@ -4,15 +4,17 @@ These play the part of the bronze layer in tests and registered queries: untyped
 ids, padded names, and the defects the cleaning rules exist for (missing URL
 protocol, zero budget, missing creative, zero cost, exact duplicate impressions,
 orphan clicks and conversions, NULL foreign keys).  Every row of the source tables
-is used; the modulo tests only choose which rows carry a defect.
+is used, every event type included: views and errors are impressions, clicks are clicks,
+purchases and signups are conversions.  The modulo tests only choose which rows carry a
+defect; planted orphan keys are negative, so no event id ever equals them.
 
-A click points at the same user's latest earlier view, a conversion at the latest
+A click points at the same user's latest earlier impression, a conversion at the latest
 earlier click (``running_max``, skew-safe per user).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,12 +24,14 @@ from tierline.operators.asof import running_max
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
-# The event types the entities are built from.
-LINKED_TYPES = ["view", "click", "purchase"]
+# The event types of each entity.
+IMPRESSION_TYPES = ["view", "error"]
+CLICK_TYPES = ["click"]
+CONVERSION_TYPES = ["purchase", "signup"]
 
 # The planted orphan keys.
-ORPHAN_IMPRESSION_ID = 9999999
-ORPHAN_CLICK_ID = 8888888
+ORPHAN_IMPRESSION_ID = -9999999
+ORPHAN_CLICK_ID = -8888888
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,20 +82,16 @@ def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_with_links(spark: SparkSession, sf_dir: str, block: int = 1 << 16) -> DataFrame:
-    """events + last_view / last_click: the user's latest view / click id so far.  Only
-    views (values and impressions), clicks and purchases feed the entities; other event
-    types neither carry a link value nor receive one, so they are filtered at the scan."""
-    ev = (read_table(spark, sf_dir, "events")
-          .where(F.col("event_type").isin(*LINKED_TYPES))
-          .select("event_id", "ts", "user_id", "event_type", "value"))
+    """events + last_view / last_click: the user's latest impression / click id so far."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     return running_max(ev, "user_id", "event_id", {
-        "last_view": F.when(F.col("event_type") == "view", F.col("event_id")),
-        "last_click": F.when(F.col("event_type") == "click", F.col("event_id")),
+        "last_view": F.when(F.col("event_type").isin(IMPRESSION_TYPES), F.col("event_id")),
+        "last_click": F.when(F.col("event_type").isin(CLICK_TYPES), F.col("event_id")),
     }, block=block)
 
 
 def _impressions_from(ev: DataFrame) -> DataFrame:
-    views = ev.where(F.col("event_type") == "view").select(
+    views = ev.where(F.col("event_type").isin(IMPRESSION_TYPES)).select(
         F.col("event_id").alias("id"),
         ((F.col("user_id") * 100 + _mod("event_id", 100)) * 10 + 1 + _mod("event_id", 7)).alias("ad_id"),
         F.col("ts").alias("timestamp"),
@@ -102,7 +102,7 @@ def _impressions_from(ev: DataFrame) -> DataFrame:
 
 
 def _clicks_from(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("event_type") == "click").select(
+    return ev.where(F.col("event_type").isin(CLICK_TYPES)).select(
         F.col("event_id").alias("id"),
         F.when(_mod("event_id", 200) == 1, F.lit(ORPHAN_IMPRESSION_ID).cast("bigint"))
          .otherwise(F.col("last_view")).alias("impression_id"),
@@ -112,7 +112,7 @@ def _clicks_from(ev: DataFrame) -> DataFrame:
 
 
 def _conversions_from(ev: DataFrame) -> DataFrame:
-    return ev.where(F.col("event_type") == "purchase").select(
+    return ev.where(F.col("event_type").isin(CONVERSION_TYPES)).select(
         F.col("event_id").alias("id"),
         F.when(_mod("event_id", 100) == 1, F.lit(ORPHAN_CLICK_ID).cast("bigint"))
          .otherwise(F.col("last_click")).alias("click_id"),
@@ -121,18 +121,49 @@ def _conversions_from(ev: DataFrame) -> DataFrame:
     )
 
 
+class RawEntities(Mapping):
+    """The six raw entities by name, each built when it is first asked for.  The linked
+    events feed three of them; ``stage`` (e.g. write-and-reread) computes that step once,
+    and only if one of the three is used."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, block: int, stage) -> None:
+        self._built: dict[str, DataFrame] = {}
+
+        def events() -> DataFrame:
+            ev = events_with_links(spark, sf_dir, block)
+            return stage(ev, "events_linked") if stage else ev
+
+        self._makers = {
+            "events": events,
+            "advertisers": lambda: advertisers(spark, sf_dir),
+            "campaigns": lambda: campaigns(spark, sf_dir),
+            "ads": lambda: ads(spark, sf_dir),
+            "impressions": lambda: _impressions_from(self._get("events")),
+            "clicks": lambda: _clicks_from(self._get("events")),
+            "conversions": lambda: _conversions_from(self._get("events")),
+        }
+
+    def _get(self, name: str) -> DataFrame:
+        if name not in self._built:
+            self._built[name] = self._makers[name]()
+        return self._built[name]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self:
+            raise KeyError(name)
+        return self._get(name)
+
+    def __iter__(self):
+        return (n for n in self._makers if n != "events")
+
+    def __contains__(self, name) -> bool:   # without building it
+        return name in self._makers and name != "events"
+
+    def __len__(self) -> int:
+        return len(self._makers) - 1
+
+
 def raw_entities(spark: SparkSession, sf_dir: str, block: int = 1 << 16,
-                 stage: Callable[[DataFrame, str], DataFrame] | None = None) -> dict[str, DataFrame]:
-    """The six raw entities.  The linked events feed three of them; ``stage`` (e.g.
-    write-and-reread) computes that step once instead of once per entity."""
-    ev = events_with_links(spark, sf_dir, block)
-    if stage:
-        ev = stage(ev, "events_linked")
-    return {
-        "advertisers": advertisers(spark, sf_dir),
-        "campaigns": campaigns(spark, sf_dir),
-        "ads": ads(spark, sf_dir),
-        "impressions": _impressions_from(ev),
-        "clicks": _clicks_from(ev),
-        "conversions": _conversions_from(ev),
-    }
+                 stage: Callable[[DataFrame, str], DataFrame] | None = None) -> Mapping[str, DataFrame]:
+    """The six raw entities, built on first use."""
+    return RawEntities(spark, sf_dir, block, stage)
