@@ -73,9 +73,8 @@ def test_silver_types(silver):
     assert dict(silver["campaigns"].dtypes)["daily_budget_usd"] == "decimal(10,2)"
 
 
-@pytest.mark.parametrize("method", ["rollup", "join"])
-def test_campaign_performance(silver, method):
-    rows = {r.campaign_id: r for r in funnel.campaign_performance(silver, method=method).collect()}
+def test_campaign_performance(silver):
+    rows = {r.campaign_id: r for r in funnel.campaign_performance(silver).collect()}
     c10 = rows[10]
     assert (c10.impressions_count, c10.clicks_count, c10.conversions_count) == (4, 3, 2)
     assert c10.total_impression_cost_usd == Decimal("0.030000")
@@ -105,9 +104,8 @@ def test_gold_types(silver):
     assert dict(funnel.advertiser_revenue(silver).dtypes)["total_revenue_usd"] == "double"
 
 
-@pytest.mark.parametrize("method", ["rollup", "join"])
-def test_advertiser_revenue(silver, method):
-    rows = {r.advertiser_id: r for r in funnel.advertiser_revenue(silver, method).collect()}
+def test_advertiser_revenue(silver):
+    rows = {r.advertiser_id: r for r in funnel.advertiser_revenue(silver).collect()}
     got = {k: (r.total_revenue_usd, r.conversions_count, r.industry_total_revenue_usd,
                r.revenue_share_in_industry) for k, r in rows.items()}
     assert got == {1: (30.0, 2, 30.0, 1.0), 2: (0.0, 0, 30.0, 0.0), 3: (0.0, 0, 0.0, 0.0)}
@@ -124,13 +122,12 @@ def test_pivot(silver):
 
 def test_funnel_rows(silver):
     a = {r.campaign_id: r.funnel_rows for r in funnel.funnel_rows(silver).collect()}
-    b = {r.campaign_id: r.funnel_rows for r in funnel.funnel_rows(silver, method="join").collect()}
-    assert a == b == {10: 4, 11: 1, 12: 1, 13: 1}
+    assert a == {10: 4, 11: 1, 12: 1, 13: 1}
 
 
 def test_silver_with_hot_key_splitting(raw, silver):
     """Every key counted as hot: the salted FK checks flag exactly the same rows."""
-    split = build_silver_all_with(raw, {"split_hot_keys": 8, "hot_min_rows": 1, "hot_salt": 4})
+    split = build_silver_all_with(raw, {"split_hot_keys": True})
     for entity, flag in [("clicks", "is_orphan_impression_id"), ("conversions", "is_orphan_click_id")]:
         a = {r.id: r[flag] for r in silver[entity].collect()}
         assert {r.id: r[flag] for r in split[entity].collect()} == a

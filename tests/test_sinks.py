@@ -1,5 +1,6 @@
 """Sinks and incremental load: rerun behaviour."""
 
+import os
 import uuid
 
 import pytest
@@ -52,7 +53,7 @@ def test_upsert_rewrites_only_touched_partitions(spark, schema):
         assert len(got) == 201 and got[5] == got[77] == "new" and got[500] == "ins" and got[6] == "old"
         assert spark.conf.get("spark.sql.sources.partitionOverwriteMode") == "static"
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
 
 
 def test_upsert_with_moving_partition_key(spark, schema):
@@ -132,14 +133,163 @@ def test_incremental_load_refuses_narrowing(spark):
 
 
 def test_replayed_batch_replaces_itself(spark):
-    """The bronze write for a batch id overwrites that batch's partition only."""
-    from tierline.streaming.incremental import BATCH_COL
+    """A load that dies between the bronze write and the commit is replayed: its batch
+    partition is replaced, not doubled."""
+    import tierline.streaming.incremental as inc
     base = scratch_dir(spark, "replay")
-    df = spark.createDataFrame([(1,)], "id long")
+    land_json(spark.createDataFrame([(1,), (2,)], "id long"), f"{base}/landing", "e", "2024-01-01")
+    save, calls = inc._save_schema, []
+
+    def fail_once(*args):
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("lost after the write")
+        return save(*args)
+
+    inc._save_schema = fail_once
+    try:
+        with pytest.raises(Exception, match="lost after the write"):
+            load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")
+        assert load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")["batches"] == 1
+    finally:
+        inc._save_schema = save
+    assert sorted(r.id for r in read_bronze(spark, f"{base}/bronze/e").collect()) == [1, 2]
+
+
+def test_landing_after_a_failed_write(spark):
+    """A folder without the committer's marker is landed anew; a landed one stays."""
+    base = scratch_dir(spark, "land")
+    bad = spark.createDataFrame([(1, "x")], "id long, s string").withColumn("s", F.raise_error(F.lit("disk gone")))
+    with pytest.raises(Exception, match="disk gone"):
+        land_json(bad, base, "e", "2024-01-01")
+    path = land_json(spark.createDataFrame([(1, "a")], "id long, s string"), base, "e", "2024-01-01")
+    assert [(r.id, r.s) for r in spark.read.json(path).collect()] == [(1, "a")]
+    land_json(spark.createDataFrame([(2, "b")], "id long, s string"), base, "e", "2024-01-01")
+    assert spark.read.json(path).count() == 1
+
+
+def test_every_extension_is_loaded(spark):
+    import gzip
+    base = scratch_dir(spark, "ext")
+    folder = f"{base}/landing/e/e_2024-01-01".replace("file:", "")
+    os.makedirs(folder)
+    for i, name in enumerate(["a.json", "b.jsonl", "c.txt", "noextension"]):
+        with open(f"{folder}/{name}", "w") as f:
+            f.write(f'{{"id": {i}}}\n')
+    with gzip.open(f"{folder}/d.json.gz", "wt") as f:
+        f.write('{"id": 4}\n')
+    with open(f"{folder}/_hidden", "w") as f:
+        f.write("not json")
+    assert load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")["files"] == 5
+    assert sorted(r.id for r in read_bronze(spark, f"{base}/bronze/e").collect()) == [0, 1, 2, 3, 4]
+    only = load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/j", pattern="*.json")
+    assert only["files"] == 1
+
+
+def test_file_count_and_batches_of_a_backlog(spark):
+    base = scratch_dir(spark, "backlog")
+    folder = f"{base}/landing/e/e_2024-01-01".replace("file:", "")
+    os.makedirs(folder)
+    for i in range(23):
+        with open(f"{folder}/{i}.json", "w") as f:
+            f.write(f'{{"id": {i}}}\n')
+    got = load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e", max_files_per_batch=5)
+    assert got == {"batches": 5, "files": 23}
+    assert read_bronze(spark, f"{base}/bronze/e").count() == 23
+
+
+def test_null_columns_reach_bronze(spark):
+    base = scratch_dir(spark, "nulls")
+    land_json(spark.createDataFrame([(1, None)], "id long, v double"), f"{base}/landing", "e", "2024-01-01")
+    load_new_files(spark, f"{base}/landing/e", f"{base}/bronze/e")
+    assert read_bronze(spark, f"{base}/bronze/e").columns == ["id", "v"]
+
+
+def _values(spark, table):
+    return sorted((r.k, r.v) for r in spark.table(table).collect())
+
+
+def test_upsert_adopts_the_recorded_layout(spark, schema):
+    t = f"{schema}.adopt"
+    mk = lambda rows: spark.createDataFrame(rows, "k long, v string")
+    merge_upsert(spark, t, mk([(i, "old") for i in range(6)]), "k", partitions=4)
+    merge_upsert(spark, t, mk([(i, "new") for i in range(6)]), "k", partitions=5)
+    assert _values(spark, t) == [(i, "new") for i in range(6)]
+    assert {r._part for r in spark.table(t).collect()} <= set(range(4))
+    with pytest.raises(ValueError, match="laid out"):
+        merge_upsert(spark, t, mk([(1, "x")]), "k", partition_expr=F.col("k").cast("int"))
+
+
+@pytest.mark.parametrize("partitions", [None, 4])
+def test_upsert_casts_keys_to_the_tables_type(spark, schema, partitions):
+    t = f"{schema}.width{partitions or 0}"
+    merge_upsert(spark, t, spark.createDataFrame([(i, "old") for i in range(6)], "k long, v string"), "k",
+                 partitions=partitions)
+    merge_upsert(spark, t, spark.createDataFrame([(i, "new") for i in range(4)], "k int, v string"), "k",
+                 partitions=partitions)
+    assert _values(spark, t) == [(i, "new") for i in range(4)] + [(4, "old"), (5, "old")]
+    narrow = f"{schema}.narrow{partitions or 0}"
+    merge_upsert(spark, narrow, spark.createDataFrame([(1, "a")], "k int, v string"), "k", partitions=partitions)
+    with pytest.raises(Exception, match="does not fit"):
+        merge_upsert(spark, narrow, spark.createDataFrame([(2 ** 40, "b")], "k long, v string"), "k",
+                     partitions=partitions)
+    assert _values(spark, narrow) == [(1, "a")]
+
+
+def test_upsert_clears_the_null_day_and_many_emptied_days(spark, schema):
+    t = f"{schema}.days"
+    day = F.col("d")
+    mk = lambda rows: spark.createDataFrame(rows, "k int, d int, v string")
+    merge_upsert(spark, t, mk([(0, None, "old"), (1, None, "old")] + [(i, i, "old") for i in range(2, 40)]), "k",
+                 partition_expr=day)
+    merge_upsert(spark, t, mk([(i, 1000, "new") for i in range(0, 38)]), "k", partition_expr=day)
+    assert sorted((r.k, r.d, r.v) for r in spark.table(t).collect()) == [
+        (i, 1000, "new") for i in range(38)] + [(38, 38, "old"), (39, 39, "old")]
+    parts = {r.partition for r in spark.sql(f"SHOW PARTITIONS {t}").collect()}
+    assert parts == {f"{PART_COL}=1000", f"{PART_COL}=38", f"{PART_COL}=39"}
+
+
+@pytest.mark.parametrize("with_path", [False, True])
+def test_failed_unpartitioned_write_keeps_the_table(spark, schema, with_path):
+    t = f"{schema}.plain{int(with_path)}"
+    path = scratch_dir(spark, "plain") if with_path else None
+    mk = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    merge_upsert(spark, t, mk([(i, "old") for i in range(4)]), "k", path=path)
+    bad = mk([(1, "new")]).withColumn("v", F.raise_error(F.lit("disk gone")).cast("string"))
+    with pytest.raises(Exception, match="disk gone"):
+        merge_upsert(spark, t, bad, "k", path=path)
+    with pytest.raises(Exception, match="disk gone"):
+        overwrite_table(bad, t, path)
+    assert _values(spark, t) == [(i, "old") for i in range(4)]
+    merge_upsert(spark, t, mk([(1, "new"), (9, "new")]), "k", path=path)
+    assert _values(spark, t) == [(0, "old"), (1, "new"), (2, "old"), (3, "old"), (9, "new")]
+    assert overwrite_table(spark.table(t).where("k = 9"), t, path) == 1      # reads what it replaces
+    assert _values(spark, t) == [(9, "new")]
+
+
+def test_upsert_deletes_its_staged_copies(spark, schema):
+    root = spark.sparkContext.getCheckpointDir().replace("file:", "")
+    before = set(os.listdir(root))
+    t = f"{schema}.clean"
+    src = spark.createDataFrame([(1, 2, "a")], "k int, d int, v string")
     for _ in range(2):
-        (df.withColumn(BATCH_COL, F.lit(0).cast("bigint")).write.mode("overwrite")
-           .option("partitionOverwriteMode", "dynamic").partitionBy(BATCH_COL).parquet(base))
-    assert read_bronze(spark, base).count() == 1
+        merge_upsert(spark, t, src, "k", partition_expr=F.col("d"))
+    assert set(os.listdir(root)) == before
+
+
+def test_upsert_evaluates_its_source_once(spark, schema):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    t = f"{schema}.once"
+    for tag in "ab":
+        src = spark.createDataFrame([(i, tag) for i in range(10)], "k int, v string")
+        merge_upsert(spark, t, src.mapInArrow(count, src.schema), "k", partitions=3)
+    assert seen.value == 20
 
 
 def test_schemas_current_and_listing(spark):

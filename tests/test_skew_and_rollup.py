@@ -1,17 +1,20 @@
-"""The leaf-first rollup against the joined funnel on random funnels, and exact
+"""The leaf-first rollup against the joined SQL on random funnels, and exact
 results when a third of all rows sit on one key."""
 
 import random
+from contextlib import contextmanager
 from decimal import Decimal
 
+import duckdb
 import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tierline import oracle
 from tierline.operators import funnel
 from tierline.operators.asof import running_max
 from tierline.operators.quality import dedup, flag_orphans
-from tierline.operators.ranking import rank_in_group, share_of_group
+from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group, value_ranks
 
 
 def _silver(spark, seed):
@@ -44,22 +47,34 @@ def _by(df, key):
     return {r[key]: tuple(r) for r in df.collect()}
 
 
+def _sql(s, body):
+    """``body`` run by DuckDB over the six tables under their silver names."""
+    con = duckdb.connect()
+    for name, df in s.items():
+        con.register(f"p_{name}", df.toPandas())
+        types = {"int": "INTEGER", "string": "VARCHAR", "boolean": "BOOLEAN"}
+        cols = ", ".join(f"CAST({c} AS {types.get(t, t.upper())}) AS {c}" for c, t in df.dtypes)
+        con.execute(f"CREATE TABLE s_{name} AS SELECT {cols} FROM p_{name}")
+    return con.sql(body).fetchall()
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_rollup_equals_joined_funnel(spark, seed):
+def test_rollup_equals_joined_sql(spark, seed):
     s = _silver(spark, seed)
-    a = funnel.campaign_performance(s, method="rollup")
-    b = funnel.campaign_performance(s, method="join").select(*a.columns)
-    assert a.dtypes == b.dtypes
-    assert _by(a, "campaign_id") == _by(b, "campaign_id")
-    assert _by(funnel.funnel_rows(s), "campaign_id") == _by(funnel.funnel_rows(s, method="join"), "campaign_id")
+    cols = ["campaign_id", "impressions_count", "clicks_count", "conversions_count", "total_impression_cost_usd",
+            "total_click_cost_usd", "total_conversion_value_usd"]
+    want = _sql(s, f"WITH {oracle.CAMPAIGN_AGG} SELECT {', '.join(cols)} FROM camp_agg")
+    assert sorted(map(tuple, funnel.campaign_performance(s).select(*cols).collect())) == sorted(want)
+    rows = _sql(s, f"SELECT c.id, count(*) {oracle.FUNNEL_FROM} GROUP BY c.id")
+    assert sorted(map(tuple, funnel.funnel_rows(s).collect())) == sorted(rows)
 
 
 @pytest.mark.parametrize("seed", [4, 5])
-def test_revenue_rollup_equals_joined_funnel(spark, seed):
+def test_revenue_rollup_equals_joined_sql(spark, seed):
     s = _silver(spark, seed)  # repeated child ids included
-    a = funnel.advertiser_revenue(s, method="rollup")
-    b = funnel.advertiser_revenue(s, method="join").select(*a.columns)
-    assert _by(a, "advertiser_id") == _by(b, "advertiser_id")
+    cols = ["advertiser_id", "total_revenue_usd", "conversions_count"]
+    want = _sql(s, f"WITH {oracle.ADVERTISER_AGG} SELECT {', '.join(cols)} FROM adv_agg")
+    assert sorted(map(tuple, funnel.revenue_by_advertiser(s).select(*cols).collect())) == sorted(want)
 
 
 def test_hot_user_running_max(spark):
@@ -87,29 +102,84 @@ def test_hot_key_dedup_and_null_fk_flags(spark):
 
 
 def test_flag_orphans_splits_hot_keys(spark):
-    """Explicit hot-key salting gives the same flags, and the plan carries the salt."""
+    """Explicit hot-key splitting gives the same flags, and no task gets a hot key whole
+    even without adaptive execution."""
     n = 3000
     rows = [(i, 5 if i % 3 == 0 else (None if i % 3 == 1 else i % 97)) for i in range(n)]
     df = spark.createDataFrame(rows, "cid long, fk long")
     parent = spark.range(0, 97, 2).selectExpr("CAST(id AS INT) AS pk")
     plain = {r.cid: r.is_orphan_fk for r in flag_orphans(df, parent, "pk", "fk").collect()}
-    out = flag_orphans(df, parent, "pk", "fk", split_hot_keys=4, hot_min_rows=500, hot_salt=8)
-    assert {r.cid: r.is_orphan_fk for r in out.collect()} == plain
-    assert out.columns == ["cid", "fk", "is_orphan_fk"]
-    assert "Generate explode" in out._jdf.queryExecution().executedPlan().toString()
-    # key 97 is absent from the parent: a hot orphan key stays an orphan when salted
-    hot_orphan = spark.createDataFrame([(i, 97) for i in range(600)], "cid long, fk long")
-    assert flag_orphans(hot_orphan, parent, "pk", "fk", split_hot_keys=2, hot_min_rows=100) \
-        .where("is_orphan_fk").count() == 600
-
-
-def test_hot_group_rank_and_share(spark):
+    with _plain_plans(spark):
+        out = flag_orphans(df, parent, "pk", "fk", split_hot_keys=True)
+        assert {r.cid: r.is_orphan_fk for r in out.collect()} == plain
+        assert out.columns == ["cid", "fk", "is_orphan_fk"]
+        assert _largest_share(out) < 0.3
+        # key 97 is absent from the parent: a hot orphan key stays an orphan when dealt out
+        hot_orphan = spark.createDataFrame([(i, 97) for i in range(600)], "cid long, fk long")
+        assert flag_orphans(hot_orphan, parent, "pk", "fk", split_hot_keys=True).where("is_orphan_fk").count() == 600
+
+
+@contextmanager
+def _plain_plans(spark):
+    """No adaptive execution and no automatic broadcast: what the plan itself does."""
+    keys = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def _largest_share(df):
+    """Largest share of the rows that one task of the last stage gets."""
+    sizes = [r["count"] for r in df.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    return max(sizes) / sum(sizes)
+
+
+def _reference_rank(df):
+    return {r.i: r.r for r in df.withColumn(
+        "r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last()))).collect()}
+
+
+@pytest.mark.parametrize("case", ["uniform", "nulls", "narrow", "hot", "special"])
+def test_rank_whatever_the_values(spark, case):
+    rnd = random.Random(case)
+    value = {"uniform": lambda i: round(rnd.uniform(0, 1000), 2),
+             "nulls": lambda i: None if i % 50 else float(i),                      # 98 % NULL
+             "narrow": lambda i: 20000 + rnd.randrange(200) / 1.0,                 # within 1 %
+             "hot": lambda i: 7.0 if i % 3 == 0 else rnd.uniform(0, 10),           # a third on one value
+             "special": lambda i: rnd.choice([float("nan"), float("inf"), float("-inf"), -0.0, 0.0, None, 1e-300, -5.0]),
+             }[case]
+    rows = [(i, "hot" if i % 3 else rnd.choice(["a", "b", None]), value(i)) for i in range(4000)]
+    df = spark.createDataFrame(rows, "i long, g string, v double").repartition(4)
+    want = _reference_rank(df)
+    with _plain_plans(spark):
+        ours = rank_in_group(df, "g", "v", "r")
+        assert {r.i: r.r for r in ours.collect()} == want
+        assert _largest_share(ours) < 0.35
+        ranges = value_ranks(df, "g", "v")
+        if case in ("uniform", "narrow"):
+            sizes = [r["count"] for r in ranges.groupBy(F.spark_partition_id()).count().collect()]
+            assert max(sizes) <= 0.5 * sum(sizes)
+
+
+def test_hot_group_share(spark):
     rnd = random.Random(3)
-    rows = [("hot" if i % 3 else rnd.choice(["a", "b"]), round(rnd.uniform(0, 1000), 2)) for i in range(3000)]
-    df = spark.createDataFrame(rows, "g string, v double").withColumn("i", F.monotonically_increasing_id())
-    ours = rank_in_group(df, "g", "v", "r", per_unit=8)
-    ref = df.withColumn("r", F.rank().over(Window.partitionBy("g").orderBy(F.col("v").desc_nulls_last())))
-    assert _by(ours.select("i", "r"), "i") == _by(ref.select("i", "r"), "i")
-    tot = {r.g: r.t for r in share_of_group(df, "g", "v", "t", "s").select("g", "t").distinct().collect()}
+    rows = [("hot" if i % 3 else rnd.choice(["a", "b", None]), round(rnd.uniform(0, 1000), 2)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    with _plain_plans(spark):
+        out = share_of_group(df, "g", "v", "t", "s")
+        tot = {r.g: r.t for r in out.select("g", "t").distinct().collect()}
+        assert _largest_share(out) < 0.5
     ref_tot = {r.g: r.t for r in df.groupBy("g").agg(F.sum("v").alias("t")).collect()}
     assert tot.keys() == ref_tot.keys() and all(abs(tot[k] - ref_tot[k]) < 1e-6 for k in tot)
+
+
+def test_pivot_fails_on_an_unlisted_heading(spark):
+    df = spark.createDataFrame([("x", "a", 1.0), ("x", "b", 2.0)], "r string, c string, v double")
+    assert [r.asDict() for r in pivot_sum(df, "r", "c", "v").collect()] == [{"r": "x", "a": 1.0, "b": 2.0}]
+    with pytest.raises(Exception, match="outside the given headings: b"):
+        pivot_sum(df, "r", "c", "v", ["a"]).collect()

@@ -11,6 +11,7 @@ import datetime as _dt
 import json
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -112,6 +113,14 @@ def _affected(spark: SparkSession, layout: Layout, rule: EntityRule, bronze: Dat
     return bronze.join(touched, keys, "left_semi").unionByName(fresh.where(unkeyed))
 
 
+def _observed(counts: Observation) -> dict:
+    """The observed counts; none when Spark found the input empty and dropped the node."""
+    try:
+        return counts.get
+    except Py4JJavaError:
+        return {}
+
+
 def silver_build(spark: SparkSession, layout: Layout, entity: str,
                  registry: dict[str, EntityRule] | None = None) -> dict:
     """L2: bronze -> dedup -> FK flags (against the parents' silver tables) -> casts ->
@@ -153,7 +162,7 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     result = merge_upsert(spark, table, df, list(rule.primary_key),
                           path=layout.table_path("silver", entity), check_unique=not unique, **layout_args)
     set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)})
-    before, after = taken.get, kept.get
+    before, after = _observed(taken), _observed(kept)
     return {"rows": spark.table(table).count(), "rows_written": result["rows_written"],
             "duplicates_removed": before.get("rows", 0) - after.get("rows", 0),
             "orphans": sum(after.get(fk.flag, 0) for fk in rule.fk_checks)}

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import warnings
 
 from pyspark.sql import SparkSession
 
@@ -52,6 +53,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if sc is not None:
         current = sc.getCheckpointDir()
         if current:
+            if current.startswith("file:") and not (sc.master or "").startswith("local"):
+                warnings.warn(f"spark.checkpoint.dir is {current}: that folder must be a mount that the driver and "
+                              "every executor share", stacklevel=2)
             return current
         configured = sc.getConf().get("spark.checkpoint.dir", None)
     else:
