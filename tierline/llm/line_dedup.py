@@ -142,10 +142,10 @@ def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_W
     lines = stage(spark, base.mapInArrow(_sequences(least_words),
                                          "doc_id long, prints binary, words binary, long array<long>"), "op5-lines")
     held = lines.select("doc_id", F.explode("long").alias("line"))
-    shared = (held.groupBy("line").agg(F.count(F.lit(1)).alias("df"),
-                                       F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-              .where("first < last").select("line", "df", "first"))
-    found = stage(spark, held.join(shared, "line"), "op5-shared")
+    shared = stage(spark, held.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("first"),
+                                                   F.max("doc_id").alias("last"))
+                   .where("first < last").select("line", "df", "first"), "op5-lines-held")
+    found = stage(spark, held.join(shared, "line"), "op5-shared")    # both sides shuffle anew, so Spark can split
     nearest = Window.partitionBy("line").orderBy("doc_id")
     rare = (found.where(F.col("df") <= rare_df).select("line", "doc_id").distinct()
             .withColumn("a", F.lag("doc_id").over(nearest)).where("a IS NOT NULL"))
@@ -158,7 +158,7 @@ def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_W
                    .mapInArrow(_blocks(least_words), "doc_id long, start long, end long, partner long"), "op5-blocks")
     out = stage(spark, blocks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "partner")).alias("blocks")),
                 "op5-result")
-    drop_staged(spark, lines, found, blocks)
+    drop_staged(spark, lines, shared, found, blocks)
     return out
 
 
