@@ -156,22 +156,25 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, wor
                     .agg(F.min("doc_id").alias("class_id"), F.max("sig").alias("sig")), "op3-classes")
     sigs = classes.select("class_id", "sig")
     entries = sigs.mapInArrow(_buckets(bands, rows), "bucket long, class_id long")
-    shared = (entries.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
-              .where("lo < hi").select("bucket"))
+    shared = stage(spark, entries.groupBy("bucket").agg(F.min("class_id").alias("lo"), F.max("class_id").alias("hi"))
+                   .where("lo < hi").select("bucket"), "op3-buckets")    # written, so the join below can split
     members = stage(spark, entries.join(shared, "bucket")
                     .select("bucket", "class_id", F.col("class_id").alias("component")), "op3-members")
     wanted = members.select(F.col("class_id").alias("doc_id")).distinct()
     sets = stage(spark, base.join(wanted, "doc_id").mapInArrow(_sets(words), "class_id long, shingles binary")
                  .join(sigs, "class_id"), "op3-sets")
+    drop_staged(spark, shared)
+
     pivots = _pivots(members, 1)
     links = stage(spark, _links(members, pivots, F.lit(True), sets, least, size, percent), "op3-links")
     stars = connected_components(spark, links)
-    open_now = _open_buckets(_moved(_without(members, pivots), stars))
+    open_now, behind = _open_buckets(spark, _moved(_without(members, pivots), stars))
     left = stage(spark, open_now.select("class_id", "component").distinct(), "op3-left")
-    drop_staged(spark, members, links)
+    drop_staged(spark, members, links, *behind)
 
-    members = stage(spark, _open_buckets(_prefixes(sets.join(left, "class_id"), percent)), "op3-prefixes")
-    drop_staged(spark, left)
+    prefixes, counts = _prefixes(spark, sets.join(left, "class_id"), percent)
+    members, behind = _open_buckets(spark, prefixes)
+    drop_staged(spark, left, counts)
     reach = ((100 + percent) * F.least(F.col("n") - F.col("place"), F.col("pivot_n") - F.col("pivot_place"))
              >= percent * (F.col("n") + F.col("pivot_n")))
     pivots_per_bucket = 1
@@ -182,11 +185,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, wor
         if not links.isEmpty():
             moved = connected_components(spark, links)
             stars, rest = stars.union(moved), _moved(rest, moved)
-        rest = stage(spark, _open_buckets(rest), "op3-prefixes")
-        drop_staged(spark, members, links)
-        members = rest
+        members, used = _open_buckets(spark, rest)
+        drop_staged(spark, links, *behind)
+        behind = used
         pivots_per_bucket *= 32
-    drop_staged(spark, members, sets)
+    drop_staged(spark, sets, *behind)
     labels = connected_components(spark, stars.select(F.col("node").alias("u"), F.col("component").alias("v")))
 
     of_class = (classes.select(*alike, F.col("class_id").alias("node")).join(labels, "node", "left")
@@ -208,17 +211,18 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 names=["shingle", "class_id"])
 
 
-def _prefixes(sets: DataFrame, percent: int) -> DataFrame:
+def _prefixes(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members of prefix buckets: each class's rarest shingles, as many as it takes for two
     linked classes to share one (n - least overlap + 1), with the set's size and the
-    shingle's place in the order by rarity.  That order is by the number of classes."""
+    shingle's place in the order by rarity, which is by the number of classes.  Also the
+    staged table of those numbers (written, so that the join on a hot shingle can split)."""
     held = sets.select("class_id", "shingles").mapInArrow(_entries, "shingle long, class_id long")
-    shared = held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df"))
+    shared = stage(spark, held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "op3-df")
     of = sets.select("class_id", "component", F.expr("length(shingles) div 8").alias("n"))
     rarest = Window.partitionBy("class_id").orderBy("df", "shingle")
     return (held.join(shared, "shingle").withColumn("place", F.row_number().over(rarest) - 1).join(of, "class_id")
             .where(100 * F.col("place") <= (100 - percent) * F.col("n"))
-            .select(F.col("shingle").alias("bucket"), "class_id", "component", "n", "place"))
+            .select(F.col("shingle").alias("bucket"), "class_id", "component", "n", "place")), shared
 
 
 def _part(per_bucket: int):
@@ -265,8 +269,11 @@ def _moved(members: DataFrame, stars: DataFrame) -> DataFrame:
         *[F.coalesce("root", "component").alias("component") if c == "component" else F.col(c) for c in members.columns])
 
 
-def _open_buckets(members: DataFrame) -> DataFrame:
-    """Members of the buckets that hold several components."""
-    several = (members.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-               .where("lo < hi").select("bucket"))
-    return members.join(several, "bucket", "left_semi").select(*members.columns)
+def _open_buckets(spark: SparkSession, members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
+    """Members of the buckets that hold several components, and the staged tables behind
+    them.  Written first, so that the join on a hot bucket is a broadcast of its few open
+    buckets or one that Spark can split."""
+    rest = stage(spark, members, "op3-members")
+    several = stage(spark, rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+                    .where("lo < hi").select("bucket"), "op3-open")
+    return rest.join(several, "bucket", "left_semi").select(*members.columns), [rest, several]
