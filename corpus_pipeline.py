@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tierline.llm.common import read_table, stage
+from tierline.llm.common import read_table, ship_package, stage
 from tierline.llm.line_dedup import drop_repeated_lines
 from tierline.llm.minhash import near_duplicates
 from tierline.llm.mixing import mix_sources
@@ -39,16 +39,19 @@ ORACLE_SQL = None
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = docs.select(*COLUMNS)
     model = learn(spark, docs, read_table(spark, sf_dir, "labels"), ~held_out())
     return keep_clean(docs, model)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return drop_repeated_lines(spark, docs.select(*COLUMNS))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = docs.select(*COLUMNS)
     gone = near_duplicates(spark, docs, percent=80).where("NOT kept").select("doc_id")
     return docs.join(stage(spark, gone, "near-gone"), "doc_id", "left_anti").select(*COLUMNS)
@@ -60,6 +63,7 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     return pack_documents(docs.select("doc_id", "text"))
 
 

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +19,24 @@ from tierline.session import scratch_dir
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors' Python workers this package, once per application, the way
+    ``--py-files`` does.  Where it is installed on every node that changes nothing."""
+    sc = spark.sparkContext
+    home = Path(__file__).resolve().parents[1]
+    if sc.applicationId in _SHIPPED or not home.is_dir():
+        return
+    _SHIPPED.add(sc.applicationId)
+    archive = Path(tempfile.mkdtemp(prefix="tierline-code-")) / f"{home.name}.zip"   # Spark serves it from the driver
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(home.rglob("*.py")):
+            z.write(f, f.relative_to(home.parent))
+    sc.addPyFile(str(archive))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

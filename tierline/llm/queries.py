@@ -6,12 +6,13 @@ parameters, and derives the contract's columns.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import read_table
+from tierline.llm.common import read_table, ship_package
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.line_dedup import line_dedup
 from tierline.llm.minhash import near_duplicates
@@ -88,7 +89,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_matches", "n_words")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
+def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_exact_dedup, op2_quote_threads, op3_minhash, op4_topk, op5_line_dedup, op6_substring_dedup, op7_mixing,
     op8_packing, op9_token_counts, op10_toxicity)}
 
