@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from pathlib import Path
 
@@ -97,7 +99,29 @@ def binary_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets.astype(np.int64)
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def release_memory() -> None:
+    """Hand what Arrow's pool and the C library hold but don't use back to the system.
+    Python workers outlive their tasks and share the executor's memory."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):   # another C library
+        pass
+
+
+def tidied(run: Callable) -> Callable:
+    """``run`` over a task's batches, releasing memory at the end of the task."""
+    @functools.wraps(run)
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return task
+
+
+def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose ``column`` holds about ``most`` bytes (one row at
     least), so that what is computed from a run stays small beside the executor."""
     _, offsets = binary_parts(batch.column(column))

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import binary_column, drop_staged, stage, text_bytes
+from tierline.llm.common import binary_column, drop_staged, slices, stage, text_bytes, tidied
 
 LEAST_WORDS = 4
 RARE_DF = 64
@@ -112,14 +112,14 @@ def _sequences(least_words: int):
                 [batch.column("doc_id"), binary_column(prints), binary_column(words),
                  pa.array(distinct, pa.list_(pa.int64()))], names=["doc_id", "prints", "words", "long"])
 
-    return run
+    return tidied(run)
 
 
 def _blocks(least_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in (p for batch in batches for p in slices(batch, "prints_b")):
             docs, starts, ends, partners = [], [], [], []
-            for a, b, pa_, pb, wb in zip(*(batch.column(c).to_pylist() for c in
+            for a, b, pa_, pb, wb in zip(*(part.column(c).to_pylist() for c in
                                            ("a", "b", "prints_a", "prints_b", "words_b"))):
                 x, y = np.frombuffer(pa_, np.uint64).tolist(), np.frombuffer(pb, np.uint64).tolist()
                 for s, e in common_blocks(x, y, np.frombuffer(wb, np.int32).tolist(), least_words):
@@ -130,7 +130,7 @@ def _blocks(least_words: int):
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (docs, starts, ends, partners)],
                                              names=["doc_id", "start", "end", "partner"])
 
-    return run
+    return tidied(run)
 
 
 def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int = RARE_DF,
@@ -198,7 +198,7 @@ def _delete(schema_names: list[str], text_col: str, blocks_col: str, keep_column
                      pa.array(partners, pa.int64()), pa.array(sha), pa.array(texts, pa.string())],
                     names=["doc_id", "n_lines", "n_removed", "n_partners", "kept_sha256", "kept_text"])
 
-    return run
+    return tidied(run)
 
 
 def _with_blocks(spark, docs, least_words, rare_df, id_col, text_col) -> tuple[DataFrame, str]:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierline.llm import words as W
-from tierline.llm.common import binary_column, binary_parts, drop_staged, slices, stage, text_bytes
+from tierline.llm.common import binary_column, binary_parts, drop_staged, slices, stage, text_bytes, tidied
 from tierline.llm.components import connected_components
 
 WORDS = 5
@@ -83,7 +83,7 @@ def _fingerprints(n: int, size: int):
                      pa.array(low.view(np.int64)), pa.array(high.view(np.int64)), binary_column(sigs)],
                     names=["doc_id", "n_shingles", "low", "high", "sig"])
 
-    return run
+    return tidied(run)
 
 
 def _buckets(bands: int, rows: int):
@@ -100,7 +100,7 @@ def _buckets(bands: int, rows: int):
             yield pa.RecordBatch.from_arrays([pa.array(key.ravel().view(np.int64)), pa.array(np.repeat(ids, bands))],
                                              names=["bucket", "class_id"])
 
-    return run
+    return tidied(run)
 
 
 def _sets(n: int):
@@ -111,7 +111,7 @@ def _sets(n: int):
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), binary_column([s.tobytes() for s in sets])],
                                                  names=["class_id", "shingles"])
 
-    return run
+    return tidied(run)
 
 
 def _linked(least: float, size: int, percent: int):
@@ -130,7 +130,7 @@ def _linked(least: float, size: int, percent: int):
                 yes[i] = 100 * both >= percent * (len(s) + len(t) - both)
             yield batch.select(["u", "v"]).filter(pa.array(yes))
 
-    return run
+    return tidied(run)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, percent: int = 80, words: int = WORDS,
@@ -216,7 +216,7 @@ def _prefixes(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataF
     linked classes to share one (n - least overlap + 1), with the set's size and the
     shingle's place in the order by rarity, which is by the number of classes.  Also the
     staged table of those numbers (written, so that the join on a hot shingle can split)."""
-    held = sets.select("class_id", "shingles").mapInArrow(_entries, "shingle long, class_id long")
+    held = sets.select("class_id", "shingles").mapInArrow(tidied(_entries), "shingle long, class_id long")
     shared = stage(spark, held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "op3-df")
     of = sets.select("class_id", "component", F.expr("length(shingles) div 8").alias("n"))
     rarest = Window.partitionBy("class_id").orderBy("df", "shingle")

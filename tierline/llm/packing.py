@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierline.llm.common import binary_column, binary_parts, slices, text_bytes
+from tierline.llm.common import binary_column, binary_parts, slices, text_bytes, tidied
 from tierline.llm.tokens import default_tokenizer, encoder
 
 CAPACITY = 2048
@@ -36,7 +36,7 @@ def _pack(path: str, capacity: int, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tail = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 ids, at = encoder(path).encode(*binary_parts(part.column("text")))
                 cuts = [piece_lengths(int(n) + 1, capacity) for n in np.diff(at)]
                 row, start, length, tokens, total = [], [], [], [], []
@@ -56,7 +56,7 @@ def _pack(path: str, capacity: int, end_id: int):
                      pa.array([zlib.crc32(t) for t in tokens], pa.int64()), pa.array(total, pa.int64())],
                     names=["doc_id", "start", "length", "token_bytes", "ids_crc32", "doc_tokens"])
 
-    return run
+    return tidied(run)
 
 
 def pack_documents(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm import words as W
-from tierline.llm.common import binary_column, binary_parts, drop_staged, slices, stage, text_bytes
+from tierline.llm.common import binary_column, binary_parts, drop_staged, slices, stage, text_bytes, tidied
 
 WINDOW = 13
 GRAM = 6
@@ -85,7 +85,7 @@ def _anchors(window: int, gram: int):
                      pa.array(inside[begin] - first[of[begin]]), pa.array(n)],
                     names=["gram", "extent", "doc_id", "at", "n"])
 
-    return run
+    return tidied(run)
 
 
 def _windows(window: int):
@@ -114,7 +114,7 @@ def _windows(window: int):
                     [pa.array(key[cuts].view(np.int64)), pa.array(ids[doc[cuts]].astype(np.int64)), places],
                     names=["print", "doc_id", "at"])
 
-    return run
+    return tidied(run)
 
 
 def _spans(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -148,7 +148,7 @@ def _cut(window: int, keep_text: bool):
                  pa.array(spans, pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64())])))],
                 names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text", "repeats"])
 
-    return run
+    return tidied(run)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM,

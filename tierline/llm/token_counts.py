@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import binary_parts, slices, stage, text_bytes
+from tierline.llm.common import binary_parts, slices, stage, text_bytes, tidied
 from tierline.llm.tokens import default_tokenizer, encoder
 
 SPAN = 128
@@ -26,11 +26,11 @@ SPAN = 128
 def _lengths(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 4 << 20):
                 _, at = encoder(path).encode(*binary_parts(part.column("text")))
                 yield pa.RecordBatch.from_arrays([part.column("grp"), pa.array(np.diff(at))], names=["grp", "length"])
 
-    return run
+    return tidied(run)
 
 
 def length_histogram(docs: DataFrame, group_col: str = "lang", text_col: str = "text",

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tierline.llm.common import stage
+from tierline.llm.common import release_memory, stage
 
 SCALE = 256
 K = 5
@@ -103,6 +103,7 @@ def _search(k: int):
         if reach >= 2.0 ** 53:    # beyond exact floats: whole numbers of any size
             q, c = (np.array([[int(x) for x in row] for row in m], object).reshape(m.shape) for m in (q, c))
         query, vec, score = search_block(queries["vec_id"].to_numpy(), q, candidates["vec_id"].to_numpy(), c, k)
+        release_memory()
         low, high = -(2 ** 63), 2 ** 63 - 1
         return pd.DataFrame({"query_id": query, "vec_id": vec,
                              "score": np.array([min(max(int(s), low), high) for s in score], np.int64)})

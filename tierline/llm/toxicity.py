@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import slices, stage, text_bytes
+from tierline.llm.common import slices, stage, text_bytes, tidied
 
 SAMPLE = 4000          # training rows per class at most: the bound of everything learnt
 MOST_PATTERNS = 20_000  # of which the fit looks at this many at most, strongest first
@@ -108,6 +108,15 @@ def matches(folded: str, key: tuple) -> tuple[float, int]:
     return sum(hits.values()), len(hits)
 
 
+def chance(model_key: tuple, slope: float, intercept: float, text: str) -> tuple[float, int, int]:
+    """(score, matches, words) of one text."""
+    s = fold(text)
+    weight, n = matches(s, model_key)
+    words = s.count(" ") - 1
+    z = slope * density(weight, words) + intercept
+    return 1 / (1 + math.exp(-max(-30.0, min(30.0, z)))), n, words
+
+
 def density(weight: float, words: int) -> float:
     """Length-normalised feature: weight per word, damped for short texts, on a log scale."""
     return math.log1p(100.0 * weight / (words + 20.0))
@@ -129,7 +138,7 @@ def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
 
 def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in slices(batch, "text", 1 << 20):
             seen = (Counter(), Counter())
             for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
                 seen[label].update(patterns_of(fold(text.decode("utf-8", "replace"))))
@@ -182,7 +191,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column
     if not rows.get(0) or not rows.get(1):
         return ToxicityModel(intercept=-30.0)
     support = max(3, math.ceil(SUPPORT * rows[1]))
-    counted = (texts.select("text", "label").mapInArrow(_count_patterns, "pattern string, toxic long, clean long")
+    counted = (texts.select("text", "label").mapInArrow(tidied(_count_patterns), "pattern string, toxic long, clean long")
                .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                .where(F.col("toxic") >= support)
                .where((F.col("toxic") + 0.5) / rows[1] > 4 * (F.col("clean") + 0.5) / rows[0])
@@ -208,7 +217,7 @@ def _points(key: tuple):
                 x.append(density(matches(s, key)[0], s.count(" ") - 1))
             yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(x, pa.float64())], names=["label", "x"])
 
-    return run
+    return tidied(run)
 
 
 def _score(model: ToxicityModel):
@@ -217,20 +226,15 @@ def _score(model: ToxicityModel):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                score, hits, words = [], [], []
-                for text in part.column("text"):
-                    s = fold(text.as_py().decode("utf-8", "replace"))
-                    weight, n = matches(s, key)
-                    words.append(s.count(" ") - 1)
-                    hits.append(n)
-                    z = model.slope * density(weight, words[-1]) + model.intercept
-                    score.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))))
+                found = [chance(key, model.slope, model.intercept, t.as_py().decode("utf-8", "replace"))
+                         for t in part.column("text")]
+                score, hits, words = (list(x) for x in zip(*found))
                 yield pa.RecordBatch.from_arrays(
                     [part.column(c) for c in part.schema.names if c != "text"]
                     + [pa.array(score, pa.float64()), pa.array(hits, pa.int64()), pa.array(words, pa.int64())],
                     names=[c for c in part.schema.names if c != "text"] + ["score", "n_matches", "n_words"])
 
-    return run
+    return tidied(run)
 
 
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -240,18 +244,13 @@ def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_co
     return base.mapInArrow(_score(model), "doc_id long, score double, n_matches long, n_words long")
 
 
-def keep_clean(docs: DataFrame, model: ToxicityModel, least: float = 0.5) -> DataFrame:
+def keep_clean(docs: DataFrame, model: ToxicityModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that score below ``least``, with all their columns."""
-    schema = docs.schema
     key = model.key()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            good = []
-            for text in batch.column("text"):
-                s = fold(text.as_py() or "")
-                z = model.slope * density(matches(s, key)[0], s.count(" ") - 1) + model.intercept
-                good.append(1 / (1 + math.exp(-max(-30.0, min(30.0, z)))) < least)
+            good = [chance(key, model.slope, model.intercept, t.as_py() or "")[0] < least for t in batch.column(text_col)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(tidied(run), docs.schema)
