@@ -27,8 +27,8 @@ def main() -> None:
         "campaign rollup (leaf-first funnel)": funnel.campaign_rollup(silver),
         "advertiser revenue climb": funnel.revenue_by_advertiser(silver),
         "dedup_lineitem (partial WindowGroupLimit)": Q.q_dedup_lineitem(spark, sf_dir),
-        "fk_flag_events_supplier (NULL-salted FK join)": Q.q_fk_flag_events_supplier(spark, sf_dir),
-        "rank_in_channel (distinct values, bucketed)": Q.q_rank_in_channel(spark, sf_dir),
+        "fk_flag_events_supplier (NULL keys dealt by row hash)": Q.q_fk_flag_events_supplier(spark, sf_dir),
+        "rank_in_channel (distinct values in sampled ranges)": Q.q_rank_in_channel(spark, sf_dir),
         "industry_share (group totals joined back)": Q.q_industry_share(spark, sf_dir),
         "testbed as-of links (blocked running max)": Q.tb.events_with_links(spark, sf_dir),
         "event_window (pushdown)": Q.q_event_window(spark, sf_dir),
