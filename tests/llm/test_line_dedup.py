@@ -1,7 +1,7 @@
 import hashlib
 import random
 
-from tierline.llm.line_dedup import align, drop_repeated_lines, line_dedup
+from tierline.llm.line_dedup import align, common_blocks, drop_repeated_lines, line_dedup
 
 LEAST = 4
 
@@ -102,3 +102,20 @@ def test_dropping_keeps_columns_and_emptied_rows_go(spark, docs_of, with_clashes
     out = drop_repeated_lines(spark, df)
     assert out.columns == df.columns
     assert sorted((r.doc_id, r.text) for r in out.collect()) == [(1, a), (3, "rest"), (4, ""), (5, None)]
+
+
+def test_repeated_lines_align():
+    assert common_blocks([7, 7], [7, 7], [4, 4], LEAST) == [(0, 2)]                     # equal documents
+    assert common_blocks([5, 6, 5, 6], [5, 6, 5, 6], [2] * 4, LEAST) == [(0, 4)]
+    assert align([7], [7, 7]) == [(0, 0)] and align([7, 7], [7]) == [(0, 0)]
+    assert align([5, 6, 5, 6], [6, 5, 6, 5]) == [(0, 1), (1, 2), (2, 3)]                # k-th with k-th, then grown
+    assert align([1, 8, 7, 7, 9, 2], [1, 3, 7, 7, 4, 2]) == [(0, 0), (2, 2), (3, 3), (5, 5)]   # in a gap
+    assert align([7, 7, 8, 8, 7], [7, 8, 8, 7]) == [(1, 0), (2, 1), (3, 2), (4, 3)]     # the longer end first
+
+
+def test_copies_of_repeated_lines_go(spark, docs_of):
+    spam = "\n".join(["buy this one thing now"] * 6)
+    verse = "a line of the verse\nand the refrain of it\n" * 2
+    got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(
+        [(1, spam), (2, spam), (3, verse), (4, verse), (5, "own words of this one\n" + spam)])).collect()}
+    assert got == {1: 0, 2: 6, 3: 0, 4: 5, 5: 6}

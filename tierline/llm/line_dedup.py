@@ -8,7 +8,8 @@
    however large, gives one pair per document and line, never all pairs.
 3. Each pair is aligned by patience diff over the fingerprints: lines that are unique in
    both documents, their longest common order, growth of each such anchor both ways over
-   equal lines, and the same again in the gaps.
+   equal lines, and the same again in the gaps.  A range without such lines matches its
+   common head and tail, else the k-th with the k-th copy of each line.
 4. Runs of aligned lines that are contiguous in both documents are common blocks; blocks
    of at least ``least_words`` words go from the later document.  A document's pairs pool
    their blocks.
@@ -40,11 +41,8 @@ def line_prints(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return prints, words
 
 
-def _anchors(a: list[int], b: list[int], lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> list[tuple[int, int]]:
-    """Longest common order of the lines that are unique in both ranges."""
-    in_a, in_b = Counter(a[lo_a:hi_a]), Counter(b[lo_b:hi_b])
-    place = {a[i]: i for i in range(lo_a, hi_a) if in_a[a[i]] == 1 and a[i]}
-    pairs = [(place[b[j]], j) for j in range(lo_b, hi_b) if in_b[b[j]] == 1 and b[j] in place]
+def _in_order(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The longest run of ``pairs`` (rising in j) that rises in i too."""
     tails, ends, back = [], [], []
     for n, (i, _) in enumerate(pairs):
         k = bisect_left(tails, i)
@@ -57,15 +55,59 @@ def _anchors(a: list[int], b: list[int], lo_a: int, hi_a: int, lo_b: int, hi_b:
     return out[::-1]
 
 
+def _anchors(a: list[int], b: list[int], lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> list[tuple[int, int]]:
+    """Longest common order of the lines that are unique in both ranges."""
+    in_a, in_b = Counter(a[lo_a:hi_a]), Counter(b[lo_b:hi_b])
+    place = {a[i]: i for i in range(lo_a, hi_a) if in_a[a[i]] == 1 and a[i]}
+    return _in_order([(place[b[j]], j) for j in range(lo_b, hi_b) if in_b[b[j]] == 1 and b[j] in place])
+
+
+def _common_ends(a: list[int], b: list[int], lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> tuple[int, int]:
+    """Number of equal lines at the head and at the tail of the ranges; the longer of the
+    two takes its lines first."""
+    most, head, tail = min(hi_a - lo_a, hi_b - lo_b), 0, 0
+    while head < most and a[lo_a + head] == b[lo_b + head]:
+        head += 1
+    while tail < most and a[hi_a - 1 - tail] == b[hi_b - 1 - tail]:
+        tail += 1
+    return (min(head, most - tail), tail) if tail > head else (head, min(tail, most - head))
+
+
+def _copies(a: list[int], b: list[int], lo_a: int, hi_a: int, lo_b: int, hi_b: int) -> list[tuple[int, int]]:
+    """Longest common order of the k-th copies of each line."""
+    places: dict[int, list[int]] = {}
+    for i in range(lo_a, hi_a):
+        if a[i]:
+            places.setdefault(a[i], []).append(i)
+    pairs, seen = [], Counter()
+    for j in range(lo_b, hi_b):
+        at = places.get(b[j], [])
+        if seen[b[j]] < len(at):
+            pairs.append((at[seen[b[j]]], j))
+            seen[b[j]] += 1
+    return _in_order(pairs)
+
+
 def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     """Patience diff: matched line pairs (i in a, j in b), rising in both.  0 is a blank
-    line: it never anchors, but a growing match runs over it."""
+    line: it never anchors, but a growing match runs over it.  Equal sequences match here
+    by unique lines only; ``common_blocks`` settles them before."""
     matched: list[tuple[int, int]] = []
     todo = [(0, len(a), 0, len(b))]
+    equal = a == b
     while todo:
         lo_a, hi_a, lo_b, hi_b = todo.pop()
         at_a, at_b = lo_a, lo_b
         found = _anchors(a, b, lo_a, hi_a, lo_b, hi_b)
+        if not found and not equal:
+            head, tail = _common_ends(a, b, lo_a, hi_a, lo_b, hi_b)
+            if head or tail:
+                matched.extend(zip(range(lo_a, lo_a + head), range(lo_b, lo_b + head)))
+                matched.extend(zip(range(hi_a - tail, hi_a), range(hi_b - tail, hi_b)))
+                if lo_a + head < hi_a - tail and lo_b + head < hi_b - tail:
+                    todo.append((lo_a + head, hi_a - tail, lo_b + head, hi_b - tail))
+                continue
+            found = _copies(a, b, lo_a, hi_a, lo_b, hi_b)
         for i, j in found:
             if i < at_a or j < at_b:
                 continue   # the match before has grown over it
@@ -85,7 +127,10 @@ def align(a: list[int], b: list[int]) -> list[tuple[int, int]]:
 
 
 def common_blocks(a: list[int], b: list[int], words_b: list[int], least_words: int) -> list[tuple[int, int]]:
-    """(start, end) lines of b in common blocks of at least ``least_words`` words."""
+    """(start, end) lines of b in common blocks of at least ``least_words`` words.  Equal
+    documents are one block."""
+    if a == b:
+        return [(0, len(b))] if sum(words_b) >= least_words else []
     out, matched, n = [], align(a, b), 0
     while n < len(matched):
         m = n + 1
