@@ -119,3 +119,11 @@ def test_copies_of_repeated_lines_go(spark, docs_of):
     got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(
         [(1, spam), (2, spam), (3, verse), (4, verse), (5, "own words of this one\n" + spam)])).collect()}
     assert got == {1: 0, 2: 6, 3: 0, 4: 5, 5: 6}
+
+
+def test_blocks_of_short_lines_nominate(spark, docs_of):
+    verse = "roses\nare red\n\nviolets\nare blue"
+    rows = [(1, verse), (2, verse), (3, "my own\nroses\nare red\n\nviolets\nend"), (4, "roses\nare red\nviolets\nnot"),
+            (5, "x\n" * 300), (6, "x\n" * 300), (7, "violets\nare blue")]
+    got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(rows)).collect()}
+    assert got == {1: 0, 2: 5, 3: 4, 4: 0, 5: 0, 6: 301, 7: 0}    # 4: the blank line parts its block; 7: three words

@@ -1,7 +1,9 @@
 """Line deduplication by pairwise alignment.
 
 1. A document is its sequence of line fingerprints (lines stripped; blank lines are no
-   evidence).  Lines of at least ``least_words`` words nominate pairs.
+   evidence).  Lines of at least ``least_words`` words nominate pairs, and so does each
+   shortest run of shorter lines that reaches as many words (blank lines within count as
+   part of the run), so every block that step 4 deletes holds a nominating unit.
 2. Overlapping documents.  A line that few documents share (``rare_df`` at most) pairs
    each of them with the nearest earlier holder of the line.  A line that more documents
    share pairs each with the line's first holder: so a stock line, or a group of copies
@@ -143,8 +145,24 @@ def common_blocks(a: list[int], b: list[int], words_b: list[int], least_words: i
     return out
 
 
+def _units(prints: np.ndarray, words: np.ndarray, least_words: int) -> np.ndarray:
+    """Distinct fingerprints of what nominates pairs: the lines of at least ``least_words``
+    words, and from each shorter line on the shortest run of shorter lines with as many."""
+    at = np.flatnonzero((words > 0) & (words < least_words))
+    if not len(at):
+        return np.unique(prints[words >= least_words]).view(np.int64)
+    total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
+    n_long = np.concatenate([[0], np.cumsum(words >= least_words)])
+    ends = np.searchsorted(total, total[at] + least_words, "left")
+    fits = ends <= len(words)
+    at, ends = at[fits], ends[fits]
+    short = n_long[ends] == n_long[at]
+    runs = [xxhash.xxh3_64_intdigest(prints[i:j].tobytes()) for i, j in zip(at[short].tolist(), ends[short].tolist())]
+    return np.unique(np.concatenate([prints[words >= least_words], np.array(runs, np.uint64)])).view(np.int64)
+
+
 def _sequences(least_words: int):
-    """Rows (doc_id, prints, words, long): a document's lines and its distinct long ones."""
+    """Rows (doc_id, prints, words, units): a document's lines and its distinct units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             prints, words, distinct = [], [], []
@@ -152,10 +170,10 @@ def _sequences(least_words: int):
                 p, w = line_prints(text.as_py())
                 prints.append(p.tobytes())
                 words.append(w.tobytes())
-                distinct.append(np.unique(p[w >= least_words]).view(np.int64))
+                distinct.append(_units(p, w, least_words))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), binary_column(prints), binary_column(words),
-                 pa.array(distinct, pa.list_(pa.int64()))], names=["doc_id", "prints", "words", "long"])
+                 pa.array(distinct, pa.list_(pa.int64()))], names=["doc_id", "prints", "words", "units"])
 
     return tidied(run)
 
@@ -185,8 +203,8 @@ def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_W
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
                                                         text_bytes(text_col).alias("text"))
     lines = stage(spark, base.mapInArrow(_sequences(least_words),
-                                         "doc_id long, prints binary, words binary, long array<long>"), "op5-lines")
-    held = lines.select("doc_id", F.explode("long").alias("line"))
+                                         "doc_id long, prints binary, words binary, units array<long>"), "op5-lines")
+    held = lines.select("doc_id", F.explode("units").alias("line"))
     shared = stage(spark, held.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("first"),
                                                    F.max("doc_id").alias("last"))
                    .where("first < last").select("line", "df", "first"), "op5-lines-held")
