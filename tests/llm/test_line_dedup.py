@@ -127,3 +127,34 @@ def test_blocks_of_short_lines_nominate(spark, docs_of):
             (5, "x\n" * 300), (6, "x\n" * 300), (7, "violets\nare blue")]
     got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(rows)).collect()}
     assert got == {1: 0, 2: 5, 3: 4, 4: 0, 5: 0, 6: 301, 7: 0}    # 4: the blank line parts its block; 7: three words
+
+
+def all_sharers(rows):
+    """Lines that go when each document is aligned with every earlier one."""
+    seqs = {i: lines_of(t) for i, t in rows}
+    code = {v: n + 1 for n, v in enumerate({v for s in seqs.values() for v in s if v})}
+    out = {}
+    for b in seqs:
+        y, words = [code.get(v, 0) for v in seqs[b]], [len(v.split()) for v in seqs[b]]
+        out[b] = {q for a in seqs if a < b for s, e in common_blocks([code.get(v, 0) for v in seqs[a]], y, words, LEAST)
+                  for q in range(s, e)}
+    return {b: len(gone) for b, gone in out.items()}
+
+
+def test_every_earlier_holder_counts(spark, docs_of):
+    m, stock = "this is the line m", "this is the stock line"
+    for rows in (
+            [(1, m + "\n" + stock)] + [(i, stock + "\n" + m) for i in range(2, 67)],               # crossing order
+            [(1, stock)] + [(i, f"own words {i}\n{stock}\nmore own words {i}\n{stock}") for i in range(2, 90)],
+            [(i, m) for i in range(80)] + [(80, "Of.\n" + m)] + [(i, m) for i in range(81, 700)] + [(900, "Of.\n" + m)]):
+        got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(rows)).collect()}
+        assert got == all_sharers(rows)
+
+
+def test_random_documents_against_all_sharers(spark, docs_of):
+    rng = random.Random(5)
+    pool = [f"stock line number {i} here" for i in range(12)] + ["Of.", "Short one.", "two words", "", "three of them"]
+    rows = [(i, "\n".join(rng.choice(pool) if rng.random() < 0.7 else f"only here {i} {rng.random()} words"
+                          for _ in range(rng.randrange(1, 9)))) for i in range(300)]
+    got = {r.doc_id: r.n_removed for r in line_dedup(spark, docs_of(rows)).collect()}
+    assert got == all_sharers(rows)

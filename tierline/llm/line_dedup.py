@@ -2,12 +2,18 @@
 
 1. A document is its sequence of line fingerprints (lines stripped; blank lines are no
    evidence).  Lines of at least ``least_words`` words nominate pairs, and so does each
-   shortest run of shorter lines that reaches as many words (blank lines within count as
-   part of the run), so every block that step 4 deletes holds a nominating unit.
-2. Overlapping documents.  A line that few documents share (``rare_df`` at most) pairs
-   each of them with the nearest earlier holder of the line.  A line that more documents
-   share pairs each with the line's first holder: so a stock line, or a group of copies
-   however large, gives one pair per document and line, never all pairs.
+   shortest run of lines up to or down from a shorter line that reaches as many words
+   (blank lines within count as part of the run), so each line of a block that step 4
+   deletes lies in a nominating unit of that block.
+2. Overlapping documents.  A document meets, for each unit, the unit's first holder and a
+   near earlier one, and aligns with both.  Units that are left over in a document (a line
+   of them is in no common block yet) then meet more of their earlier holders, round by
+   round several times as many as before, until the document has lost those lines or has
+   met every earlier holder.  So a document loses what alignment with all earlier holders
+   of its units would take, while a stock line that the first partner takes costs one or
+   two pairs a document.  With ``rare_df`` given, a unit that at most so many documents
+   share pairs each with the nearest earlier holder, any other with the first, and no
+   more pairs are made.
 3. Each pair is aligned by patience diff over the fingerprints: lines that are unique in
    both documents, their longest common order, growth of each such anchor both ways over
    equal lines, and the same again in the gaps.  A range without such lines matches its
@@ -32,7 +38,9 @@ from pyspark.sql import functions as F
 from tierline.llm.common import binary_column, drop_staged, slices, stage, text_bytes, tidied
 
 LEAST_WORDS = 4
-RARE_DF = 64
+NEAR = 256     # holders of a unit among which a near earlier one is looked for
+GROWTH = 16    # the holders that a left-over unit meets grow by this factor a round
+_BUCKETS = 1 << 30
 
 
 def line_prints(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -145,23 +153,36 @@ def common_blocks(a: list[int], b: list[int], words_b: list[int], least_words: i
     return out
 
 
-def _units(prints: np.ndarray, words: np.ndarray, least_words: int) -> np.ndarray:
-    """Distinct fingerprints of what nominates pairs: the lines of at least ``least_words``
-    words, and from each shorter line on the shortest run of shorter lines with as many."""
-    at = np.flatnonzero((words > 0) & (words < least_words))
+def _units(prints: np.ndarray, words: np.ndarray, least_words: int, mixed: bool) -> list[tuple[int, int, int]]:
+    """What nominates pairs, as (fingerprint, start, end): the lines of at least
+    ``least_words`` words, and from each shorter line on the shortest run of such lines
+    with as many; if ``mixed``, from each other line, blank ones included, the shortest run
+    up and down, whatever lines it holds."""
+    is_long = words >= least_words
+    out = [(p, i, i + 1) for p, i in zip(prints[is_long].view(np.int64).tolist(), np.flatnonzero(is_long).tolist())]
+    at = np.flatnonzero(~is_long & (mixed | (words > 0)))
     if not len(at):
-        return np.unique(prints[words >= least_words]).view(np.int64)
+        return out
     total = np.concatenate([[0], np.cumsum(words, dtype=np.int64)])
-    n_long = np.concatenate([[0], np.cumsum(words >= least_words)])
     ends = np.searchsorted(total, total[at] + least_words, "left")
     fits = ends <= len(words)
-    at, ends = at[fits], ends[fits]
-    short = n_long[ends] == n_long[at]
-    runs = [xxhash.xxh3_64_intdigest(prints[i:j].tobytes()) for i, j in zip(at[short].tolist(), ends[short].tolist())]
-    return np.unique(np.concatenate([prints[words >= least_words], np.array(runs, np.uint64)])).view(np.int64)
+    runs = set(zip(at[fits].tolist(), ends[fits].tolist()))
+    if mixed:
+        starts = np.searchsorted(total, total[at + 1] - least_words, "right") - 1
+        runs |= set(zip(starts[starts >= 0].tolist(), (at[starts >= 0] + 1).tolist()))
+    else:
+        runs = {(i, j) for i, j in runs if not is_long[i:j].any()}
+    worded, cores = np.flatnonzero(words > 0), {}
+    for i, j in sorted(runs):    # blank lines at the ends count by number: no long run of them is hashed twice
+        lo, hi = (int(worded[np.searchsorted(worded, i)]), int(worded[np.searchsorted(worded, j) - 1]) + 1)
+        if (lo, hi) not in cores:
+            cores[lo, hi] = xxhash.xxh3_64_intdigest(prints[lo:hi].tobytes())
+        ends_too = np.array([cores[lo, hi], lo - i, j - hi], np.uint64)
+        out.append((int(np.uint64(xxhash.xxh3_64_intdigest(ends_too.tobytes())).view(np.int64)), i, j))
+    return out
 
 
-def _sequences(least_words: int):
+def _sequences(least_words: int, mixed: bool):
     """Rows (doc_id, prints, words, units): a document's lines and its distinct units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -170,7 +191,7 @@ def _sequences(least_words: int):
                 p, w = line_prints(text.as_py())
                 prints.append(p.tobytes())
                 words.append(w.tobytes())
-                distinct.append(_units(p, w, least_words))
+                distinct.append(sorted({u for u, _, _ in _units(p, w, least_words, mixed)}))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), binary_column(prints), binary_column(words),
                  pa.array(distinct, pa.list_(pa.int64()))], names=["doc_id", "prints", "words", "units"])
@@ -196,32 +217,99 @@ def _blocks(least_words: int):
     return tidied(run)
 
 
-def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int = RARE_DF,
+def _left_over(least_words: int):
+    """Of each document's open units (unit, df) those of which a line is in no block yet."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch, "prints")):
+            docs, units, dfs = [], [], []
+            for doc, p, w, open_, blocks in zip(*(part.column(c).to_pylist() for c in
+                                                  ("doc_id", "prints", "words", "open", "blocks"))):
+                p, w = np.frombuffer(p, np.uint64), np.frombuffer(w, np.int32)
+                kept = np.concatenate([[0], np.cumsum(~_removed(blocks, len(w)))])
+                left = {u for u, i, j in _units(p, w, least_words, True) if kept[j] > kept[i]}
+                for x in open_:
+                    if x["unit"] in left:
+                        docs.append(doc)
+                        units.append(x["unit"])
+                        dfs.append(x["df"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (docs, units, dfs)],
+                                             names=["doc_id", "unit", "df"])
+
+    return tidied(run)
+
+
+def _aligned(spark: SparkSession, lines: DataFrame, pairs: DataFrame, least_words: int) -> DataFrame:
+    """The common blocks of each pair (a, b)."""
+    late = lines.select(F.col("doc_id").alias("b"), F.col("prints").alias("prints_b"), F.col("words").alias("words_b"))
+    early = lines.select(F.col("doc_id").alias("a"), F.col("prints").alias("prints_a"))
+    return stage(spark, pairs.join(late, "b").join(early, "a")
+                 .mapInArrow(_blocks(least_words), "doc_id long, start long, end long, partner long"), "op5-blocks")
+
+
+def _all_blocks(spark: SparkSession, lines: DataFrame, found: DataFrame, least_words: int) -> list[DataFrame]:
+    """Blocks with every earlier holder that can add one, round by round."""
+    late = found.where(F.col("doc_id") > F.col("first"))
+    some = F.when(F.col("df") > NEAR, F.pmod(F.xxhash64("doc_id"), F.ceil(F.col("df") / NEAR))).otherwise(F.lit(0))
+    near = (found.withColumn("some", some)
+            .withColumn("a", F.lag("doc_id").over(Window.partitionBy("unit", "some").orderBy("doc_id")))
+            .where("a < doc_id"))    # a row that repeats an id is no partner
+    pairs = late.select(F.col("first").alias("a"), F.col("doc_id").alias("b")).union(
+        near.select("a", F.col("doc_id").alias("b"))).distinct()
+    blocks = [_aligned(spark, lines, pairs, least_words)]
+    # A holder's turn: a number below df, so about ``hi - lo`` holders of a unit have theirs within [lo, hi).
+    turn = F.floor(F.pmod(F.xxhash64("unit", "doc_id"), F.lit(_BUCKETS)) * F.col("df") / F.lit(_BUCKETS))
+    holders = found.withColumn("turn", turn).select("unit", F.col("doc_id").alias("a"), "turn")
+    opened, lo, hi = late.select("doc_id", "unit", "df").distinct(), 0, GROWTH
+    spent: list[DataFrame] = []
+    while True:
+        cut = blocks[0]
+        for x in blocks[1:]:
+            cut = cut.union(x)
+        cut = cut.groupBy("doc_id").agg(F.collect_set(F.struct("start", "end")).alias("blocks"))
+        todo = opened.groupBy("doc_id").agg(F.collect_list(F.struct("unit", "df")).alias("open"))
+        after = stage(spark, todo.join(lines.select("doc_id", "prints", "words"), "doc_id").join(cut, "doc_id", "left")
+                      .mapInArrow(_left_over(least_words), "doc_id long, unit long, df long").distinct(), "op5-open")
+        drop_staged(spark, *spent)
+        spent, opened = [after], after
+        if opened.isEmpty():
+            break
+        meet = holders.where((F.col("turn") >= lo) & (F.col("turn") < hi))
+        pairs = (opened.join(meet, "unit").where(F.col("a") < F.col("doc_id"))
+                 .select("a", F.col("doc_id").alias("b")).distinct())
+        blocks.append(_aligned(spark, lines, pairs, least_words))
+        opened, lo, hi = opened.where(F.col("df") > hi), hi, hi * GROWTH    # the others have met all their holders
+    drop_staged(spark, *spent)
+    return blocks
+
+
+def line_blocks(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, blocks``: for each later document of an aligned pair its common blocks, as
     line ranges (start, end) with the earlier document's id."""
     base = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("doc_id"),
                                                         text_bytes(text_col).alias("text"))
-    lines = stage(spark, base.mapInArrow(_sequences(least_words),
+    lines = stage(spark, base.mapInArrow(_sequences(least_words, rare_df is None),
                                          "doc_id long, prints binary, words binary, units array<long>"), "op5-lines")
-    held = lines.select("doc_id", F.explode("units").alias("line"))
-    shared = stage(spark, held.groupBy("line").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("first"),
+    held = lines.select("doc_id", F.explode("units").alias("unit"))
+    shared = stage(spark, held.groupBy("unit").agg(F.count(F.lit(1)).alias("df"), F.min("doc_id").alias("first"),
                                                    F.max("doc_id").alias("last"))
-                   .where("first < last").select("line", "df", "first"), "op5-lines-held")
-    found = stage(spark, held.join(shared, "line"), "op5-shared")    # both sides shuffle anew, so Spark can split
-    nearest = Window.partitionBy("line").orderBy("doc_id")
-    rare = (found.where(F.col("df") <= rare_df).select("line", "doc_id").distinct()
-            .withColumn("a", F.lag("doc_id").over(nearest)).where("a IS NOT NULL"))
-    stock = found.where((F.col("df") > rare_df) & (F.col("doc_id") > F.col("first"))).withColumnRenamed("first", "a")
-    pairs = rare.select("a", F.col("doc_id").alias("b")).union(
-        stock.select("a", F.col("doc_id").alias("b"))).distinct()
-    late = lines.select(F.col("doc_id").alias("b"), F.col("prints").alias("prints_b"), F.col("words").alias("words_b"))
-    early = lines.select(F.col("doc_id").alias("a"), F.col("prints").alias("prints_a"))
-    blocks = stage(spark, pairs.join(late, "b").join(early, "a")
-                   .mapInArrow(_blocks(least_words), "doc_id long, start long, end long, partner long"), "op5-blocks")
-    out = stage(spark, blocks.groupBy("doc_id").agg(F.collect_list(F.struct("start", "end", "partner")).alias("blocks")),
-                "op5-result")
-    drop_staged(spark, lines, shared, found, blocks)
+                   .where("first < last").select("unit", "df", "first"), "op5-lines-held")
+    found = stage(spark, held.join(shared, "unit"), "op5-shared")    # both sides shuffle anew, so Spark can split
+    if rare_df is None:
+        blocks = _all_blocks(spark, lines, found, least_words)
+    else:
+        nearest = Window.partitionBy("unit").orderBy("doc_id")
+        rare = (found.where(F.col("df") <= rare_df).select("unit", "doc_id").distinct()
+                .withColumn("a", F.lag("doc_id").over(nearest)).where("a IS NOT NULL"))
+        stock = found.where((F.col("df") > rare_df) & (F.col("doc_id") > F.col("first"))).withColumnRenamed("first", "a")
+        blocks = [_aligned(spark, lines, rare.select("a", F.col("doc_id").alias("b")).union(
+            stock.select("a", F.col("doc_id").alias("b"))).distinct(), least_words)]
+    every = blocks[0]
+    for x in blocks[1:]:
+        every = every.union(x)
+    out = stage(spark, every.distinct().groupBy("doc_id").agg(
+        F.collect_list(F.struct("start", "end", "partner")).alias("blocks")), "op5-result")
+    drop_staged(spark, lines, shared, found, *blocks)
     return out
 
 
@@ -273,7 +361,7 @@ def _with_blocks(spark, docs, least_words, rare_df, id_col, text_col) -> tuple[D
     return docs.join(blocks, F.col(id_col).cast("long") == F.col(key), "left").select(*docs.columns, name), name
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int = RARE_DF,
+def line_dedup(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS, rare_df: int | None = None,
                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per input row: ``doc_id, n_lines, n_removed, n_partners, kept_sha256,
     kept_text``.
@@ -290,7 +378,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WO
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, least_words: int = LEAST_WORDS,
-                        rare_df: int = RARE_DF, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                        rare_df: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with the common blocks deleted from ``text_col``, all columns kept.  A row
     that lost lines and has no words left goes; rows that were empty before stay."""
     joined, name = _with_blocks(spark, docs, least_words, rare_df, id_col, text_col)
