@@ -9,7 +9,8 @@ All but the last return the columns of ``documents``.
 2. line_dedup: blocks of lines that an earlier document has go; documents left without
    words by that go with them.
 3. near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8 or
-   more) the document with the smallest id stays.
+   more) the document with the smallest id stays, and of rows that repeat its id and text
+   one row.
 4. mixing: documents are chosen to target weights over domain, language and source,
    within 95 % of the tokens and one epoch, so no document comes twice.
 5. packing: token sequences whose lengths are powers of two.
@@ -22,6 +23,7 @@ Columns beyond those of ``documents`` are dropped at the start.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, ship_package, stage
 from tierline.llm.line_dedup import drop_repeated_lines
@@ -54,7 +56,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
     docs = docs.select(*COLUMNS)
     gone = near_duplicates(spark, docs, percent=80).where("NOT kept").select("doc_id")
-    return docs.join(stage(spark, gone, "near-gone"), "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(stage(spark, gone, "near-gone"), "doc_id", "left_anti").select(*COLUMNS)
+    again = stage(spark, docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+                  "near-repeated-ids")
+    one = (kept.join(again, "doc_id", "left_semi").select(*COLUMNS)
+           .groupBy("doc_id", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+           .agg(F.min(F.struct("text", "lang", "source", "n_chars")).alias("row")).select("doc_id", "row.*"))
+    return kept.join(again, "doc_id", "left_anti").select(*COLUMNS).union(one.select(*COLUMNS))
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

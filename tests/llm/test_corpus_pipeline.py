@@ -78,3 +78,14 @@ def test_empty_tables(spark, tmp_path):
     spark.createDataFrame([], DOCS).write.parquet(f"{tmp_path}/documents.parquet")
     spark.createDataFrame([], LABELS).write.parquet(f"{tmp_path}/labels.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_near_dedup_keeps_one_of_repeated_rows(spark):
+    a, b, c = words("a", 30), words("b", 30), words("c", 30)
+    rows = [(1, a, "en", "src0", 1), (1, a, "en", "src0", 1), (1, a, "de", "src1", 1), (2, a, "en", "src0", 1),
+            (3, b, "en", "src0", 1), (3, c, "en", "src0", 1), (4, None, None, None, None), (4, "", None, None, 0),
+            (None, c, "en", "src0", 1), (None, c, "en", "src0", 1)]
+    out = P.near_dedup(spark, spark.createDataFrame(rows, DOCS), "")
+    got = sorted(((r.doc_id, r.text, r.lang) for r in out.collect()), key=repr)
+    assert got == sorted([(1, a, "de"), (3, b, "en"), (3, c, "en"), (4, None, None),
+                          (None, c, "en"), (None, c, "en")], key=repr)
