@@ -22,11 +22,17 @@ _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 _SHIPPED: set[str] = set()
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python workers this package, once per application, the way
-    ``--py-files`` does.  Where it is installed on every node that changes nothing."""
+    ``--py-files`` does.  Where it is installed on every node that changes nothing.
+
+    Texts go to the workers in Arrow batches of 4 MB, unless the session names a size of
+    its own: a batch is whole in memory on both sides, in every task of an executor."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(4 << 20))
     sc = spark.sparkContext
     home = Path(__file__).resolve().parents[1]
     if sc.applicationId in _SHIPPED or not home.is_dir():
@@ -121,7 +127,7 @@ def tidied(run: Callable) -> Callable:
     return task
 
 
-def slices(batch: pa.RecordBatch, column: str, most: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batch: pa.RecordBatch, column: str, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """``batch`` in runs of rows whose ``column`` holds about ``most`` bytes (one row at
     least), so that what is computed from a run stays small beside the executor."""
     _, offsets = binary_parts(batch.column(column))

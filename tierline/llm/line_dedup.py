@@ -185,7 +185,7 @@ def _units(prints: np.ndarray, words: np.ndarray, least_words: int, mixed: bool)
 def _sequences(least_words: int, mixed: bool):
     """Rows (doc_id, prints, words, units): a document's lines and its distinct units."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in slices(b, "text")):
             prints, words, distinct = [], [], []
             for text in batch.column("text"):
                 p, w = line_prints(text.as_py())
@@ -324,7 +324,7 @@ def _delete(schema_names: list[str], text_col: str, blocks_col: str, keep_column
     import hashlib
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in slices(b, text_col)):
             texts, total, gone, partners, sha = [], [], [], [], []
             for text, blocks in zip(batch.column(text_col), batch.column(blocks_col).to_pylist()):
                 lines = (text.as_py() or "").split("\n")

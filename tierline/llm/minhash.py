@@ -118,9 +118,7 @@ def _linked(least: float, size: int, percent: int):
     """Pairs whose signatures agree in a share of at least ``least`` and whose full sets
     then reach the similarity, in whole numbers."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (p for b in batches for q in slices(b, "set_a") for p in slices(q, "set_b")):
             x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint32).reshape(-1, size)
                     for c in ("sig_a", "sig_b"))
             yes = (x == y).sum(axis=1) >= least * size

@@ -126,7 +126,7 @@ def _spans(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def _cut(window: int, keep_text: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (p for b in batches for p in slices(b, "text")):
             total, gone, sha, kept, spans = [], [], [], [], []
             for text, (at, n) in zip(batch.column("text"), _spans(batch.column("spans"))):
                 pieces = text.as_py().split()

@@ -20,7 +20,7 @@ import numpy as np
 from tierline.llm import words as W
 
 WORD_BPE = "word_bpe_49k.json"
-KEPT_UNITS = 1_500_000   # fingerprints one worker keeps (some 30 bytes each)
+KEPT_UNITS = 400_000   # fingerprints one worker keeps (some 30 bytes each); beyond, it starts anew
 
 _SPACE, _LETTER, _DIGIT, _OTHER = range(4)
 _KIND = np.full(256, _OTHER, np.uint8)
@@ -108,8 +108,20 @@ class PieceEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._keys, self._start, self._size = np.zeros(0, W.U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self._pool = np.zeros(0, np.uint32)
+        self._runs: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []   # (keys ascending, start, size), shrinking
+        self._pool, self._used = np.zeros(1 << 16, np.uint32), 0
+
+    def _known(self) -> int:
+        return sum(len(keys) for keys, _, _ in self._runs)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(start, size) of each key's ids in the pool; start -1: not known."""
+        start, size = np.full(len(keys), -1, np.int64), np.zeros(len(keys), np.int32)
+        for held, begin, n in self._runs:
+            place = np.minimum(np.searchsorted(held, keys), len(held) - 1)
+            hit = held[place] == keys
+            start[hit], size[hit] = begin[place[hit]], n[place[hit]]
+        return start, size
 
     def _learn(self, keys: np.ndarray, raw: list[bytes], odd: np.ndarray) -> None:
         """Keep the ids of new units; ``keys`` ascend."""
@@ -124,13 +136,20 @@ class PieceEncoder:
                     [raw[i].decode("utf-8", "replace") for i in strange], add_special_tokens=False)):
                 ids[i] = e.ids
         size = np.array([len(x) for x in ids], np.int32)
-        start = len(self._pool) + np.concatenate([[0], np.cumsum(size, dtype=np.int64)[:-1]])
-        self._pool = np.concatenate([self._pool, np.array([x for unit in ids for x in unit], np.uint32)])
-        merged = np.concatenate([self._keys, keys])
-        order = np.argsort(merged, kind="stable")
-        self._keys = merged[order]
-        self._start = np.concatenate([self._start, start])[order]
-        self._size = np.concatenate([self._size, size])[order]
+        start = self._used + np.concatenate([[0], np.cumsum(size, dtype=np.int64)[:-1]])
+        more = np.array([x for unit in ids for x in unit], np.uint32)
+        end = self._used + len(more)
+        if end > len(self._pool):
+            grown = np.zeros(max(end, 2 * len(self._pool)), np.uint32)
+            grown[:self._used] = self._pool[:self._used]
+            self._pool = grown
+        self._pool[self._used:end], self._used = more, end
+        run = (keys, start, size)
+        while self._runs and len(self._runs[-1][0]) <= 2 * len(run[0]):   # few runs, each key moved seldom
+            run = tuple(np.concatenate(x) for x in zip(self._runs.pop(), run))
+            order = np.argsort(run[0])
+            run = tuple(x[order] for x in run)
+        self._runs.append(run)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids (uint32) of the texts data[offsets[i]:offsets[i+1]], and where each
@@ -146,18 +165,13 @@ class PieceEncoder:
             return np.zeros(0, np.uint32), np.zeros(len(offsets), np.int64)
         first, last, key, odd = (np.concatenate(x) for x in zip(*found))
         distinct, sample, back = np.unique(key, return_index=True, return_inverse=True)
-        if len(self._keys) > KEPT_UNITS:
+        if self._known() > KEPT_UNITS:
             self._forget()
-        if len(self._keys):
-            place = np.minimum(np.searchsorted(self._keys, distinct), len(self._keys) - 1)
-            fresh = np.flatnonzero(self._keys[place] != distinct)
-        else:
-            fresh = np.arange(len(distinct))
+        fresh = np.flatnonzero(self._find(distinct)[0] < 0)
         if len(fresh):
             where = sample[fresh]
             self._learn(distinct[fresh], [data[a:b].tobytes() for a, b in zip(first[where], last[where])], odd[where])
-        place = np.searchsorted(self._keys, distinct)
-        size, start = self._size[place][back], self._start[place][back]
+        start, size = (x[back] for x in self._find(distinct))
         ends = np.cumsum(size, dtype=np.int64)
         ids = self._pool[np.repeat(start - ends + size, size) + np.arange(ends[-1] if len(ends) else 0)]
         return ids, np.concatenate([[0], ends])[np.searchsorted(first, offsets)]

@@ -138,7 +138,7 @@ def _curve(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
 
 def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 1 << 20):
+        for part in slices(batch, "text"):
             seen = (Counter(), Counter())
             for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
                 seen[label].update(patterns_of(fold(text.decode("utf-8", "replace"))))
@@ -249,8 +249,8 @@ def keep_clean(docs: DataFrame, model: ToxicityModel, least: float = 0.5, text_c
     key = model.key()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            good = [chance(key, model.slope, model.intercept, t.as_py() or "")[0] < least for t in batch.column(text_col)]
-            yield batch.filter(pa.array(good, pa.bool_()))
+        for part in (p for batch in batches for p in slices(batch, text_col)):
+            good = [chance(key, model.slope, model.intercept, t.as_py() or "")[0] < least for t in part.column(text_col)]
+            yield part.filter(pa.array(good, pa.bool_()))
 
     return docs.mapInArrow(tidied(run), docs.schema)
