@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierline.llm.common import read_table, ship_package
+from tierline.llm.conversation_repair import repair_conversations
 from tierline.llm.exact_dedup import exact_dedup
 from tierline.llm.line_dedup import line_dedup
 from tierline.llm.minhash import near_duplicates
@@ -23,10 +24,16 @@ from tierline.llm.substring_dedup import substring_dedup
 from tierline.llm.token_counts import token_counts
 from tierline.llm.topk_search import top_k
 from tierline.llm.toxicity import learn, score
+from tierline.llm.url_rules import CONFIDENCE, SUPPORT, ListedRule, judge_urls
+from tierline.llm.whitening import whiten
 
 MIX_WEIGHTS = {"domain": {"crawl": 1, "curated": 3}, "lang": {"en": 5, "de": 2, "fr": 2, "es": 1}}
 MIX_SHARE, MIX_EPOCHS, MIX_SEED = 0.6, 2, 17
 
+#: The listed rules of op12.
+URL_RULES = (ListedRule("block", "net/"), ListedRule("allow", "example.net/en/"),
+             ListedRule("block", "example.com/de/"), ListedRule("allow", "org/fr/"))
+
 
 def mix_levels() -> dict:
     """domain, language, source: the hot source ``src0`` is the crawl, others are curated."""
@@ -89,6 +96,35 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_matches", "n_words")
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """The rows that op11 repairs, by a checksum of conversation and turn: 0 drops a row
+    (it stays as ``absent``), 1 empties its text, 2 removes its ``.!?``, 3 repeats it, 4
+    makes its role user.  NULLs count as one space."""
+    def text(c: str) -> Column:
+        return F.coalesce(F.col(c).cast("string"), F.lit(" "))
+
+    kind = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn")).cast("binary")) % 20
+    drawn = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), kind.alias("_kind"))
+    return drawn.select(
+        "conv_id", "turn", F.when(F.col("_kind") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("_kind") == 1, "").when(F.col("_kind") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(
+            F.col("text")).alias("text"), (F.col("_kind") == 0).alias("absent"),
+        F.explode(F.when(F.col("_kind") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy"))
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(read_table(spark, sf_dir, "conversations"))
+    return repair_conversations(spark, rows, absent=F.col("absent"))
+
+
+def op12_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(spark, read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(spark, read_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,7 +136,7 @@ def _shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: _shipped(f) for f in (
     op1_exact_dedup, op2_quote_threads, op3_minhash, op4_topk, op5_line_dedup, op6_substring_dedup, op7_mixing,
-    op8_packing, op9_token_counts, op10_toxicity)}
+    op8_packing, op9_token_counts, op10_toxicity, op11_conversation_repair, op12_url_rules, op13_whitening)}
 
 _OP2 = r"""
 WITH RECURSIVE base AS (
@@ -173,6 +209,120 @@ FROM documents d LEFT JOIN kept USING (doc_id)
 """
 
 
+def _repair_sql() -> str:
+    """The four states as (cost, audit, output) structs, one recursion step per row."""
+    def least(*states: str) -> str:
+        return f"list_min([{', '.join(states)}])"
+
+    def add(state: str, cost: str, letter: str, row: str | None = None) -> str:
+        out = f"{state}.o" + (f" || chr(10) || {row}" if row else "")
+        return f"CASE WHEN {state} IS NOT NULL THEN {{'c': {state}.c + {cost}, 'a': {state}.a || '{letter}', 'o': {out}}} END"
+
+    def keep(state: str, initial: str) -> str:
+        return f"CASE WHEN NOT must AND initial = '{initial}' THEN {add(state, 'extra', 'K', chr(39) * 2 + ' || role || ' + chr(39) + ':' + chr(39) + ' || text')} END"
+
+    def rerole(state: str, to: str) -> str:
+        return f"CASE WHEN NOT must THEN {add(state, '1 + extra', 'R', f'{chr(39)}{to}:{chr(39)} || text')} END"
+
+    def insert(state: str, to: str) -> str:
+        return add(state, "5", "I", f"'{to}:'")
+
+    opened = f"""least2 AS t2, {least("s3", insert("least2", "assistant"))} AS t3"""
+    closure = least("s2", insert("s0", "user"), insert("s1", "user"), insert("s3", "user"))
+    return rf"""
+WITH RECURSIVE keyed AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS s FROM conversations),
+drawn AS (
+  SELECT *, xor(list_reduce(list_transform(range(0, len(s)), lambda i: CAST(ascii(s[i + 1]) AS BIGINT)),
+      lambda acc, b: list_reduce([xor(acc, b)] || range(0, 8), lambda r, z: xor(r >> 1, 3988292384 * (r & 1))),
+      4294967295), 4294967295) % 20 AS kind FROM keyed),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(range(0, CASE kind WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy FROM drawn),
+numbered AS (
+  SELECT conv_id, turn, role, text, left(role, 1) AS initial,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(len(role) || ':' || role || text), copy) AS i,
+    row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth FROM damaged),
+faulty AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank' WHEN nth > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE '' END AS fault,
+    lag(initial) OVER (PARTITION BY conv_id ORDER BY i) || initial NOT IN ('su', 'ua', 'au') AS clash FROM numbered),
+moves AS (
+  SELECT conv_id, i, role, text, initial, fault IN ('blank', 'duplicate') AS must,
+    CASE fault WHEN 'truncated' THEN 5 ELSE 0 END AS extra FROM faulty),
+steps AS (
+  SELECT conv_id, CAST(0 AS BIGINT) AS i, {{'c': CAST(0 AS BIGINT), 'a': '', 'o': ''}} AS s0,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s1, CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s2,
+    CAST(NULL AS STRUCT(c BIGINT, a VARCHAR, o VARCHAR)) AS s3
+  FROM (SELECT DISTINCT conv_id FROM conversations)
+  UNION ALL
+  SELECT conv_id, i, {add("s0", "2", "D")}, {least(add("s1", "2", "D"), keep("s0", "s"))},
+    {least(add("t2", "2", "D"), keep("s0", "u"), keep("s1", "u"), keep("t3", "u"), rerole("s0", "user"), rerole("s1", "user"), rerole("t3", "user"))},
+    {least(add("t3", "2", "D"), keep("t2", "a"), rerole("t2", "assistant"))}
+  FROM (SELECT *, {opened} FROM (
+    SELECT s.conv_id, m.i, m.role, m.text, m.initial, m.must, m.extra, s0, s1, s3, {closure} AS least2
+    FROM steps s JOIN moves m ON m.conv_id IS NOT DISTINCT FROM s.conv_id AND m.i = s.i + 1))),
+facts AS (
+  SELECT conv_id, count(*) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated, count(*) FILTER (clash) AS illegal FROM faulty GROUP BY conv_id),
+ended AS (
+  SELECT s.conv_id, f.gaps, f.blank, f.duplicate, f.truncated, f.illegal,
+    {least("s0", least("s3", insert(closure, "assistant")))} AS best
+  FROM steps s LEFT JOIN facts f ON f.conv_id IS NOT DISTINCT FROM s.conv_id WHERE s.i = coalesce(f.n, 0))
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+  CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+  CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(best.c AS BIGINT) AS cost, best.a AS audit,
+  sha256(substr(best.o, 2)) AS repaired_sha256 FROM ended
+"""
+
+
+def _url_sql() -> str:
+    """Every token combination of every decided URL, counted; then the winning rule."""
+    fits = {r: f"((host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}'))" for r in URL_RULES}
+    ranked = sorted(URL_RULES, key=lambda r: -len(r.text))
+    rule, verdict = ("CASE " + " ".join(f"WHEN {fits[r]} THEN '{v(r)}'" for r in ranked) + " END"
+                     for v in (lambda r: r.text, lambda r: r.verdict))
+    return rf"""
+WITH split AS (
+  SELECT page_id, url, coalesce(contains(url, '://'), false) AS full_url,
+    translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+pieces AS (
+  SELECT *, string_split(host, '.') AS ls, string_split(path, '/') AS ps, {rule} AS rule, {verdict} AS listed,
+    list_sort(list_distinct(list_transform(string_split(coalesce(regexp_extract(url, '(?s)^.*?://[^?#]*\?([^#]*)', 1), ''), '&'),
+      lambda p: string_split(p, '=')[1]))) AS ks FROM split),
+judged AS (
+  SELECT row_number() OVER () AS uid, page_id, host, path, rule, listed, CASE WHEN full_url THEN list_sort(list_filter([
+      'scheme:' || nullif(translate(regexp_extract(url, '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ''),
+      'tld:' || nullif(ls[-1], ''), CASE WHEN len(ls) >= 2 THEN 'site:' || ls[-2] || '.' || ls[-1] END,
+      CASE WHEN len(ls) >= 3 THEN 'name:' || nullif(ls[-3], '') END,
+      CASE WHEN len(ls) >= 4 THEN 'sub:' || nullif(array_to_string(ls[1:len(ls) - 3], '.'), '') END,
+      CASE WHEN contains(host, '-') THEN 'hyphen:yes' END, CASE WHEN len(ps) > 1 THEN 'dir:' || nullif(ps[2], '') END,
+      CASE WHEN len(ps) > 2 THEN 'page:' || nullif(regexp_replace(ps[3], '[0-9]+', '#', 'g'), '') END,
+      'ext:' || nullif(regexp_extract(path, '\.([A-Za-z0-9]{{1,5}})$', 1), ''),
+      'keys:' || nullif(array_to_string(ks, ','), ''),
+      CASE WHEN contains(regexp_extract(url, '(?s)^.*?://(.*)$', 1), '#') THEN 'frag:yes' END],
+      lambda t: t IS NOT NULL)) ELSE [] END AS toks FROM pieces),
+total AS (SELECT count(*) AS n FROM judged j JOIN (SELECT 1) ON listed IS NOT NULL),
+combos AS (
+  SELECT listed, list_filter(toks, lambda t, i: (m >> (i - 1)) & 1 = 1) AS items
+  FROM (SELECT listed, toks, unnest(range(1, 1 << len(toks))) AS m FROM judged WHERE listed IS NOT NULL)),
+both_ AS (SELECT items, listed AS label, count(*) AS n FROM combos GROUP BY ALL),
+rules AS (
+  SELECT items, label, n, n / sum(n) OVER (PARTITION BY items) AS confidence FROM both_
+  QUALIFY n >= ceil({SUPPORT} * (SELECT n FROM total)) AND n / sum(n) OVER (PARTITION BY items) >= {CONFIDENCE}),
+hits AS (
+  SELECT uid, r.* FROM (SELECT uid, toks FROM judged WHERE listed IS NULL) j JOIN rules r ON list_has_all(j.toks, r.items)
+  QUALIFY row_number() OVER (PARTITION BY uid ORDER BY confidence DESC, r.n DESC, len(items), items, label) = 1)
+SELECT page_id, host, path, rule, coalesce(listed, label, 'allow') AS verdict,
+  CASE WHEN listed IS NULL THEN array_to_string(items, ' ') END AS evidence,
+  CASE WHEN listed IS NULL THEN confidence END AS confidence FROM judged LEFT JOIN hits USING (uid)
+"""
+
+
 def _mix_sql() -> str:
     """The water levels of the three tree levels, then the seeded prefix of each leaf."""
     def weight(level: str) -> str:
@@ -237,4 +387,6 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
   vec_id, score FROM s QUALIFY rank <= 5""",
     "op6_substring_dedup": _OP6,
     "op7_mixing": _mix_sql(),
+    "op11_conversation_repair": _repair_sql(),
+    "op12_url_rules": _url_sql(),
 }
