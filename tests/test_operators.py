@@ -212,3 +212,46 @@ def test_checkpoint_dir_on_a_local_path_is_pointed_out():
 
     with pytest.warns(UserWarning, match="every executor"):
         assert ensure_checkpoint_dir(FakeSession()) == "file:/tmp/somewhere"
+
+
+def test_map_columns_go_through_flags_ranks_and_profiles(spark):
+    from tierline.operators.quality import exact_duplicate_rows
+    from tierline.operators.ranking import rank_in_group, share_of_group
+    df = spark.sql("SELECT id, id % 3 AS g, CAST(id AS DOUBLE) AS v, map('k', id % 2) AS m, array(map('x', 1)) AS deep "
+                   "FROM range(30) UNION ALL SELECT 1, NULL, NULL, map('k', 1L), array(map('x', 1))")
+    parent = spark.range(2).withColumnRenamed("id", "k")
+    for split in (False, True):
+        got = flag_orphans(df, parent, "k", "g", split_hot_keys=split)
+        assert got.where("is_orphan_g").count() == 11 and got.columns == [*df.columns, "is_orphan_g"]
+    assert rank_in_group(df, "g", "v", "r").where("r = 1").count() == 4
+    assert share_of_group(df, "g", "v", "t", "s").count() == 31
+    twice = df.unionAll(df.where("id < 5"))
+    assert tuple(exact_duplicate_rows(twice).first()) == (37, 6)
+
+
+def test_exact_duplicates_by_fingerprint(spark):
+    from tierline.operators.quality import exact_duplicate_rows
+    rows = [(1, "a", 0.0, None), (1, "a", -0.0, None), (None, "a", 1.0, "a"), ("a" and None, None, 1.0, "a"), (2, None, float("nan"), "x"),
+            (2, None, float("nan"), "x"), (2, None, float("nan"), "x"), (None, None, None, None), (None, None, None, None)]
+    df = spark.createDataFrame(rows, "a int, b string, c double, d string").repartition(3)
+    slow = df.groupBy(*df.columns).count().selectExpr("sum(count)", "sum(count - 1)").first()
+    assert tuple(exact_duplicate_rows(df).first()) == tuple(slow) == (9, 4)
+    assert tuple(exact_duplicate_rows(df.where("false")).first()) == (0, 0)
+    plan = exact_duplicate_rows(df)._jdf.queryExecution().executedPlan().toString()
+    first = next(line for line in plan.splitlines() if "hashpartitioning(_f0" in line)
+    assert "b#" not in first        # the counting shuffle carries the fingerprint only
+
+
+def test_composite_foreign_keys_match_not_exists(spark):
+    import random
+    rng = random.Random(3)
+    pick = lambda n: [None, *range(n)][rng.randrange(n + 1)]
+    child = [(i, pick(5), rng.choice([None, "d1", "d2", "d3"])) for i in range(200)]
+    parent = [(pick(4), rng.choice([None, "d1", "d2"])) for _ in range(6)]
+    df = spark.createDataFrame(child, "id int, k int, day string")
+    pf = spark.createDataFrame(parent, "pk long, pday string")
+    for split in (False, True):
+        got = {r.id: r.is_orphan_k_day for r in flag_orphans(df, pf, ["pk", "pday"], ["k", "day"], split_hot_keys=split).collect()}
+        assert got == {i: k is None or d is None or (k, d) not in set(parent) for i, k, d in child}
+    with pytest.raises(ValueError):
+        flag_orphans(df, pf, ["pk"], ["k", "day"])

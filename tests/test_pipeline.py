@@ -181,3 +181,92 @@ def test_gold_tables_in_display_order(spark, sf_small):
     assert a == sorted(a) and len(a) > 1000
     b = [(r.industry, -r.revenue_share_in_industry) for r in sorted_advertiser_revenue(spark, layout).collect()]
     assert b == sorted(b) and len(b) > 100
+
+
+def _flags(spark, layout):
+    return {e: {r.id: r[c] for r in spark.table(layout.table("silver", e)).collect()}
+            for e, c in (("clicks", "is_orphan_impression_id"), ("conversions", "is_orphan_click_id"))}
+
+
+def test_orphan_flags_heal_in_any_build_order(spark):
+    days = _days(spark)
+    full, _ = _pipeline(spark, days, only_last=True)
+    want = _flags(spark, full)
+    for order in (["conversions", "clicks", "impressions"], ["clicks", "impressions", "conversions"]):
+        layout = Layout(base=scratch_dir(spark, "pipe"), domain=f"t{uuid.uuid4().hex[:6]}", rows_per_partition=4)
+        setup_schemas(spark, layout)
+        for day, frames in days:
+            for entity, df in frames.items():
+                bronze_load(spark, layout, entity, df, day)
+            for entity in order:
+                silver_build(spark, layout, entity)
+        for _ in order:     # parents are there now: the flags end without new rows
+            for entity in order:
+                silver_build(spark, layout, entity)
+        assert _flags(spark, layout) == want, order
+        for entity in order:
+            assert silver_build(spark, layout, entity)["rows_written"] == 0
+        for entity in ("clicks", "conversions"):
+            a, b = (spark.table(x.table("silver", entity)) for x in (layout, full))
+            assert _rows(a) == _rows(b.select(*a.columns))
+
+
+def test_a_late_parent_reads_no_old_child_rows(spark, monkeypatch):
+    """Only the pending orphans meet the parent's new keys, and only their days are read."""
+    import tierline.plans.pipelines as pipelines
+    days = _days(spark)
+    layout, _ = _pipeline(spark, days[:1])
+    pending = layout.table("silver", "clicks__pending_impression_id")
+    assert _rows(spark.table(pending).select("id", "impression_id")) == [(11, 9)]
+    bronze_load(spark, layout, "impressions", days[1][1]["impressions"], "2024-01-11")
+    silver_build(spark, layout, "impressions")
+    read, scanned = pipelines.read_bronze, []
+    monkeypatch.setattr(pipelines, "read_bronze", lambda s, path, **k: (scanned.append(path), read(s, path, **k))[1])
+    monkeypatch.setattr(pipelines, "build_silver", _no_old_rows(pipelines.build_silver))
+    got = silver_build(spark, layout, "clicks")
+    assert got["rows"] == 3 and got["rows_written"] == 2        # the day of click 11
+    assert spark.table(pending).count() == 0
+    assert {r.id: r.is_orphan_impression_id for r in spark.table(layout.table("silver", "clicks")).collect()} == {
+        10: False, 11: False, 12: True}
+
+
+def _no_old_rows(build):
+    def run(raw, *args, **kwargs):
+        assert raw.count() == 0
+        return build(raw, *args, **kwargs)
+
+    return run
+
+
+def test_ids_that_restart_each_day(spark):
+    """Keys of id and day: both days' rows stay, and a foreign key only meets its own day."""
+    from tierline.rules import FkCheck
+    day_key = {"primary_key": ("id", "day"), "dedup_keys": ("id", "day"), "tiebreaker": ("id", "day")}
+    registry = {
+        "views": EntityRule(name="views", is_event=False, casts={"id": "int"}, **day_key),
+        "taps": EntityRule(name="taps", is_event=False, casts={"id": "int", "view_id": "int"},
+                           fk_checks=(FkCheck("views", ("id", "day"), ("view_id", "day")),), **day_key),
+    }
+    layout = Layout(base=scratch_dir(spark, "pipe"), domain=f"t{uuid.uuid4().hex[:6]}")
+    setup_schemas(spark, layout)
+    views = {1: [(1, "d1"), (2, "d1"), (2, "d1")], 2: [(1, "d2")], 3: [(2, "d2")]}
+    taps = {1: [(1, "d1", 1), (2, "d1", 2), (3, "d1", 9)], 2: [(1, "d2", 1), (2, "d2", 2)], 3: []}
+    orphans = {}
+    for n in (1, 2, 3):
+        bronze_load(spark, layout, "views", spark.createDataFrame(views[n], "id long, day string"), f"2024-01-0{n}", registry)
+        bronze_load(spark, layout, "taps", spark.createDataFrame(taps[n], "id long, day string, view_id long"),
+                    f"2024-01-0{n}", registry)
+        for entity in ("views", "taps"):
+            got = silver_build(spark, layout, entity, registry)
+        orphans[n] = {(r.id, r.day) for r in spark.table(layout.table("silver", "taps")).where("is_orphan_view_id_day").collect()}
+    assert got["rows"] == 5 and spark.table(layout.table("silver", "views")).count() == 4
+    assert orphans == {1: {(3, "d1")}, 2: {(3, "d1"), (2, "d2")}, 3: {(3, "d1")}}
+
+
+def test_a_failure_carries_the_summary_so_far(spark, sf_small):
+    layout = Layout(base=scratch_dir(spark, "pipe"), domain=f"t{uuid.uuid4().hex[:6]}")
+    raw = {"advertisers": raw_entities(spark, sf_small)["advertisers"].drop("website")}
+    with pytest.raises(Exception) as e:
+        run_all(spark, layout, raw, run_date="2024-01-31")
+    steps = e.value.run_summary.collect()
+    assert [(s.layer, s.status) for s in steps] == [("bronze", "OK"), ("silver", "ERROR")]

@@ -1,0 +1,234 @@
+"""Tables keep their rows whatever changes or fails: versions, publication, growth."""
+
+import uuid
+
+import pytest
+from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
+
+import tierline.sources.tables as tables
+from tierline.session import scratch_dir
+from tierline.sources.tables import (LAYOUT_PROPERTY, PART_COL, TableLayout, create_table, ensure_schemas, event_day, linear_part,
+                                     merge_upsert, overwrite_table, split_sources, table_exists, table_properties, table_rows)
+
+
+@pytest.fixture(scope="module")
+def schema(spark):
+    name = f"v_{uuid.uuid4().hex[:8]}"
+    ensure_schemas(spark, {name: "versions"}, location_root=scratch_dir(spark, "versions"))
+    return name
+
+
+def kv(spark, rows, cols="k int, v string"):
+    return spark.createDataFrame(rows, cols)
+
+
+def held(spark, table, *cols):
+    spark.catalog.refreshTable(table)
+    return sorted((tuple(r) for r in spark.table(table).select(*cols).collect()), key=repr)
+
+
+@pytest.mark.parametrize("managed", [True, False])
+@pytest.mark.parametrize("parts", [[], ["p"]])
+@pytest.mark.parametrize("with_path", [True, False])
+def test_overwrite_with_other_columns(spark, schema, managed, parts, with_path):
+    t = f"{schema}.o{int(managed)}{len(parts)}{int(with_path)}"
+    path = scratch_dir(spark, "over") if with_path and not managed else None
+    first = kv(spark, [(i, f"v{i}", i % 2) for i in range(5)], "k int, v string, p int")
+    if managed:
+        first.write.partitionBy(*parts).saveAsTable(t) if parts else first.write.saveAsTable(t)
+    else:
+        create_table(first, t, path, parts)
+    wide = spark.table(t).withColumn("extra", F.col("k") * 10).select("k", "v", "extra", "p")
+    assert overwrite_table(wide, t, path, parts) == 5
+    assert held(spark, t, "k", "extra") == [(i, i * 10) for i in range(5)]
+    assert overwrite_table(spark.table(t).where("k < 2"), t, path, parts) == 2      # reads what it replaces
+    assert overwrite_table(spark.table(t).select("k", "p"), t, path, parts) == 2
+    assert held(spark, t, "k") == [(0,), (1,)] and spark.table(t).columns == ["k", "p"]
+
+
+class _Fails:
+    """Lets SQL statements pass until one begins so and holds that text, which fails."""
+
+    def __init__(self, monkeypatch, spark, begins, holds=""):
+        self.run, self.begins, self.holds, self.hit = type(spark).sql, begins, holds, 0
+        monkeypatch.setattr(SparkSession, "sql", lambda s, q, *a, **k: self(s, q, *a, **k))
+        type(spark).sql = lambda s, q, *a, **k: self(s, q, *a, **k)
+
+    def __call__(self, session, query, *a, **k):
+        if query.startswith(self.begins) and self.holds in query:
+            self.hit += 1
+            raise RuntimeError(f"stopped at {self.begins}")
+        return self.run(session, query, *a, **k)
+
+
+@pytest.fixture
+def failing(spark, monkeypatch):
+    original = type(spark).sql
+
+    def make(begins, holds=""):
+        return _Fails(monkeypatch, spark, begins, holds)
+
+    yield make
+    type(spark).sql = original
+
+
+@pytest.mark.parametrize("begins", ["CREATE TABLE", "MSCK", "DROP TABLE v_", "ALTER TABLE"])
+def test_a_stop_between_catalog_changes_loses_nothing(spark, schema, failing, begins):
+    t = f"{schema}.stop_{begins.split()[0].lower()}"
+    create_table(kv(spark, [(1, "a"), (2, "b")]), t, partition_by=["k"])
+    wide = kv(spark, [(1, "a", 5), (3, "c", 6)], "k int, v string, n int").select("v", "n", "k")
+    original = type(spark).sql
+    stop = failing(begins if begins != "DROP TABLE v_" else f"DROP TABLE {schema}")
+    with pytest.raises(RuntimeError, match="stopped"):
+        overwrite_table(wide, t, partition_by=["k"])
+    assert stop.hit
+    type(spark).sql = original
+    # the old rows, or the new ones once the next write has finished the swap
+    merge_or = held(spark, t, "k") if table_exists(spark, t) else None
+    assert merge_or in (None, [(1,), (2,)])
+    tables._finish_swap(spark, t)
+    assert held(spark, t, "k") == ([(1,), (2,)] if merge_or else [(1,), (3,)])
+    assert overwrite_table(wide, t, partition_by=["k"]) == 2
+    assert held(spark, t, "k", "n") == [(1, 5), (3, 6)]
+
+
+def test_first_upsert_that_stops_can_run_again(spark, schema, failing):
+    t = f"{schema}.first"
+    rows = kv(spark, [(i, "a") for i in range(6)])
+    original = type(spark).sql
+    failing("ALTER TABLE", "RENAME")
+    with pytest.raises(RuntimeError, match="stopped"):
+        merge_upsert(spark, t, rows, "k", partitions=3)
+    type(spark).sql = original
+    assert not table_exists(spark, t)
+    merge_upsert(spark, t, rows.where("k > 2").withColumn("v", F.lit("b")), "k", partitions=3)
+    assert held(spark, t, "k", "v") == [(i, "a" if i < 3 else "b") for i in range(6)]
+    assert table_properties(spark, t)[LAYOUT_PROPERTY] == "hash:3:k"
+
+
+@pytest.mark.parametrize("layout", ["plain", "hash", "day"])
+@pytest.mark.parametrize("target, source, value", [("int", "double", 2.5), ("int", "bigint", 2 ** 40), ("bigint", "string", "two"),
+                                                   ("decimal(10,2)", "decimal(12,4)", None), ("double", "int", 7),
+                                                   ("struct<a:int>", "struct<a:double,b:string>", (2.5, "x"))])
+def test_no_value_is_narrowed(spark, schema, layout, target, source, value):
+    from decimal import Decimal
+    t = f"{schema}.n_{layout}_{uuid.uuid4().hex[:6]}"
+    value = Decimal("1.2345") if value is None else value
+    old = (1,) if target.startswith("struct") else Decimal("1.25") if target.startswith("dec") else 1.0 if target == "double" else 1
+    kw = {"plain": {}, "hash": {"partitions": 3}, "day": {"partition_expr": F.col("d")}}[layout]
+    merge_upsert(spark, t, kv(spark, [(i, i, old) for i in range(4)], f"k int, d int, v {target}"), "k", **kw)
+    merge_upsert(spark, t, kv(spark, [(1, 9, value), (7, 9, value)], f"k int, d int, v {source}"), "k", **kw)
+    got = {r.k: r.v for r in spark.table(t).collect()}
+    assert len(got) == 5 and got[1] == got[7]
+    shown = lambda v: v.asDict() if hasattr(v, "asDict") else v
+    assert shown(got[1]) == ({"a": 2.5, "b": "x"} if target.startswith("struct") else value)
+    assert shown(got[0]) == ({"a": 1.0, "b": None} if target.startswith("struct") else "1" if source == "string" else old)
+    assert table_rows(spark, t) == 5
+
+
+@pytest.mark.parametrize("at", ["first", "add", "drop", "set", "properties"])
+def test_publication_that_stops_is_finished_by_the_next_upsert(spark, schema, failing, at):
+    t = f"{schema}.pub_{at}"
+    kw = {"partition_expr": F.col("d")}
+    cols = "k int, d int, v string"
+    merge_upsert(spark, t, kv(spark, [(i, i, "old") for i in range(6)], cols), "k", **kw)
+    moved = kv(spark, [(0, 9, "new"), (1, 1, "new"), (2, 10, "new")], cols)
+    want = [(0, 9, "new"), (1, 1, "new"), (2, 10, "new"), (3, 3, "old"), (4, 4, "old"), (5, 5, "old")]
+    original = type(spark).sql
+    begins, holds = {"first": ("ALTER TABLE", "SET TBLPROPERTIES ('tierline.publishing'"), "add": ("ALTER TABLE", "ADD IF"),
+                     "drop": ("ALTER TABLE", "DROP IF"), "set": ("ALTER TABLE", "SET LOCATION"),
+                     "properties": ("ALTER TABLE", "SET TBLPROPERTIES ('tierline.rows'")}[at]
+    stop = failing(begins, holds)
+    with pytest.raises(RuntimeError, match="stopped"):
+        merge_upsert(spark, t, moved, "k", **kw)
+    type(spark).sql = original
+    assert stop.hit == 1
+    rows = held(spark, t, "k", "d", "v")        # every partition has its old or its new rows
+    for d in range(6):
+        assert [r for r in rows if r[1] == d] in ([(d, d, "old")], [r for r in want if r[1] == d])
+    merge_upsert(spark, t, kv(spark, [(5, 5, "last")], cols), "k", **kw)
+    done = rows if at == "first" else want      # nothing was recorded yet: the upsert never happened
+    assert held(spark, t, "k", "d", "v") == sorted([r for r in done if r[0] != 5] + [(5, 5, "last")])
+    assert table_rows(spark, t) == len(done)
+
+
+def test_a_failed_write_changes_nothing(spark, schema):
+    t = f"{schema}.failed"
+    merge_upsert(spark, t, kv(spark, [(i, "old") for i in range(6)]), "k", partitions=2)
+    bad = kv(spark, [(1, "new")]).withColumn("v", F.raise_error(F.lit("disk gone")).cast("string"))
+    with pytest.raises(Exception, match="disk gone"):
+        merge_upsert(spark, t, bad, "k", partitions=2)
+    assert held(spark, t, "k", "v") == [(i, "old") for i in range(6)]
+
+
+def test_content_is_written_once(spark, schema, monkeypatch):
+    t, writes = f"{schema}.once", []
+    merge_upsert(spark, t, kv(spark, [(i, "old") for i in range(6)]), "k", partitions=2)
+    real = tables._write_partitions
+    monkeypatch.setattr(tables, "_write_partitions", lambda df, at: (writes.append(at), real(df, at))[1])
+    staged = tables.stage
+    monkeypatch.setattr(tables, "stage", lambda df, label, s=None: (writes.append(label), staged(df, label, s))[1])
+    merge_upsert(spark, t, kv(spark, [(1, "new")]), "k", partitions=2)
+    assert len(writes) == 2 and writes[0] == "upsert-source"
+
+
+def test_rows_can_be_removed(spark, schema):
+    t = f"{schema}.rem"
+    cols = "k int, v string, gone boolean"
+    merge_upsert(spark, t, kv(spark, [(1, "a", False), (2, "b", None), (3, "c", True)], cols), "k", partitions=2, remove="gone")
+    assert held(spark, t, "k", "v") == [(1, "a"), (2, "b")]
+    merge_upsert(spark, t, kv(spark, [(1, "x", True), (4, "d", False), (9, "z", True)], cols), "k", partitions=2, remove="gone")
+    assert held(spark, t, "k", "v") == [(2, "b"), (4, "d")] and table_rows(spark, t) == 2
+    assert "gone" not in spark.table(t).columns
+
+
+def test_growing_layout_rewrites_only_divided_partitions(spark, schema):
+    t = f"{schema}.grow"
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    got = merge_upsert(spark, t, rows(0, 100, "a"), "k", rows_per_partition=50)
+    assert TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY]) == TableLayout("linear", "k", 2, 50)
+    got = merge_upsert(spark, t, rows(90, 10_000, "b"), "k", rows_per_partition=50)
+    assert got["rows"] == 10_000 == table_rows(spark, t) == spark.table(t).count()
+    layout = TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY])
+    assert layout.count == 200
+    sizes = [r["count"] for r in spark.table(t).groupBy(PART_COL).count().collect()]
+    assert max(sizes) <= 150
+    assert spark.table(t).where(F.col(PART_COL) != linear_part(F.xxhash64("k"), 200)).count() == 0
+    files = lambda: {(r[0], r[1]) for r in spark.table(t).select(PART_COL, F.input_file_name()).distinct().collect()}
+    before = files()
+    merge_upsert(spark, t, rows(10_000, 10_030, "c"), "k", rows_per_partition=50)
+    after = files()
+    layout = TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY])
+    assert layout.count == 201 and spark.table(t).count() == 10_030
+    changed = {p for p, _ in before - after}
+    assert len(changed) <= 30 + len(split_sources(200, 201))
+    assert held(spark, t, "k")[0] == (0,) and spark.table(t).where("v = 'a'").count() == 90
+    merge_upsert(spark, t, rows(0, 5, "d"), "k", partitions=7)       # another caller's count: the layout holds
+    assert spark.table(t).count() == 10_030 and spark.table(t).where("v = 'd'").count() == 5
+
+
+def test_linear_hashing_divides_one_partition_a_step(spark):
+    h = spark.range(2000).select(F.xxhash64("id").alias("h"))
+    place = h.select(*[linear_part(F.col("h"), n).alias(f"n{n}") for n in range(1, 12)]).collect()
+    for n in range(1, 11):
+        assert {r[f"n{n}"] for r in place} == set(range(n))
+        moved = {r[f"n{n}"] for r in place if r[f"n{n}"] != r[f"n{n + 1}"]}
+        assert moved == set(split_sources(n, n + 1)) and all(
+            r[f"n{n + 1}"] == n for r in place if r[f"n{n}"] != r[f"n{n + 1}"])
+    assert split_sources(3, 12) == [0, 1, 2]
+
+
+def test_keys_and_days_after_growth_match_a_model(spark, schema):
+    """Random upserts against a plain-Python MERGE, over a layout that grows and over days."""
+    import random
+    rnd = random.Random(6)
+    for name, kw in (("lin", {"rows_per_partition": 4}), ("dy", {"partition_expr": event_day("ts")})):
+        t, model = f"{schema}.model_{name}", {}
+        for step in range(4):
+            rows = [(k, f"{step}-{k}", f"2024-01-{rnd.randint(1, 9):02d} 12:00:00")
+                    for k in rnd.sample(range(80), 10 + 15 * step)]
+            merge_upsert(spark, t, kv(spark, rows, "k int, v string, ts string").withColumn(
+                "ts", F.col("ts").cast("timestamp")), "k", **kw)
+            model |= {r[0]: r[1] for r in rows}
+            assert held(spark, t, "k", "v") == sorted(model.items(), key=repr) and table_rows(spark, t) == len(model)

@@ -18,8 +18,10 @@ from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType, TimestampNTZType, TimestampType, VariantType
+from pyspark.sql.types import (DoubleType, FloatType, IntegralType, MapType, StringType, TimestampNTZType, TimestampType,
+                               VariantType)
 
+from tierline.operators.spread import can_hash, row_hash
 from tierline.sources.tables import stage
 
 _ORDERABLE_EXCLUDED = (MapType, VariantType)
@@ -60,42 +62,61 @@ def dedup_metrics(df: DataFrame, keys: str | Iterable[str]) -> DataFrame:
     ).withColumn("duplicates_removed", F.col("rows_before") - F.col("rows_after"))
 
 
-def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str, fk: str,
+def flag_orphans(df: DataFrame, parent: DataFrame, parent_key: str | Iterable[str], fk: str | Iterable[str],
                  flag: str | None = None, split_hot_keys: bool = False) -> DataFrame:
     """Add ``flag`` (default ``is_orphan_<fk>``) = no parent row has ``parent_key`` equal
-    to ``fk``.  Every row is kept; a NULL ``fk`` is an orphan.
+    to ``fk``.  Keys may have several columns.  Every row is kept; an ``fk`` with a NULL is
+    an orphan.
 
     ``split_hot_keys`` splits hot keys explicitly instead of leaving them to AQE: every
     key with more than 1/(4 x shuffle partitions) of the rows, so at most 4 x partitions
     keys, is found by a partially aggregated count; its child rows are dealt over as many
     buckets as it has such shares, and only those parent keys are repeated per bucket.
     """
-    flag = flag or f"is_orphan_{fk}"
-    # Compare in the wider of the two integer types, and cast the parent side before
+    fks, pks = _as_list(fk), _as_list(parent_key)
+    if len(fks) != len(pks):
+        raise ValueError(f"{fks} and {pks} differ in length")
+    flag = flag or f"is_orphan_{'_'.join(fks)}"
+    # Compare in the wider of two integer types, and cast the parent side before
     # the distinct: the distinct's hash partitioning then already fits the join key,
     # so a sort-merge join shuffles the parent keys once, not twice.
-    child_t, parent_t = df.schema[fk].dataType, parent.schema[parent_key].dataType
-    key_t = _wider_integral(child_t, parent_t)
-    pkey = F.col(parent_key) if key_t is None or key_t == parent_t else F.col(parent_key).cast(key_t)
-    valid = parent.select(pkey.alias("_valid_id")).distinct()
-    row_hash = F.xxhash64(*[F.col(c) for c in df.columns])
-    ckey = F.col(fk) if key_t is None or key_t == child_t else F.col(fk).cast(key_t)
-    # A NULL FK takes its row's hash as key; the isNotNull term keeps it from matching.
-    room = {"tinyint": 127, "smallint": 32767}.get((key_t or child_t).simpleString(), 2147483647)
-    keyed = df.withColumn("_fk_key", F.coalesce(ckey, F.pmod(row_hash, F.lit(room)).cast(key_t or child_t)))
-    cond = (F.col("_fk_key") == F.col("_valid_id")) & F.col(fk).isNotNull()
+    child, valid, cond, known = {}, [], F.lit(True), F.lit(True)
+    for i, (c, p) in enumerate(zip(fks, pks)):
+        child_t, parent_t = df.schema[c].dataType, parent.schema[p].dataType
+        key_t = _wider_integral(child_t, parent_t)
+        valid.append((F.col(p) if key_t is None or key_t == parent_t else F.col(p).cast(key_t)).alias(f"_valid_{i}"))
+        child[f"_fk_{i}"] = F.col(c) if key_t is None or key_t == child_t else F.col(c).cast(key_t)
+        cond = cond & (F.col(f"_fk_{i}") == F.col(f"_valid_{i}"))
+        known = known & F.col(c).isNotNull()
+    valid = parent.select(*valid).distinct()
+    hashed = row_hash(df)
+    # A key with a NULL takes its row's hash as its first part; ``known`` keeps it from matching.
+    first_t = _wider_integral(df.schema[fks[0]].dataType, parent.schema[pks[0]].dataType) or df.schema[fks[0]].dataType
+    keys = dict(child)
+    if isinstance(first_t, (IntegralType, StringType)):
+        room = {"tinyint": 127, "smallint": 32767}.get(first_t.simpleString(), 2147483647)
+        keys["_fk_0"] = F.when(known, child["_fk_0"]).otherwise(F.pmod(hashed, F.lit(room)).cast(first_t))
+    keyed = df.withColumns(keys)
+    cond = cond & known
     if split_hot_keys:
-        hot = _hot_keys(df.select(ckey.alias("_fk_key")))
-        runs = F.broadcast(hot.select(F.col("_fk_key").alias("_hot_key"), "_runs"))
-        keyed = (keyed.join(runs, (F.col("_fk_key") == F.col("_hot_key")) & F.col(fk).isNotNull(), "left")
-                 .withColumn("_hs", F.pmod(row_hash, F.coalesce("_runs", F.lit(1))))
-                 .drop("_hot_key", "_runs"))
-        valid = (valid.join(runs, F.col("_valid_id") == F.col("_hot_key"), "left")
+        hot = _hot_keys(df.where(known).select(*[c.alias(k) for k, c in child.items()]))
+        runs = F.broadcast(hot.select(*[F.col(k).alias(f"_hot{k}") for k in child], "_runs"))
+
+        def with_runs(rows: DataFrame, tag: str) -> DataFrame:
+            same = F.lit(True)
+            for i in range(len(fks)):
+                same = same & (F.col(f"{tag}{i}") == F.col(f"_hot_fk_{i}"))
+            return rows.join(runs, same, "left").drop(*[f"_hot{k}" for k in child])
+
+        keyed = (with_runs(keyed, "_fk_")
+                 .withColumn("_hs", F.when(known, F.pmod(hashed, F.coalesce("_runs", F.lit(1)))).otherwise(0)).drop("_runs"))
+        valid = (with_runs(valid, "_valid_")
                  .withColumn("_vs", F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce("_runs", F.lit(1)) - 1)))
-                 .drop("_hot_key", "_runs"))
+                 .drop("_runs"))
         cond = cond & (F.col("_hs") == F.col("_vs"))
     joined = keyed.join(valid, cond, "left")
-    return joined.withColumn(flag, F.col("_valid_id").isNull()).drop("_valid_id", "_fk_key", "_hs", "_vs")
+    return joined.withColumn(flag, F.col("_valid_0").isNull()).drop(
+        *child, *[f"_valid_{i}" for i in range(len(fks))], "_hs", "_vs")
 
 
 def _hot_keys(keys: DataFrame) -> DataFrame:
@@ -104,10 +125,9 @@ def _hot_keys(keys: DataFrame) -> DataFrame:
     evaluated once."""
     spark = keys.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    counts = stage(keys.where(F.col("_fk_key").isNotNull()).groupBy("_fk_key").agg(F.count(F.lit(1)).alias("_n")),
-                   "fk-counts", spark)
+    counts = stage(keys.groupBy(*keys.columns).agg(F.count(F.lit(1)).alias("_n")), "fk-counts", spark)
     share = max(1, int(counts.agg(F.sum("_n")).first()[0] or 0) // (4 * parts))
-    return counts.where(F.col("_n") > share).select("_fk_key", F.ceil(F.col("_n") / share).alias("_runs"))
+    return counts.where(F.col("_n") > share).withColumn("_runs", F.ceil(F.col("_n") / share)).drop("_n")
 
 
 _INTEGRAL_ORDER = ["tinyint", "smallint", "int", "bigint"]
@@ -162,11 +182,30 @@ def event_window(df: DataFrame, ts: str, start: str | _dt.date | None = None,
     return df.filter((F.col(ts) >= lo_c) & (F.col(ts) < hi_c))
 
 
+def _fingerprint(df: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of a row: equal rows have equal ones (zeros and NaNs in one form,
+    NULLs counted by place)."""
+    values = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if can_hash(f.dataType):
+            values += [F.when(F.isnan(c), F.lit(float("nan"))).otherwise(c + F.lit(0.0))
+                       if isinstance(f.dataType, (FloatType, DoubleType)) else c]
+        values.append(c.isNull())
+    return [F.xxhash64(*values).alias("_f0"), F.xxhash64(F.lit(1), *values[::-1]).alias("_f1")]
+
+
 def exact_duplicate_rows(df: DataFrame) -> DataFrame:
-    """One row: rows, and rows that repeat an earlier identical row."""
-    per_row = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-    return per_row.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-                       F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("defects"))
+    """One row: rows, and rows that repeat an earlier identical row.  Rows are grouped by a
+    fingerprint of two longs; only rows whose fingerprint repeats are compared in full."""
+    marked = df.select("*", *_fingerprint(df))
+    prints = marked.groupBy("_f0", "_f1").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = prints.where("_n > 1").select("_f0", "_f1")
+    exact = (marked.join(repeated, ["_f0", "_f1"], "left_semi").drop("_f0", "_f1")
+             .groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("defects")))
+    rows = prints.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"))
+    return rows.join(F.broadcast(exact))     # one row each
 
 
 def dq_profile(tables: dict[str, DataFrame], checks: dict[str, dict[str, Column]],
@@ -175,7 +214,7 @@ def dq_profile(tables: dict[str, DataFrame], checks: dict[str, dict[str, Column]
 
     ``checks`` maps entity -> {check name: boolean defect predicate}; all checks of
     an entity are one aggregate over one scan.  ``duplicates`` names entities whose
-    exact duplicate rows are counted too (a group-by over all columns).
+    exact duplicate rows are counted too (by fingerprints, see ``exact_duplicate_rows``).
     """
     parts = []
     for entity, preds in checks.items():

@@ -18,14 +18,14 @@ from tierline.rules import REGISTRY, EntityRule, build_order, get_rule
 
 def build_silver(raw: DataFrame, rule: EntityRule, parents: dict[str, DataFrame] | None = None,
                  try_cast: bool = False, fk_options: dict | None = None) -> DataFrame:
-    """``fk_options`` go to every ``flag_orphans`` call (e.g. explicit hot-key
-    splitting: ``{"split_hot_keys": 32, "hot_min_rows": 10_000_000}``)."""
+    """``fk_options`` go to every ``flag_orphans`` call (explicit hot-key splitting:
+    ``{"split_hot_keys": True}``)."""
     parents = parents or {}
     df = dedup(raw, rule.dedup_keys, rule.tiebreaker)
     for fk in rule.fk_checks:
         if fk.parent not in parents:
             raise ValueError(f"{rule.name}: parent {fk.parent!r} must be built first")
-        df = flag_orphans(df, parents[fk.parent], fk.parent_key, fk.child_column, fk.flag,
+        df = flag_orphans(df, parents[fk.parent], fk.parent_keys, fk.child_columns, fk.flag,
                           **(fk_options or {}))
     df = apply_casts(df, rule.casts, try_cast)
     df = apply_named(df, rule.transforms)

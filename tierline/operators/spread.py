@@ -2,8 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def can_hash(t: T.DataType) -> bool:
+    """Spark hashes neither maps nor variants."""
+    if isinstance(t, T.StructType):
+        return all(can_hash(f.dataType) for f in t.fields)
+    if isinstance(t, T.ArrayType):
+        return can_hash(t.elementType)
+    return not isinstance(t, (T.MapType, T.VariantType))
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A hash of a row's hashable columns, to deal rows evenly."""
+    return F.xxhash64(*[F.col(f"`{f.name}`") for f in df.schema.fields if can_hash(f.dataType)], F.lit(0))
 
 
 def join_spread(df: DataFrame, lookup: DataFrame, on: dict[str, str], count: str) -> DataFrame:
@@ -37,7 +52,7 @@ def join_spread(df: DataFrame, lookup: DataFrame, on: dict[str, str], count: str
     rest = side(lookup.where(F.col(count) <= share), "rest").withColumn(
         "_rest_hash", F.xxhash64(*[F.col(f"_rest_{k}") for k in keys]))
     out = df.join(F.broadcast(hot), same("hot"), "left")
-    spread = F.when(F.col("_hot"), F.xxhash64(*[F.col(c) for c in df.columns])).otherwise(
+    spread = F.when(F.col("_hot"), row_hash(df)).otherwise(
         F.xxhash64(*[F.col(c) for c in on]))
     out = out.withColumn("_hash", spread).join(
         rest, (F.col("_hash") == F.col("_rest_hash")) & F.col("_hot").isNull() & same("rest"), "left")

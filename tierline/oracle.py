@@ -208,6 +208,19 @@ SELECT * FROM source
 UNION ALL
 SELECT * FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)""")
 
+UPSERT_NEW_COLUMN = with_ctes("""
+target AS (SELECT * FROM orders WHERE o_orderkey % 10 < 8)""", """
+source AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1.0 AS o_totalprice, o_orderdate,
+                  o_orderpriority, o_orderkey % 7 AS key_class
+           FROM orders WHERE o_orderkey % 2 = 0 OR o_orderkey % 10 = 9)""", body="""
+SELECT * FROM source
+UNION ALL
+SELECT *, NULL FROM target t WHERE NOT EXISTS (SELECT 1 FROM source s WHERE s.o_orderkey = t.o_orderkey)""")
+
+UPSERT_WIDENED = """
+SELECT o_orderkey, o_custkey, o_orderstatus, CAST(CASE WHEN o_orderkey % 2 = 0 OR o_orderkey % 10 = 9
+  THEN o_totalprice + 1.0 ELSE floor(o_totalprice) END AS DOUBLE) AS o_totalprice, o_orderdate, o_orderpriority FROM orders"""
+
 MERGE_EVENTS = with_ctes("""
 source AS (SELECT event_id, ts + INTERVAL 1 DAY AS ts, user_id, event_type, value + 1.0 AS value, props
            FROM events WHERE event_id % 3 = 0)""", body="""
@@ -338,7 +351,28 @@ FROM checks"""),
     "merge_changed_partitions": UPSERT,
     "merge_key_width": UPSERT,
     "merge_null_day": MERGE_EVENTS,
+    "merge_growing": "SELECT *, true AS partitions_bounded FROM orders",
+    "upsert_new_column_plain": UPSERT_NEW_COLUMN,
+    "upsert_widened_value": UPSERT_WIDENED,
     "overwrite_roundtrip": "SELECT * FROM nation",
+    "overwrite_new_column": "SELECT *, o_orderkey % 7 AS key_class FROM orders",
+    "ingest_type_widening": """
+SELECT event_id, CASE WHEN later THEN value ELSE CAST(floor(value) AS DOUBLE) END AS value,
+  CASE WHEN later THEN concat('u', user_id) ELSE CAST(user_id AS VARCHAR) END AS user_id,
+  CASE WHEN later THEN event_type END AS detail_type, CASE WHEN later THEN length(props) END AS detail_size
+FROM (SELECT *, ts >= TIMESTAMP '2024-01-16 00:00:00' AS later FROM events)""",
+    "ingest_rejects": """
+SELECT event_id, CASE WHEN outcome = 'loaded' THEN user_id END AS user_id, CASE WHEN outcome = 'loaded' THEN value END AS value,
+  outcome
+FROM (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 'loaded'
+    WHEN event_id % 7 = 0 THEN 'not JSON, or a name twice in an object'
+    WHEN event_id % 11 = 0 THEN 'not an object' ELSE 'loaded' END AS outcome FROM events)""",
+    "fk_flag_composite": """
+SELECT event_id, user_id, NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id
+    AND CAST(v.ts AS DATE) = CAST(e.ts AS DATE)) AS no_view_that_day FROM events e""",
+    "silver_children_first": with_ctes(TESTBED, SILVER, body="""
+SELECT 'clicks' AS entity, id, is_orphan_impression_id AS orphan FROM s_clicks
+UNION ALL SELECT 'conversions', id, is_orphan_click_id FROM s_conversions"""),
     "ingest_incremental": "SELECT * FROM events",
     "ingest_schema_evolution": """
 SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN length(props) END AS props_len FROM events""",

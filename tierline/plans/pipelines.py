@@ -11,7 +11,6 @@ import datetime as _dt
 import json
 from dataclasses import dataclass
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,20 +18,21 @@ from pyspark.sql import types as T
 from tierline.operators import funnel
 from tierline.operators.quality import event_window
 from tierline.operators.silver import build_silver
-from tierline.rules import REGISTRY, EntityRule, build_order, get_rule
+from tierline.rules import REGISTRY, EntityRule, FkCheck, build_order, get_rule
 from tierline.sources.landing import land_json
-from tierline.sources.tables import (PART_COL, ensure_schemas, event_day, merge_upsert, overwrite_table,
-                                     set_table_properties, stage, table_exists, table_properties)
-from tierline.streaming.incremental import (BATCH_COL, has_schema, load_new_files, read_bronze, record_empty,
-                                            register_bronze)
+from tierline.sources.tables import (PART_COL, drop_staged, ensure_schemas, event_day, in_partitions, merge_upsert,
+                                     observed, overwrite_table, set_table_properties, stage, table_exists,
+                                     table_properties, table_rows)
+from tierline.streaming.incremental import (BATCH_COL, has_schema, latest_load, load_new_files, loaded_rows, read_bronze,
+                                            record_empty, register_bronze)
 
 
 @dataclass(frozen=True)
 class Layout:
     base: str
     domain: str = "ads"
-    # Dimensions are partitioned by a hash of the key: as many partitions as their first
-    # load has multiples of this many rows, recorded with the table.
+    # Dimensions are partitioned by linear hashing of the key: a partition is divided when
+    # the table holds more than this many rows a partition.
     rows_per_partition: int = 1_000_000
     # An event id may reappear on another day (ids restart daily in the source feed), so
     # each upsert also finds the days already holding the incoming ids.  False: skip it.
@@ -73,7 +73,7 @@ def bronze_load(spark: SparkSession, layout: Layout, entity: str, source: DataFr
                 run_date: str | _dt.date | None = None, registry: dict[str, EntityRule] | None = None) -> int:
     """L1: land ``source`` as JSON Lines for ``run_date``, load the new files into the
     entity's bronze dataset and list it in the catalog.  Returns the rows the bronze
-    table holds (parquet footers only)."""
+    table holds, as its loads recorded them."""
     get_rule(entity, registry)
     land_json(source, layout.landing, entity, run_date)
     path = layout.bronze_path(entity)
@@ -81,44 +81,80 @@ def bronze_load(spark: SparkSession, layout: Layout, entity: str, source: DataFr
     if not has_schema(spark, path):       # nothing but empty files so far
         record_empty(spark, path, source)
     register_bronze(spark, layout.table("bronze", entity), path)
-    return spark.table(layout.table("bronze", entity)).count()
+    return loaded_rows(spark, path)
 
 
-# Table property: the bronze loads a silver table has taken in, its own and its parents'.
+# Table property: what a silver table has taken in.  Under its own name the last load of its
+# bronze dataset; under ``silver:<parent>`` the last load that the parent's silver table had
+# taken in when this table's flags were set.
 SEEN_PROPERTY = "tierline.seen_loads"
 
 
-def _loads(bronze: DataFrame) -> int:
-    """The latest load of a bronze dataset (-1: none), from its partition column alone."""
-    last = bronze.agg(F.max(BATCH_COL).alias("m")).first().m
-    return -1 if last is None else int(last)
+def _seen(spark: SparkSession, table: str) -> dict[str, int]:
+    return json.loads(table_properties(spark, table).get(SEEN_PROPERTY, "{}")) if table_exists(spark, table) else {}
 
 
-def _affected(spark: SparkSession, layout: Layout, rule: EntityRule, bronze: DataFrame, seen: dict) -> DataFrame:
-    """Bronze rows that the loads since ``seen`` can change in silver: every row, old or
-    new, of a key that has a new row or that points at a newly loaded parent key.  (Of
-    rows with a NULL key only the new ones: such rows never match in an upsert.)"""
+def _available(spark: SparkSession, layout: Layout, rule: EntityRule) -> dict[str, int]:
+    """What a build of this entity could take in now."""
+    out = {rule.name: latest_load(spark, layout.bronze_path(rule.name))}
+    for fk in rule.fk_checks:
+        out[f"silver:{fk.parent}"] = _seen(spark, layout.table("silver", fk.parent)).get(fk.parent, -1)
+    return out
+
+
+def _pending_table(layout: Layout, rule: EntityRule, fk: FkCheck) -> str:
+    return layout.table("silver", f"{rule.name}__pending_{'_'.join(fk.child_columns)}")
+
+
+def _parent_keys(spark: SparkSession, layout: Layout, fk: FkCheck) -> DataFrame:
+    """The parent's silver table; before it is built, no keys."""
+    table = layout.table("silver", fk.parent)
+    if table_exists(spark, table):
+        return spark.table(table)
+    return spark.createDataFrame([], ", ".join(f"`{k}` bigint" for k in fk.parent_keys))
+
+
+def _touched_rows(spark: SparkSession, rule: EntityRule, bronze: DataFrame, seen: dict) -> tuple[DataFrame, DataFrame]:
+    """Bronze rows, old and new, of the keys that have a new row (of rows with a NULL key
+    only the new ones: such rows never match in an upsert), and those keys, staged."""
     keys = list(rule.primary_key)
     fresh = bronze.where(F.col(BATCH_COL) > seen[rule.name])
-    touched = fresh.select(*keys)
-    for fk in rule.fk_checks:
-        parent = (read_bronze(spark, layout.bronze_path(fk.parent), keep_batch=True)
-                  .where(F.col(BATCH_COL) > seen[fk.parent]).select(F.col(fk.parent_key).alias("_pk")).distinct())
-        touched = touched.unionByName(
-            bronze.join(parent, F.col(fk.child_column) == F.col("_pk"), "left_semi").select(*keys))
-    touched = stage(touched.dropDuplicates().dropna(), "silver-keys", spark)
+    touched = stage(fresh.select(*keys).dropDuplicates().dropna(), "silver-keys", spark)
     unkeyed = F.lit(False)
     for k in keys:
         unkeyed = unkeyed | F.col(k).isNull()
-    return bronze.join(touched, keys, "left_semi").unionByName(fresh.where(unkeyed))
+    return bronze.join(touched, keys, "left_semi").unionByName(fresh.where(unkeyed)), touched
 
 
-def _observed(counts: Observation) -> dict:
-    """The observed counts; none when Spark found the input empty and dropped the node."""
-    try:
-        return counts.get
-    except Py4JJavaError:
-        return {}
+def _healed_rows(spark: SparkSession, layout: Layout, rule: EntityRule, seen: dict, loads: dict,
+                 touched: DataFrame) -> DataFrame | None:
+    """Silver rows of other keys whose orphan flags end because a parent has arrived since:
+    the newly arrived parent keys meet the pending orphans only, and of silver only the
+    rows (of event tables: the days) that waited for them are read."""
+    keys, found = list(rule.primary_key), None
+    for fk in rule.fk_checks:
+        since, now = seen[f"silver:{fk.parent}"], loads[f"silver:{fk.parent}"]
+        if now <= since:
+            continue
+        arrived = (read_bronze(spark, layout.bronze_path(fk.parent), keep_batch=True)
+                   .where((F.col(BATCH_COL) > since) & (F.col(BATCH_COL) <= now))
+                   .select(*[F.col(k).alias(f"_pk_{i}") for i, k in enumerate(fk.parent_keys)]).distinct())
+        cond = F.lit(True)
+        for i, c in enumerate(fk.child_columns):
+            cond = cond & (F.col(c) == F.col(f"_pk_{i}"))
+        hit = spark.table(_pending_table(layout, rule, fk)).join(arrived, cond).select(
+            *keys, PART_COL, F.lit(fk.flag).alias("_flag"))
+        found = hit if found is None else found.unionByName(hit)
+    if found is None:
+        return None
+    found = stage(found.join(touched, keys, "left_anti"), "silver-healed", spark)
+    rows = spark.table(layout.table("silver", rule.name))
+    if rule.event_time:     # the index is partitioned by day as the table is
+        rows = in_partitions(rows, stage(found.select(PART_COL).distinct(), "silver-healed-days", spark))
+    flags = found.groupBy(*keys).agg(F.collect_set("_flag").alias("_ended"))
+    rows = rows.join(flags, keys)
+    ended = {fk.flag: F.col(fk.flag) & ~F.array_contains("_ended", fk.flag) for fk in rule.fk_checks}
+    return rows.withColumns(ended).drop("_ended", PART_COL)
 
 
 def silver_build(spark: SparkSession, layout: Layout, entity: str,
@@ -126,48 +162,71 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     """L2: bronze -> dedup -> FK flags (against the parents' silver tables) -> casts ->
     named transforms -> trim -> upsert into the silver table.
 
-    The first run takes all of bronze.  Later runs take the keys that loads since the
-    last run can change (see ``_affected``) with all their bronze rows, so the result
-    equals a full rebuild while days without such keys are not rewritten.  The loads
-    taken in are recorded with the table after the upsert; a run that fails before that
-    takes them again.
+    The first run takes all of bronze.  Later runs take the keys with new rows, with all
+    their bronze rows, and the orphans whose parent has come since into the parent's silver
+    table.  Those are found in ``<entity>__pending_<fk>``, a table of the unresolved foreign
+    keys and the rows that wait for them.  So the result equals a full rebuild in whatever
+    order entities are built (a parent not built yet has no keys; the next run after it is
+    built ends the flags), and days without such keys are not rewritten.  What was taken in
+    is recorded with the table last; a run that fails before that takes it again.
 
     Returns ``rows`` (the silver table's), ``rows_written``, ``duplicates_removed`` and
-    ``orphans`` (of the rows taken in this run)."""
+    ``orphans`` (of the bronze rows taken in this run)."""
     rule = get_rule(entity, registry)
-    table = layout.table("silver", entity)
+    table, keys = layout.table("silver", entity), list(rule.primary_key)
     bronze = read_bronze(spark, layout.bronze_path(entity), keep_batch=True)
-    names = [entity, *[fk.parent for fk in rule.fk_checks]]
-    loads = {n: _loads(bronze if n == entity else read_bronze(spark, layout.bronze_path(n), keep_batch=True))
-             for n in names}
-    seen = json.loads(table_properties(spark, table).get(SEEN_PROPERTY, "{}")) if table_exists(spark, table) else {}
-    if all(n in seen for n in names):
-        if all(seen[n] >= loads[n] for n in names):
-            return {"rows": spark.table(table).count(), "rows_written": 0, "duplicates_removed": 0, "orphans": 0}
-        bronze = _affected(spark, layout, rule, bronze, seen)
-    parents = {fk.parent: spark.table(layout.table("silver", fk.parent)) for fk in rule.fk_checks}
+    loads, seen = _available(spark, layout, rule), _seen(spark, table)
+    known = all(n in seen for n in loads) and all(
+        table_exists(spark, _pending_table(layout, rule, fk)) for fk in rule.fk_checks)
+    if known and all(seen[n] >= loads[n] for n in loads):
+        return {"rows": table_rows(spark, table), "rows_written": 0, "duplicates_removed": 0, "orphans": 0}
+    healed = None
+    if known:
+        bronze, touched = _touched_rows(spark, rule, bronze, seen)
+        healed = _healed_rows(spark, layout, rule, seen, loads, touched)
+    parents = {fk.parent: _parent_keys(spark, layout, fk) for fk in rule.fk_checks}
     taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
     raw = bronze.drop(BATCH_COL).observe(taken, F.count(F.lit(1)).alias("rows"))
     df = build_silver(raw, rule, parents,
                       fk_options={"split_hot_keys": True} if layout.split_hot_fk_keys else None)
     flags = [F.count_if(F.col(fk.flag)).alias(fk.flag) for fk in rule.fk_checks]
     df = df.observe(kept, F.count(F.lit(1)).alias("rows"), *flags)
+    if healed is not None:
+        df = df.unionByName(healed, allowMissingColumns=True)
+    df = stage(df, f"silver-{entity}", spark)
     if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
         layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time],
                        "keys_may_move": layout.event_keys_may_move}
-    else:                # dimensions: hash of the key
+    else:                # dimensions: linear hashing of the key
         layout_args = {"rows_per_partition": layout.rows_per_partition}
     # dedup on the primary key already leaves one row per key: no second pass to check it
     unique = tuple(rule.dedup_keys) == tuple(rule.primary_key)
-    result = merge_upsert(spark, table, df, list(rule.primary_key),
-                          path=layout.table_path("silver", entity), check_unique=not unique, **layout_args)
+    result = merge_upsert(spark, table, df, keys, path=layout.table_path("silver", entity),
+                          check_unique=not unique, **layout_args)
+    for fk in rule.fk_checks:
+        _update_pending(spark, layout, rule, fk, df, layout_args)
     set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)})
-    before, after = _observed(taken), _observed(kept)
-    return {"rows": spark.table(table).count(), "rows_written": result["rows_written"],
+    drop_staged(spark, df)
+    before, after = observed(taken), observed(kept)
+    return {"rows": result["rows"], "rows_written": result["rows_written"],
             "duplicates_removed": before.get("rows", 0) - after.get("rows", 0),
             "orphans": sum(after.get(fk.flag, 0) for fk in rule.fk_checks)}
 
 
+def _update_pending(spark: SparkSession, layout: Layout, rule: EntityRule, fk: FkCheck, df: DataFrame,
+                    layout_args: dict) -> None:
+    """Enter the orphans among the rows just written into the index, take out the others.
+    (A NULL foreign key waits for nobody.)"""
+    keys, waiting = list(rule.primary_key), F.col(fk.flag)
+    for c in fk.child_columns:
+        waiting = waiting & F.col(c).isNotNull()
+    columns = [*keys, *fk.child_columns, *([rule.event_time] if rule.event_time else [])]
+    rows = df.dropna(subset=keys).select(*dict.fromkeys(columns), (~waiting).alias("_resolved"))
+    name = _pending_table(layout, rule, fk)
+    merge_upsert(spark, name, rows, keys, path=layout.table_path("silver", name.rpartition(".")[2]), check_unique=False,
+                 remove="_resolved", **{k: v for k, v in layout_args.items() if k != "sort_within"})
+
+
 def silver_events(spark: SparkSession, layout: Layout, entity: str, start=None, end=None) -> DataFrame:
     """F4 on a silver event table: the rows of the selected UTC days (yesterday by
     default).  The range filter reaches the parquet scan; files are sorted by event
@@ -246,8 +305,9 @@ def run_all(spark: SparkSession, layout: Layout, sources: dict[str, DataFrame],
             registry: dict[str, EntityRule] | None = None) -> DataFrame:
     """L5: schemas, then bronze for every entity (registry order), silver for every
     entity (parents first), then both gold builds.  Stops at the first failure: it is
-    re-raised, or with ``raise_on_error=False`` the summary ends with the failed step and
-    its error.  The summary has one row per step (a handful of rows, built on the
+    re-raised with the summary so far as its attribute ``run_summary``, or with
+    ``raise_on_error=False`` the summary is returned; it ends with the failed step and its
+    error.  The summary has one row per step (a handful of rows, built on the
     driver): the rows the table holds, and for silver the duplicates removed and orphans
     flagged in this run."""
     registry = REGISTRY if registry is None else registry
@@ -263,6 +323,7 @@ def run_all(spark: SparkSession, layout: Layout, sources: dict[str, DataFrame],
         except Exception as e:
             steps.append((len(steps) + 1, layer, names[0], "ERROR", None, None, None, f"{type(e).__name__}: {e}"[:2000]))
             if raise_on_error:
+                e.run_summary = spark.createDataFrame(steps, SUMMARY_SCHEMA)
                 raise
             raise _Stop() from None
         for name in names:

@@ -29,7 +29,7 @@ from tierline.session import scratch_dir
 from tierline.sources.landing import land_json
 from tierline.sources.tables import (PART_COL, ensure_schemas, list_tables, merge_upsert, overwrite_table,
                                      stage, table_exists)
-from tierline.streaming.incremental import BATCH_COL, load_new_files, read_bronze, register_bronze
+from tierline.streaming.incremental import BATCH_COL, load_new_files, read_bronze, read_rejects, register_bronze
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +195,33 @@ def q_flag_present_creative(spark: SparkSession, sf_dir: str) -> DataFrame:
         "id", "creative_url", "has_creative_url")
 
 
+def q_fk_flag_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose user viewed nothing on that day: a foreign key of user and day."""
+    day = F.col("ts").cast("date")
+    ev = tb.read_table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", day.alias("day"))
+    views = ev.where(F.col("event_type") == "view").select(F.col("user_id").cast("int").alias("viewer"), F.col("day").alias("seen_on"))
+    flagged = flag_orphans(ev, views, ["viewer", "seen_on"], ["user_id", "day"], "no_view_that_day")
+    return flagged.select("event_id", "user_id", "no_view_that_day")
+
+
+def q_silver_children_first(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver built children first, twice: the second round ends the flags of rows whose
+    parents came in the first.  Orphan flags of clicks and conversions."""
+    from tierline.plans.pipelines import Layout, bronze_load, setup_schemas, silver_build
+    layout = Layout(base=scratch_dir(spark, "pipeline"), domain=f"ads_{uuid.uuid4().hex[:8]}")
+    setup_schemas(spark, layout)
+    raw = raw_testbed(spark, sf_dir)
+    order = ["conversions", "clicks", "impressions"]
+    for entity in order:
+        bronze_load(spark, layout, entity, raw[entity], "2024-01-31")
+    for entity in [*order, "clicks", "conversions"]:
+        silver_build(spark, layout, entity)
+    return spark.table(layout.table("silver", "clicks")).select(
+        F.lit("clicks").alias("entity"), "id", F.col("is_orphan_impression_id").alias("orphan")).unionByName(
+        spark.table(layout.table("silver", "conversions")).select(
+            F.lit("conversions").alias("entity"), "id", F.col("is_orphan_click_id").alias("orphan")))
+
+
 def _silver_query(entity: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return export(silver_testbed(spark, sf_dir, only=[entity])[entity])
@@ -308,6 +335,52 @@ def q_merge_null_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(table).drop(PART_COL)
 
 
+def q_overwrite_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A managed table (made by other means) of some orders, rebuilt from all orders with
+    one more column, twice."""
+    schema, _ = _scratch_schema(spark, "overwrite")
+    table = f"{schema}.orders"
+    o = _orders(spark, sf_dir)
+    o.where(F.col("o_orderkey") % 2 == 0).write.saveAsTable(table)
+    for _ in range(2):
+        overwrite_table(o.withColumn("key_class", F.col("o_orderkey") % 7), table)
+    return spark.table(table)
+
+
+def q_upsert_new_column_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An unpartitioned upsert whose source has a column more."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.orders"
+    target, source = _upsert_inputs(spark, sf_dir)
+    merge_upsert(spark, table, target, "o_orderkey")
+    merge_upsert(spark, table, source.withColumn("key_class", F.col("o_orderkey") % 7), "o_orderkey")
+    return spark.table(table)
+
+
+def q_upsert_widened_value(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole prices, then an upsert with fractions."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table = f"{schema}.orders"
+    target, source = _upsert_inputs(spark, sf_dir)
+    whole = target.withColumn("o_totalprice", F.floor("o_totalprice").cast("int"))
+    merge_upsert(spark, table, whole, "o_orderkey", partitions=8)
+    merge_upsert(spark, table, source, "o_orderkey", partitions=8)
+    return spark.table(table).drop(PART_COL)
+
+
+def q_merge_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table laid out for its first load, a hundredth of the orders, that then takes the
+    rest in two upserts: partitions are divided until they are small again."""
+    schema, _ = _scratch_schema(spark, "upsert")
+    table, size = f"{schema}.orders", 500
+    o = _orders(spark, sf_dir)
+    for rows in (o.where(F.col("o_orderkey") % 100 == 0), o.where(F.col("o_orderkey") % 2 == 0), o):
+        merge_upsert(spark, table, rows, "o_orderkey", rows_per_partition=size)
+    held = spark.table(table)
+    largest = held.groupBy(PART_COL).count().agg(F.max("count")).first()[0]
+    return held.drop(PART_COL).withColumn("partitions_bounded", F.lit(largest <= 3 * size))
+
+
 def q_overwrite_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema, _ = _scratch_schema(spark, "overwrite")
     nation = tb.read_table(spark, sf_dir, "nation")
@@ -340,6 +413,50 @@ def _ingested(spark: SparkSession, sf_dir: str, evolve: bool) -> DataFrame:
     return out.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+def _split_events(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    ev = tb.read_table(spark, sf_dir, "events")
+    split = F.to_timestamp_ntz(F.lit(f"{INGEST_SPLIT} 00:00:00"))
+    return ev.where(F.col("ts") < split), ev.where(F.col("ts") >= split)
+
+
+def q_ingest_type_widening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events whose columns change type on the second day: whole numbers become fractions
+    (``value``) or text (``user_id``), and a column of NULLs becomes a struct (``detail``).
+    Read through the catalog."""
+    base = scratch_dir(spark, "ingest")
+    schema, _ = _scratch_schema(spark, "ingest")
+    first, then = _split_events(spark, sf_dir)
+    first = first.select("event_id", F.floor("value").alias("value"), "user_id", F.lit(None).cast("string").alias("detail"))
+    then = then.select("event_id", "value", F.concat(F.lit("u"), F.col("user_id")).alias("user_id"),
+                       F.struct("event_type", F.length("props").alias("size")).alias("detail"))
+    for day, rows in (("2024-01-16", first), ("2024-01-31", then)):
+        land_json(rows, f"{base}/landing", "events", day)
+        load_new_files(spark, f"{base}/landing/events", f"{base}/bronze/events")
+        register_bronze(spark, f"{schema}.events", f"{base}/bronze/events")
+    return spark.table(f"{schema}.events").select(
+        "event_id", "value", "user_id", F.col("detail.event_type").alias("detail_type"),
+        F.col("detail.size").alias("detail_size"))
+
+
+def q_ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as JSON lines of which every seventh is cut short and every eleventh is a bare
+    number; then a second day that is whole.  Every line ends up loaded or rejected."""
+    base = scratch_dir(spark, "ingest")
+    landing, bronze = f"{base}/landing/events", f"{base}/bronze/events"
+    first, then = _split_events(spark, sf_dir)
+    line = F.to_json(F.struct("event_id", "user_id", "value"))
+    broken = F.when(F.col("event_id") % 7 == 0, F.substring_index(line, ",", 2)).when(
+        F.col("event_id") % 11 == 0, F.col("event_id").cast("string")).otherwise(line)
+    for day, rows, text in (("2024-01-16", first, broken), ("2024-01-31", then, line)):
+        rows.select(text.alias("value")).write.text(f"{landing}/events_{day}")
+        load_new_files(spark, landing, bronze)
+    loaded = read_bronze(spark, bronze).select("event_id", "user_id", "value", F.lit("loaded").alias("outcome"))
+    gone = read_rejects(spark, bronze).select(
+        F.coalesce(F.nullif(F.regexp_extract("line", r'"event_id":([0-9]+)', 1), F.lit("")), F.col("line")).cast("bigint").alias("event_id"),
+        F.lit(None).cast("bigint").alias("user_id"), F.lit(None).cast("double").alias("value"), F.col("reason").alias("outcome"))
+    return loaded.unionByName(gone)
+
+
 def q_bronze_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a bronze catalog table after two daily loads, the second with a new
     column, read by name."""
@@ -393,6 +510,8 @@ QUERIES: dict[str, QueryFn] = {
     "fk_flag_events_supplier": q_fk_flag_events_supplier,
     "fk_flag_clicks": q_fk_flag_clicks,
     "fk_orphan_count": q_fk_orphan_count,
+    "fk_flag_composite": q_fk_flag_composite,
+    "silver_children_first": q_silver_children_first,
     "cast_orders": q_cast_orders,
     "trim_customer": q_trim_customer,
     "fix_protocol_pages": q_fix_protocol_pages,
@@ -408,9 +527,15 @@ QUERIES: dict[str, QueryFn] = {
     "merge_changed_partitions": q_merge_changed_partitions,
     "merge_key_width": q_merge_key_width,
     "merge_null_day": q_merge_null_day,
+    "merge_growing": q_merge_growing,
+    "upsert_new_column_plain": q_upsert_new_column_plain,
+    "upsert_widened_value": q_upsert_widened_value,
     "overwrite_roundtrip": q_overwrite_roundtrip,
+    "overwrite_new_column": q_overwrite_new_column,
     "ingest_incremental": q_ingest_incremental,
     "ingest_schema_evolution": q_ingest_schema_evolution,
+    "ingest_type_widening": q_ingest_type_widening,
+    "ingest_rejects": q_ingest_rejects,
     "bronze_catalog": q_bronze_catalog,
     "run_summary": q_run_summary,
 }

@@ -7,15 +7,24 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class FkCheck:
-    """``child_column`` must name an existing ``parent_key`` of ``parent`` (silver)."""
+    """``child_column`` must name an existing ``parent_key`` of ``parent`` (silver).  A key
+    of several columns, e.g. an id that restarts each day and the day, is a tuple."""
 
     parent: str
-    parent_key: str
-    child_column: str
+    parent_key: str | tuple[str, ...]
+    child_column: str | tuple[str, ...]
+
+    @property
+    def parent_keys(self) -> tuple[str, ...]:
+        return (self.parent_key,) if isinstance(self.parent_key, str) else tuple(self.parent_key)
+
+    @property
+    def child_columns(self) -> tuple[str, ...]:
+        return (self.child_column,) if isinstance(self.child_column, str) else tuple(self.child_column)
 
     @property
     def flag(self) -> str:
-        return f"is_orphan_{self.child_column}"
+        return f"is_orphan_{'_'.join(self.child_columns)}"
 
 
 @dataclass(frozen=True)
