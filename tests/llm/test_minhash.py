@@ -127,3 +127,27 @@ def test_components_of_paths_stars_and_loops(spark):
     got = {r.node: r.component for r in connected_components(spark, spark.createDataFrame(edges, "u long, v long")).collect()}
     want = {i: find(i) for a, b in edges if a != b for i in (a, b)}
     assert got == want
+
+
+def test_texts_of_one_template_never_meet_in_pairs(spark, docs_of, monkeypatch):
+    """Texts that share nine tenths of their shingles stay below the threshold; the rows
+    compared in prefix buckets must not grow with the square of their number."""
+    import tierline.llm.minhash as M
+    from pyspark.sql import functions as F
+    real, counted = M._links, []
+
+    def links(members, pivots, *rest):
+        meet = (F.col("bucket") == F.col("of")) & (F.col("component") != F.col("pivot_component"))
+        counted.append(members.join(pivots, meet).count())
+        return real(members, pivots, *rest)
+
+    monkeypatch.setattr(M, "_links", links)
+    rng, rows = random.Random(2), {}
+    template = [f"w{i}" for i in range(400)]
+    for n in (40, 80):
+        counted.clear()
+        docs = [(i, " ".join(template + [f"own{i}x{j}" for j in range(rng.randrange(40, 60))])) for i in range(n)]
+        got = near_duplicates(spark, docs_of(docs), percent=85).collect()
+        assert all(r.component_id == r.doc_id for r in got)
+        rows[n] = sum(counted[1:])      # the first call is over band buckets
+    assert rows[80] <= 3 * rows[40] + 80

@@ -11,9 +11,10 @@
    instead: two linked sets must share one of the first few in the order by rarity, at
    places that leave room for the overlap.  A near copy with too many edits of its own
    thus meets nobody.  Inside such a bucket, members are compared with pivots: one, then
-   32, 1024, ..., each the smallest member of a hash group.  After each round components
+   32, 1024, ..., each the smallest member of a hash group, out of those whose place is as
+   early as a smaller set's must be.  After each round components
    contract, the pivots, having met their whole bucket, leave it, and buckets with one
-   component are done.  So no candidate pair that could still join two components stays
+   component or without a possible pivot are done.  So no candidate pair that could still join two components stays
    unchecked, and no group emits all its pairs.
 """
 
@@ -212,15 +213,19 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _prefixes(spark: SparkSession, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     """Members of prefix buckets: each class's rarest shingles, as many as it takes for two
     linked classes to share one (n - least overlap + 1), with the set's size and the
-    shingle's place in the order by rarity, which is by the number of classes.  Also the
-    staged table of those numbers (written, so that the join on a hot shingle can split)."""
+    shingle's place in the order by rarity, which is by the number of classes.  ``short``
+    marks the places that the first shared shingle can have in the smaller of two linked
+    sets; only these make pivots, so texts of one template, which share no shingle that
+    early, never meet.  Also the staged table of those numbers (written, so that the join
+    on a hot shingle can split)."""
     held = sets.select("class_id", "shingles").mapInArrow(tidied(_entries), "shingle long, class_id long")
     shared = stage(spark, held.groupBy("shingle").agg(F.count(F.lit(1)).alias("df")), "op3-df")
     of = sets.select("class_id", "component", F.expr("length(shingles) div 8").alias("n"))
     rarest = Window.partitionBy("class_id").orderBy("df", "shingle")
     return (held.join(shared, "shingle").withColumn("place", F.row_number().over(rarest) - 1).join(of, "class_id")
             .where(100 * F.col("place") <= (100 - percent) * F.col("n"))
-            .select(F.col("shingle").alias("bucket"), "class_id", "component", "n", "place")), shared
+            .select(F.col("shingle").alias("bucket"), "class_id", "component", "n", "place",
+                    ((100 + percent) * F.col("place") <= (100 - percent) * F.col("n")).alias("short"))), shared
 
 
 def _part(per_bucket: int):
@@ -228,9 +233,11 @@ def _part(per_bucket: int):
 
 
 def _pivots(members: DataFrame, per_bucket: int) -> DataFrame:
-    """The smallest member of each of ``per_bucket`` hash groups of a bucket."""
-    more = [c for c in members.columns if c not in ("bucket", "class_id")]
-    return (members.groupBy("bucket", _part(per_bucket).alias("part"))
+    """The smallest member of each of ``per_bucket`` hash groups of a bucket (of prefix
+    buckets: the smallest that a smaller set's prefix reaches)."""
+    more = [c for c in members.columns if c not in ("bucket", "class_id", "short")]
+    able = members.where("short") if "short" in members.columns else members
+    return (able.groupBy("bucket", _part(per_bucket).alias("part"))
             .agg(F.min(F.struct("class_id", *more)).alias("p"))
             .select(F.col("bucket").alias("of"), F.col("p.class_id").alias("pivot"),
                     *[F.col(f"p.{c}").alias(f"pivot_{c}") for c in more]))
@@ -268,10 +275,12 @@ def _moved(members: DataFrame, stars: DataFrame) -> DataFrame:
 
 
 def _open_buckets(spark: SparkSession, members: DataFrame) -> tuple[DataFrame, list[DataFrame]]:
-    """Members of the buckets that hold several components, and the staged tables behind
-    them.  Written first, so that the join on a hot bucket is a broadcast of its few open
+    """Members of the buckets that hold several components and a possible pivot, and the
+    staged tables behind them.  Written first, so that the join on a hot bucket is a broadcast of its few open
     buckets or one that Spark can split."""
     rest = stage(spark, members, "op3-members")
-    several = stage(spark, rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-                    .where("lo < hi").select("bucket"), "op3-open")
+    able = F.max("short") if "short" in members.columns else F.lit(True)
+    several = stage(spark, rest.groupBy("bucket").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                                      able.alias("able"))
+                    .where("lo < hi AND able").select("bucket"), "op3-open")
     return rest.join(several, "bucket", "left_semi").select(*members.columns), [rest, several]
