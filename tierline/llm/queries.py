@@ -142,24 +142,42 @@ _OP2 = r"""
 WITH RECURSIVE base AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 lined AS (
-  SELECT conv_id, turn, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls FROM base),
+  SELECT conv_id, turn, uid, string_split(regexp_replace(text, '\r\n?', chr(10), 'g'), chr(10)) AS ls
+  FROM (SELECT *, row_number() OVER () AS uid FROM (SELECT DISTINCT conv_id, turn, text FROM base
+    WHERE conv_id IS NOT NULL AND turn IS NOT NULL))),
 numbered AS (
-  SELECT conv_id, turn, unnest(range(1, len(ls) + 1)) AS n, ls FROM lined),
+  SELECT conv_id, turn, uid, unnest(range(1, len(ls) + 1)) AS n, ls FROM lined),
 parsed AS (
-  SELECT DISTINCT conv_id, turn, n, ls[n] AS line,
+  SELECT conv_id, turn, uid, n,
     CASE WHEN regexp_matches(ls[n], '^[^>]*\b(wrote|writes|schrieb|escribió|écrit)[ \t]*:[ \t]*$')
               AND regexp_matches(coalesce(ls[n + 1], ''), '^[ \t]*>') THEN -1
          ELSE length(regexp_replace(regexp_extract(ls[n], '^((?:[ \t]*>)+)', 1), '[^>]', '', 'g')) END AS level,
     lower(trim(regexp_replace(regexp_replace(ls[n], '^((?:[ \t]*>)+)', ''), '\s+', ' ', 'g'))) AS norm
   FROM numbered),
-origins AS (
-  SELECT conv_id, norm, min(turn) AS origin FROM parsed WHERE level = 0 AND norm <> '' GROUP BY conv_id, norm),
+marked AS (
+  SELECT *, sum(CAST(turned AS INT)) OVER w AS passage, sum(CAST(turned OR norm = '' AS INT)) OVER w AS paragraph
+  FROM (SELECT *, coalesce(level <> lag(level) OVER (PARTITION BY uid ORDER BY n), true) AS turned FROM parsed)
+  WINDOW w AS (PARTITION BY uid ORDER BY n)),
+worded AS (
+  SELECT conv_id, turn, uid, n, level, norm,
+    string_agg(norm, ' ' ORDER BY n) OVER (PARTITION BY uid, paragraph) AS para,
+    string_agg(norm, ' ' ORDER BY n) OVER (PARTITION BY uid, passage) AS whole,
+    string_agg(norm, ' ' ORDER BY n) OVER (PARTITION BY uid, level) AS all_of_level
+  FROM marked WHERE norm <> '' AND level >= 0),
+own_units AS (
+  SELECT DISTINCT conv_id, turn, unnest([norm, para, all_of_level]) AS unit FROM worded WHERE level = 0),
+quoted AS (
+  SELECT conv_id, turn, uid, n, level, unnest(list_distinct([norm, para, whole])) AS unit FROM worded WHERE level > 0),
+found AS (
+  SELECT q.conv_id, q.turn, q.uid, q.n, q.level, q.unit, max(o.turn) AS origin FROM quoted q
+  LEFT JOIN own_units o ON o.conv_id = q.conv_id AND o.unit = q.unit AND o.turn < q.turn GROUP BY ALL),
 links AS (
-  SELECT p.conv_id, p.turn, p.n, p.level, CASE WHEN o.origin < p.turn THEN o.origin END AS origin
-  FROM parsed p LEFT JOIN origins o ON o.conv_id = p.conv_id AND o.norm = p.norm
-  WHERE p.level > 0 AND p.norm <> ''),
+  SELECT conv_id, turn, uid, n, max(origin) AS origin FROM found GROUP BY ALL),
 votes AS (
-  SELECT conv_id, turn, origin, count(*) AS v FROM links WHERE level = 1 AND origin IS NOT NULL GROUP BY ALL),
+  SELECT c.conv_id, c.turn, c.origin, count(DISTINCT (f.uid, f.n)) AS v
+  FROM (SELECT DISTINCT conv_id, turn, origin FROM found WHERE level = 1 AND origin IS NOT NULL) c
+  JOIN found f ON f.conv_id = c.conv_id AND f.turn = c.turn AND f.level = 1
+  JOIN own_units o ON o.conv_id = c.conv_id AND o.turn = c.origin AND o.unit = f.unit GROUP BY ALL),
 parents AS (
   SELECT conv_id, turn, origin AS parent_turn FROM votes
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY v DESC, origin DESC) = 1),
