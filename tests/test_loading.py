@@ -70,6 +70,19 @@ def test_types_widen_over_batches(spark):
     assert at.listed().count() == 4 and at.rows()[1][3]["n"] == "7"
 
 
+def test_nested_nulls_and_spellings_over_batches(spark):
+    """A nested NULL becomes a struct, and a nested name comes in another case."""
+    at = _Landing(spark)
+    for day, d in enumerate([{"z": None, "A": 1}, {"z": {"a": 1}, "a": 2}, {"z": {"a": 0.5}, "A": "x"}]):
+        at.put(day, [{"id": day, "d": d, "e": None if not day else {"k": [None] if day == 1 else [{"q": 1}]}}])
+        at.load()
+    df, rows = at.rows()
+    assert [r["d"]["z"] for r in rows] == [None, {"a": 1.0}, {"a": 0.5}]
+    assert [r["d"]["A"] for r in rows] == ["1", "2", "x"]
+    assert [r["e"] for r in rows] == [None, {"k": [None]}, {"k": [{"q": 1}]}]
+    assert at.listed().count() == 3
+
+
 def test_fractions_after_whole_numbers_and_back(spark):
     at = _Landing(spark)
     for day, n in enumerate([1, 0.5, 2]):

@@ -135,7 +135,7 @@ def _upcasts(types: T.StructType, final: T.StructType) -> list[str]:
     for f in final.fields:
         mine, to = own.get(f.name.lower()), stored_type(f.dataType)
         sql = (f"CAST(NULL AS {ddl(to)})" if mine is None or isinstance(mine.dataType, T.NullType)
-               else upcast_sql(quoted(mine.name), stored_type(mine.dataType), to))
+               else upcast_sql(quoted(mine.name), mine.dataType, to))
         out.append(f"{sql} AS {quoted(f.name)}")
     return out
 
@@ -231,17 +231,20 @@ class _Part:
             raise
 
     def rows(self, types: T.StructType) -> DataFrame:
-        """The values as columns of the table's ``types``, those this part has."""
-        to = {f.name.lower(): stored_type(f.dataType) for f in types.fields}
-        name = {f.name.lower(): f.name for f in types.fields}
+        """The values as columns of the table's ``types``, those this part has: taken by this
+        part's own names and types, then cast upward."""
+        final = {f.name.lower(): f for f in types.fields}
+        own = {f.name.lower(): f.dataType for f in self.types.fields}
         most = max((len(s) for s in self.spelled.values()), default=0)
         out = self.values
         for i in range(most):       # the i-th spelling of each column
-            struct = T.StructType([T.StructField(s[i], to[k]) for k, s in self.spelled.items() if len(s) > i])
+            struct = T.StructType([T.StructField(s[i], stored_type(own[k])) for k, s in self.spelled.items() if len(s) > i])
             kind = ddl(struct).replace("\\", "\\\\").replace("'", "\\'")
             out = out.withColumn(f"_{i}", F.expr(f"try_variant_get(v, '$', '{kind}')"))
-        return out.select(*[F.coalesce(*[F.col(f"_{i}")[s] for i, s in enumerate(spellings)]).alias(name[k])
-                            for k, spellings in self.spelled.items()])
+        out = out.select(*[F.coalesce(*[F.col(f"_{i}")[s] for i, s in enumerate(spellings)]).alias(f"c{n}")
+                           for n, spellings in enumerate(self.spelled.values())])
+        return out.select(*[F.expr(upcast_sql(f"c{n}", own[k], stored_type(final[k].dataType))).alias(final[k].name)
+                            for n, k in enumerate(self.spelled)])
 
 
 def _is_the_files_fault(e: Exception) -> bool:
@@ -288,32 +291,32 @@ def _load(spark: SparkSession, table_path: str, paths: list[str], batch_id: int)
     counts = {}
     rows = None
     for p in parts:
+        one = F.expr("CASE WHEN reason IS NOT NULL THEN 0 WHEN listed THEN size(try_cast(v AS array<variant>)) ELSE 1 END")
         for r in (p.lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected"),
-                                              F.min("reason").alias("reason")).collect()):   # the batch's files at most
-            counts[_plain_path(r.file)] = r
-        loaded = p.values.groupBy("file").count().collect()
-        counts |= {("rows", _plain_path(r.file)): r["count"] for r in loaded}
+                                              F.min("reason").alias("reason"), F.sum(one).alias("rows")).collect()):
+            counts[_plain_path(r.file)] = r     # as many as the batch has files
         if p.types.fields:
             mine = p.rows(ranges[-1][1])
             rows = mine if rows is None else rows.unionByName(mine, allowMissingColumns=True)
     if rows is not None:
         (rows.select("*", batch).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
              .partitionBy(BATCH_COL).parquet(table_path))
-        # recorded before the batch commits, so a replayed batch records it again
-        _record_ranges(spark, table_path, batch_id, ranges)
-    if any(not isinstance(k, tuple) and r.rejected for k, r in counts.items()):
+        if ranges != _ranges(spark, table_path, before=batch_id):
+            # recorded before the batch commits, so a replayed batch records it again
+            _record_ranges(spark, table_path, batch_id, ranges)
+    if any(r.rejected for r in counts.values()):
         lines = [p.lines.where("reason IS NOT NULL").select("file", "line", "reason", batch) for p in parts]
         _write_side(functools.reduce(DataFrame.unionAll, lines), table_path, REJECTS_DIR)
     reasons, outcomes = dict(bad), []
     for path in paths:
-        r, n = counts.get(_plain_path(path)), counts.get(("rows", _plain_path(path)), 0)
+        r = counts.get(_plain_path(path))
         if path in reasons:
             outcomes.append((path, "unreadable", 0, 0, 0, reasons[path], batch_id))
         elif r is None:
             outcomes.append((path, "empty", 0, 0, 0, None, batch_id))
         else:
             status = "loaded" if not r.rejected else "partly" if r.rejected < r.lines else "rejected"
-            outcomes.append((path, status, r.lines, n, r.rejected, r.reason, batch_id))
+            outcomes.append((path, status, r.lines, r.rows, r.rejected, r.reason, batch_id))
     _write_side(spark.createDataFrame(outcomes, FILES).coalesce(1), table_path, FILES_DIR)
     drop_staged(spark, *[p.lines for p in parts])
     return {"files": len(paths), "rows": sum(o[3] for o in outcomes), "rejected": sum(o[4] for o in outcomes),
