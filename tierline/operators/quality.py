@@ -203,9 +203,9 @@ def exact_duplicate_rows(df: DataFrame) -> DataFrame:
     repeated = prints.where("_n > 1").select("_f0", "_f1")
     exact = (marked.join(repeated, ["_f0", "_f1"], "left_semi").drop("_f0", "_f1")
              .groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
-             .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("defects")))
-    rows = prints.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"))
-    return rows.join(F.broadcast(exact))     # one row each
+             .agg(F.lit(0).alias("rows"), F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("defects")))
+    rows = prints.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("rows"), F.lit(0).alias("defects"))
+    return rows.unionByName(exact).agg(F.sum("rows").cast("bigint").alias("rows"), F.sum("defects").cast("bigint").alias("defects"))
 
 
 def dq_profile(tables: dict[str, DataFrame], checks: dict[str, dict[str, Column]],
