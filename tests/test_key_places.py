@@ -1,0 +1,122 @@
+"""The index of key blocks: a daily run reads the loads and days that can hold its keys."""
+
+import glob
+import os
+import random
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from tierline.plans.pipelines import Layout, bronze_load, setup_schemas, silver_build
+from tierline.session import scratch_dir
+from tierline.sources.key_places import BLOCK, key_block, loads_of, update_index
+from tierline.sources.tables import merge_upsert
+from tierline.streaming.incremental import BATCH_COL, number_folders, read_bronze
+
+IMP = "id long, ad_id long, timestamp string, country string, cost_usd double"
+
+
+def _day(d):
+    return f"2024-01-{d:02d}T10:00:00.000000+00:00"
+
+
+def _layout(spark):
+    layout = Layout(base=scratch_dir(spark, "places"), domain=f"k{uuid.uuid4().hex[:6]}")
+    setup_schemas(spark, layout)
+    return layout
+
+
+def _load(spark, layout, rows, day):
+    bronze_load(spark, layout, "impressions", spark.createDataFrame(rows, IMP), f"2024-01-{day:02d}")
+    return silver_build(spark, layout, "impressions")
+
+
+def _spoil(folder):
+    """Make every data file below a folder unreadable; returns how many."""
+    files = [f for f in glob.glob(f"{folder.replace('file:', '')}/**/*.parquet", recursive=True)]
+    for f in files:
+        os.remove(os.path.join(os.path.dirname(f), f".{os.path.basename(f)}.crc"))
+        with open(f, "wb") as out:
+            out.write(b"no parquet")
+    return len(files)
+
+
+def test_a_daily_run_reads_no_other_load_and_no_other_day(spark):
+    layout = _layout(spark)
+    for d in (1, 2, 3, 4):      # every day's ids have blocks of their own
+        _load(spark, layout, [(d * 10 * BLOCK + i, 5, _day(d), "US", 0.5) for i in range(4)], d)
+    loads = number_folders(spark, layout.bronze_path("impressions"), BATCH_COL)
+    assert len(loads) == 4
+    # days 2 and 3 of bronze and of silver can't be read any more
+    assert sum(_spoil(f"{layout.bronze_path('impressions')}/{BATCH_COL}={n}") for n in loads[1:3]) >= 2
+    silver = layout.table("silver", "impressions")
+    parts = sorted(r[0] for r in spark.sql(f"SHOW PARTITIONS {silver}").collect())
+    spoiled = 0
+    for p in parts[1:3]:
+        at = [r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {silver} PARTITION ({p})").collect()
+              if r.col_name == "Location"][0]
+        spoiled += _spoil(at)
+    assert spoiled >= 2
+    # a row of day 1 moves to day 5 (its new row sorts first), beside new ids
+    got = _load(spark, layout, [(10 * BLOCK, 4, _day(5), "AR", 0.1), (50 * BLOCK, 5, _day(5), "US", 0.2)], 5)
+    assert got["rows"] == 17
+    first = spark.table(silver).where("_part IN (19723, 19727)")         # days 1 and 5
+    assert sorted(r.id for r in first.where("_part = 19723").collect()) == [10 * BLOCK + i for i in (1, 2, 3)]
+    assert sorted(r.id for r in first.where("_part = 19727").collect()) == [10 * BLOCK, 50 * BLOCK]
+
+
+def test_random_days_equal_one_build_of_all(spark):
+    rng = random.Random(5)
+    days = [[(rng.randrange(12) * BLOCK // 2, rng.randrange(4), _day(rng.randrange(1, 6)), "US", 0.25)
+             for _ in range(10)] for _ in range(4)]
+    step, full = _layout(spark), _layout(spark)
+    for n, rows in enumerate(days, 1):
+        _load(spark, step, rows, n)
+        bronze_load(spark, full, "impressions", spark.createDataFrame(rows, IMP), f"2024-01-{n:02d}")
+    silver_build(spark, full, "impressions")
+    a, b = (spark.table(x.table("silver", "impressions")) for x in (step, full))
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.select(*a.columns).collect()))
+
+
+def test_the_index_follows_a_key_type_that_grows(spark):
+    layout = _layout(spark)
+    path = layout.bronze_path("advertisers")
+    load = lambda rows, schema, day: bronze_load(
+        spark, layout, "advertisers", spark.createDataFrame(rows, schema), day)
+    touched = lambda v, t: spark.createDataFrame([(v,)], f"id {t}")
+
+    def found(v, t):
+        bronze = read_bronze(spark, path, keep_batch=True)
+        return loads_of(spark, update_index(spark, path, bronze, ["id"]), touched(v, t), ["id"])
+
+    load([(1,), (None,)], "id long", "2024-01-01")
+    load([(5 * BLOCK,), (1,)], "id long", "2024-01-02")
+    assert found(1, "long") == [0, 1] and found(5 * BLOCK, "long") == [1] and found(-9 * BLOCK, "long") == []
+    load([(1.5,)], "id double", "2024-01-03")
+    assert found(1.0, "double") == [0, 1, 2] and found(5.0 * BLOCK, "double") == [1]
+    load([("x-000001",), ("1",)], "id string", "2024-01-04")
+    assert found("x-000009", "string") == [3] and found("y-000009", "string") == []
+
+
+@pytest.mark.parametrize("schema,values", [
+    ("k long", [0, 1, -1, 2**63 - 1, -2**63]), ("k double", [0.0, -0.0, float("nan"), float("inf"), 1e300]),
+    ("k string", ["", "a", "abcd", "abcde"]), ("k decimal(38,2)", [0, 1, -1]), ("k boolean", [True, False])])
+def test_equal_keys_share_a_block(spark, schema, values):
+    from decimal import Decimal
+    rows = [(Decimal(v),) if "decimal" in schema else (v,) for v in values]
+    a = spark.createDataFrame(rows, schema).repartition(3)
+    b = a.withColumn("b1", key_block(a, ["k"])).join(a.withColumn("b2", key_block(a, ["k"])), "k")
+    assert b.count() >= len(values) and b.where("b1 <> b2 OR b1 IS NULL").count() == 0
+
+
+def test_an_upsert_searches_only_the_partitions_named(spark):
+    name = f"t_{uuid.uuid4().hex[:8]}"
+    path = scratch_dir(spark, "places")
+    part = lambda: F.col("day")
+    rows = lambda *r: spark.createDataFrame(list(r), "id long, day int, v string")
+    merge_upsert(spark, name, rows((1, 1, "a"), (2, 2, "b"), (3, None, "c")), "id", path, partition_expr=part())
+    days = spark.createDataFrame([(1,), (None,)], "_part int")
+    merge_upsert(spark, name, rows((1, 3, "d"), (3, 3, "e")), "id", path, partition_expr=part(), may_hold=days)
+    assert sorted(tuple(r) for r in spark.table(name).select("id", "day", "v").collect()) == [
+        (1, 3, "d"), (2, 2, "b"), (3, 3, "e")]

@@ -27,9 +27,12 @@ def build_silver(raw: DataFrame, rule: EntityRule, parents: dict[str, DataFrame]
             raise ValueError(f"{rule.name}: parent {fk.parent!r} must be built first")
         df = flag_orphans(df, parents[fk.parent], fk.parent_keys, fk.child_columns, fk.flag,
                           **(fk_options or {}))
-    df = apply_casts(df, rule.casts, try_cast)
-    df = apply_named(df, rule.transforms)
-    return trim_strings(df)
+    return clean_columns(df, rule, try_cast)
+
+
+def clean_columns(df: DataFrame, rule: EntityRule, try_cast: bool = False) -> DataFrame:
+    """The steps that go by row: casts, named transforms, trim."""
+    return trim_strings(apply_named(apply_casts(df, rule.casts, try_cast), rule.transforms))
 
 
 def ancestors(names, registry: dict[str, EntityRule] | None = None) -> set[str]:

@@ -370,6 +370,9 @@ FROM (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 'loaded'
     "fk_flag_composite": """
 SELECT event_id, user_id, NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id
     AND CAST(v.ts AS DATE) = CAST(e.ts AS DATE)) AS no_view_that_day FROM events e""",
+    "silver_daily_loads": _silver_select(
+        "clicks", "id, impression_id, \"timestamp\", CAST(cost_usd AS DOUBLE) AS cost_usd, "
+                  "is_orphan_impression_id"),
     "silver_children_first": with_ctes(TESTBED, SILVER, body="""
 SELECT 'clicks' AS entity, id, is_orphan_impression_id AS orphan FROM s_clicks
 UNION ALL SELECT 'conversions', id, is_orphan_click_id FROM s_conversions"""),

@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 from tierline.operators import funnel
 from tierline.operators.quality import event_window
-from tierline.operators.silver import build_silver
+from tierline.operators.silver import build_silver, clean_columns
 from tierline.rules import REGISTRY, EntityRule, FkCheck, build_order, get_rule
+from tierline.sources.key_places import loads_of, update_index
 from tierline.sources.landing import land_json
 from tierline.sources.tables import (PART_COL, drop_staged, ensure_schemas, event_day, in_partitions, merge_upsert,
                                      observed, overwrite_table, set_table_properties, stage, table_exists,
@@ -114,16 +115,32 @@ def _parent_keys(spark: SparkSession, layout: Layout, fk: FkCheck) -> DataFrame:
     return spark.createDataFrame([], ", ".join(f"`{k}` bigint" for k in fk.parent_keys))
 
 
-def _touched_rows(spark: SparkSession, rule: EntityRule, bronze: DataFrame, seen: dict) -> tuple[DataFrame, DataFrame]:
+def _touched_rows(spark: SparkSession, layout: Layout, rule: EntityRule, bronze: DataFrame,
+                  seen: dict) -> tuple[DataFrame, DataFrame]:
     """Bronze rows, old and new, of the keys that have a new row (of rows with a NULL key
-    only the new ones: such rows never match in an upsert), and those keys, staged."""
-    keys = list(rule.primary_key)
+    only the new ones: such rows never match in an upsert), and those keys, staged.  The
+    index of key blocks names the loads that may hold them; no others are read."""
+    keys, path = list(rule.primary_key), layout.bronze_path(rule.name)
     fresh = bronze.where(F.col(BATCH_COL) > seen[rule.name])
     touched = stage(fresh.select(*keys).dropDuplicates().dropna(), "silver-keys", spark)
     unkeyed = F.lit(False)
     for k in keys:
         unkeyed = unkeyed | F.col(k).isNull()
-    return bronze.join(touched, keys, "left_semi").unionByName(fresh.where(unkeyed)), touched
+    loads = loads_of(spark, update_index(spark, path, bronze, keys), touched, keys)
+    held = bronze.where(F.col(BATCH_COL).isin(loads)).join(touched, keys, "left_semi")
+    return held.unionByName(fresh.where(unkeyed)), touched
+
+
+def _days_of(spark: SparkSession, rule: EntityRule, rows: DataFrame) -> DataFrame | None:
+    """The days on which silver may hold the keys of these bronze rows: each key's silver row
+    came from one of them.  None where a cast or trim can turn two bronze keys into one
+    (keys other than whole numbers), as then other keys' rows count too."""
+    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
+    silver = clean_columns(rows, rule, try_cast=True)
+    if spark.conf.get("spark.sql.ansi.enabled") != "true" or not all(
+            isinstance(df.schema[k].dataType, whole) for df in (rows, silver) for k in rule.primary_key):
+        return None
+    return stage(silver.select(event_day(rule.event_time).alias(PART_COL)).distinct(), "silver-days", spark)
 
 
 def _healed_rows(spark: SparkSession, layout: Layout, rule: EntityRule, seen: dict, loads: dict,
@@ -163,7 +180,8 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     named transforms -> trim -> upsert into the silver table.
 
     The first run takes all of bronze.  Later runs take the keys with new rows, with all
-    their bronze rows, and the orphans whose parent has come since into the parent's silver
+    their bronze rows (from the loads that an index of key blocks names; the days that may
+    hold them in silver are those of these rows), and the orphans whose parent has come since into the parent's silver
     table.  Those are found in ``<entity>__pending_<fk>``, a table of the unresolved foreign
     keys and the rows that wait for them.  So the result equals a full rebuild in whatever
     order entities are built (a parent not built yet has no keys; the next run after it is
@@ -180,9 +198,11 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
         table_exists(spark, _pending_table(layout, rule, fk)) for fk in rule.fk_checks)
     if known and all(seen[n] >= loads[n] for n in loads):
         return {"rows": table_rows(spark, table), "rows_written": 0, "duplicates_removed": 0, "orphans": 0}
-    healed = None
+    healed = days = None
     if known:
-        bronze, touched = _touched_rows(spark, rule, bronze, seen)
+        bronze, touched = _touched_rows(spark, layout, rule, bronze, seen)
+        if rule.event_time and layout.event_keys_may_move:
+            days = _days_of(spark, rule, bronze.drop(BATCH_COL))
         healed = _healed_rows(spark, layout, rule, seen, loads, touched)
     parents = {fk.parent: _parent_keys(spark, layout, fk) for fk in rule.fk_checks}
     taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
@@ -196,7 +216,7 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     df = stage(df, f"silver-{entity}", spark)
     if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
         layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time],
-                       "keys_may_move": layout.event_keys_may_move}
+                       "keys_may_move": layout.event_keys_may_move, "may_hold": days}
     else:                # dimensions: linear hashing of the key
         layout_args = {"rows_per_partition": layout.rows_per_partition}
     # dedup on the primary key already leaves one row per key: no second pass to check it

@@ -222,6 +222,22 @@ def q_silver_children_first(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("conversions").alias("entity"), "id", F.col("is_orphan_click_id").alias("orphan")))
 
 
+def q_silver_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Impressions and clicks loaded in three daily parts (by id, so repeated ids meet across
+    parts too) with an incremental silver build after each: equal to one build of all."""
+    from tierline.plans.pipelines import Layout, bronze_load, setup_schemas, silver_build
+    layout = Layout(base=scratch_dir(spark, "pipeline"), domain=f"ads_{uuid.uuid4().hex[:8]}")
+    setup_schemas(spark, layout)
+    raw = raw_testbed(spark, sf_dir)
+    for n in range(3):
+        for entity in ("clicks", "impressions"):
+            part = raw[entity].where(F.pmod(F.xxhash64("id", "timestamp"), F.lit(3)) == n)
+            bronze_load(spark, layout, entity, part, f"2024-01-{29 + n}")
+            silver_build(spark, layout, entity)
+    silver_build(spark, layout, "clicks")       # the flags of parents that came after their clicks
+    return export(spark.table(layout.table("silver", "clicks")).drop("_part"))
+
+
 def _silver_query(entity: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return export(silver_testbed(spark, sf_dir, only=[entity])[entity])
@@ -512,6 +528,7 @@ QUERIES: dict[str, QueryFn] = {
     "fk_orphan_count": q_fk_orphan_count,
     "fk_flag_composite": q_fk_flag_composite,
     "silver_children_first": q_silver_children_first,
+    "silver_daily_loads": q_silver_daily_loads,
     "cast_orders": q_cast_orders,
     "trim_customer": q_trim_customer,
     "fix_protocol_pages": q_fix_protocol_pages,

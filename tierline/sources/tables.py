@@ -417,7 +417,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
                  check_unique: bool = True, sort_within: Iterable[str] = (),
                  write_spread: int = 4, keys_may_move: bool = True,
                  rows_per_partition: int | None = None, remove: str | None = None,
-                 properties: dict[str, str] | None = None) -> dict:
+                 properties: dict[str, str] | None = None, may_hold: DataFrame | None = None) -> dict:
     """Keyed upsert into parquet table ``table`` (created on first use): MERGE ... WHEN
     MATCHED UPDATE * WHEN NOT MATCHED INSERT *.
 
@@ -432,7 +432,8 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
       event tables.  A key may move between partitions, so the partitions where the
       target holds the source's keys today are touched too (found by a semi-join on the
       key and ``_part`` columns only).  ``keys_may_move=False`` skips that scan when a
-      key's partition never changes.
+      key's partition never changes; ``may_hold``, a frame of ``_part`` values, limits it
+      to the partitions that can hold the source's keys, where the caller knows them.
 
     The layout is recorded with the table; a later call adopts a recorded hash and
     refuses another kind of layout.  Source keys are cast to the table's key types; a value
@@ -500,7 +501,8 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
         fresh = f"{home}/u-{uuid.uuid4().hex[:12]}"
         touched = source.select(PART_COL)
         if partition_expr is not None and keys_may_move:
-            held = target.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
+            places = target if may_hold is None else in_partitions(target, may_hold.subtract(touched))
+            held = places.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
             touched = touched.unionByName(held.select(PART_COL))
         try:
             touched = _write_touched(touched.distinct(), fresh)

@@ -49,7 +49,7 @@ def _below(table_path: str, folder: str) -> str:
     return f"{table_path.rstrip('/')}/{folder}"
 
 
-def _folders(spark: SparkSession, path: str, key: str) -> list[int]:
+def number_folders(spark: SparkSession, path: str, key: str) -> list[int]:
     """The numbers n of the sub-folders ``key=n``, ascending (a listing, no job)."""
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -62,7 +62,7 @@ def _folders(spark: SparkSession, path: str, key: str) -> list[int]:
 
 def _ranges(spark: SparkSession, table_path: str, before: int | None = None) -> list[tuple[int, T.StructType]]:
     """(first batch, types) of the ranges of batches written with the same types."""
-    at = [n for n in _folders(spark, _below(table_path, SCHEMA_DIR), "at") if before is None or n < before]
+    at = [n for n in number_folders(spark, _below(table_path, SCHEMA_DIR), "at") if before is None or n < before]
     if not at:
         return []
     text = spark.read.text(_below(table_path, f"{SCHEMA_DIR}/at={at[-1]}")).first()[0]
@@ -89,12 +89,12 @@ def _extended(ranges: list[tuple[int, T.StructType]], batch_id: int, found: T.St
 
 def has_schema(spark: SparkSession, table_path: str) -> bool:
     """Whether any load has recorded the dataset's columns."""
-    return bool(_folders(spark, _below(table_path, SCHEMA_DIR), "at"))
+    return bool(number_folders(spark, _below(table_path, SCHEMA_DIR), "at"))
 
 
 def latest_load(spark: SparkSession, table_path: str) -> int:
     """The last batch that brought rows (-1: none)."""
-    return max(_folders(spark, table_path, BATCH_COL), default=-1)
+    return max(number_folders(spark, table_path, BATCH_COL), default=-1)
 
 
 def loaded_rows(spark: SparkSession, table_path: str) -> int:
@@ -104,7 +104,7 @@ def loaded_rows(spark: SparkSession, table_path: str) -> int:
 
 def _read_side(spark: SparkSession, table_path: str, folder: str, schema: str) -> DataFrame:
     path = _below(table_path, folder)
-    if not _folders(spark, path, BATCH_COL):
+    if not number_folders(spark, path, BATCH_COL):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(path)
 
@@ -396,7 +396,7 @@ def register_bronze(spark: SparkSession, table: str, table_path: str) -> None:
         spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
         spark.catalog.refreshTable(table)
         return
-    batches, selects = _folders(spark, table_path, BATCH_COL), []
+    batches, selects = number_folders(spark, table_path, BATCH_COL), []
     for i, (first, types) in enumerate(ranges):
         part = f"{table}__types{i}"
         _bronze_table(spark, part, table_path, types)
