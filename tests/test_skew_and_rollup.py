@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tierline import oracle
 from tierline.operators import funnel
+from tierline.rules import FkCheck
 from tierline.operators.asof import running_max
 from tierline.operators.quality import dedup, flag_orphans
 from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group, value_ranks
@@ -77,6 +78,31 @@ def test_revenue_rollup_equals_joined_sql(spark, seed):
     assert sorted(map(tuple, funnel.revenue_by_advertiser(s).select(*cols).collect())) == sorted(want)
 
 
+@pytest.mark.parametrize("seed", [6, 7])
+def test_rollups_over_keys_of_two_columns(spark, seed):
+    """Every id cut into (quotient, remainder): ids alone mean nothing, the pairs do."""
+    s = _silver(spark, seed)
+    two, links = {}, {}
+    for name, df in s.items():
+        fk = funnel.LINKS.get(name)
+        for c in ["id", *(fk.child_columns if fk else [])]:
+            df = df.withColumn(f"{c}_day", F.col(c) % 3).withColumn(c, F.expr(f"`{c}` div 3"))
+        if fk:
+            c = fk.child_columns[0]
+            links[name] = FkCheck(fk.parent, ("id", "id_day"), (c, f"{c}_day"))
+            if fk.flag in df.columns:
+                df = df.withColumnRenamed(fk.flag, links[name].flag)
+        two[name] = df
+    numbers = ["funnel_rows", "impressions_count", "clicks_count", "conversions_count", "total_impression_cost_usd",
+               "total_click_cost_usd", "total_conversion_value_usd"]
+    key = lambda r: str(tuple(r))
+    a, b = (funnel.campaign_rollup(x, l).select(*numbers).collect() for x, l in ((s, funnel.LINKS), (two, links)))
+    assert sorted(map(tuple, a), key=key) == sorted(map(tuple, b), key=key)
+    a, b = (funnel.revenue_by_advertiser(x, l).select("total_revenue_usd", "conversions_count").collect()
+            for x, l in ((s, funnel.LINKS), (two, links)))
+    assert sum(r[1] for r in a) == sum(r[1] for r in b) > 0 and sum(r[0] for r in a) == sum(r[0] for r in b)
+
+
 def test_hot_user_running_max(spark):
     """A third of all events on one user, blocks far smaller than that user."""
     rnd = random.Random(11)

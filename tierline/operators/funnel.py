@@ -16,18 +16,47 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group
+from tierline.rules import FkCheck
 
 CAMPAIGN_KEYS = ["campaign_id", "campaign_name", "channel", "objective"]
 
+#: How each level of the funnel refers to the next one.  Where ids restart, e.g. each day, a
+#: caller gives links over several columns: ``FkCheck("impressions", ("id", "day"),
+#: ("impression_id", "impression_day"))`` for clicks.
+LINKS = {
+    "conversions": FkCheck("clicks", "id", "click_id"),
+    "clicks": FkCheck("impressions", "id", "impression_id"),
+    "impressions": FkCheck("ads", "id", "ad_id"),
+    "ads": FkCheck("campaigns", "id", "campaign_id"),
+    "campaigns": FkCheck("advertisers", "id", "advertiser_id"),
+}
 
-def drop_orphans(silver: dict[str, DataFrame]) -> dict[str, DataFrame]:
+
+def drop_orphans(silver: dict[str, DataFrame], links: dict[str, FkCheck] = LINKS) -> dict[str, DataFrame]:
     """Silver tables as the funnel uses them: orphan clicks and conversions removed."""
     out = dict(silver)
-    out["clicks"] = silver["clicks"].filter(~F.col("is_orphan_impression_id"))
-    out["conversions"] = silver["conversions"].filter(~F.col("is_orphan_click_id"))
+    for name in ("clicks", "conversions"):
+        out[name] = silver[name].filter(~F.col(links[name].flag))
     return out
 
 
+def _by_parent(child: DataFrame, link: FkCheck):
+    """Child rows grouped by the parent they name, as ``_k0``, ``_k1``, ...; a key with a
+    NULL in it names none."""
+    named = child
+    for c in link.child_columns:
+        named = named.where(F.col(c).isNotNull())
+    return named.groupBy(*[F.col(c).alias(f"_k{i}") for i, c in enumerate(link.child_columns)])
+
+
+def _of_parent(link: FkCheck):
+    """Join condition of a parent's rows with what ``_by_parent`` made of its children."""
+    cond = F.lit(True)
+    for i, c in enumerate(link.parent_keys):
+        cond = cond & (F.col(c) == F.col(f"_k{i}"))
+    return cond
+
+
 def _metrics(df: DataFrame) -> DataFrame:
     """ctr, cvr (0.0 when the denominator is 0) and cost per conversion (NULL when
     there is no conversion or either cost sum is NULL)."""
@@ -57,47 +86,44 @@ def _as_sum_type(c, like: DataFrame, name: str):
     return F.col(c).cast(_sum_type(like, name))
 
 
-def campaign_rollup(silver: dict[str, DataFrame]) -> DataFrame:
+def campaign_rollup(silver: dict[str, DataFrame], links: dict[str, FkCheck] = LINKS) -> DataFrame:
     """Campaign aggregates with the fan-out described above, plus ``funnel_rows`` (rows the
     joined chain would have for the campaign).  Relies on the silver contract of one row
-    per campaign ``id``."""
-    s = drop_orphans(silver)
+    per campaign key; ``links`` names the key columns of each level."""
+    s, up = drop_orphans(silver, links), {n: link.child_columns for n, link in links.items()}
     camp, ads, imp, clk, conv = (s["campaigns"], s["ads"], s["impressions"],
                                  s["clicks"], s["conversions"])
     one, zero = F.lit(1), F.lit(0)
 
-    conv_by_click = (conv.where(F.col("click_id").isNotNull())
-                     .groupBy(F.col("click_id").alias("_k"))
+    conv_by_click = (_by_parent(conv, links["conversions"])
                      .agg(F.count(one).alias("_rows"), F.count("id").alias("_conv"),
                           F.sum("value_usd").alias("_value")))
-    clk_w = (clk.join(conv_by_click, F.col("id") == F.col("_k"), "left")
-                .select("impression_id", "id", "cost_usd", "_conv", "_value",
+    clk_w = (clk.join(conv_by_click, _of_parent(links["conversions"]), "left")
+                .select(*up["clicks"], "id", "cost_usd", "_conv", "_value",
                         F.greatest(one, F.coalesce("_rows", zero)).alias("_w")))
-    click_by_imp = (clk_w.where(F.col("impression_id").isNotNull())
-                    .groupBy(F.col("impression_id").alias("_k"))
+    click_by_imp = (_by_parent(clk_w, links["clicks"])
                     .agg(F.sum("_w").alias("_rows"),
                          F.sum(F.when(F.col("id").isNotNull(), F.col("_w")).otherwise(zero)).alias("_clicks"),
                          _sum_as(F.col("cost_usd") * F.col("_w"), clk, "cost_usd").alias("_ccost"),
                          F.sum("_conv").alias("_conv"), F.sum("_value").alias("_value")))
-    imp_w = (imp.join(click_by_imp, F.col("id") == F.col("_k"), "left")
-                .select("ad_id", "id", "cost_usd", "_clicks", "_ccost", "_conv", "_value",
+    imp_w = (imp.join(click_by_imp, _of_parent(links["clicks"]), "left")
+                .select(*up["impressions"], "id", "cost_usd", "_clicks", "_ccost", "_conv", "_value",
                         F.greatest(one, F.coalesce("_rows", zero)).alias("_w")))
-    imp_by_ad = (imp_w.where(F.col("ad_id").isNotNull())
-                 .groupBy(F.col("ad_id").alias("_k"))
+    imp_by_ad = (_by_parent(imp_w, links["impressions"])
                  .agg(F.sum("_w").alias("_rows"),
                       F.sum(F.when(F.col("id").isNotNull(), F.col("_w")).otherwise(zero)).alias("_imps"),
                       _sum_as(F.col("cost_usd") * F.col("_w"), imp, "cost_usd").alias("_icost"),
                       F.sum("_clicks").alias("_clicks"), F.sum("_ccost").alias("_ccost"),
                       F.sum("_conv").alias("_conv"), F.sum("_value").alias("_value")))
-    ad_by_campaign = (ads.where(F.col("campaign_id").isNotNull())
-                      .join(imp_by_ad, F.col("id") == F.col("_k"), "left")
-                      .withColumn("_rows", F.greatest(one, F.coalesce("_rows", zero)))
-                      .groupBy(F.col("campaign_id").alias("_c"))
+    ads_w = (ads.join(imp_by_ad, _of_parent(links["impressions"]), "left")
+             .withColumn("_rows", F.greatest(one, F.coalesce("_rows", zero)))
+             .drop(*[f"_k{i}" for i, _ in enumerate(up["impressions"])]))
+    ad_by_campaign = (_by_parent(ads_w, links["ads"])
                       .agg(*[F.sum(c).alias(c) for c in
                              ["_rows", "_imps", "_icost", "_clicks", "_ccost", "_conv", "_value"]]))
     # Silver holds one row per campaign id, so the join yields one row per campaign
     # and no regrouping (another shuffle) is needed.
-    joined = camp.join(ad_by_campaign, F.col("id") == F.col("_c"), "left")
+    joined = camp.join(ad_by_campaign, _of_parent(links["ads"]), "left")
     agg = joined.select(
         F.col("id").alias("campaign_id"), "campaign_name", "channel", "objective",
         F.greatest(one, F.coalesce("_rows", zero)).cast("bigint").alias("funnel_rows"),
@@ -130,25 +156,24 @@ def funnel_rows(silver: dict[str, DataFrame]) -> DataFrame:
     return campaign_rollup(silver).select("campaign_id", "funnel_rows")
 
 
-def revenue_by_advertiser(silver: dict[str, DataFrame]) -> DataFrame:
+def revenue_by_advertiser(silver: dict[str, DataFrame], links: dict[str, FkCheck] = LINKS) -> DataFrame:
     """Per advertiser: total conversion value (0.0 when none, a double) and the number
     of conversions that reach it through campaign, ad, impression and click.
 
     Conversions are the leaves, so no weights are needed: climb the chain with inner
     joins, aggregating on every level's key.  Each parent row a conversion reaches counts
     it once."""
-    s = drop_orphans(silver)
-    level = (s["conversions"].where(F.col("click_id").isNotNull())
-             .groupBy(F.col("click_id").alias("_k"))
+    s = drop_orphans(silver, links)
+    level = (_by_parent(s["conversions"], links["conversions"])
              .agg(F.sum("value_usd").alias("_value"), F.count("id").alias("_conv")))
-    for table, fk in [("clicks", "impression_id"), ("impressions", "ad_id"),
-                      ("ads", "campaign_id"), ("campaigns", "advertiser_id")]:
-        level = (s[table].select(F.col("id").alias("_id"), F.col(fk).alias("_fk"))
-                 .where(F.col("_fk").isNotNull())
-                 .join(level, F.col("_id") == F.col("_k"), "inner")
-                 .groupBy(F.col("_fk").alias("_k"))
-                 .agg(F.sum("_value").alias("_value"), F.sum("_conv").alias("_conv")))
-    agg = (s["advertisers"].join(level, F.col("id") == F.col("_k"), "left")
+    below = links["conversions"]
+    for table in ("clicks", "impressions", "ads", "campaigns"):
+        columns = dict.fromkeys([*below.parent_keys, *links[table].child_columns])
+        reached = s[table].select(*columns).join(level, _of_parent(below)).select(
+            *links[table].child_columns, "_value", "_conv")
+        level = _by_parent(reached, links[table]).agg(F.sum("_value").alias("_value"), F.sum("_conv").alias("_conv"))
+        below = links[table]
+    agg = (s["advertisers"].join(level, _of_parent(below), "left")
            .groupBy(F.col("id").alias("advertiser_id"), "advertiser_name", "industry", "country")
            .agg(_sum_as("_value", s["conversions"], "value_usd").alias("total_revenue_usd"),
                 F.coalesce(F.sum("_conv"), F.lit(0)).cast("bigint").alias("conversions_count")))

@@ -370,6 +370,20 @@ FROM (SELECT *, CASE WHEN ts >= TIMESTAMP '2024-01-16 00:00:00' THEN 'loaded'
     "fk_flag_composite": """
 SELECT event_id, user_id, NOT EXISTS (SELECT 1 FROM events v WHERE v.event_type = 'view' AND v.user_id = e.user_id
     AND CAST(v.ts AS DATE) = CAST(e.ts AS DATE)) AS no_view_that_day FROM events e""",
+    "funnel_composite": with_ctes(TESTBED, SILVER, """
+i2 AS (SELECT id // 7 AS id, id % 7 AS day, ad_id, cost_usd FROM s_impressions),
+c2 AS (SELECT id // 7 AS id, id % 7 AS day, impression_id // 7 AS impression_id, impression_id % 7 AS impression_day, cost_usd
+       FROM s_clicks),
+v2 AS (SELECT id // 7 AS id, id % 7 AS day, click_id // 7 AS click_id, click_id % 7 AS click_day, value_usd FROM s_conversions),
+k2 AS (SELECT * FROM c2 WHERE EXISTS (SELECT 1 FROM i2 WHERE i2.id = c2.impression_id AND i2.day = c2.impression_day)),
+w2 AS (SELECT * FROM v2 WHERE EXISTS (SELECT 1 FROM c2 WHERE c2.id = v2.click_id AND c2.day = v2.click_day))
+""", body="""
+SELECT c.id AS campaign_id, count(*) AS funnel_rows, count(i.id) AS impressions_count, count(cl.id) AS clicks_count,
+       count(co.id) AS conversions_count, CAST(sum(i.cost_usd) AS DOUBLE) AS total_impression_cost_usd,
+       CAST(sum(cl.cost_usd) AS DOUBLE) AS total_click_cost_usd, CAST(sum(co.value_usd) AS DOUBLE) AS total_conversion_value_usd
+FROM s_campaigns c LEFT JOIN s_ads a ON a.campaign_id = c.id LEFT JOIN i2 i ON i.ad_id = a.id
+LEFT JOIN k2 cl ON cl.impression_id = i.id AND cl.impression_day = i.day
+LEFT JOIN w2 co ON co.click_id = cl.id AND co.click_day = cl.day GROUP BY c.id"""),
     "silver_daily_loads": _silver_select(
         "clicks", "id, impression_id, \"timestamp\", CAST(cost_usd AS DOUBLE) AS cost_usd, "
                   "is_orphan_impression_id"),

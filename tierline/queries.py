@@ -25,6 +25,7 @@ from tierline.operators.quality import (dedup, dedup_metrics, dq_profile, event_
                                         orphan_metrics)
 from tierline.operators.ranking import pivot_sum, rank_in_group, share_of_group
 from tierline.operators.silver import build_silver_all
+from tierline.rules import FkCheck
 from tierline.session import scratch_dir
 from tierline.sources.landing import land_json
 from tierline.sources.tables import (PART_COL, ensure_schemas, list_tables, merge_upsert, overwrite_table,
@@ -222,6 +223,29 @@ def q_silver_children_first(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit("conversions").alias("entity"), "id", F.col("is_orphan_click_id").alias("orphan")))
 
 
+def q_funnel_composite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The funnel where event ids restart: silver events get keys of id and day (an id's
+    quotient and remainder by 7), foreign keys of two columns, are flagged and rolled up."""
+    def split(df, old, key, day):
+        return df.withColumn(day, F.col(old) % 7).withColumn(key, F.expr(f"`{old}` div 7"))
+
+    silver = silver_testbed(spark, sf_dir)
+    imp = split(silver["impressions"], "id", "id", "day")
+    clk = split(split(silver["clicks"], "impression_id", "impression_id", "impression_day"), "id", "id", "day")
+    cnv = split(split(silver["conversions"], "click_id", "click_id", "click_day"), "id", "id", "day")
+    links = funnel.LINKS | {
+        "clicks": FkCheck("impressions", ("id", "day"), ("impression_id", "impression_day")),
+        "conversions": FkCheck("clicks", ("id", "day"), ("click_id", "click_day"))}
+    silver["impressions"] = imp
+    for name, df in (("clicks", clk), ("conversions", cnv)):
+        fk = links[name]
+        silver[name] = flag_orphans(df, silver[fk.parent], fk.parent_keys, fk.child_columns, fk.flag)
+    out = funnel.campaign_rollup(silver, links).select(
+        "campaign_id", "funnel_rows", "impressions_count", "clicks_count", "conversions_count",
+        "total_impression_cost_usd", "total_click_cost_usd", "total_conversion_value_usd")
+    return export(out)
+
+
 def q_silver_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Impressions and clicks loaded in three daily parts (by id, so repeated ids meet across
     parts too) with an incremental silver build after each: equal to one build of all."""
@@ -529,6 +553,7 @@ QUERIES: dict[str, QueryFn] = {
     "fk_flag_composite": q_fk_flag_composite,
     "silver_children_first": q_silver_children_first,
     "silver_daily_loads": q_silver_daily_loads,
+    "funnel_composite": q_funnel_composite,
     "cast_orders": q_cast_orders,
     "trim_customer": q_trim_customer,
     "fix_protocol_pages": q_fix_protocol_pages,
