@@ -1,10 +1,11 @@
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from tierline.llm.queries import op10_toxicity
-from tierline.llm.toxicity import ToxicityModel, fold, keep_clean, learn, lexicon, matches, score
+from tierline.llm.toxicity import ToxicityModel, chance, density, fold, keep_clean, learn, lexicon, matches, phrases_of, score
 
 MODEL = ToxicityModel({" idiot ": 5.0, " vequ": 4.0, " trash ": 4.0}, ("trash can",), 2.0, -4.0)
 
@@ -67,3 +68,53 @@ def test_without_labels_of_both_classes_all_is_clean(spark, docs_of):
     labels = spark.createDataFrame([(1, 0), (2, None)], "doc_id long, toxic int")
     model = learn(spark, docs_of([(1, "a"), (2, "b")]), labels, F.lit(True))
     assert all(r.score < 0.01 for r in score(docs_of([(1, "a"), (2, None)]), model).collect())
+
+
+def _naive(text, model):
+    """Every pattern tried at every place of the folded text."""
+    s, hits, covered = fold(text), {}, set()
+    for at in range(len(s)):
+        for p, w in model.weights.items():
+            if s.startswith(p, at):
+                hits[at] = max(hits.get(at, 0.0), w)
+        for p in model.exceptions:
+            if s.startswith(f" {p} ", at):
+                covered.update(range(at, at + len(p) + 1))
+    return sum(w for at, w in hits.items() if at not in covered), sum(at not in covered for at in hits)
+
+
+def test_scores_equal_a_naive_scan(spark, docs_of):
+    rng = random.Random(7)
+    words = ["ab", "abc", "abcd", "bcd", "trash", "can", "c4n", "tr@sh", "vequju", "veq", "été", "аb", "x"]
+    model = ToxicityModel({" ab": 3.0, " abc ": 4.5, " trash ": 3.5, " vequ": 4.0, " bcd ": 3.2},
+                          ("trash can", "ab x", "x abc", "can"), 2.0, -3.0)
+    rows = [(i, rng.choice(["", " ", "-", "\n"]).join(rng.choice(words) + rng.choice([" ", "", "!", "_"])
+                                                    for _ in range(rng.randrange(60)))) for i in range(300)]
+    got = {r.doc_id: r for r in score(docs_of(rows), model).collect()}
+    for i, text in rows:
+        weight, n = _naive(text, model)
+        assert matches(fold(text), model.key()) == pytest.approx((weight, n)) and got[i].n_matches == n
+        z = model.slope * density(weight, len(fold(text).split())) + model.intercept
+        assert got[i].score == pytest.approx(1 / (1 + math.exp(-z)))
+        assert got[i].score == chance(model.key(), model.slope, model.intercept, text)[0]
+
+
+def test_phrases_around_matches():
+    key = MODEL.key()
+    assert phrases_of(fold("an idiot here"), key) == {"an idiot", "idiot here"}
+    assert phrases_of(fold("idiot"), key) == set() and phrases_of(fold("fine"), key) == set()
+    assert phrases_of(fold("trash can"), key) == set()      # an exception is no match
+
+
+def test_harmless_phrases_are_learnt(spark, docs_of):
+    """A word of toxic texts that clean ones have in one fixed phrase only, in any language."""
+    rng = random.Random(3)
+    fill = lambda: " ".join(f"w{rng.randrange(50)}" for _ in range(20))
+    rows = [(i, fill() + (" schrott haufen " if i % 12 == 0 else " schrott " if i % 3 == 1 else " ") + fill())
+            for i in range(600)]
+    labels = spark.createDataFrame([(i, int(i % 3 == 1)) for i in range(600)], "doc_id long, toxic int")
+    model = learn(spark, docs_of(rows), labels, F.lit(True), exceptions=())
+    assert "schrott haufen" in model.exceptions and any(" schrott".startswith(p.rstrip()) for p in model.weights)
+    clean = [(1, "schrott haufen w1 w2"), (2, "w1 schrott w2")]
+    got = {r.doc_id: r.n_matches for r in score(docs_of(clean), model).collect()}
+    assert got == {1: 0, 2: 1}

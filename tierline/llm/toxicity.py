@@ -4,7 +4,8 @@ Folding lower-cases, applies compatibility forms, replaces Cyrillic and Greek lo
 by Latin letters, and digits and signs inside words by the letters they stand for.  A
 pattern is a whole word or the beginning of one.  Patterns and their weights (log odds)
 are learnt from a bounded sample of the labelled training rows; phrases that carry a
-pattern harmlessly are exceptions, given or learnt likewise.  A text's weighted matches
+pattern harmlessly are exceptions: some are given, others learnt from the same sample (a
+matched word with its neighbour that clean texts have far oftener).  A text's weighted matches
 outside exceptions, divided by its length, go through a logistic curve fitted on the same
 sample.  Scoring covers every whole text, one automaton per Python worker.
 """
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierline.llm.common import slices, stage, text_bytes, tidied
+from tierline.llm.common import ship_package, slices, stage, text_bytes, tidied
 
 SAMPLE = 4000          # training rows per class at most: the bound of everything learnt
 MOST_PATTERNS = 20_000  # of which the fit looks at this many at most, strongest first
@@ -91,10 +92,16 @@ def _automaton(key: tuple):
 def matches(folded: str, key: tuple) -> tuple[float, int]:
     """(total weight, number) of matches that no exception phrase covers.  Of patterns
     that begin at one place only the strongest counts."""
+    hits = _hits(folded, key)
+    return sum(hits.values()), len(hits)
+
+
+def _hits(folded: str, key: tuple) -> dict[int, float]:
+    """Place -> weight of the matches that count."""
     a = _automaton(key)
-    if not len(a):
-        return 0.0, 0
     hits: dict[int, float] = {}
+    if not len(a):
+        return hits
     covered = []
     for end, (n, w) in a.iter(folded):
         start = end - n + 1
@@ -105,7 +112,7 @@ def matches(folded: str, key: tuple) -> tuple[float, int]:
     for s, e in covered:
         for at in [at for at in hits if s <= at < e]:
             del hits[at]
-    return sum(hits.values()), len(hits)
+    return hits
 
 
 def chance(model_key: tuple, slope: float, intercept: float, text: str) -> tuple[float, int, int]:
@@ -148,6 +155,47 @@ def _count_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                  pa.array([seen[0][p] for p in names], pa.int64())], names=["pattern", "toxic", "clean"])
 
 
+def phrases_of(folded: str, key: tuple) -> set[str]:
+    """Each matched word with the word before it, and with the word behind it."""
+    out = set()
+    for at in _hits(folded, key):
+        end = folded.index(" ", at + 1)
+        before, behind = folded.rfind(" ", 0, at), folded.find(" ", end + 1)
+        if before >= 0:
+            out.add(folded[before + 1:end])
+        if behind >= 0:
+            out.add(folded[at + 1:behind])
+    return out
+
+
+def _count_phrases(key: tuple):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (p for batch in batches for p in slices(batch, "text")):
+            seen = (Counter(), Counter())
+            for text, label in zip(part.column("text").to_pylist(), part.column("label").to_pylist()):
+                seen[label].update(phrases_of(fold(text.decode("utf-8", "replace")), key))
+            names = list(seen[0].keys() | seen[1].keys())
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), pa.array([seen[1][p] for p in names], pa.int64()),
+                 pa.array([seen[0][p] for p in names], pa.int64())], names=["pattern", "toxic", "clean"])
+
+    return tidied(run)
+
+
+COUNTS = "pattern string, toxic long, clean long"
+
+
+def learnt_exceptions(texts: DataFrame, key: tuple, toxic_rows: int, clean_rows: int) -> list[str]:
+    """Phrases around matches that enough clean texts of the sample have, and toxic ones at
+    less than a quarter of their rate; the most common ones first, ``MOST_PATTERNS`` at most."""
+    counted = (texts.select("text", "label").mapInArrow(_count_phrases(key), COUNTS)
+               .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+               .where(F.col("clean") >= max(3, math.ceil(SUPPORT * clean_rows)))
+               .where(4 * (F.col("toxic") + 0.5) / toxic_rows < (F.col("clean") + 0.5) / clean_rows)
+               .orderBy(F.col("clean").desc(), "pattern").limit(MOST_PATTERNS))
+    return [r.pattern for r in counted.collect()]
+
+
 def lexicon(counts: list[tuple[str, int, int]], toxic_rows: int, clean_rows: int,
             least_weight: float = LEAST_WEIGHT) -> dict[str, float]:
     """Weights of the patterns to keep.  A beginning gives way to the longer pattern that
@@ -184,28 +232,33 @@ def training_sample(docs: DataFrame, labels: DataFrame, train: Column, sample: i
 
 def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, train: Column, sample: int = SAMPLE,
           exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
-    """Fit on at most ``sample`` training rows per class.  Without rows of both classes
+    """Fit on at most ``sample`` training rows per class.  ``exceptions`` are given ones;
+    learnt ones come beside them.  Without rows of both classes
     the model scores everything 0.  The logistic weights restore the class shares."""
+    ship_package(spark)
     texts = stage(spark, training_sample(docs, labels, train, sample), "op10-sample")
     rows = {r.label: r["count"] for r in texts.groupBy("label").count().collect()}   # two rows
     if not rows.get(0) or not rows.get(1):
         return ToxicityModel(intercept=-30.0)
     support = max(3, math.ceil(SUPPORT * rows[1]))
-    counted = (texts.select("text", "label").mapInArrow(tidied(_count_patterns), "pattern string, toxic long, clean long")
+    weight = (F.log((F.col("toxic") + 0.5) / (rows[1] - F.col("toxic") + 0.5))
+              - F.log((F.col("clean") + 0.5) / (rows[0] - F.col("clean") + 0.5)))
+    counted = (texts.select("text", "label").mapInArrow(tidied(_count_patterns), COUNTS)
                .groupBy("pattern").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
                .where(F.col("toxic") >= support)
                .where((F.col("toxic") + 0.5) / rows[1] > 4 * (F.col("clean") + 0.5) / rows[0])
-               .orderBy(F.col("toxic").desc(), "pattern").limit(MOST_PATTERNS))
+               .orderBy(weight.desc(), F.col("toxic").desc(), "pattern").limit(MOST_PATTERNS))
     weights = lexicon([(r.pattern, r.toxic, r.clean) for r in counted.collect()], rows[1], rows[0])
-    model = ToxicityModel(weights, tuple(exceptions))
     if not weights:
         return ToxicityModel(intercept=-30.0)
+    learnt = learnt_exceptions(texts, ToxicityModel(weights, tuple(exceptions)).key(), rows[1], rows[0])
+    model = ToxicityModel(weights, tuple(dict.fromkeys([*exceptions, *learnt])))
     points = texts.mapInArrow(_points(model.key()), "label int, x double").collect()   # 2 x sample rows at most
     x, y = np.array([r.x for r in points]), np.array([float(r.label) for r in points])
     share = labels.where(train).agg(F.avg(F.col("toxic").cast("double"))).first()[0]
     w = np.where(y > 0, share * len(y) / rows[1], (1 - share) * len(y) / rows[0])
     slope, intercept = _curve(x, y, w)
-    return ToxicityModel(weights, tuple(exceptions), slope, intercept)
+    return ToxicityModel(weights, model.exceptions, slope, intercept)
 
 
 def _points(key: tuple):
@@ -240,12 +293,14 @@ def _score(model: ToxicityModel):
 def score(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id, score, n_matches, n_words`` per row; NULL text counts as empty and scores
     as a text without matches does.  Ids may be NULL or repeat."""
+    ship_package(docs.sparkSession)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_bytes(text_col).alias("text"))
     return base.mapInArrow(_score(model), "doc_id long, score double, n_matches long, n_words long")
 
 
 def keep_clean(docs: DataFrame, model: ToxicityModel, least: float = 0.5, text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that score below ``least``, with all their columns."""
+    ship_package(docs.sparkSession)
     key = model.key()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
