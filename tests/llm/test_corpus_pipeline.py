@@ -55,7 +55,13 @@ def test_stages_take_effect_and_keep_clean_documents(spark, corpus):
     kept = set(seen["mixing"])
     assert kept <= set(seen["near_dedup"]) and len(kept) < len(seen["near_dedup"])
     size = {i: len((t or "").split()) for i, t in seen["near_dedup"].items()}
-    assert sum(size[i] for i in kept) <= 0.95 * sum(size.values())
+    source = {r.doc_id: r.source for r in spark.read.parquet(f"{path}/documents.parquet").collect()}
+    crawl = {i for i in size if source[i] == "src0"}
+    got = {d: sum(size[i] for i in kept if (i in crawl) == d and source[i]) for d in (True, False)}
+    have = {d: sum(size[i] for i in size if (i in crawl) == d and source[i]) for d in (True, False)}
+    # curated 3 : crawl 1, and one of the two is used up but for a document at each leaf's cut
+    assert have[True] * 3 < have[False] and got[True] > 0.9 * have[True]
+    assert got[False] <= 3 * have[True]
     tokenizer = Tokenizer.from_file(default_tokenizer())
     out = P.STAGES[-1][1](spark, docs, path).collect()
     back = {}

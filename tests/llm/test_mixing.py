@@ -2,6 +2,7 @@ import hashlib
 import random
 from fractions import Fraction
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
@@ -111,3 +112,21 @@ def test_edges(spark, with_clashes):
     assert {r.whole for r in got} == {"x"} and out.columns.count("mix_domain") == 1
     assert {r.mix_domain for r in got} == {"a", "b"}
     assert mix_sources(spark, spark.createDataFrame([], SCHEMA), levels(), {}, 0.5).collect() == []
+
+
+def test_the_reachable_share_keeps_the_ratio_asked_for(spark):
+    from tierline.llm.mixing import reachable_share
+    level, weights = F.col("source"), {"a": 1, "b": 3}
+
+    def share(sizes, **more):
+        rows = [(i, " ".join(["w"] * n), s) for i, (s, n) in enumerate(sizes)]
+        df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+        return reachable_share(df, level, weights, **more)
+
+    assert share([("a", 10), ("b", 60)]) == pytest.approx(40 / 70)
+    assert share([("a", 50), ("b", 30), ("b", 30)]) == pytest.approx(80 / 110)
+    assert share([("a", 10), ("b", 30)]) == 1.0
+    assert share([("a", 10), ("b", 60)], epochs=2) == pytest.approx(80 / 70)
+    # values that are not listed don't limit the budget, and give their own share at most
+    assert share([("a", 10), ("b", 60), (None, 1), ("c", 90)]) == pytest.approx((40 + 1 + 10) / 161)
+    assert share([("a", 0), ("b", 5)]) == 1.0 and share([]) == 1.0 and share([(None, 4)]) == 1.0

@@ -102,6 +102,28 @@ def _plan(spark: SparkSession, slim: DataFrame, levels: Sequence[str], weights:
     return out
 
 
+def reachable_share(docs: DataFrame, level: Column, weights: Mapping[str, int], epochs: int = 1,
+                    tokens: Column | None = None, default_weight: int = 1) -> float:
+    """The largest ``share`` for ``mix_sources`` at which the values of the tree's first
+    level that ``weights`` lists still stand in the ratio of their weights: none of those
+    that have tokens at all is short within ``epochs`` passes.  Values that are not listed
+    (NULL among them) give at most what they have.  1.0 where no listed value has tokens."""
+    measure = word_tokens() if tokens is None else F.coalesce(tokens, F.lit(0)).cast("long")
+    sizes = (docs.groupBy(F.coalesce(level.cast("string"), F.lit(NONE)).alias("value"))
+             .agg(F.sum(measure).alias("size")).where("size > 0")
+             .withColumn("weight", _weight("value", weights, default_weight)).where("weight > 0"))
+    sizes = stage(docs.sparkSession, sizes, "mix-sizes")
+    capacity, listed = F.col("size") * epochs, F.col("value").isin(*weights)
+    level_at = sizes.where(listed).agg(F.min(capacity / F.col("weight")).alias("l")).first().l
+    if level_at is None:
+        drop_staged(docs.sparkSession, sizes)
+        return 1.0
+    given = F.least(capacity.cast("double"), F.lit(float(level_at)) * F.col("weight"))
+    r = sizes.agg(F.sum(given).alias("given"), F.sum("size").alias("size")).first()
+    drop_staged(docs.sparkSession, sizes)
+    return r.given / r.size
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, levels: Mapping[str, Column],
                 weights: Mapping[str, Mapping[str, int]], share: float, epochs: int = 1, seed: int = 17,
                 tokens: Column | None = None, default_weight: int = 1, id_col: str = "doc_id") -> DataFrame:
