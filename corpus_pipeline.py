@@ -11,8 +11,9 @@ All but the last return the columns of ``documents``.
 3. near_dedup: of each group of near duplicates (five-word shingles, similarity 0.8 or
    more) the document with the smallest id stays, and of rows that repeat its id and text
    one row.
-4. mixing: documents are chosen to target weights over domain, language and source,
-   within 95 % of the tokens and one epoch, so no document comes twice.
+4. mixing: documents are chosen to target weights over domain, language and source, in
+   one epoch, so no document comes twice.  The token budget is the largest one at which the
+   domains still stand in the ratio asked for.
 5. packing: token sequences whose lengths are powers of two.
 
 A NULL text counts as empty throughout and such a document is kept by the filters; a NULL
@@ -28,13 +29,12 @@ from pyspark.sql import functions as F
 from tierline.llm.common import read_table, ship_package, stage
 from tierline.llm.line_dedup import drop_repeated_lines
 from tierline.llm.minhash import near_duplicates
-from tierline.llm.mixing import mix_sources
+from tierline.llm.mixing import mix_sources, reachable_share
 from tierline.llm.packing import pack_documents
 from tierline.llm.queries import MIX_SEED, MIX_WEIGHTS, held_out, mix_levels
 from tierline.llm.toxicity import keep_clean, learn
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
-SHARE = 0.95
 
 #: SQL can express neither the tokenizer nor the fitted model: tests use brute force.
 ORACLE_SQL = None
@@ -66,8 +66,9 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    docs = docs.select(*COLUMNS)
-    return mix_sources(spark, docs, mix_levels(), MIX_WEIGHTS, SHARE, epochs=1, seed=MIX_SEED).select(*COLUMNS)
+    docs, levels = docs.select(*COLUMNS), mix_levels()
+    share = reachable_share(docs, levels["domain"], MIX_WEIGHTS["domain"])
+    return mix_sources(spark, docs, levels, MIX_WEIGHTS, share, epochs=1, seed=MIX_SEED).select(*COLUMNS)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
