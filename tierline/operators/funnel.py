@@ -91,8 +91,7 @@ def campaign_rollup(silver: dict[str, DataFrame], links: dict[str, FkCheck] = LI
     joined chain would have for the campaign).  Relies on the silver contract of one row
     per campaign key; ``links`` names the key columns of each level."""
     s, up = drop_orphans(silver, links), {n: link.child_columns for n, link in links.items()}
-    camp, ads, imp, clk, conv = (s["campaigns"], s["ads"], s["impressions"],
-                                 s["clicks"], s["conversions"])
+    imp, clk, conv = s["impressions"], s["clicks"], s["conversions"]
     one, zero = F.lit(1), F.lit(0)
 
     conv_by_click = (_by_parent(conv, links["conversions"])
@@ -115,9 +114,19 @@ def campaign_rollup(silver: dict[str, DataFrame], links: dict[str, FkCheck] = LI
                       _sum_as(F.col("cost_usd") * F.col("_w"), imp, "cost_usd").alias("_icost"),
                       F.sum("_clicks").alias("_clicks"), F.sum("_ccost").alias("_ccost"),
                       F.sum("_conv").alias("_conv"), F.sum("_value").alias("_value")))
+    return campaigns_from_ads(silver, imp_by_ad, links)
+
+
+def campaigns_from_ads(silver: dict[str, DataFrame], imp_by_ad: DataFrame,
+                       links: dict[str, FkCheck] = LINKS) -> DataFrame:
+    """The dimension end of ``campaign_rollup``: what reaches each ad (one row per ad key
+    ``_k0``, ...), summed per campaign.  Of the event tables only the types are used."""
+    camp, ads, up = silver["campaigns"], silver["ads"], links["impressions"].child_columns
+    imp, clk, conv = silver["impressions"], silver["clicks"], silver["conversions"]
+    one, zero = F.lit(1), F.lit(0)
     ads_w = (ads.join(imp_by_ad, _of_parent(links["impressions"]), "left")
              .withColumn("_rows", F.greatest(one, F.coalesce("_rows", zero)))
-             .drop(*[f"_k{i}" for i, _ in enumerate(up["impressions"])]))
+             .drop(*[f"_k{i}" for i, _ in enumerate(up)]))
     ad_by_campaign = (_by_parent(ads_w, links["ads"])
                       .agg(*[F.sum(c).alias(c) for c in
                              ["_rows", "_imps", "_icost", "_clicks", "_ccost", "_conv", "_value"]]))
@@ -144,7 +153,12 @@ def campaign_performance(silver: dict[str, DataFrame], stage=None) -> DataFrame:
     The rank reads its input twice (value counts, then rows); ``stage`` (e.g.
     write-and-reread) materialises the per-campaign aggregate first so the funnel
     over the event tables runs once."""
-    agg = campaign_rollup(silver).drop("funnel_rows")
+    return campaign_performance_from(campaign_rollup(silver), stage)
+
+
+def campaign_performance_from(rollup: DataFrame, stage=None) -> DataFrame:
+    """Ranks added to a campaign rollup (``stage``: as in campaign_performance)."""
+    agg = rollup.drop("funnel_rows")
     if stage is not None:
         agg = stage(agg, "campaign_agg")
     return rank_in_group(agg, "channel", "total_conversion_value_usd", "rank_in_channel")
@@ -166,13 +180,29 @@ def revenue_by_advertiser(silver: dict[str, DataFrame], links: dict[str, FkCheck
     s = drop_orphans(silver, links)
     level = (_by_parent(s["conversions"], links["conversions"])
              .agg(F.sum("value_usd").alias("_value"), F.count("id").alias("_conv")))
-    below = links["conversions"]
-    for table in ("clicks", "impressions", "ads", "campaigns"):
+    level = _climb(s, level, ["conversions", "clicks", "impressions"], links)
+    return advertisers_from_ads(silver, level, links)
+
+
+def _climb(s: dict[str, DataFrame], level: DataFrame, tables: list[str], links: dict[str, FkCheck]) -> DataFrame:
+    """Carry sums keyed by what the first table names up to what the last one names."""
+    below = links[tables[0]]
+    for table in tables[1:]:
         columns = dict.fromkeys([*below.parent_keys, *links[table].child_columns])
         reached = s[table].select(*columns).join(level, _of_parent(below)).select(
             *links[table].child_columns, "_value", "_conv")
         level = _by_parent(reached, links[table]).agg(F.sum("_value").alias("_value"), F.sum("_conv").alias("_conv"))
         below = links[table]
+    return level
+
+
+def advertisers_from_ads(silver: dict[str, DataFrame], level: DataFrame,
+                         links: dict[str, FkCheck] = LINKS) -> DataFrame:
+    """The dimension end of ``revenue_by_advertiser``: value and conversions that reach each
+    ad (one row per ad key ``_k0``, ...), summed per advertiser."""
+    s, below = silver, links["campaigns"]
+    level = _climb(s, level.select(*[f"_k{i}" for i, _ in enumerate(links["impressions"].child_columns)],
+                                   "_value", "_conv"), ["impressions", "ads", "campaigns"], links)
     agg = (s["advertisers"].join(level, _of_parent(below), "left")
            .groupBy(F.col("id").alias("advertiser_id"), "advertiser_name", "industry", "country")
            .agg(_sum_as("_value", s["conversions"], "value_usd").alias("total_revenue_usd"),

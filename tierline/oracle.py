@@ -246,6 +246,7 @@ RUN_SUMMARY = with_ctes(TESTBED, SILVER, body="\nUNION ALL ".join(
 
 ORACLE: dict[str, str] = {
     "gold_campaign_performance": GOLD_CAMPAIGN_PERFORMANCE,
+    "gold_daily_updates": GOLD_CAMPAIGN_PERFORMANCE,
     "funnel_rows": with_ctes(TESTBED, SILVER, body=f"""
 SELECT c.id AS campaign_id, count(*) AS funnel_rows {FUNNEL_FROM} GROUP BY c.id"""),
     "gold_advertiser_revenue": with_ctes(TESTBED, SILVER, ADVERTISER_AGG, body="""

@@ -17,7 +17,9 @@ from pyspark.sql import types as T
 
 from tierline.operators import funnel
 from tierline.operators.quality import event_window
-from tierline.operators.silver import build_silver, clean_columns
+from tierline.operators.silver import build_silver
+from tierline.plans.gold_updates import log_changes, update_rollup
+from tierline.plans.places import days_of
 from tierline.rules import REGISTRY, EntityRule, FkCheck, build_order, get_rule
 from tierline.sources.key_places import loads_of, update_index
 from tierline.sources.landing import land_json
@@ -40,6 +42,9 @@ class Layout:
     event_keys_may_move: bool = True
     # Explicit hot-key splitting in FK checks (off: leave hot keys to AQE's skew join).
     split_hot_fk_keys: bool = False
+    # Gold from sums kept per event row and ad, brought up to date with what silver changed
+    # (plans.gold_updates).  False: from all events each time.
+    incremental_gold: bool = False
 
     @property
     def landing(self) -> str:
@@ -131,18 +136,6 @@ def _touched_rows(spark: SparkSession, layout: Layout, rule: EntityRule, bronze:
     return held.unionByName(fresh.where(unkeyed)), touched
 
 
-def _days_of(spark: SparkSession, rule: EntityRule, rows: DataFrame) -> DataFrame | None:
-    """The days on which silver may hold the keys of these bronze rows: each key's silver row
-    came from one of them.  None where a cast or trim can turn two bronze keys into one
-    (keys other than whole numbers), as then other keys' rows count too."""
-    whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
-    silver = clean_columns(rows, rule, try_cast=True)
-    if spark.conf.get("spark.sql.ansi.enabled") != "true" or not all(
-            isinstance(df.schema[k].dataType, whole) for df in (rows, silver) for k in rule.primary_key):
-        return None
-    return stage(silver.select(event_day(rule.event_time).alias(PART_COL)).distinct(), "silver-days", spark)
-
-
 def _healed_rows(spark: SparkSession, layout: Layout, rule: EntityRule, seen: dict, loads: dict,
                  touched: DataFrame) -> DataFrame | None:
     """Silver rows of other keys whose orphan flags end because a parent has arrived since:
@@ -202,7 +195,7 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     if known:
         bronze, touched = _touched_rows(spark, layout, rule, bronze, seen)
         if rule.event_time and layout.event_keys_may_move:
-            days = _days_of(spark, rule, bronze.drop(BATCH_COL))
+            days = days_of(spark, rule, bronze.drop(BATCH_COL))
         healed = _healed_rows(spark, layout, rule, seen, loads, touched)
     parents = {fk.parent: _parent_keys(spark, layout, fk) for fk in rule.fk_checks}
     taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
@@ -221,11 +214,12 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
         layout_args = {"rows_per_partition": layout.rows_per_partition}
     # dedup on the primary key already leaves one row per key: no second pass to check it
     unique = tuple(rule.dedup_keys) == tuple(rule.primary_key)
+    log = log_changes(spark, layout, rule, df if table_exists(spark, table) else None)
     result = merge_upsert(spark, table, df, keys, path=layout.table_path("silver", entity),
                           check_unique=not unique, **layout_args)
     for fk in rule.fk_checks:
         _update_pending(spark, layout, rule, fk, df, layout_args)
-    set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)})
+    set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)} | log)
     drop_staged(spark, df)
     before, after = observed(taken), observed(kept)
     return {"rows": result["rows"], "rows_written": result["rows_written"],
@@ -277,17 +271,26 @@ def _silver_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def gold_campaign_performance(spark: SparkSession, layout: Layout) -> int:
-    """L3: campaign_performance_by_channel, rebuilt in full."""
-    gold = funnel.campaign_performance(_silver_tables(spark, layout),
-                                       stage=lambda df, label: stage(df, label, spark))
+    """L3: campaign_performance_by_channel, from all events or (``incremental_gold``) from the
+    kept sums; the table is written in full, as one value may change every rank."""
+    silver, put = _silver_tables(spark, layout), lambda df, label: stage(df, label, spark)
+    if layout.incremental_gold:
+        rollup = funnel.campaigns_from_ads(silver, update_rollup(spark, layout, silver))
+    else:
+        rollup = funnel.campaign_rollup(silver)
+    gold = funnel.campaign_performance_from(rollup, put)
     name = "campaign_performance_by_channel"
     return overwrite_table(gold, layout.table("gold", name), layout.table_path("gold", name))
 
 
 def gold_advertiser_revenue(spark: SparkSession, layout: Layout, industries=None) -> dict[str, int]:
     """L4: advertiser_revenue_by_industry and revenue_by_country_industry_pivot.  The
-    per-advertiser revenue is computed once (staged) and feeds both tables."""
-    revenue = stage(funnel.revenue_by_advertiser(_silver_tables(spark, layout)), "revenue", spark)
+    per-advertiser revenue is computed once (staged) and feeds both tables; with
+    ``incremental_gold`` it comes from the kept sums."""
+    silver = _silver_tables(spark, layout)
+    revenue = (funnel.advertisers_from_ads(silver, update_rollup(spark, layout, silver)) if layout.incremental_gold
+               else funnel.revenue_by_advertiser(silver))
+    revenue = stage(revenue, "revenue", spark)
     a, p = "advertiser_revenue_by_industry", "revenue_by_country_industry_pivot"
     gold = funnel.advertiser_revenue_from(revenue)
     return {

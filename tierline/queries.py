@@ -262,6 +262,26 @@ def q_silver_daily_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
     return export(spark.table(layout.table("silver", "clicks")).drop("_part"))
 
 
+def q_gold_daily_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events loaded in two daily parts (by id, so children meet parents of another part), gold
+    built after each from the kept sums: the second takes in only what silver changed, and
+    equals gold from all events."""
+    from tierline.plans.pipelines import Layout, bronze_load, gold_campaign_performance, setup_schemas, silver_build
+    layout = Layout(base=scratch_dir(spark, "pipeline"), domain=f"ads_{uuid.uuid4().hex[:8]}", incremental_gold=True)
+    setup_schemas(spark, layout)
+    raw = raw_testbed(spark, sf_dir)
+    for entity in ("advertisers", "campaigns", "ads"):
+        bronze_load(spark, layout, entity, raw[entity], "2024-01-30")
+        silver_build(spark, layout, entity)
+    for n in range(2):
+        for entity in ("impressions", "clicks", "conversions"):
+            part = raw[entity].where(F.pmod(F.xxhash64("id", "timestamp"), F.lit(2)) == n)
+            bronze_load(spark, layout, entity, part, f"2024-01-{30 + n}")
+            silver_build(spark, layout, entity)
+        gold_campaign_performance(spark, layout)
+    return export(spark.table(layout.table("gold", "campaign_performance_by_channel")))
+
+
 def _silver_query(entity: str) -> QueryFn:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return export(silver_testbed(spark, sf_dir, only=[entity])[entity])
@@ -553,6 +573,7 @@ QUERIES: dict[str, QueryFn] = {
     "fk_flag_composite": q_fk_flag_composite,
     "silver_children_first": q_silver_children_first,
     "silver_daily_loads": q_silver_daily_loads,
+    "gold_daily_updates": q_gold_daily_updates,
     "funnel_composite": q_funnel_composite,
     "cast_orders": q_cast_orders,
     "trim_customer": q_trim_customer,
