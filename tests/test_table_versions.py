@@ -232,3 +232,31 @@ def test_keys_and_days_after_growth_match_a_model(spark, schema):
                 "ts", F.col("ts").cast("timestamp")), "k", **kw)
             model |= {r[0]: r[1] for r in rows}
             assert held(spark, t, "k", "v") == sorted(model.items(), key=repr) and table_rows(spark, t) == len(model)
+
+
+def test_growth_is_written_with_the_upsert(spark, schema, monkeypatch):
+    """A table that outgrows its partitions is written once, one file a small partition, and
+    when all its partitions are replaced there is no catalog call for each."""
+    t, writes, calls = f"{schema}.grow_once", [], []
+    rows = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    merge_upsert(spark, t, rows(0, 2500, "a"), "k", rows_per_partition=10)
+    assert TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY]).count == 250
+    real, original = tables._write_partitions, type(spark).sql
+    monkeypatch.setattr(tables, "_write_partitions", lambda df, at: (writes.append(at), real(df, at))[1])
+    monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: (calls.append(q), original(s, q, *a, **k))[1])
+    wide = rows(500, 4000, "b").withColumn("extra", F.col("k") * 2)
+    got = merge_upsert(spark, t, wide, "k", rows_per_partition=10)
+    monkeypatch.undo()
+    assert len(writes) == 1 and len(calls) < 100
+    assert got["rows"] == 4000 == table_rows(spark, t)
+    assert held(spark, t, "k", "v", "extra") == sorted(
+        [(i, "a", None) for i in range(500)] + [(i, "b", i * 2) for i in range(500, 4000)], key=repr)
+    assert TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY]).count == 400
+    assert spark.table(t).where(F.col(PART_COL) != linear_part(F.xxhash64("k"), 400)).count() == 0
+    files = spark.table(t).select(PART_COL, F.input_file_name().alias("f")).distinct().groupBy(PART_COL).count()
+    assert files.agg(F.max("count")).first()[0] == 1
+    # what follows finds the table as any other: a few partitions, then all, then no growth
+    merge_upsert(spark, t, rows(0, 3, "c"), "k", rows_per_partition=10)
+    merge_upsert(spark, t, rows(0, 4000, "d"), "k", rows_per_partition=10)
+    assert held(spark, t, "k", "v") == sorted(((i, "d") for i in range(4000)), key=repr)
+    assert TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY]).count == 400 and table_rows(spark, t) == 4000

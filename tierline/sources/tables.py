@@ -10,7 +10,8 @@ version folders below its home folder, so dropping a catalog entry never deletes
   entry that is complete before it takes the first one's name.
 * A partitioned table (``_part``: a hash of the key, or e.g. the UTC event day) takes an
   upsert partition by partition: the touched partitions' new content is written once, to a
-  fresh folder, and each partition is then pointed at its part of it.
+  fresh folder, and each partition is then pointed at its part of it.  Where many partitions
+  are all replaced, that folder is a whole new version.
 
 What a failed run leaves is finished by the next one (``_finish_swap``, ``_resume``).
 """
@@ -87,7 +88,7 @@ def _home(spark: SparkSession, name: str, path: str | None) -> str:
     if table_exists(spark, name):
         at = _described(spark, name)
         location = at["Location"].rstrip("/")
-        home = path.rstrip("/") if path else re.sub(r"/v-[0-9a-f]{12}$", "", location)
+        home = path.rstrip("/") if path else re.sub(r"/[vu]-[0-9a-f]{12}$", "", location)
         inside = f"{_bare(spark, home)}/".startswith(f"{_bare(spark, location)}/")
         return f"{location}-versions" if at.get("Type") == "MANAGED" and inside else home
     if path:
@@ -228,6 +229,11 @@ LAYOUT_PROPERTY = "tierline.layout"
 ROWS_PROPERTY = "tierline.rows"
 PENDING_PROPERTY = "tierline.publishing"
 
+# A partition of fewer rows than this is written by one task.
+WRITER_ROWS = 100_000
+# More partitions than this, all replaced, are published as one version, not one by one.
+AT_ONCE = 200
+
 
 def table_properties(spark: SparkSession, name: str) -> dict[str, str]:
     return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()
@@ -427,7 +433,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
       lands in the same partition, so the touched partitions are the source's.
     * ``rows_per_partition=r``: linear hashing of the key.  The first load's rows give the
       count; when the table outgrows it, just the partitions that have to be divided are
-      rewritten after the upsert, so a partition keeps to about r rows.
+      rewritten beside the touched ones, so a partition keeps to about r rows.
     * ``partition_expr``: any column expression, e.g. ``event_day("timestamp")`` for
       event tables.  A key may move between partitions, so the partitions where the
       target holds the source's keys today are touched too (found by a semi-join on the
@@ -445,7 +451,8 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     are deleted last.  So a partition has its old or its new rows at any time, and what a
     failure left half-published the next upsert publishes first.  Readers may see some
     partitions before and some after the upsert.  An unpartitioned table's new content
-    becomes a new version.  ``sort_within`` orders rows inside each written file so parquet
+    becomes a new version, and so does that of more than ``AT_ONCE`` partitions where all of
+    the table's are replaced: a catalog call for each would take longer than the rows.  ``sort_within`` orders rows inside each written file so parquet
     min/max statistics let range filters skip row groups.  ``remove`` names a boolean
     column of the source: where it is true, the key's row goes and none comes; it is not
     stored.  ``properties`` are set with the upsert.  Returns ``{"created": bool,
@@ -468,6 +475,8 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
         source = _like_keys(source, spark.table(table), keys)
         source = _fit_types(spark, table, source, keys, path, order, write_spread)
     grows = layout.kind == "linear"
+    if grows:       # the partitions are small: files of a few rows each would only cost time
+        write_spread = max(1, min(write_spread, layout.rows // WRITER_ROWS))
     if not grows or exists:
         part = layout.part(keys, partition_expr)
         source = source if part is None else source.withColumn(PART_COL, part)
@@ -504,22 +513,34 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
             places = target if may_hold is None else in_partitions(target, may_hold.subtract(touched))
             held = places.select(*keys, PART_COL).join(source.select(*keys), keys, "left_semi")
             touched = touched.unionByName(held.select(PART_COL))
+        before = table_rows(spark, table)
+        grown = _grown(layout, target, source, rows, keys, before) if grows else layout
+        if grown != layout:
+            divided = spark.createDataFrame([(b,) for b in split_sources(layout.count, grown.count)], "b long")
+            touched = touched.unionByName(divided.select(F.col("b").cast(touched.schema[PART_COL].dataType).alias(PART_COL)))
+            more[LAYOUT_PROPERTY] = str(grown)
         try:
             touched = _write_touched(touched.distinct(), fresh)
             old = in_partitions(target, touched)
-            before, gone = table_rows(spark, table), old.select(PART_COL).count()
+            gone = old.select(PART_COL).count()
             merged = upsert_frame(old, source, keys, rows)
+            if grown != layout:
+                merged = merged.withColumn(PART_COL, grown.part(keys, None).cast(merged.schema[PART_COL].dataType))
             n = _write_partitions(_for_write(merged, keys, order, True, write_spread), fresh)
         except BaseException:
             delete_folder(spark, fresh)
             raise
         new = [c for c in merged.columns if c.lower() not in {x.lower() for x in target.columns}]
-        if new:
-            _add_columns(spark, table, merged, new)
         total = before - gone + n
-        _publish(spark, table, fresh, {ROWS_PROPERTY: str(total)} | more)
-        if grows:
-            _grow(spark, table, home, layout, keys, order, write_spread, total)
+        then = {ROWS_PROPERTY: str(total)} | more
+        if _replaces_all(spark, table, fresh):
+            columns = [c for c in target.columns if c != PART_COL] + new + [PART_COL]
+            delete_folder(spark, f"{fresh}/_touched")
+            _point_at(spark, table, fresh, merged.select(*columns).schema, [PART_COL], then)
+        else:
+            if new:
+                _add_columns(spark, table, merged, new)
+            _publish(spark, table, fresh, then)
         return {"created": False, "rows_written": n, "rows": total}
     finally:
         drop_staged(spark, *staged)
@@ -527,25 +548,29 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
             spark.catalog.refreshTable(table)
 
 
-def _grow(spark: SparkSession, table: str, home: str, layout: TableLayout, keys: list[str], order: list[str],
-          write_spread: int, total: int) -> None:
-    """Divide partitions of a linear layout until ``total`` rows fit again: only the
-    partitions that are divided are read and written."""
-    grown = replace(layout, count=max(layout.count, -(-total // layout.rows)))
-    if grown == layout:
-        return
-    target = spark.table(table)
-    fresh = f"{home}/u-{uuid.uuid4().hex[:12]}"
-    kind = target.schema[PART_COL].dataType.simpleString()
-    try:
-        touched = _write_touched(spark.createDataFrame(
-            [(b,) for b in split_sources(layout.count, grown.count)], "b long").select(F.col("b").cast(kind).alias(PART_COL)), fresh)
-        divided = in_partitions(target, touched).withColumn(PART_COL, grown.part(keys, None).cast(kind))
-        _write_partitions(_for_write(divided, keys, order, True, write_spread), fresh)
-    except BaseException:
-        delete_folder(spark, fresh)
-        raise
-    _publish(spark, table, fresh, {LAYOUT_PROPERTY: str(grown)})
+def _grown(layout: TableLayout, target: DataFrame, source: DataFrame, rows: DataFrame, keys: list[str],
+           before: int) -> TableLayout:
+    """A linear layout with as many partitions as the table needs after the upsert, so that its
+    rows are written once.  Counting the rows that are replaced takes the key columns only,
+    and is left out where not even all rows of the source would need another partition."""
+    most = before + rows.count()
+    if most <= layout.count * layout.rows:
+        return layout
+    held = in_partitions(target, source.select(PART_COL).distinct())
+    replaced = held.select(*keys).join(source.select(*keys), keys, "left_semi").count()
+    return replace(layout, count=max(layout.count, -(-(most - replaced) // layout.rows)))
+
+
+def _replaces_all(spark: SparkSession, table: str, fresh: str) -> bool:
+    """Whether the touched partitions are all of the table's, and they or those written many."""
+    present = spark.sql(f"SHOW PARTITIONS {table}").count()
+    fs, root = _path(spark, fresh)
+    if max(present, len(fs.listStatus(root))) <= AT_ONCE:
+        return False
+    touched = spark.read.parquet(f"{fresh}/_touched").select(
+        F.coalesce(F.col(PART_COL).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("_t"))
+    known = spark.sql(f"SHOW PARTITIONS {table}").select(F.substring_index("partition", "=", -1).alias("_t"))
+    return known.join(touched, "_t", "left_semi").count() == present
 
 
 def _write_touched(touched: DataFrame, fresh: str) -> DataFrame:
@@ -582,7 +607,7 @@ def _resume(spark: SparkSession, table: str) -> None:
         delete_folder(spark, folder)
 
 
-def _swap_partitions(spark: SparkSession, table: str, fresh: str, at_once: int = 200) -> list[str]:
+def _swap_partitions(spark: SparkSession, table: str, fresh: str, at_once: int = AT_ONCE) -> list[str]:
     """Point partitions at their folders below ``fresh`` and drop touched ones that have
     none; returns the folders no longer used.  Catalog calls only, no job a partition."""
     fs, root = _path(spark, fresh)
