@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from tierline.functions.types import ddl, joined_type, same_type, upcast_sql
 from tierline.session import scratch_dir
 from tierline.sources.tables import ensure_schemas, table_exists
-from tierline.streaming.incremental import (latest_load, load_new_files, loaded_rows, read_bronze, read_outcomes, read_rejects,
+from tierline.streaming.incremental import (REASONS, _line_counts, _parsed_lines, latest_load, load_new_files, loaded_rows, read_bronze, read_outcomes, read_rejects,
                                             register_bronze, variant_types)
 
 
@@ -208,3 +208,20 @@ def test_types_from_variant_descriptions():
         ("A", "bigint"), ("b: OBJECT<", "string"), ("OBJECT", "void"), ("c", "array<struct<`x`: double, `y`: string>>"),
         ("d", "decimal(38,0)"), ("e", "void")]
     assert variant_types("VOID") == T.StructType()
+
+
+def test_outcomes_are_counted_without_sorting_the_lines(spark):
+    land = _Landing(spark)
+    lines = ["7", "[1]", "{", {"a": 1}, [{"a": 2}, {"a": 3}], []]
+    folder = land.put("2024-01-01", lines, ["7", "[1]"], ["7"], [{"a": 4}])
+    counts = _line_counts(_parsed_lines(spark, [folder]))
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert REASONS == sorted(REASONS)       # the reason given for a file is the least, as SQL's MIN
+    got = sorted((r.file[-11:], r.lines, r.rejected, r.reason, r.rows) for r in counts.collect())
+    assert got == [("part-0.json", 6, 3, 0, 3), ("part-1.json", 2, 2, 1, 0), ("part-2.json", 1, 1, 2, 0),
+                   ("part-3.json", 1, 0, None, 1)]
+    land.load()
+    assert sorted((r.file[-11:], r.status, r.reason) for r in read_outcomes(spark, land.bronze).collect()) == [
+        ("part-0.json", "partly", REASONS[0]), ("part-1.json", "rejected", REASONS[1]),
+        ("part-2.json", "rejected", REASONS[2]), ("part-3.json", "loaded", None)]

@@ -39,6 +39,8 @@ BATCH_COL = "_load_batch"
 BINARY_FILE_SCHEMA = "path string, modificationTime timestamp, length bigint, content binary"
 
 SCHEMA_DIR, REJECTS_DIR, FILES_DIR = "_schema", "_rejects", "_files"
+# Why a line is rejected; of several, a file's outcome names the first of these.
+REASONS = ["not JSON, or a name twice in an object", "not a list of objects", "not an object"]
 REJECTS = f"file string, line string, reason string, {BATCH_COL} bigint"
 FILES = f"file string, status string, lines bigint, rows bigint, rejected bigint, reason string, {BATCH_COL} bigint"
 
@@ -199,22 +201,34 @@ def _columns(found: T.StructType) -> tuple[T.StructType, dict[str, list[str]]]:
 
 
 def _parsed_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``file, v, line, reason``: each line's value, or the line and why it has none.  The
-    one scan of the files; blank lines don't count."""
+    """``file, v, listed, n, line, reason``: each line's value and rows, or the line and why it
+    has none.  The one scan of the files; blank lines don't count."""
     lines = spark.read.text(paths).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line")).where(
         F.col("line").rlike(r"\S"))
     start = F.regexp_extract("line", r"^\s*(\S)", 1)
     v = F.try_parse_json("line")
     objects = F.expr("forall(try_cast(v AS array<variant>), x -> schema_of_variant(x) LIKE 'OBJECT<%')")
-    why = (F.when(F.col("v").isNull(), "not JSON, or a name twice in an object")
-           .when((F.col("start") == "[") & ~F.coalesce(objects, F.lit(False)), "not a list of objects")
-           .when(~F.col("start").isin("{", "["), "not an object"))
+    why = (F.when(F.col("v").isNull(), REASONS[0])
+           .when((F.col("start") == "[") & ~F.coalesce(objects, F.lit(False)), REASONS[1])
+           .when(~F.col("start").isin("{", "["), REASONS[2]))
     judged = lines.select("file", "line", start.alias("start"), v.alias("v")).withColumn("reason", why)
-    good = F.col("reason").isNull()
-    return judged.select("file", F.when(good, F.col("v")).alias("v"), (F.col("start") == "[").alias("listed"),
+    good, listed = F.col("reason").isNull(), F.col("start") == "["
+    n = F.when(~good, 0).when(listed, F.expr("size(try_cast(v AS array<variant>))")).otherwise(1)
+    return judged.select("file", F.when(good, F.col("v")).alias("v"), listed.alias("listed"), n.alias("n"),
                          F.when(~good, F.col("line")).alias("line"), "reason")
 
 
+def _line_counts(lines: DataFrame) -> DataFrame:
+    """Per file: ``lines``, ``rejected``, the first of its ``reason`` in ``REASONS`` (its
+    number) and ``rows``.  All sums are numbers, so they are added up by hash: the least of
+    strings would have every task sort its lines, values included."""
+    number = F.when(F.col("reason") == REASONS[0], 0)
+    for i, reason in enumerate(REASONS[1:], 1):
+        number = number.when(F.col("reason") == reason, i)
+    return lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected"),
+                                     F.min(number).alias("reason"), F.sum("n").alias("rows"))
+
+
 class _Part:
     """Files of a batch that were read together."""
 
@@ -291,9 +305,7 @@ def _load(spark: SparkSession, table_path: str, paths: list[str], batch_id: int)
     counts = {}
     rows = None
     for p in parts:
-        one = F.expr("CASE WHEN reason IS NOT NULL THEN 0 WHEN listed THEN size(try_cast(v AS array<variant>)) ELSE 1 END")
-        for r in (p.lines.groupBy("file").agg(F.count(F.lit(1)).alias("lines"), F.count("reason").alias("rejected"),
-                                              F.min("reason").alias("reason"), F.sum(one).alias("rows")).collect()):
+        for r in _line_counts(p.lines).collect():
             counts[_plain_path(r.file)] = r     # as many as the batch has files
         if p.types.fields:
             mine = p.rows(ranges[-1][1])
@@ -316,7 +328,8 @@ def _load(spark: SparkSession, table_path: str, paths: list[str], batch_id: int)
             outcomes.append((path, "empty", 0, 0, 0, None, batch_id))
         else:
             status = "loaded" if not r.rejected else "partly" if r.rejected < r.lines else "rejected"
-            outcomes.append((path, status, r.lines, r.rows, r.rejected, r.reason, batch_id))
+            reason = None if r.reason is None else REASONS[r.reason]
+            outcomes.append((path, status, r.lines, r.rows, r.rejected, reason, batch_id))
     _write_side(spark.createDataFrame(outcomes, FILES).coalesce(1), table_path, FILES_DIR)
     drop_staged(spark, *[p.lines for p in parts])
     return {"files": len(paths), "rows": sum(o[3] for o in outcomes), "rejected": sum(o[4] for o in outcomes),
