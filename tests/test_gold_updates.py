@@ -4,9 +4,11 @@ import random
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.test_key_places import _spoil
 from tierline.operators import funnel
+from tierline.operators import funnel_delta as delta
 from tierline.plans import gold_updates
 from tierline.plans.pipelines import (Layout, bronze_load, gold_advertiser_revenue, gold_campaign_performance,
                                       setup_schemas, silver_build)
@@ -172,3 +174,19 @@ def test_silver_built_without_a_log_means_a_rebuild(spark):
     _load(spark, plain, "conversions", [(2, 1, _day(2), 4.0)], 2)
     _gold(spark, layout)
     _assert_as_rebuilt(spark, layout)
+
+
+def test_rows_are_weighed_anew_without_a_sort(spark):
+    """Own parts: as they came, else as they were; a part that came with NULLs replaces one without."""
+    types = {c: "bigint" for c in delta.SUMS} | {c: "decimal(38,2)" for c in delta._MONEY}
+    own = "id long, _at timestamp, _up long, _live boolean, _amount decimal(10,2)"
+    one = lambda rows: spark.createDataFrame(rows, "id long, up long, live boolean, amount string").selectExpr(
+        "id", "TIMESTAMP '2024-01-01' AS _at", "up AS _up", "live AS _live", "CAST(amount AS decimal(10,2)) AS _amount")
+    old = delta.no_sums(one([(1, 10, True, "1.5"), (2, 20, True, "2.5")]), types).withColumn("_rows", F.lit(3).cast("bigint"))
+    below = delta.no_sums(spark.createDataFrame([(1,), (9,)], "id long"), types).withColumn("_rows", F.lit(4).cast("bigint"))
+    new = delta.reweighed(old, one([(2, None, False, None), (3, 30, True, "3.5")]), below, types)
+    assert [f"{f.name} {f.dataType.simpleString()}" for f in new.schema.fields][:5] == [
+        f"{c.split()[0]} {c.split()[1].replace('long', 'bigint')}" for c in own.split(", ")]
+    assert "SortAggregate" not in new._jdf.queryExecution().executedPlan().toString()
+    got = {r.id: (r._up, r._live, None if r._amount is None else str(r._amount), r._rows) for r in new.collect()}
+    assert got == {1: (10, True, "1.50", 7), 2: (None, False, None, 3), 3: (30, True, "3.50", 0), 9: (None, False, None, 4)}

@@ -17,7 +17,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierline.operators.funnel import LINKS
 
@@ -80,19 +79,24 @@ def weighed(own: DataFrame, below: DataFrame | None, types: dict[str, str]) -> D
 def reweighed(old: DataFrame, changed: DataFrame, below: DataFrame | None, types: dict[str, str]) -> DataFrame:
     """The weighed rows of all ids in ``old`` (as they were), ``changed`` (own parts that came;
     one an id) or ``below`` (changes of their sums)."""
-    own = F.struct(*OWN)
-    kind = T.StructType([changed.schema[c] for c in OWN])
-    nothing = F.lit(None).cast(kind)
-    before = F.struct(*[F.col(c).cast(kind[c].dataType).alias(c) for c in OWN])
-    parts = [old.select("id", before.alias("_was"), nothing.alias("_now"), *SUMS),
-             no_sums(changed.select("id", nothing.alias("_was"), own.cast(kind).alias("_now")), types)]
+    kind = {c: changed.schema[c].dataType for c in OWN}
+
+    def part(rows: DataFrame, tag: str | None) -> DataFrame:
+        """The own parts as they were (``_was``) or are now (``_now``), field by field, so that
+        the grouping below adds up by hash (the greatest of structs would sort)."""
+        own = {f"{t}{c}": F.col(c).cast(k) if t == tag else F.lit(None).cast(k)
+               for t in ("_was", "_now") for c, k in kind.items()}
+        return rows.select("id", F.lit(tag == "_now").alias("_came"), *[v.alias(n) for n, v in own.items()], *SUMS)
+
+    parts = [part(old, "_was"), part(no_sums(changed, types), "_now")]
     if below is not None:
-        parts.append(below.select("id", nothing.alias("_was"), nothing.alias("_now"), *SUMS))
+        parts.append(part(below, None))
     rows = reduce(DataFrame.unionByName, parts).groupBy("id").agg(
-        F.max("_was").alias("_was"), F.max("_now").alias("_now"), *[F.sum(c).cast(types[c]).alias(c) for c in SUMS])
-    rows = rows.withColumn("_own", F.coalesce("_now", "_was"))
-    return rows.select("id", "_own._at", "_own._up", F.coalesce("_own._live", F.lit(False)).alias("_live"),
-                       "_own._amount", *SUMS)
+        F.max("_came").alias("_came"), *[F.max(f"{t}{c}").alias(f"{t}{c}") for t in ("_was", "_now") for c in OWN],
+        *[F.sum(c).cast(types[c]).alias(c) for c in SUMS])
+    own = {c: F.when(F.col("_came"), F.col(f"_now{c}")).otherwise(F.col(f"_was{c}")) for c in OWN}
+    own["_live"] = F.coalesce(own["_live"], F.lit(False))
+    return rows.select("id", *[v.alias(c) for c, v in own.items()], *SUMS)
 
 
 def as_ad_level(by_ad: DataFrame) -> DataFrame:
