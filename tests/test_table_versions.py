@@ -260,3 +260,17 @@ def test_growth_is_written_with_the_upsert(spark, schema, monkeypatch):
     merge_upsert(spark, t, rows(0, 4000, "d"), "k", rows_per_partition=10)
     assert held(spark, t, "k", "v") == sorted(((i, "d") for i in range(4000)), key=repr)
     assert TableLayout.parse(table_properties(spark, t)[LAYOUT_PROPERTY]).count == 400 and table_rows(spark, t) == 4000
+
+
+def test_many_days_that_are_all_replaced_are_published_at_once(spark, schema, monkeypatch):
+    t, calls = f"{schema}.many_days", []
+    rows = lambda v: spark.range(230).select(F.col("id").alias("k"), F.when(F.col("id") > 0, F.col("id").cast("int")).alias("d"),
+                                             F.lit(v).alias("v"))
+    merge_upsert(spark, t, rows("a"), "k", partition_expr=F.col("d"))
+    original = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: (calls.append(q), original(s, q, *a, **k))[1])
+    merge_upsert(spark, t, rows("b"), "k", partition_expr=F.col("d"))
+    monkeypatch.undo()
+    assert len(calls) < 100
+    assert held(spark, t, "k", "v", PART_COL) == sorted(((i, "b", i or None) for i in range(230)), key=repr)
+    assert table_rows(spark, t) == 230
