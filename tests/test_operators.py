@@ -96,6 +96,13 @@ def test_running_max_equals_window(spark, block):
     assert _rows(ours, "eid", "lv", "lc") == _rows(ref, "eid", "lv", "lc")
 
 
+def test_running_max_shuffles_the_rows_once(spark):
+    df = spark.createDataFrame([(1, 1, "view", "x")], "eid long, u long, t string, payload string")
+    plan = running_max(df, "u", "eid", {"lv": F.when(F.col("t") == "view", F.col("eid"))})._jdf.queryExecution()
+    plan = plan.optimizedPlan().toString()
+    assert "Join" not in plan and plan.count("Window") == 2     # the carry-ins and the rows
+
+
 def test_share_of_group(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 0.0), (None, 2.0), ("c", None)], "g string, v double")
     got = {(r.g, r.v): (r.t, r.s) for r in share_of_group(df, "g", "v", "t", "s").collect()}

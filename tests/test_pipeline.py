@@ -238,6 +238,20 @@ def _no_old_rows(build):
     return run
 
 
+def test_parents_alone_need_no_build_of_the_children(spark, monkeypatch):
+    """When only parents have come, the flags end; no parent keys are read for rows there are none of."""
+    import tierline.plans.pipelines as pipelines
+    days = _days(spark)
+    layout, _ = _pipeline(spark, days[:1])
+    bronze_load(spark, layout, "impressions", days[1][1]["impressions"], "2024-01-11")
+    silver_build(spark, layout, "impressions")
+    monkeypatch.setattr(pipelines, "build_silver", None)
+    got = silver_build(spark, layout, "clicks")
+    assert got == {"rows": 3, "rows_written": 2, "duplicates_removed": 0, "orphans": 0}
+    assert _flags(spark, layout)["clicks"] == {10: False, 11: False, 12: True}
+    assert silver_build(spark, layout, "clicks")["rows_written"] == 0
+
+
 def test_ids_that_restart_each_day(spark):
     """Keys of id and day: both days' rows stay, and a foreign key only meets its own day."""
     from tierline.rules import FkCheck

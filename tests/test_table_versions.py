@@ -274,3 +274,18 @@ def test_many_days_that_are_all_replaced_are_published_at_once(spark, schema, mo
     assert len(calls) < 100
     assert held(spark, t, "k", "v", PART_COL) == sorted(((i, "b", i or None) for i in range(230)), key=repr)
     assert table_rows(spark, t) == 230
+
+
+def test_a_month_of_days_all_replaced_is_one_version(spark, schema, monkeypatch):
+    t, calls = f"{schema}.month", []
+    rows = lambda v, n=300: spark.range(n).select(F.col("id").alias("k"), (F.col("id") % 30).cast("int").alias("d"),
+                                                  F.lit(v).alias("v"))
+    merge_upsert(spark, t, rows("a"), "k", partition_expr=F.col("d"))
+    original = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda s, q, *a, **k: (calls.append(q), original(s, q, *a, **k))[1])
+    got = merge_upsert(spark, t, rows("b", 60).unionByName(rows("c", 330).where("k >= 300")), "k", partition_expr=F.col("d"))
+    monkeypatch.undo()
+    assert not [q for q in calls if "SET LOCATION" in q] and len(calls) < 30
+    assert got["rows"] == 330 == table_rows(spark, t)
+    want = [(k, "b" if k < 60 else "a" if k < 300 else "c", k % 30) for k in range(330)]
+    assert held(spark, t, "k", "v", PART_COL) == sorted(want, key=repr)

@@ -121,24 +121,23 @@ def _parent_keys(spark: SparkSession, layout: Layout, fk: FkCheck) -> DataFrame:
 
 
 def _touched_rows(spark: SparkSession, layout: Layout, rule: EntityRule, bronze: DataFrame,
-                  seen: dict) -> tuple[DataFrame, DataFrame]:
+                  seen: dict) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Bronze rows, old and new, of the keys that have a new row (of rows with a NULL key
-    only the new ones: such rows never match in an upsert), and those keys, staged.  The
-    index of key blocks names the loads that may hold them; no others are read."""
+    only the new ones: such rows never match in an upsert); the old ones of them and the
+    keys, staged.  The index of key blocks names the loads that may hold them; no others
+    are read, and those once."""
     keys, path = list(rule.primary_key), layout.bronze_path(rule.name)
     fresh = bronze.where(F.col(BATCH_COL) > seen[rule.name])
     touched = stage(fresh.select(*keys).dropDuplicates().dropna(), "silver-keys", spark)
-    unkeyed = F.lit(False)
-    for k in keys:
-        unkeyed = unkeyed | F.col(k).isNull()
     loads = loads_of(spark, update_index(spark, path, bronze, keys), touched, keys)
-    held = bronze.where(F.col(BATCH_COL).isin(loads)).join(touched, keys, "left_semi")
-    return held.unionByName(fresh.where(unkeyed)), touched
+    old = bronze.where(F.col(BATCH_COL).isin([n for n in loads if n <= seen[rule.name]]))
+    again = stage(old.join(touched, keys, "left_semi"), "silver-again", spark)
+    return fresh.unionByName(again), again, touched
 
 
 def _healed_rows(spark: SparkSession, layout: Layout, rule: EntityRule, seen: dict, loads: dict,
-                 touched: DataFrame) -> DataFrame | None:
-    """Silver rows of other keys whose orphan flags end because a parent has arrived since:
+                 touched: DataFrame | None) -> DataFrame | None:
+    """Silver rows of keys not in ``touched`` whose orphan flags end because a parent has arrived since:
     the newly arrived parent keys meet the pending orphans only, and of silver only the
     rows (of event tables: the days) that waited for them are read."""
     keys, found = list(rule.primary_key), None
@@ -157,7 +156,7 @@ def _healed_rows(spark: SparkSession, layout: Layout, rule: EntityRule, seen: di
         found = hit if found is None else found.unionByName(hit)
     if found is None:
         return None
-    found = stage(found.join(touched, keys, "left_anti"), "silver-healed", spark)
+    found = stage(found if touched is None else found.join(touched, keys, "left_anti"), "silver-healed", spark)
     rows = spark.table(layout.table("silver", rule.name))
     if rule.event_time:     # the index is partitioned by day as the table is
         rows = in_partitions(rows, stage(found.select(PART_COL).distinct(), "silver-healed-days", spark))
@@ -191,22 +190,31 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
         table_exists(spark, _pending_table(layout, rule, fk)) for fk in rule.fk_checks)
     if known and all(seen[n] >= loads[n] for n in loads):
         return {"rows": table_rows(spark, table), "rows_written": 0, "duplicates_removed": 0, "orphans": 0}
-    healed = days = None
+    healed = days = again = touched = None
     if known:
-        bronze, touched = _touched_rows(spark, layout, rule, bronze, seen)
+        fresh = seen[entity] < loads[entity]
+        if fresh:
+            bronze, again, touched = _touched_rows(spark, layout, rule, bronze, seen)
+        else:               # only parents have come
+            bronze = bronze.limit(0)
         if rule.event_time and layout.event_keys_may_move:
             days = days_of(spark, rule, bronze.drop(BATCH_COL))
         healed = _healed_rows(spark, layout, rule, seen, loads, touched)
-    parents = {fk.parent: _parent_keys(spark, layout, fk) for fk in rule.fk_checks}
-    taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
-    raw = bronze.drop(BATCH_COL).observe(taken, F.count(F.lit(1)).alias("rows"))
-    df = build_silver(raw, rule, parents,
-                      fk_options={"split_hot_keys": True} if layout.split_hot_fk_keys else None)
-    flags = [F.count_if(F.col(fk.flag)).alias(fk.flag) for fk in rule.fk_checks]
-    df = df.observe(kept, F.count(F.lit(1)).alias("rows"), *flags)
-    if healed is not None:
-        df = df.unionByName(healed, allowMissingColumns=True)
-    df = stage(df, f"silver-{entity}", spark)
+    before, after = {}, {}
+    if known and not fresh:
+        df = stage(healed, f"silver-{entity}", spark)
+    else:
+        parents = {fk.parent: _parent_keys(spark, layout, fk) for fk in rule.fk_checks}
+        taken, kept = Observation(f"taken_{entity}"), Observation(f"kept_{entity}")
+        raw = bronze.drop(BATCH_COL).observe(taken, F.count(F.lit(1)).alias("rows"))
+        df = build_silver(raw, rule, parents,
+                          fk_options={"split_hot_keys": True} if layout.split_hot_fk_keys else None)
+        flags = [F.count_if(F.col(fk.flag)).alias(fk.flag) for fk in rule.fk_checks]
+        df = df.observe(kept, F.count(F.lit(1)).alias("rows"), *flags)
+        if healed is not None:
+            df = df.unionByName(healed, allowMissingColumns=True)
+        df = stage(df, f"silver-{entity}", spark)
+        before, after = observed(taken), observed(kept)
     if rule.event_time:  # events: partition by UTC day, so a daily load touches recent days
         layout_args = {"partition_expr": event_day(rule.event_time), "sort_within": [rule.event_time],
                        "keys_may_move": layout.event_keys_may_move, "may_hold": days}
@@ -220,8 +228,7 @@ def silver_build(spark: SparkSession, layout: Layout, entity: str,
     for fk in rule.fk_checks:
         _update_pending(spark, layout, rule, fk, df, layout_args)
     set_table_properties(spark, table, {SEEN_PROPERTY: json.dumps(loads)} | log)
-    drop_staged(spark, df)
-    before, after = observed(taken), observed(kept)
+    drop_staged(spark, df, *([again] if again is not None else []))
     return {"rows": result["rows"], "rows_written": result["rows_written"],
             "duplicates_removed": before.get("rows", 0) - after.get("rows", 0),
             "orphans": sum(after.get(fk.flag, 0) for fk in rule.fk_checks)}

@@ -232,6 +232,8 @@ PENDING_PROPERTY = "tierline.publishing"
 # A partition of fewer rows than this is written by one task.
 WRITER_ROWS = 100_000
 # More partitions than this, all replaced, are published as one version, not one by one.
+MANY = 16
+# So many partitions are added or dropped by one catalog call.
 AT_ONCE = 200
 
 
@@ -451,7 +453,7 @@ def merge_upsert(spark: SparkSession, table: str, source: DataFrame, key: str |
     are deleted last.  So a partition has its old or its new rows at any time, and what a
     failure left half-published the next upsert publishes first.  Readers may see some
     partitions before and some after the upsert.  An unpartitioned table's new content
-    becomes a new version, and so does that of more than ``AT_ONCE`` partitions where all of
+    becomes a new version, and so does that of more than ``MANY`` partitions where all of
     the table's are replaced: a catalog call for each would take longer than the rows.  ``sort_within`` orders rows inside each written file so parquet
     min/max statistics let range filters skip row groups.  ``remove`` names a boolean
     column of the source: where it is true, the key's row goes and none comes; it is not
@@ -565,7 +567,7 @@ def _replaces_all(spark: SparkSession, table: str, fresh: str) -> bool:
     """Whether the touched partitions are all of the table's, and they or those written many."""
     present = spark.sql(f"SHOW PARTITIONS {table}").count()
     fs, root = _path(spark, fresh)
-    if max(present, len(fs.listStatus(root))) <= AT_ONCE:
+    if max(present, len(fs.listStatus(root))) <= MANY:
         return False
     touched = spark.read.parquet(f"{fresh}/_touched").select(
         F.coalesce(F.col(PART_COL).cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("_t"))
